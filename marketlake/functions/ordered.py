@@ -55,34 +55,43 @@ def running_best(df: DataFrame, keys: Sequence[str], order: Sequence[str], best:
                     *[F.greatest(F.col(f"_c_{n}"), F.max(n).over(inside)).alias(n) for n in names]))
 
 
-def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float, bucket: Column,
-                     alias: str) -> DataFrame:
-    """Linear-interpolated percentile per key, exact, for values with unbounded variety.
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, wanted: dict[str, float],
+                      bucket: Column) -> DataFrame:
+    """Linear-interpolated percentiles per key, exact, for values with unbounded variety.
 
-    Equal values are merged first. ``bucket`` is any non-decreasing function of the
-    value; only the one or two buckets that hold the wanted ranks are sorted.
+    ``wanted`` maps output names to fractions. Equal values are merged first.
+    ``bucket`` is any non-decreasing function of the merged value ``_v``; only the
+    buckets that hold a wanted rank are sorted, each on its own.
     """
     counts = (df.where(F.col(value).isNotNull())
               .groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
               .withColumn("_b", bucket))
     per_bucket = counts.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
     upto = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pos = (F.sum("_bn").over(Window.partitionBy(*keys)) - 1) * F.lit(float(p))
-    chosen = (per_bucket.withColumn("_end", F.sum("_bn").over(upto))
-              .withColumn("_start", F.col("_end") - F.col("_bn"))
-              .withColumn("_pos", pos)
-              .where((F.col("_start") <= F.ceil("_pos")) & (F.col("_end") > F.floor("_pos"))))
+    last = F.sum("_bn").over(Window.partitionBy(*keys)) - 1
+    edges = (per_bucket.withColumn("_last", last)
+             .withColumn("_end", F.sum("_bn").over(upto))
+             .withColumn("_start", F.col("_end") - F.col("_bn")))
+
+    def pos(p: float) -> Column:
+        return F.col("_last") * F.lit(float(p))
+
+    holds = F.lit(False)
+    for p in wanted.values():
+        holds = holds | ((F.col("_start") <= F.ceil(pos(p))) & (F.col("_end") > F.floor(pos(p))))
+    chosen = edges.where(holds).select(*keys, "_b", "_start", "_last")
     rank = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding,
                                                                      Window.currentRow)
-    ranked = (counts.join(chosen.select(*keys, "_b", "_start", "_pos"), [*keys, "_b"])
+    ranked = (counts.join(chosen, [*keys, "_b"])
               .withColumn("_hi", F.col("_start") + F.sum("_n").over(rank))
               .withColumn("_lo", F.col("_hi") - F.col("_n")))
 
     def at(r: Column) -> Column:
-        return F.max(F.when((F.col("_lo") <= r) & (r < F.col("_hi")), F.col("_v")))
-
-    picked = ranked.groupBy(*keys).agg(F.first("_pos").alias("_pos"),
-                                       at(F.floor("_pos")).cast("double").alias("_a"),
-                                       at(F.ceil("_pos")).cast("double").alias("_z"))
-    share = F.col("_pos") - F.floor("_pos")
-    return picked.select(*keys, (F.col("_a") + (F.col("_z") - F.col("_a")) * share).alias(alias))
+        return F.max(F.when((F.col("_lo") <= r) & (r < F.col("_hi")), F.col("_v"))).cast("double")
+
+    picked = ranked.groupBy(*keys, "_last").agg(
+        *[at(F.floor(pos(p))).alias(f"_a_{n}") for n, p in wanted.items()],
+        *[at(F.ceil(pos(p))).alias(f"_z_{n}") for n, p in wanted.items()])
+    return picked.select(*keys, *[
+        (F.col(f"_a_{n}") + (F.col(f"_z_{n}") - F.col(f"_a_{n}")) * (pos(p) - F.floor(pos(p)))).alias(n)
+        for n, p in wanted.items()])

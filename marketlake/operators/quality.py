@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.functions.ordered import adjacent_decreases, exact_percentile
+from marketlake.functions.ordered import adjacent_decreases, exact_percentiles
 from marketlake.functions.timeutil import SECOND, idiv
 
 SLICE = ("symbol", "venue", "date")
@@ -29,10 +29,14 @@ def _issue(check: str, severity, count: Column, detail, sample: Column | None =
                     text.alias("detail"), (empty if sample is None else sample).alias("sample"))
 
 
-def _emit(stats: DataFrame, issues: list[Column]) -> DataFrame:
-    """One aggregated row per slice → its issue rows; a null count means the check is off."""
-    return (stats.select(*SLICE, F.explode(F.array(*issues)).alias("i"))
-            .select(*SLICE, "i.*").where(F.col("count") > 0))
+def _found(*issues: Column) -> Column:
+    """The issues that fired; a null count means the check does not apply."""
+    return F.filter(F.array(*issues), lambda i: F.coalesce(i["count"], F.lit(0)) > 0)
+
+
+def _rows(stats: DataFrame) -> DataFrame:
+    """Slices with an ``issues`` array → one row per issue."""
+    return stats.select(*SLICE, F.explode("issues").alias("i")).select(*SLICE, "i.*")
 
 
 def union_issues(*frames: DataFrame) -> DataFrame:
@@ -41,87 +45,110 @@ def union_issues(*frames: DataFrame) -> DataFrame:
 
 # ---- bars ----
 
-def check_bar_ohlc(bars: DataFrame) -> DataFrame:
+def bar_steps(bars: DataFrame) -> DataFrame:
+    """Bars with the step from the previous bar of the slice and the running length of equal
+    closes. A slice is one day of one-second bars, so the calendar bounds its window."""
+    w = Window.partitionBy(*SLICE).orderBy("ts_ns")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.lag("close").over(w)
+    return (bars.withColumns({"gap_s": (F.col("ts_ns") - F.lag("ts_ns").over(w)) / 1e9,
+                              "_rn": F.row_number().over(w),
+                              "_new": before.isNull() | (F.col("close") != before)})
+            .withColumn("run_length", F.col("_rn") - F.max(F.when(F.col("_new"), F.col("_rn"))).over(upto) + 1)
+            .drop("_rn", "_new"))
+
+
+def bar_diffs(bars: DataFrame) -> DataFrame:
+    return bar_steps(bars).select(*SLICE, "ts_ns", "gap_s")
+
+
+def bar_stats(bars: DataFrame, warn_gap_s: float = 60, major_gap_s: float = 600, rel_warn_k: float = 30.0,
+              rel_major_k: float = 120.0) -> DataFrame:
+    """Everything the bar checks and the completeness figures need, from one shuffle."""
     body_hi, body_lo = F.greatest("open", "close"), F.least("open", "close")
-    hi, lo, vwap = F.col("high"), F.col("low"), F.col("vwap")
-    bad = {"hi": hi < body_hi - 1e-9, "lo": lo > body_lo + 1e-9, "hl": hi < lo - 1e-9,
-           "vol": F.col("volume") < 0, "vwap": (vwap < lo - 1e-6) | (vwap > hi + 1e-6),
-           "px": F.least("open", "high", "low", "close") <= 0}
-    stats = bars.groupBy(*SLICE).agg(*[F.count_if(c).alias(n) for n, c in bad.items()])
-    return _emit(stats, [
-        _issue("bar.high_below_body", "major", F.col("hi"), "high is below max(open, close)"),
-        _issue("bar.low_above_body", "major", F.col("lo"), "low is above min(open, close)"),
-        _issue("bar.high_below_low", "critical", F.col("hl"), "high is below low"),
-        _issue("bar.negative_volume", "critical", F.col("vol"), "volume is negative"),
-        _issue("bar.vwap_outside_hl", "major", F.col("vwap"), "vwap is outside [low, high]"),
-        _issue("bar.nonpositive_price", "critical", F.col("px"), "a bar price is not positive")])
+    hi, lo, vwap, gap = F.col("high"), F.col("low"), F.col("vwap"), F.col("gap_s")
+    whole = Window.partitionBy(*SLICE)
+    marked = (bar_steps(bars)
+              .withColumn("_med", F.median("gap_s").over(whole))
+              .withColumn("_warn", F.greatest(F.lit(float(warn_gap_s)), F.col("_med") * rel_warn_k))
+              .withColumn("_major", F.greatest(F.lit(float(major_gap_s)), F.col("_med") * rel_major_k))
+              .withColumn("_rank", F.row_number().over(whole.orderBy(F.desc_nulls_last("gap_s")))))
+    real = gap > 1.5
+    return marked.groupBy(*SLICE).agg(
+        F.count_if(hi < body_hi - 1e-9).alias("hi"), F.count_if(lo > body_lo + 1e-9).alias("lo"),
+        F.count_if(hi < lo - 1e-9).alias("hl"), F.count_if(F.col("volume") < 0).alias("vol"),
+        F.count_if((vwap < lo - 1e-6) | (vwap > hi + 1e-6)).alias("vwap"),
+        F.count_if(F.least("open", "high", "low", "close") <= 0).alias("px"),
+        F.count(F.lit(1)).alias("bars"), F.count_if(gap == 0).alias("dup"),
+        F.count_if(F.pmod("ts_ns", F.lit(SECOND)) != 0).alias("off"),
+        F.count_if(real & (gap >= F.col("_warn"))).alias("n_warn"),
+        F.count_if(real & (gap >= F.col("_major"))).alias("n_major"),
+        F.max(gap).alias("longest_gap"), F.first("_med").alias("med"), F.first("_major").alias("major"),
+        F.reverse(F.array_sort(F.collect_list(  # at most five values
+            F.when(real & (F.col("_rank") <= 5), F.round("gap_s", 1))))).alias("top"),
+        F.max("run_length").alias("longest_run"), F.min("ts_ns").alias("lo_ns"), F.max("ts_ns").alias("hi_ns"))
+
+
+def _ohlc_issues() -> list[Column]:
+    return [_issue("bar.high_below_body", "major", F.col("hi"), "high is below max(open, close)"),
+            _issue("bar.low_above_body", "major", F.col("lo"), "low is above min(open, close)"),
+            _issue("bar.high_below_low", "critical", F.col("hl"), "high is below low"),
+            _issue("bar.negative_volume", "critical", F.col("vol"), "volume is negative"),
+            _issue("bar.vwap_outside_hl", "major", F.col("vwap"), "vwap is outside [low, high]"),
+            _issue("bar.nonpositive_price", "critical", F.col("px"), "a bar price is not positive")]
+
+
+def _time_issues() -> list[Column]:
+    many = F.col("bars") >= 2
+    return [_issue("bar.timestamps_out_of_order", "major", F.when(many, F.col("n_decreases")),
+                   "bar times step backwards"),
+            _issue("bar.duplicate_timestamps", "major", F.when(many, F.col("dup")), "bars share a timestamp"),
+            _issue("bar.timestamp_off_second_grid", "minor", F.when(many, F.col("off")),
+                   "bar time is not a whole second")]
+
+
+def _gap_issue() -> Column:
+    detail = F.format_string("%d gaps between bars (median %.1fs, longest %.0fs; %d of them >= %.0fs)",
+                             "n_warn", "med", "longest_gap", "n_major", "major")
+    severity = F.when(F.col("n_major") > 0, "major").otherwise("minor")
+    return _issue("bar.gaps", severity, F.col("n_warn"), detail, F.col("top"))
 
 
-def check_bar_timestamps(bars: DataFrame, file: str | None = None, row: str | None = None) -> DataFrame:
-    """Duplicate and off-grid timestamps; backward steps need the stored order (``row``)."""
-    ts = F.col("ts_ns")
-    stats = (bars.groupBy(*SLICE, "ts_ns").agg(F.count(F.lit(1)).alias("k"))
-             .groupBy(*SLICE).agg(F.sum("k").alias("n"), F.sum(F.col("k") - 1).alias("dup"),
-                                  F.sum(F.when(F.pmod(ts, F.lit(SECOND)) != 0, F.col("k"))).alias("off")))
+def _flat_issue(min_run: int) -> Column:
+    detail = F.format_string("%d consecutive bars share one close", "longest_run")
+    return _issue("bar.flatline", "minor", F.when(F.col("longest_run") >= min_run, F.col("longest_run")), detail)
+
+
+def _with_stored_order(stats: DataFrame, rows: DataFrame, file: str | None, row: str | None) -> DataFrame:
+    """Backward steps exist only in stored order; without ``row`` that check is off."""
     if row is None:
-        stats = stats.withColumn("back", F.lit(0))
-    else:
-        stats = stats.join(adjacent_decreases(bars, SLICE, "ts_ns", file, row)
-                           .withColumnRenamed("n_decreases", "back"), list(SLICE))
-    many = F.col("n") >= 2
-    return _emit(stats, [
-        _issue("bar.timestamps_out_of_order", "major", F.when(many, F.col("back")), "bar times step backwards"),
-        _issue("bar.duplicate_timestamps", "major", F.when(many, F.col("dup")), "bars share a timestamp"),
-        _issue("bar.timestamp_off_second_grid", "minor", F.when(many, F.col("off")),
-               "bar time is not a whole second")])
+        return stats.withColumn("n_decreases", F.lit(0))
+    return stats.join(adjacent_decreases(rows, SLICE, "ts_ns", file, row), list(SLICE), "left")
 
 
-def bar_diffs(bars: DataFrame) -> DataFrame:
-    """Seconds since the previous bar of the slice. A slice is a day of one-second bars,
-    so the window is bounded by the calendar, not by trade volume."""
-    w = Window.partitionBy(*SLICE).orderBy("ts_ns")
-    return (bars.select(*SLICE, "ts_ns", "close")
-            .withColumn("prev_close", F.lag("close").over(w))
-            .withColumn("gap_s", (F.col("ts_ns") - F.lag("ts_ns").over(w)) / 1e9))
+def check_bar_ohlc(bars: DataFrame) -> DataFrame:
+    return _rows(bar_stats(bars).withColumn("issues", _found(*_ohlc_issues())))
 
 
-def check_bar_gaps(bars: DataFrame, warn_gap_s: float = 60, major_gap_s: float = 600,
-                   rel_warn_k: float = 30.0, rel_major_k: float = 120.0) -> DataFrame:
-    """Gaps long both in absolute terms and relative to the slice's median gap."""
-    gaps = bar_diffs(bars).where(F.col("gap_s").isNotNull())
-    rank = F.row_number().over(Window.partitionBy(*SLICE).orderBy(F.col("gap_s").desc()))
-    slice_w = Window.partitionBy(*SLICE)
-    marked = (gaps.withColumn("med", F.median("gap_s").over(slice_w))
-              .withColumn("warn", F.greatest(F.lit(float(warn_gap_s)), F.col("med") * rel_warn_k))
-              .withColumn("major", F.greatest(F.lit(float(major_gap_s)), F.col("med") * rel_major_k))
-              .withColumn("rank", rank))
-    real = F.col("gap_s") > 1.5
-    stats = marked.groupBy(*SLICE).agg(
-        F.count_if(real & (F.col("gap_s") >= F.col("warn"))).alias("n_warn"),
-        F.count_if(real & (F.col("gap_s") >= F.col("major"))).alias("n_major"),
-        F.max("gap_s").alias("longest"), F.first("med").alias("med"), F.first("major").alias("major"),
-        F.reverse(F.array_sort(F.collect_list(
-            F.when(real & (F.col("rank") <= 5), F.round("gap_s", 1))))).alias("top"))
-    detail = F.format_string("%d gaps between bars (median %.1fs, longest %.0fs; %d of them >= %.0fs)",
-                             "n_warn", "med", "longest", "n_major", "major")
-    severity = F.when(F.col("n_major") > 0, "major").otherwise("minor")
-    return _emit(stats, [_issue("bar.gaps", severity, F.col("n_warn"), detail, F.col("top"))])
+def check_bar_timestamps(bars: DataFrame, file: str | None = None, row: str | None = None) -> DataFrame:
+    stats = _with_stored_order(bar_stats(bars), bars, file, row)
+    return _rows(stats.withColumn("issues", _found(*_time_issues())))
 
 
-def longest_flatline(bars: DataFrame) -> DataFrame:
-    """Per slice: bars, and the longest run of equal consecutive closes."""
-    w = Window.partitionBy(*SLICE).orderBy("ts_ns").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    change = F.when(F.col("prev_close").isNull() | (F.col("close") != F.col("prev_close")), 1).otherwise(0)
-    runs = (bar_diffs(bars).withColumn("run", F.sum(change).over(w))
-            .groupBy(*SLICE, "run").agg(F.count(F.lit(1)).alias("length")))
-    return runs.groupBy(*SLICE).agg(F.sum("length").alias("bars"), F.max("length").alias("longest"))
+def check_bar_gaps(bars: DataFrame, **thresholds) -> DataFrame:
+    """Gaps long both in absolute terms and relative to the slice's median gap."""
+    return _rows(bar_stats(bars, **thresholds).withColumn("issues", _found(_gap_issue())))
 
 
 def check_flatline(bars: DataFrame, min_run: int = 120) -> DataFrame:
-    stats = longest_flatline(bars)
-    detail = F.format_string("%d consecutive bars share one close", "longest")
-    return _emit(stats, [_issue("bar.flatline", "minor",
-                                F.when(F.col("longest") >= min_run, F.col("longest")), detail)])
+    return _rows(bar_stats(bars).withColumn("issues", _found(_flat_issue(min_run))))
+
+
+def bar_slices(bars: DataFrame, file: str | None = None, row: str | None = None, min_run: int = 120,
+               **thresholds) -> DataFrame:
+    """Bar statistics with the issues of all bar checks."""
+    stats = _with_stored_order(bar_stats(bars, **thresholds), bars, file, row)
+    return stats.withColumn("issues", _found(*_ohlc_issues(), *_time_issues(), _gap_issue(), _flat_issue(min_run)))
 
 
 # ---- trades ----
@@ -141,49 +168,56 @@ def lag_p99_ms(trades: DataFrame) -> DataFrame:
     """Exact 99th percentile of the receive lag. Lags have nanosecond variety, so they are
     ranked bucket by bucket (about 4 ms each) rather than in one list per slice."""
     lag = trades.select(*SLICE, (F.col("recv_ns") - F.col("ts_ns")).alias("lag_ns"))
-    p = exact_percentile(lag, SLICE, "lag_ns", 0.99, F.shiftright("_v", 22), "p99_ns")
+    p = exact_percentiles(lag, SLICE, "lag_ns", {"p99_ns": 0.99}, F.shiftright("_v", 22))
     return p.select(*SLICE, (F.col("p99_ns") / 1e6).alias("p99_ms"))
 
 
-def check_trades(trades: DataFrame, file: str | None = None, row: str | None = None,
+def trade_slices(trades: DataFrame, file: str | None = None, row: str | None = None,
                  stale_ms: float = 5000) -> DataFrame:
     real_id = F.when(F.col("trade_id") != "", F.col("trade_id"))
     lag_ms = (F.col("recv_ns") - F.col("ts_ns")) / 1e6
-    stats = trades.groupBy(*SLICE).agg(
+    keys = list(SLICE)
+    stats = trades.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_trades"),
         F.count_if(F.col("price") <= 0).alias("px"), F.count_if(F.col("size") <= 0).alias("sz"),
-        F.count_if(~F.col("side").isin(-1, 0, 1)).alias("side"),
-        F.count_if(lag_ms > stale_ms).alias("stale"),
+        F.count_if(~F.col("side").isin(-1, 0, 1)).alias("side"), F.count_if(lag_ms > stale_ms).alias("stale"),
         (F.count(real_id) - F.count_distinct(real_id)).alias("dup"))
-    stats = stats.join(trade_extremes(trades), list(SLICE), "left")
-    stats = stats.join(lag_p99_ms(trades), list(SLICE), "left")
-    if row is None:
-        stats = stats.withColumn("n_decreases", F.lit(0))
-    else:
-        stats = stats.join(adjacent_decreases(trades, SLICE, "ts_ns", file, row), list(SLICE), "left")
+    stats = stats.join(trade_extremes(trades), keys, "left").join(lag_p99_ms(trades), keys, "left")
+    stats = _with_stored_order(stats, trades, file, row)
     lag_detail = F.format_string("%d trades received more than 5s late (p99 %.0f ms)", "stale", "p99_ms")
-    return _emit(stats, [
+    return stats.withColumn("issues", _found(
         _issue("trade.nonpositive_price", "critical", F.col("px"), "trade price is not positive"),
         _issue("trade.nonpositive_size", "major", F.col("sz"), "trade size is not positive"),
         _issue("trade.bad_side", "minor", F.col("side"), "side is not one of -1, 0, 1"),
         _issue("trade.timestamps_out_of_order", "minor", F.col("n_decreases"), "stored trades step backwards"),
         _issue("trade.duplicate_trade_id", "major", F.col("dup"), "venue trade id repeats in the slice"),
         _issue("trade.extreme_price", "major", F.col("n_extreme"), "price is over 50% off the slice median"),
-        _issue("trade.high_receive_lag", "minor", F.col("stale"), lag_detail)])
+        _issue("trade.high_receive_lag", "minor", F.col("stale"), lag_detail)))
+
+
+def check_trades(trades: DataFrame, file: str | None = None, row: str | None = None,
+                 stale_ms: float = 5000) -> DataFrame:
+    return _rows(trade_slices(trades, file, row, stale_ms))
 
 
 # ---- quotes ----
 
-def check_quotes(quotes: DataFrame, wide_bps: float = 500) -> DataFrame:
+def quote_slices(quotes: DataFrame, wide_bps: float = 500) -> DataFrame:
     bid, ask = F.col("bid_px"), F.col("ask_px")
     spread = (ask - bid) / F.nullif((bid + ask) / 2, F.lit(0.0)) * 1e4
     stats = quotes.groupBy(*SLICE).agg(
+        F.count(F.lit(1)).alias("n_quotes"),
         F.count_if(ask < bid - 1e-12).alias("crossed"), F.count_if(ask == bid).alias("locked"),
         F.count_if((bid <= 0) | (ask <= 0)).alias("px"), F.count_if(spread > wide_bps).alias("wide"))
-    return _emit(stats, [
+    return stats.withColumn("issues", _found(
         _issue("quote.crossed_book", "major", F.col("crossed"), "ask is below bid"),
         _issue("quote.locked_book", "info", F.col("locked"), "ask equals bid"),
         _issue("quote.nonpositive_price", "critical", F.col("px"), "bid or ask is not positive"),
-        _issue("quote.implausible_spread", "minor", F.col("wide"), "spread is over 500 bps")])
+        _issue("quote.implausible_spread", "minor", F.col("wide"), "spread is over 500 bps")))
+
+
+def check_quotes(quotes: DataFrame, wide_bps: float = 500) -> DataFrame:
+    return _rows(quote_slices(quotes, wide_bps))
 
 
 # ---- tape against venues ----
@@ -191,60 +225,77 @@ def check_quotes(quotes: DataFrame, wide_bps: float = 500) -> DataFrame:
 def second_extremes(bars: DataFrame) -> DataFrame:
     """Per (symbol, date, second): venue close extremes and, next to them, the tape close."""
     tape = F.col("venue") == "agg"
+    other = F.when(~tape, F.col("venue"))
     return bars.groupBy("ts_ns", "symbol", "date").agg(
         F.min(F.when(~tape, F.col("close"))).alias("lo"), F.max(F.when(~tape, F.col("close"))).alias("hi"),
-        F.max(F.when(tape, F.col("close"))).alias("tape_close"),
-        F.count_if(tape).alias("n_tape"), F.count_if(~tape).alias("n_venue_bars"))
-
+        F.max(F.when(tape, F.col("close"))).alias("tape_close"), F.min(other).alias("venue_a"),
+        F.max(other).alias("venue_z"), F.count_if(tape).alias("n_tape"), F.count_if(~tape).alias("n_venue_bars"))
 
-def _series_per_day(bars: DataFrame) -> DataFrame:
-    return bars.groupBy("symbol", "date").agg(
-        F.count_distinct(F.when(F.col("venue") != "agg", F.col("venue"))).alias("n_series"),
-        F.count_if(F.col("venue") == "agg").alias("n_tape_bars"))
 
-
-def check_tape_range(bars: DataFrame) -> DataFrame:
-    """Tape closes outside the venue closes of the same second; needs two venue series."""
+def tape_stats(bars: DataFrame, warn_bps: float = 50.0) -> DataFrame:
+    """Per (symbol, date) with a tape: breaches of the venue range, dispersion and coverage of
+    the union of venue seconds. The p99 is over the seconds of one day, at most 86400."""
     def slack(c: str) -> Column:
         return F.abs(c) * 1e-6 + 1e-9
 
     breach = ((F.col("tape_close") < F.col("lo") - slack("lo"))
               | (F.col("tape_close") > F.col("hi") + slack("hi")))
-    stats = (second_extremes(bars).groupBy("symbol", "date").agg(F.count_if(breach).alias("n"))
-             .join(_series_per_day(bars).where(F.col("n_series") >= 2), ["symbol", "date"])
-             .withColumn("venue", F.lit("agg")))
-    return _emit(stats, [_issue("agg.outside_venue_range", "major", F.col("n"),
-                                "tape close is outside the venue closes")])
+    bps = (F.col("hi") - F.col("lo")) / F.nullif((F.col("lo") + F.col("hi")) / 2, F.lit(0.0)) * 1e4
+    seen = F.col("n_venue_bars") > 0
+    return (second_extremes(bars).withColumn("bps", bps).groupBy("symbol", "date").agg(
+                F.count_if(breach).alias("n_breach"), F.count_if(F.col("bps") > warn_bps).alias("n_wide"),
+                F.percentile("bps", F.lit(0.99)).alias("p99"),
+                (F.min("venue_a") < F.max("venue_z")).alias("two_series"),
+                F.sum("n_tape").alias("tape_bars"), F.count_if(seen).alias("union_seconds"),
+                F.count_if(seen & (F.col("n_tape") > 0)).alias("covered_seconds"))
+            .where(F.col("tape_bars") > 0)
+            .withColumn("venue", F.lit("agg"))
+            .withColumn("agg_coverage_of_union_pct",
+                        F.when(F.col("union_seconds") > 0,
+                               F.round(F.col("covered_seconds") * 100.0 / F.col("union_seconds"), 2))))
 
 
-def check_dispersion(bars: DataFrame, warn_bps: float = 50.0) -> DataFrame:
-    """Seconds whose venue closes differ by more than ``warn_bps`` of mid. The p99 is over
-    the seconds of one day, at most 86400 values."""
-    mid = F.nullif((F.col("lo") + F.col("hi")) / 2, F.lit(0.0))
-    disp = (second_extremes(bars.where(F.col("venue") != "agg"))
-            .withColumn("bps", (F.col("hi") - F.col("lo")) / mid * 1e4))
-    stats = (disp.groupBy("symbol", "date")
-             .agg(F.count_if(F.col("bps") > warn_bps).alias("n"), F.percentile("bps", F.lit(0.99)).alias("p99"))
-             .join(_series_per_day(bars).where((F.col("n_series") >= 2) & (F.col("n_tape_bars") > 0)),
-                   ["symbol", "date"])
-             .withColumn("venue", F.lit("agg")))
+def _range_issue() -> Column:
+    return _issue("agg.outside_venue_range", "major", F.when(F.col("two_series"), F.col("n_breach")),
+                  "tape close is outside the venue closes")
+
+
+def _dispersion_issue(warn_bps: float = 50.0) -> Column:
     severity = F.when(F.coalesce("p99", F.lit(0.0)) < 200, "minor").otherwise("major")
     detail = F.format_string(f"%d seconds with venue closes over {warn_bps:.0f} bps apart (p99 %.0f bps)",
-                             "n", F.coalesce("p99", F.lit(0.0)))
-    return _emit(stats, [_issue("xvenue.dispersion", severity, F.col("n"), detail)])
+                             "n_wide", F.coalesce("p99", F.lit(0.0)))
+    return _issue("xvenue.dispersion", severity, F.when(F.col("two_series"), F.col("n_wide")), detail)
+
+
+def check_tape_range(bars: DataFrame) -> DataFrame:
+    """Tape closes outside the venue closes of the same second; needs two venue series."""
+    return _rows(tape_stats(bars).withColumn("issues", _found(_range_issue())))
+
+
+def check_dispersion(bars: DataFrame, warn_bps: float = 50.0) -> DataFrame:
+    """Seconds whose venue closes differ by more than ``warn_bps`` of mid."""
+    return _rows(tape_stats(bars, warn_bps).withColumn("issues", _found(_dispersion_issue(warn_bps))))
+
+
+def tape_slices(bars: DataFrame) -> DataFrame:
+    return tape_stats(bars).withColumn("issues", _found(_range_issue(), _dispersion_issue()))
+
+
+def tape_coverage(bars: DataFrame) -> DataFrame:
+    """Per (symbol, date): share of the seconds with any venue bar that the tape covers too."""
+    return tape_stats(bars).select(*SLICE, "union_seconds", "covered_seconds", "agg_coverage_of_union_pct")
 
 
 def run_checks(bars: DataFrame | None = None, trades: DataFrame | None = None,
                quotes: DataFrame | None = None, file: str | None = None, row: str | None = None) -> DataFrame:
-    """Every check that applies to the tables given."""
+    """Every check that applies to the tables given, one row per issue."""
     found = []
     if bars is not None:
-        found += [check_bar_ohlc(bars), check_bar_timestamps(bars), check_bar_gaps(bars), check_flatline(bars),
-                  check_tape_range(bars), check_dispersion(bars)]
+        found += [_rows(bar_slices(bars)), _rows(tape_slices(bars))]
     if trades is not None:
-        found.append(check_trades(trades, file, row))
+        found.append(_rows(trade_slices(trades, file, row)))
     if quotes is not None:
-        found.append(check_quotes(quotes))
+        found.append(_rows(quote_slices(quotes)))
     if not found:
         raise ValueError("give at least one table to check")
     return union_issues(*found).select(*ISSUE)
@@ -267,72 +318,92 @@ def grade_of(score: Column) -> Column:
     return out.otherwise("F")
 
 
+def _completeness_columns(stats: DataFrame) -> DataFrame:
+    span = idiv(F.col("hi_ns") - F.col("lo_ns"), SECOND) + 1
+    return (stats.withColumn("span_seconds", span).withColumn("expected_bars", F.col("span_seconds"))
+            .withColumn("max_gap_seconds", F.coalesce("longest_gap", F.lit(0.0)).cast("long"))
+            .withColumn("completeness_pct",
+                        F.round(F.least(F.lit(1.0), F.col("bars") / F.col("expected_bars")) * 100, 4)))
+
+
+COMPLETENESS = ["bars", "expected_bars", "completeness_pct", "max_gap_seconds", "span_seconds"]
+
+
 def completeness(bars: DataFrame) -> DataFrame:
     """Per slice: bars, expected bars over its span, density and longest gap."""
-    gaps = bar_diffs(bars).groupBy(*SLICE).agg(
-        F.count(F.lit(1)).alias("bars"), F.min("ts_ns").alias("_lo"), F.max("ts_ns").alias("_hi"),
-        F.coalesce(F.max("gap_s"), F.lit(0.0)).cast("long").alias("max_gap_seconds"))
-    span = idiv(F.col("_hi") - F.col("_lo"), SECOND) + 1
-    return (gaps.withColumn("span_seconds", span).withColumn("expected_bars", F.col("span_seconds"))
-            .withColumn("completeness_pct",
-                        F.round(F.least(F.lit(1.0), F.col("bars") / F.col("expected_bars")) * 100, 4))
-            .drop("_lo", "_hi"))
+    return _completeness_columns(bar_stats(bars)).select(*SLICE, *COMPLETENESS)
 
 
-def tape_coverage(bars: DataFrame) -> DataFrame:
-    """Per (symbol, date): share of the seconds with any venue bar that the tape covers too."""
-    sec = bars.withColumn("ts_ns", idiv(F.col("ts_ns"), SECOND))
-    seen = F.col("n_venue_bars") > 0
-    return (second_extremes(sec).groupBy("symbol", "date")
-            .agg(F.count_if(seen).alias("union_seconds"),
-                 F.count_if(seen & (F.col("n_tape") > 0)).alias("covered_seconds"),
-                 F.max(F.col("n_tape") > 0).alias("_has_tape"))
-            .where("_has_tape").drop("_has_tape")
-            .withColumn("venue", F.lit("agg"))
-            .withColumn("agg_coverage_of_union_pct",
-                        F.when(F.col("union_seconds") > 0,
-                               F.round(F.col("covered_seconds") * 100.0 / F.col("union_seconds"), 2))))
+def _ordered(issues: Column) -> Column:
+    """Most severe first, then by name; samples cut to five."""
+    def rank(i: Column) -> Column:
+        return F.array_position(F.array(*[F.lit(s) for s in SEVERITIES]), i["severity"])
+
+    keyed = F.transform(issues, lambda i: F.struct((-rank(i)).alias("k"), i["check"].alias("check"), i.alias("i")))
+    return F.transform(F.array_sort(keyed), lambda x: F.struct(
+        x["i"]["check"].alias("check"), x["i"]["severity"].alias("severity"), x["i"]["count"].alias("count"),
+        x["i"]["detail"].alias("detail"), F.slice(x["i"]["sample"], 1, 5).alias("sample")))
 
 
-def slice_scores(issues: DataFrame) -> DataFrame:
-    """Per slice: points lost and issue counts by severity. Issues per slice are few."""
-    weight = F.element_at(F.create_map(*[F.lit(x) for kv in WEIGHTS.items() for x in kv]), F.col("severity"))
-    ordered = F.array_sort(F.collect_list(F.struct(
-        (-severity_rank()).alias("_k"), "check", "severity", "count", "detail",
-        F.slice("sample", 1, 5).alias("sample"))))
-    return issues.groupBy(*SLICE).agg(
-        F.sum(weight).alias("penalty"), F.count(F.lit(1)).alias("n_issues"),
-        *[F.count_if(F.col("severity") == s).alias(f"n_{s}") for s in SEVERITIES],
-        F.transform(ordered, lambda x: F.struct(x["check"].alias("check"), x["severity"].alias("severity"),
-                                                x["count"].alias("count"), x["detail"].alias("detail"),
-                                                x["sample"].alias("sample"))).alias("issues"))
+def judge(slices: DataFrame) -> DataFrame:
+    """Add points lost and issue counts to slices that carry an ``issues`` array."""
+    weight = F.create_map(*[F.lit(x) for kv in WEIGHTS.items() for x in kv])
+    penalty = F.aggregate("issues", F.lit(0.0), lambda acc, i: acc + F.element_at(weight, i["severity"]))
+
+    def of(severity: str) -> Column:
+        return F.size(F.filter("issues", lambda i: i["severity"] == severity)).cast("long")
+
+    return slices.withColumns({
+        "penalty": penalty, "n_issues": F.size("issues").cast("long"),
+        **{f"n_{s}": of(s) for s in SEVERITIES}, "issues": _ordered(F.col("issues"))})
+
+
+def _joined_slices(bars: DataFrame, trades: DataFrame | None, quotes: DataFrame | None, file: str | None,
+                   row: str | None, how: str) -> DataFrame:
+    """Slice statistics of every table side by side, their issue arrays put together.
+    One row per slice on either side of each join."""
+    keys = list(SLICE)
+    out = _completeness_columns(bar_slices(bars)).select(*keys, *COMPLETENESS, F.col("issues").alias("_i0"))
+    tape = tape_slices(bars).select(*keys, "union_seconds", "agg_coverage_of_union_pct",
+                                    F.col("issues").alias("_i1"))
+    out = out.join(tape, keys, "left")
+    none = F.lit(0).cast("long")
+    found = ["_i0", "_i1"]
+    if trades is None:
+        out = out.withColumn("n_trades", none)
+    else:
+        out = out.join(trade_slices(trades, file, row).select(*keys, "n_trades", F.col("issues").alias("_i2")),
+                       keys, how)
+        found.append("_i2")
+    if quotes is None:
+        out = out.withColumn("n_quotes", none)
+    else:
+        out = out.join(quote_slices(quotes).select(*keys, "n_quotes", F.col("issues").alias("_i3")), keys, how)
+        found.append("_i3")
+    nothing = F.from_json(F.lit("[]"), ISSUE_JSON)
+    return (out.withColumn("issues", F.concat(*[F.coalesce(c, nothing) for c in found])).drop(*found)
+            .fillna(0, ["n_trades", "n_quotes"]))
+
+
+def slice_scores(bars: DataFrame, trades: DataFrame | None = None, quotes: DataFrame | None = None) -> DataFrame:
+    """Per slice with an issue in any table: points lost, issue counts and the ordered issues."""
+    judged = judge(_joined_slices(bars, trades, quotes, None, None, "full"))
+    return judged.where(F.col("n_issues") > 0).select(
+        *SLICE, "penalty", "n_issues", *[f"n_{s}" for s in SEVERITIES], "issues")
 
 
 def score_cards(bars: DataFrame, trades: DataFrame | None = None, quotes: DataFrame | None = None,
-                issues: DataFrame | None = None, file: str | None = None,
-                row: str | None = None) -> DataFrame:
+                file: str | None = None, row: str | None = None) -> DataFrame:
     """One card per slice of ``bars``, all slices in one job."""
-    issues = issues if issues is not None else run_checks(bars, trades, quotes, file, row)
-    keys = list(SLICE)
-    cards = (completeness(bars)
-             .join(tape_coverage(bars).drop("covered_seconds"), keys, "left")
-             .join(slice_scores(issues), keys, "left"))
-    for name, table in (("n_trades", trades), ("n_quotes", quotes)):
-        if table is None:
-            cards = cards.withColumn(name, F.lit(0).cast("long"))
-        else:
-            cards = cards.join(table.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)), keys, "left")
-    zero = ["n_trades", "n_quotes", "penalty", "n_issues", *[f"n_{s}" for s in SEVERITIES]]
     is_tape = F.col("venue") == "agg"
     base = F.when(is_tape, F.coalesce("agg_coverage_of_union_pct", F.lit(100.0))).otherwise(F.lit(100.0))
     score = F.round(F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.col("score_base_pct") - F.col("penalty"))), 2)
-    return (cards.fillna(0, zero)
+    return (judge(_joined_slices(bars, trades, quotes, file, row, "left"))
             .withColumn("score_base_pct", base).withColumn("score", score)
             .withColumn("grade", grade_of(F.col("score")))
             .withColumn("score_basis", F.when(is_tape, "coverage_of_contributing_venues")
                         .otherwise("clean_baseline"))
             .withColumn("day_coverage_pct", F.round(F.col("span_seconds") * 100.0 / 86400, 2))
-            .withColumn("issues", F.coalesce("issues", F.from_json(F.lit("[]"), ISSUE_JSON)))
             .drop("penalty"))
 
 

@@ -8,14 +8,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.functions.timeutil import SECOND, date_of, hour_bucket
+from marketlake.operators import analytics as A
 from marketlake.operators import bars as B
 from marketlake.operators import books as K
+from marketlake.operators import coverage as C
+from marketlake.operators import health as H
 from marketlake.operators import quality as Q
+from marketlake.operators import refdata as D
 from marketlake.operators import tape as T
 from marketlake.operators.resample import resample_bars
 from marketlake.plans import query as G
 from marketlake.plans.market_views import T0, MarketViews
-from marketlake.session import ensure_session
+from marketlake.plans.pipeline import build_dataset
+from marketlake.plans.status import bars_span
+from marketlake.session import ensure_session, shared_dir
+from marketlake.sources.store import Lake, latest_by_key
+from marketlake.sources.venues import symbol_dim
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -324,7 +332,7 @@ def gappy(v: MarketViews) -> DataFrame:
 
 @query("bar_diffs")
 def _bar_diffs(v, n):
-    return r(Q.bar_diffs(gappy(v)).select(*Q.SLICE, "ts_ns", "gap_s"), "gap_s")
+    return r(Q.bar_diffs(gappy(v)), "gap_s")
 
 
 @query("dq_bar_gaps")
@@ -340,7 +348,7 @@ def coarse(v: MarketViews) -> DataFrame:
 
 @query("flatline")
 def _flat(v, n):
-    return Q.longest_flatline(coarse(v))
+    return Q.bar_stats(coarse(v)).select(*Q.SLICE, "bars", F.col("longest_run").alias("longest"))
 
 
 @query("dq_flatline")
@@ -402,11 +410,11 @@ def _coverage(v, n):
 
 
 def all_issues(v: MarketViews) -> DataFrame:
-    return Q.run_checks(v.bars, v.trades, v.quotes)
+    return Q.run_checks(v.stored_bars, v.trades, v.quotes)
 
 
 def cards(v: MarketViews) -> DataFrame:
-    return Q.score_cards(v.bars, v.trades, v.quotes)
+    return Q.score_cards(v.stored_bars, v.trades, v.quotes)
 
 
 def issue_text(c="issues") -> Column:
@@ -421,7 +429,7 @@ def _run_checks(v, n):
 
 @query("quality_score")
 def _score(v, n):
-    return Q.slice_scores(all_issues(v)).withColumn("issues", issue_text())
+    return Q.slice_scores(v.stored_bars, v.trades, v.quotes).withColumn("issues", issue_text())
 
 
 @query("score_day")
@@ -449,5 +457,227 @@ def _quality_latest(v, n):
     return Q.latest_cards(Q.daily_quality_rows(cards(v)))
 
 
+# ---- store ----
+
+@query("scan_empty")
+def _scan_empty(v, n):
+    lake = Lake(v.spark, shared_dir(v.spark, "empty"))
+    empty = lake.table("quotes").agg(F.count(F.lit(1)).alias("n"))
+    events = v.trades.groupBy(F.lit("quotes").alias("table_name")).agg(F.count(F.lit(1)).alias("n_events"))
+    return events.join(empty.withColumn("table_name", F.lit("quotes")), "table_name")
+
+
+@query("sink_roundtrip")
+def _sink(v, n):
+    lake = Lake(v.spark, shared_dir(v.spark, "sink"))
+    lake.append("trades", v.trades)
+    return lake.table("trades")
+
+
+@query("compact_rows")
+def _compact(v, n):
+    lake = Lake(v.spark, shared_dir(v.spark, "compact"))
+    for part in range(2):
+        lake.append("trades", v.trades.where(F.col("seq") % 2 == part))
+    lake.compact("trades", shared_dir(v.spark, "staging"))
+    files = lake.files("trades").select(*Q.SLICE, "n_files").distinct()
+    rows = lake.table("trades").groupBy(*Q.SLICE).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("ts_ns") % 1000000007).alias("sum_ts"),
+        F.count("trade_id").alias("n_ids"))
+    return rows.join(files, list(Q.SLICE))
+
+
+@query("ref_landing")
+def _landing(v, n):
+    lake = Lake(v.spark, shared_dir(v.spark, "ref"))
+    lake.land_klines(resample_bars(v.venue_bars, "1m"), "1m")
+    out = lake.table("bars_ref")
+    return r(out, "open high low close volume").drop("vwap")
+
+
+# ---- reference data, corrections, health, coverage, status ----
+
+@query("list_symbols")
+def _list_symbols(v, n):
+    dim = symbol_dim(v.spark).select("canonical").distinct()
+    return dim.join(v.listed.groupBy("canonical").agg(F.count(F.lit(1)).alias("n_trades")), "canonical")
+
+
+@query("symbols_for_venue")
+def _symbols_for_venue(v, n):
+    feeds = v.listed.groupBy("canonical", "venue").agg(F.count(F.lit(1)).alias("n_trades"))
+    return feeds.join(F.broadcast(symbol_dim(v.spark)), ["canonical", "venue"]).drop("rank")
+
+
+@query("perp_spot_split")
+def _perp_spot(v, n):
+    return v.listed.groupBy(D.asset_class(F.col("canonical")).alias("asset_class")).agg(
+        F.count_distinct("canonical").alias("symbols"), F.count(F.lit(1)).alias("n_trades"))
+
+
+@query("venues_listing")
+def _venues_listing(v, n):
+    dim = symbol_dim(v.spark).groupBy("canonical").agg(F.array_sort(F.collect_set("venue")).alias("venues"))
+    seen = v.listed.select("canonical").distinct()
+    return seen.join(F.broadcast(dim), "canonical").withColumn("venues", joined("venues"))
+
+
+@query("symbol_attrs")
+def _attrs(v, n):
+    return D.symbol_attributes(v.listed.select("canonical").distinct())
+
+
+@query("symbol_map_asof")
+def _map_asof(v, n):
+    return D.symbol_map_asof(v.symbol_map, at(200))
+
+
+@query("symbol_map_seed")
+def _map_seed(v, n):
+    known = v.symbol_map.where(F.col("effective_from_ns") < at(300))
+    once = D.seed_symbol_map(known, v.symbol_map)
+    return D.seed_symbol_map(once, v.symbol_map)
+
+
+@query("symbol_map_retire")
+def _map_retire(v, n):
+    closed, _ = D.retire_mapping(v.symbol_map, "BTC-USDT", "binance", at(900), "delisted")
+    return closed
+
+
+@query("corrections_append")
+def _corrections_append(v, n):
+    _, entry = D.retire_mapping(v.symbol_map, "BTC-USDT", "binance", at(900), "delisted")
+    return D.valid_corrections(v.corrections.unionByName(entry))
+
+
+@query("corrections_list")
+def _corrections_list(v, n):
+    return D.list_corrections(v.corrections, table_name="trades", venue="okx", since=at(120))
+
+
+@query("corrections_rollup")
+def _rollup(v, n):
+    return D.corrections_rollup(v.corrections)
+
+
+@query("quality_upsert")
+def _upsert(v, n):
+    scored = Q.completeness(v.stored_bars).select(*Q.SLICE, "bars", F.lit(1).alias("version"))
+    again = scored.where(F.col("venue") == "agg").withColumns({"bars": F.col("bars") + 1, "version": F.lit(2)})
+    return latest_by_key(scored.unionByName(again), Q.SLICE, "version")
+
+
+def feeds(v: MarketViews) -> DataFrame:
+    return v.trades.select("venue", "symbol", F.lit("trades").alias("stream"), "recv_ns")
+
+
+@query("feed_health")
+def _feed_health(v, n):
+    return r(H.feed_health(feeds(v), at(420)), "recent_per_s baseline_per_s", 8)
+
+
+@query("feed_health_series")
+def _feed_series(v, n):
+    return r(H.health_series(H.per_step_counts(feeds(v))), "recent_per_s baseline_per_s", 8)
+
+
+@query("health_latest")
+def _health_latest(v, n):
+    return H.latest_status(v.status)
+
+
+@query("gap_worklist")
+def _gaps(v, n):
+    listed = v.trades.select("venue", "symbol").unionByName(
+        v.listed.select("venue", F.col("canonical").alias("symbol")))
+    return H.gap_worklist(v.trades.where((F.col("venue") != "okx") | (F.col("ts_ns") < at(100))), listed, at(450))
+
+
+def stored_tables(v: MarketViews) -> dict[str, DataFrame]:
+    day = date_of("ts_ns")
+    return {"trades": v.trades, "quotes": v.quotes, "funding": v.funding.withColumn("date", day),
+            "open_interest": v.open_interest.withColumn("date", day),
+            "book_l2_snapshot": v.books.withColumn("date", day), "bars_1s": v.bars}
+
+
+@query("coverage")
+def _cov(v, n):
+    return C.coverage(stored_tables(v)).drop("bytes_on_disk")
+
+
+@query("coverage_by_table")
+def _cov_by_table(v, n):
+    return C.by_table(C.coverage(stored_tables(v))).drop("bytes")
+
+
+@query("coverage_matrix")
+def _cov_matrix(v, n):
+    return C.matrix(C.coverage(stored_tables(v)), ["agg", "binance", "bybit", "coinbase", "kraken", "okx"])
+
+
+@query("coverage_summary")
+def _cov_summary(v, n):
+    s = C.summary(C.coverage(stored_tables(v))).drop("total_bytes")
+    return s.withColumns({c: joined(c) for c in ("symbols", "venues", "dates")})
+
+
+@query("bars_span")
+def _span(v, n):
+    return bars_span(v.bars)
+
+
+@query("pipeline_manifest")
+def _manifest(v, n):
+    lake = Lake(v.spark, shared_dir(v.spark, "lake"))
+    lake.append("trades", v.trades)
+    lake.append("quotes", v.quotes)
+    build_dataset(lake)
+    return C.by_table(lake.meta("coverage")).drop("bytes", "partitions")
+
+
+# ---- analytics ----
+
+@query("wide_closes")
+def _wide(v, n):
+    names = ["agg", "binance", "bybit", "coinbase", "kraken", "okx"]
+    return r(A.wide_closes(v.bars, names), " ".join(names))
+
+
+@query("tracking_error")
+def _te(v, n):
+    return r(A.tracking_error(v.bars).select("ts_ns", "symbol", "venue", "te_bps"), "te_bps")
+
+
+@query("tracking_error_stats")
+def _te_stats(v, n):
+    return r(A.describe(A.tracking_error(v.bars), ["symbol", "venue"], "te_bps"), "mean std min max q25 q50 q75")
+
+
+@query("dispersion")
+def _disp(v, n):
+    return r(A.dispersion(v.bars), "disp_bps")
+
+
+@query("mask_presence")
+def _presence(v, n):
+    return r(A.mask_presence(v.tape), "share_pct", 4)
+
+
+@query("mask_histogram")
+def _histogram(v, n):
+    return A.mask_histogram(v.tape)
+
+
+@query("filter_anatomy")
+def _anatomy(v, n):
+    return r(A.filter_anatomy(tape_diag_of(v)), "dropped_pct")
+
+
+@query("tape_breaches")
+def _breaches(v, n):
+    return A.tape_breaches(v.tape, v.venue_bars.where(F.col("venue") != "bybit"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)

@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.session import shared_dir
+from marketlake.sources.store import materialize
+
 FX_TRADES = """
 SELECT ts_ns, ts_ns + (user_id % 7) * 1000000000 AS recv_ns, symbol, venue, price, size,
        CAST(event_id % 3 - 1 AS TINYINT) AS side,
@@ -76,7 +79,26 @@ FROM (SELECT symbol, venue, ts_ns - ts_ns % 60000000000 AS minute_ns, count(*) A
       FROM {fx_trades} GROUP BY 1, 2, 3) c
 """
 
-TEXTS = {"fx_trades": FX_TRADES, "fx_quotes": FX_QUOTES, "fx_funding": FX_FUNDING, "fx_oi": FX_OI,
+# Trades under listed canonical symbols; the derivatives venue trades the perpetuals.
+FX_LISTED = """
+SELECT ts_ns, recv_ns, concat(CASE symbol WHEN 'SYM0' THEN 'BTC-USDT' WHEN 'SYM1' THEN 'ETH-USDT'
+       ELSE 'XRP-USDT' END, CASE WHEN venue = 'bybit' THEN '-PERP' ELSE '' END) AS canonical, venue, price, size, seq
+FROM {fx_trades}
+"""
+
+# symbol_map history: one interval per listed feed and 2-minute step, the last of each feed open.
+FX_SYMBOL_MAP = """
+SELECT canonical, venue, native, asset_class, base, quote, effective_from_ns,
+       CASE WHEN seq_max % 3 = 0 THEN NULL ELSE effective_from_ns + 90000000000 END AS effective_to_ns,
+       CAST(NULL AS STRING) AS note
+FROM (SELECT canonical, venue, lower(replace(canonical, '-', '')) AS native,
+             CASE WHEN canonical LIKE '%-PERP' THEN 'perp' ELSE 'spot' END AS asset_class,
+             split_part(canonical, '-', 1) AS base, split_part(canonical, '-', 2) AS quote,
+             ts_ns - ts_ns % 120000000000 AS effective_from_ns, max(seq) AS seq_max
+      FROM {fx_listed} GROUP BY 1, 2, 3, 4, 5, 6, 7) m
+"""
+
+TEXTS = {"fx_listed": FX_LISTED, "fx_symbol_map": FX_SYMBOL_MAP, "fx_trades": FX_TRADES, "fx_quotes": FX_QUOTES, "fx_funding": FX_FUNDING, "fx_oi": FX_OI,
          "fx_status": FX_STATUS, "fx_corrections": FX_CORRECTIONS}
 
 T0 = 1700006200000000000  # first instant of the views
@@ -116,6 +138,19 @@ class MarketViews:
     def corrections(self) -> DataFrame:
         return self._sql("fx_corrections", fx_trades=self.trades)
 
+    @property
+    def listed(self) -> DataFrame:
+        return self._sql("fx_listed", fx_trades=self.trades)
+
+    @property
+    def symbol_map(self) -> DataFrame:
+        return self._sql("fx_symbol_map", fx_listed=self.listed)
+
+    @property
+    def stored_bars(self) -> DataFrame:
+        """bars_1s written once, for queries that read it many times, as a build does."""
+        return materialize(self.bars, shared_dir(self.spark, "bars"))
+
     @property
     def books(self) -> DataFrame:
         levels = "transform(sequence(0, 2), j -> struct({p} {op} 0.1D * j AS px, {s} + j AS sz))"

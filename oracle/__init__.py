@@ -4,5 +4,5 @@ from __future__ import annotations
 
 
 def all_oracles() -> dict[str, str]:
-    from oracle import market
-    return market.oracles()
+    from oracle import market, reference
+    return {**market.oracles(), **reference.oracles()}

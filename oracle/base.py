@@ -55,6 +55,8 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "fx_trades": (TEXTS["fx_trades"].replace("{events}", "events"), ()),
     **{n: (TEXTS[n].replace("{fx_trades}", "fx_trades"), ("fx_trades",))
        for n in ("fx_quotes", "fx_funding", "fx_oi", "fx_status", "fx_corrections")},
+    "fx_listed": (TEXTS["fx_listed"].replace("{fx_trades}", "fx_trades"), ("fx_trades",)),
+    "fx_symbol_map": (TEXTS["fx_symbol_map"].replace("{fx_listed}", "fx_listed"), ("fx_listed",)),
     "fx_books": ("""SELECT ts_ns, recv_ns, symbol, venue, CAST(3 AS SMALLINT) AS depth,
         list_transform([0, 1, 2], lambda j: {'px': bid_px - 0.1::DOUBLE * j, 'sz': bid_sz + j}) AS bids,
         list_transform([0, 1, 2], lambda j: {'px': ask_px + 0.1::DOUBLE * j, 'sz': ask_sz + j}) AS asks,
