@@ -108,7 +108,7 @@ class MarketViews:
     """DataFrames for one data folder, built on first use."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, events: DataFrame | None = None):
-        self.spark = spark
+        self.spark, self.sf_dir = spark, sf_dir
         self.events = events if events is not None else spark.read.parquet(f"{sf_dir}/events.parquet")
 
     def _sql(self, name: str, **sources: DataFrame) -> DataFrame:

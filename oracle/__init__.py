@@ -4,5 +4,5 @@ from __future__ import annotations
 
 
 def all_oracles() -> dict[str, str]:
-    from oracle import frames, market, reference
-    return {**market.oracles(), **reference.oracles(), **frames.oracles()}
+    from oracle import frames, market, reference, streams
+    return {**market.oracles(), **reference.oracles(), **frames.oracles(), **streams.oracles()}
