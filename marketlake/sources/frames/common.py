@@ -58,9 +58,16 @@ def recv_ms_ns() -> Column:
     return floor_ns("recv_ns", MS)
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed exactly once per row. The optimiser would copy a plain
+    projection into every later filter, and decode each message many times over; it
+    does not move filters below a generator."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def of_venue(frames: DataFrame, venue: str) -> DataFrame:
     """Frames of one venue with the decoded object in ``msg`` (null when undecodable)."""
-    return frames.where(F.col("venue") == venue).withColumn("msg", jmap("raw"))
+    return once(frames.where(F.col("venue") == venue), "msg", jmap("raw"))
 
 
 def msg(key: str) -> Column:
@@ -112,14 +119,14 @@ def with_channel(frames: DataFrame, venue: str, channel: str) -> DataFrame:
     reconnects.
     """
     mine = frames.where(F.col("venue") == venue)
-    asked = mine.where(F.startswith("raw", F.lit("{"))).withColumn("msg", jmap("raw"))
+    asked = once(mine.where(F.contains("raw", F.lit("subscribed"))), "msg", jmap("raw"))
     following = Window.partitionBy("conn_id", "chan").orderBy("from_seq")
     subs = (asked.where((msg("event") == "subscribed") & (msg("channel") == channel))
             .select("conn_id", whole(msg("chanId")).alias("chan"), F.col("seq").alias("from_seq"),
                     F.coalesce(canonical_of(msg("symbol"), venue), canonical_of(msg("pair"), venue)).alias("symbol"))
             .where(F.col("symbol").isNotNull() & F.col("chan").isNotNull())
             .withColumn("to_seq", F.lead("from_seq").over(following)))
-    data = (mine.where(F.startswith("raw", F.lit("["))).withColumn("parts", jlist("raw"))
+    data = (once(mine.where(F.startswith("raw", F.lit("["))), "parts", jlist("raw"))
             .where(F.size("parts") >= 2).withColumn("chan", whole(cell(F.col("parts"), 0))))
     return (data.alias("d").join(subs.alias("s"), [
         F.col("d.conn_id") == F.col("s.conn_id"), F.col("d.chan") == F.col("s.chan"),

@@ -50,7 +50,8 @@ def coinbase_level_events(frames: DataFrame) -> DataFrame:
 def kraken_level_events(frames: DataFrame) -> DataFrame:
     """A snapshot message clears both sides first."""
     df = of_venue(frames, "kraken").where(msg("channel") == "book").select(
-        "*", F.posexplode(jmaps(msg("data"))).alias("event_no", "t"))
+        "*", F.explode(F.array(jmaps(msg("data")))).alias("_list")).select(
+        "*", F.posexplode("_list").alias("event_no", "t"))
 
     def side(key: str, name: str) -> Column:
         levels = F.coalesce(jmaps(F.col("t")[key]), F.array().cast("array<map<string,string>>"))

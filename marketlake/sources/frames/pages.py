@@ -11,17 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.functions.timeutil import MS, SECOND, floor_ns
-from marketlake.sources.frames.common import (buy_or_sell, cell, iso_ns, jmap, jmaps, jtable, ms_ns, num, rows_as,
+from marketlake.sources.frames.common import (buy_or_sell, cell, iso_ns, jmap, jmaps, jtable, ms_ns, num, once, rows_as,
                                               trade_rows, whole)
 from marketlake.sources.frames.trades import field, text_id
 
 PAGES = "venue string, symbol string, start_ns long, end_ns long, raw string"
 
 
-def _pages(pages: DataFrame, venue: str, text: Column) -> DataFrame:
-    return pages.where(F.col("venue") == venue).withColumn("text", text)
-
-
 def _under(*keys: str) -> Column:
     """Text of a nested member of the response."""
     out = F.col("raw")
@@ -82,8 +78,9 @@ def _trade_columns(venue: str) -> dict[str, Column]:
 
 def _exploded(pages: DataFrame, venue: str, place, shape: str) -> DataFrame:
     text = _pair_list() if place == "pair" else _under(*place)
-    df = _pages(pages, venue, text)
-    return df.withColumn("t", F.explode(jmaps("text") if shape == "maps" else jtable("text")))
+    df = once(pages.where(F.col("venue") == venue), "text", text)
+    return once(df, "_list", jmaps("text") if shape == "maps" else jtable("text")).withColumn(
+        "t", F.explode("_list"))
 
 
 def rest_trades(pages: DataFrame, venue: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.ordered import running_best
 from marketlake.functions.timeutil import MINUTE, MS, idiv
-from marketlake.sources.frames.common import (cell, iso_ns, jlist, jmap, jtable, ms_ns, msg, num, of_venue,
+from marketlake.sources.frames.common import (cell, iso_ns, jlist, jmap, jtable, ms_ns, msg, num, of_venue, once,
                                               present, quote_rows, recv_ms_ns, rows_as, top_of_book,
                                               with_channel)
 from marketlake.sources.frames.trades import bitstamp_ns, coinbase_events, field, items, kraken_symbol, unwrapped
@@ -17,6 +17,12 @@ from marketlake.sources.venues import canonical_of
 BINANCE_DEPTHS = (5, 10, 20)
 
 
+def ladders(df: DataFrame, bids: Column, asks: Column) -> DataFrame:
+    """Decode both sides of a book once."""
+    both = once(df, "_sides", F.struct(jtable(bids).alias("bids"), jtable(asks).alias("asks")))
+    return both.withColumns({"bids": F.col("_sides.bids"), "asks": F.col("_sides.asks")})
+
+
 def binance(frames: DataFrame) -> DataFrame:
     """No exchange time in the message: one millisecond before receipt stands in."""
     df = unwrapped(frames, "binance")
@@ -49,27 +55,28 @@ def kraken(frames: DataFrame) -> DataFrame:
 
 def bybit(frames: DataFrame) -> DataFrame:
     topic = F.startswith(msg("topic"), F.lit("orderbook.1."))
-    df = of_venue(frames, "bybit").where(topic).withColumn("d", jmap(msg("data")))
+    df = ladders(once(of_venue(frames, "bybit").where(topic), "d", jmap(msg("data"))), field("b", "d"), field("a", "d"))
     return quote_rows(df, "bybit", field("s", "d"), ts_ns=F.coalesce(ms_ns(msg("ts")), recv_ms_ns()),
-                      **top_of_book(jtable(field("b", "d")), jtable(field("a", "d"))))
+                      **top_of_book(F.col("bids"), F.col("asks")))
 
 
 def okx(frames: DataFrame) -> DataFrame:
-    df = of_venue(frames, "okx").withColumn("arg", jmap(msg("arg"))).where(F.col("arg")["channel"] == "bbo-tbt")
-    df = items(df, msg("data"))
+    df = once(of_venue(frames, "okx"), "arg", jmap(msg("arg"))).where(F.col("arg")["channel"] == "bbo-tbt")
+    df = ladders(items(df, msg("data")), field("bids"), field("asks"))
     return quote_rows(df, "okx", field("instId", "arg"), ts_ns=ms_ns(field("ts")),
-                      **top_of_book(jtable(field("bids")), jtable(field("asks"))))
+                      **top_of_book(F.col("bids"), F.col("asks")))
 
 
 def bitstamp(frames: DataFrame) -> DataFrame:
-    df = of_venue(frames, "bitstamp").where(msg("event") == "data").withColumn("d", jmap(msg("data")))
+    df = once(of_venue(frames, "bitstamp").where(msg("event") == "data"), "d", jmap(msg("data")))
+    df = ladders(df, field("bids", "d"), field("asks", "d"))
     native = F.replace(msg("channel"), F.lit("order_book_"), F.lit(""))
     return quote_rows(df, "bitstamp", native, ts_ns=bitstamp_ns(),
-                      **top_of_book(jtable(field("bids", "d")), jtable(field("asks", "d"))))
+                      **top_of_book(F.col("bids"), F.col("asks")))
 
 
 def bitfinex(frames: DataFrame) -> DataFrame:
-    df = with_channel(frames, "bitfinex", "ticker").withColumn("t", jlist(cell(F.col("parts"), 1)))
+    df = once(with_channel(frames, "bitfinex", "ticker"), "t", jlist(cell(F.col("parts"), 1)))
     df = df.where(F.size("t") >= 4)
     t = F.col("t")
     return quote_rows(df, "bitfinex", symbol=F.col("symbol"), ts_ns=F.col("recv_ns"), bid_px=num(cell(t, 0)),
@@ -82,19 +89,20 @@ def gemini_changes(frames: DataFrame) -> DataFrame:
     Orderings are plain maxima: a bid by (price, position), an ask by (−price, position);
     on equal prices the later change wins.
     """
-    df = of_venue(frames, "gemini").where(msg("type") == "l2_updates")
-    table = F.coalesce(jtable(msg("changes")), F.array().cast("array<array<string>>"))
-    changes = F.transform(table, lambda x, i: F.struct(
+    df = once(of_venue(frames, "gemini").where(msg("type") == "l2_updates"), "table",
+              F.coalesce(jtable(msg("changes")), F.array().cast("array<array<string>>")))
+    changes = F.transform("table", lambda x, i: F.struct(
         F.get(x, F.lit(0)).alias("side"), F.get(x, F.lit(1)).try_cast("double").alias("px"),
         F.get(x, F.lit(2)).try_cast("double").alias("qty"), i.alias("i")))
 
     def best(side: str, sign: int) -> Column:
-        mine = F.filter(changes, lambda x: (x["side"] == side) & (x["qty"] != 0))
+        mine = F.filter("_changes", lambda x: (x["side"] == side) & (x["qty"] != 0))
         return F.array_max(F.transform(mine, lambda x: F.struct(
             (x["px"] * sign).alias("k"), F.col("recv_ns").alias("r"), F.col("seq").alias("s"),
             x["i"].alias("i"), x["qty"].alias("qty"))))
 
-    return df.select("recv_ns", "seq", canonical_of(msg("symbol"), "gemini").alias("symbol"),
+    df = once(df, "_changes", changes).withColumn("symbol", canonical_of(msg("symbol"), "gemini"))
+    return df.select("recv_ns", "seq", "symbol",
                      best("buy", 1).alias("bid"), best("sell", -1).alias("ask")).where(F.col("symbol").isNotNull())
 
 

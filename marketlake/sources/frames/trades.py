@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.sources.frames.common import (buy_or_sell, cell, iso_ns, jlist, jmap, jmaps, jtable, ms_ns, msg,
-                                              num, of_venue, present, recv_ms_ns, trade_rows, whole,
+                                              num, of_venue, once, present, recv_ms_ns, trade_rows, whole,
                                               with_channel)
 from marketlake.sources.venues import lookup, symbols_for_venue
 
@@ -16,13 +16,13 @@ COINBASE = ("channel string, timestamp string, events array<struct<trades:array<
 
 def unwrapped(frames: DataFrame, venue: str) -> DataFrame:
     """Combined-stream messages wrap their payload in ``data``; single streams do not."""
-    inner = jmap(msg("data"))
-    return of_venue(frames, venue).withColumn("d", F.when(F.size(inner) > 0, inner).otherwise(F.col("msg")))
+    df = once(of_venue(frames, venue), "inner", jmap(msg("data")))
+    return df.withColumn("d", F.when(F.size("inner") > 0, F.col("inner")).otherwise(F.col("msg")))
 
 
 def items(df: DataFrame, text: Column) -> DataFrame:
     """One row per object of a JSON array, in ``t``."""
-    return df.withColumn("t", F.explode(jmaps(text)))
+    return once(df, "_list", jmaps(text)).withColumn("t", F.explode("_list"))
 
 
 def field(key: str, of: str = "t") -> Column:
@@ -41,7 +41,7 @@ def binance(frames: DataFrame) -> DataFrame:
 
 
 def coinbase_events(frames: DataFrame, channel: str) -> DataFrame:
-    return (frames.where(F.col("venue") == "coinbase").withColumn("m", F.from_json("raw", COINBASE))
+    return (once(frames.where(F.col("venue") == "coinbase"), "m", F.from_json("raw", COINBASE))
             .where(F.col("m.channel") == channel)
             .select("*", F.posexplode("m.events").alias("event_no", "ev")))
 
@@ -87,7 +87,7 @@ def bitstamp_ns(d: str = "d") -> Column:
 
 
 def bitstamp(frames: DataFrame) -> DataFrame:
-    df = of_venue(frames, "bitstamp").where(msg("event") == "trade").withColumn("d", jmap(msg("data")))
+    df = once(of_venue(frames, "bitstamp").where(msg("event") == "trade"), "d", jmap(msg("data")))
     native = F.replace(msg("channel"), F.lit("live_trades_"), F.lit(""))
     bought = F.coalesce(whole(field("type", "d")), F.lit(0)) == 0
     return trade_rows(df, "bitstamp", native, ts_ns=bitstamp_ns(), price=num(field("price", "d")),
@@ -108,8 +108,8 @@ def bitfinex(frames: DataFrame, dedup_trade_id: bool = False) -> DataFrame:
     second, payload = cell(parts, 1), F.coalesce(cell(parts, 2), cell(parts, 1))
     listed = F.startswith(second, F.lit("["))
     many = F.startswith(payload, F.lit("[["))
-    df = (df.where(listed | second.isin("te", "tu"))
-          .withColumn("t", F.explode(F.when(many, jtable(payload)).otherwise(F.array(jlist(payload)))))
+    rows = F.when(many, jtable(payload)).otherwise(F.array(jlist(payload)))
+    df = (once(df.where(listed | second.isin("te", "tu")), "_list", rows).withColumn("t", F.explode("_list"))
           .where(F.size("t") >= 4))
     amount = num(cell(F.col("t"), 2))
     out = trade_rows(df, "bitfinex", symbol=F.col("symbol"), ts_ns=ms_ns(cell(F.col("t"), 1)),
