@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 
 from marketlake.plans import frame_views as V
 from marketlake.plans.catalogue import query, r
+from marketlake.session import shared_dir
 from marketlake.sources.frames import PARSERS, normalise
 from marketlake.sources.frames.level2 import LEVEL_EVENTS, rebuild_books
 from marketlake.sources.frames.pages import KLINE_PAGES, TRADE_PAGES, rest_funding, rest_klines, rest_trades
+from marketlake.sources.store import materialize
 
 
 def _out(df: DataFrame) -> DataFrame:
@@ -78,6 +80,7 @@ def ladder_text(df: DataFrame) -> DataFrame:
 @query("norm_coinbase_book", "norm_kraken_book")
 def _books(v, n):
     venue = _venue(n, "book")
-    events = LEVEL_EVENTS[venue](V.level2_frames(v.trades, venue))
+    # decoded once, then read by each step of the rebuild
+    events = materialize(LEVEL_EVENTS[venue](V.level2_frames(v.trades, venue)), shared_dir(v.spark, "levels"))
     # short blocks, so that the hand-over between blocks is exercised at any size
     return ladder_text(_out(rebuild_books(events, venue, depth=5, block_ns=60_000_000_000)))

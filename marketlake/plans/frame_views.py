@@ -183,9 +183,11 @@ _WRAP = {"kraken": ('{"error":[],"result":{"XXBTZUSD":[', '],"last":"9"}}'), "by
 
 
 def _page(rows: DataFrame, venue: str, item: Column, wrap: tuple[str, str], span_ns: int) -> DataFrame:
-    """Pages ask for the middle of their span, so that the window bounds have rows to cut."""
+    """Pages ask for the middle of their span, so that the window bounds have rows to cut. As
+    with real pages, none holds more than a thousand rows: the row number decides its page."""
     start = F.col("ts_ns") - F.pmod("ts_ns", F.lit(span_ns))
-    return (rows.withColumn("item", item).groupBy("symbol", start.alias("page_ns"))
+    number = idiv(F.col("seq"), 1000) if "seq" in rows.columns else F.lit(0)
+    return (rows.withColumn("item", item).groupBy("symbol", start.alias("page_ns"), number.alias("_no"))
             .agg(F.array_join(F.array_sort(F.collect_list("item")), ",").alias("body"))
             .select(F.lit(venue).alias("venue"), "symbol", (F.col("page_ns") + span_ns // 5).alias("start_ns"),
                     (F.col("page_ns") + span_ns // 5 * 3).alias("end_ns"),
