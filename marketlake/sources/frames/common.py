@@ -1,4 +1,5 @@
-"""Parsing helpers. Messages become string maps, because venue keys differ by case only."""
+"""Parsing helpers. The outer object of a message is typed, so one pass decodes it; payloads
+stay string maps, because some venues' keys differ by case only."""
 
 from __future__ import annotations
 
@@ -9,15 +10,15 @@ from marketlake.functions.timeutil import MS, floor_ns
 from marketlake.schemas import SCHEMAS
 from marketlake.sources.venues import canonical_of
 
-STRING_MAP = "map<string,string>"
+OBJECT, LIST = "map<string,string>", "array<map<string,string>>"
 
 
 def jmap(c) -> Column:
-    return F.from_json(c, STRING_MAP)
+    return F.from_json(c, OBJECT)
 
 
 def jmaps(c) -> Column:
-    return F.from_json(c, f"array<{STRING_MAP}>")
+    return F.from_json(c, LIST)
 
 
 def jlist(c) -> Column:
@@ -65,9 +66,11 @@ def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
-def of_venue(frames: DataFrame, venue: str) -> DataFrame:
-    """Frames of one venue with the decoded object in ``msg`` (null when undecodable)."""
-    return once(frames.where(F.col("venue") == venue), "msg", jmap("raw"))
+def of_venue(frames: DataFrame, venue: str, **fields: str) -> DataFrame:
+    """Frames of one venue with the decoded object in ``msg`` (null when undecodable). ``fields``
+    names the members read and their types; other members are skipped."""
+    schema = ", ".join(f"{name} {kind}" for name, kind in fields.items())
+    return once(frames.where(F.col("venue") == venue), "msg", F.from_json("raw", schema))
 
 
 def msg(key: str) -> Column:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.timeutil import MINUTE, SECOND, idiv
 from marketlake.schemas import SCHEMAS
-from marketlake.sources.frames.common import jmaps, msg, of_venue
+from marketlake.sources.frames.common import msg, of_venue
 from marketlake.sources.frames.trades import coinbase_events, kraken_symbol
 from marketlake.sources.venues import canonical_of
 
@@ -49,12 +49,14 @@ def coinbase_level_events(frames: DataFrame) -> DataFrame:
 
 def kraken_level_events(frames: DataFrame) -> DataFrame:
     """A snapshot message clears both sides first."""
-    df = of_venue(frames, "kraken").where(msg("channel") == "book").select(
-        "*", F.explode(F.array(jmaps(msg("data")))).alias("_list")).select(
+    sides = "array<struct<price:string,qty:string>>"
+    df = of_venue(frames, "kraken", channel="string", type="string",
+                  data=f"array<struct<symbol:string,bids:{sides},asks:{sides}>>")
+    df = df.where(msg("channel") == "book").withColumn("_list", msg("data")).select(
         "*", F.posexplode("_list").alias("event_no", "t"))
 
     def side(key: str, name: str) -> Column:
-        levels = F.coalesce(jmaps(F.col("t")[key]), F.array().cast("array<map<string,string>>"))
+        levels = F.coalesce(F.col("t")[key], F.array().cast(sides))
         return F.transform(levels, lambda u: _update(F.lit(name), u["price"], u["qty"]))
 
     return df.select(kraken_symbol(F.col("t")["symbol"]).alias("symbol"), "recv_ns", "seq",

@@ -7,22 +7,17 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.ordered import running_best
 from marketlake.functions.timeutil import MINUTE, MS, idiv
-from marketlake.sources.frames.common import (cell, iso_ns, jlist, jmap, jtable, ms_ns, msg, num, of_venue, once,
+from marketlake.sources.frames.common import (LIST, OBJECT, cell, iso_ns, jlist, jtable, ms_ns, msg, num, of_venue, once,
                                               present, quote_rows, recv_ms_ns, rows_as, top_of_book,
                                               with_channel)
 from marketlake.sources.frames.trades import bitstamp_ns, coinbase_events, field, items, kraken_symbol, unwrapped
 from marketlake.sources.venues import canonical_of
 
+TABLE = "array<array<string>>"
 # Book depths the venue offers.
 BINANCE_DEPTHS = (5, 10, 20)
 
 
-def ladders(df: DataFrame, bids: Column, asks: Column) -> DataFrame:
-    """Decode both sides of a book once."""
-    both = once(df, "_sides", F.struct(jtable(bids).alias("bids"), jtable(asks).alias("asks")))
-    return both.withColumns({"bids": F.col("_sides.bids"), "asks": F.col("_sides.asks")})
-
-
 def binance(frames: DataFrame) -> DataFrame:
     """No exchange time in the message: one millisecond before receipt stands in."""
     df = unwrapped(frames, "binance")
@@ -43,7 +38,7 @@ def coinbase(frames: DataFrame) -> DataFrame:
 
 
 def kraken(frames: DataFrame) -> DataFrame:
-    df = items(of_venue(frames, "kraken").where(msg("channel") == "ticker"), msg("data"))
+    df = items(of_venue(frames, "kraken", channel="string", data=LIST).where(msg("channel") == "ticker"))
 
     def or_zero(key: str) -> Column:
         return F.coalesce(num(field(key)), F.lit(0.0))
@@ -55,24 +50,26 @@ def kraken(frames: DataFrame) -> DataFrame:
 
 def bybit(frames: DataFrame) -> DataFrame:
     topic = F.startswith(msg("topic"), F.lit("orderbook.1."))
-    df = ladders(once(of_venue(frames, "bybit").where(topic), "d", jmap(msg("data"))), field("b", "d"), field("a", "d"))
-    return quote_rows(df, "bybit", field("s", "d"), ts_ns=F.coalesce(ms_ns(msg("ts")), recv_ms_ns()),
-                      **top_of_book(F.col("bids"), F.col("asks")))
+    df = of_venue(frames, "bybit", topic="string", ts="string",
+                  data=f"struct<s:string,b:{TABLE},a:{TABLE}>").where(topic)
+    return quote_rows(df, "bybit", msg("data")["s"], ts_ns=F.coalesce(ms_ns(msg("ts")), recv_ms_ns()),
+                      **top_of_book(msg("data")["b"], msg("data")["a"]))
 
 
 def okx(frames: DataFrame) -> DataFrame:
-    df = once(of_venue(frames, "okx"), "arg", jmap(msg("arg"))).where(F.col("arg")["channel"] == "bbo-tbt")
-    df = ladders(items(df, msg("data")), field("bids"), field("asks"))
-    return quote_rows(df, "okx", field("instId", "arg"), ts_ns=ms_ns(field("ts")),
-                      **top_of_book(F.col("bids"), F.col("asks")))
+    df = of_venue(frames, "okx", arg=OBJECT, data=f"array<struct<ts:string,bids:{TABLE},asks:{TABLE}>>")
+    df = items(df.where(msg("arg")["channel"] == "bbo-tbt"))
+    return quote_rows(df, "okx", msg("arg")["instId"], ts_ns=ms_ns(field("ts")),
+                      **top_of_book(field("bids"), field("asks")))
 
 
 def bitstamp(frames: DataFrame) -> DataFrame:
-    df = once(of_venue(frames, "bitstamp").where(msg("event") == "data"), "d", jmap(msg("data")))
-    df = ladders(df, field("bids", "d"), field("asks", "d"))
+    df = of_venue(frames, "bitstamp", event="string", channel="string",
+                  data=f"struct<timestamp:string,microtimestamp:string,bids:{TABLE},asks:{TABLE}>")
+    df = df.where(msg("event") == "data").withColumn("d", msg("data"))
     native = F.replace(msg("channel"), F.lit("order_book_"), F.lit(""))
     return quote_rows(df, "bitstamp", native, ts_ns=bitstamp_ns(),
-                      **top_of_book(F.col("bids"), F.col("asks")))
+                      **top_of_book(field("bids", "d"), field("asks", "d")))
 
 
 def bitfinex(frames: DataFrame) -> DataFrame:
@@ -89,9 +86,9 @@ def gemini_changes(frames: DataFrame) -> DataFrame:
     Orderings are plain maxima: a bid by (price, position), an ask by (−price, position);
     on equal prices the later change wins.
     """
-    df = once(of_venue(frames, "gemini").where(msg("type") == "l2_updates"), "table",
-              F.coalesce(jtable(msg("changes")), F.array().cast("array<array<string>>")))
-    changes = F.transform("table", lambda x, i: F.struct(
+    df = of_venue(frames, "gemini", type="string", symbol="string", changes=TABLE).where(msg("type") == "l2_updates")
+    table = F.coalesce(msg("changes"), F.array().cast(TABLE))
+    changes = F.transform(table, lambda x, i: F.struct(
         F.get(x, F.lit(0)).alias("side"), F.get(x, F.lit(1)).try_cast("double").alias("px"),
         F.get(x, F.lit(2)).try_cast("double").alias("qty"), i.alias("i")))
 

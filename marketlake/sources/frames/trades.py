@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.sources.frames.common import (buy_or_sell, cell, iso_ns, jlist, jmap, jmaps, jtable, ms_ns, msg,
-                                              num, of_venue, once, present, recv_ms_ns, trade_rows, whole,
+from marketlake.sources.frames.common import (LIST, OBJECT, buy_or_sell, cell, iso_ns, jlist, jmap, jtable, ms_ns,
+                                              msg, num, of_venue, once, present, recv_ms_ns, trade_rows, whole,
                                               with_channel)
 from marketlake.sources.venues import lookup, symbols_for_venue
 
@@ -16,13 +16,14 @@ COINBASE = ("channel string, timestamp string, events array<struct<trades:array<
 
 def unwrapped(frames: DataFrame, venue: str) -> DataFrame:
     """Combined-stream messages wrap their payload in ``data``; single streams do not."""
-    df = once(of_venue(frames, venue), "inner", jmap(msg("data")))
-    return df.withColumn("d", F.when(F.size("inner") > 0, F.col("inner")).otherwise(F.col("msg")))
+    df = of_venue(frames, venue, stream="string", data=OBJECT)
+    wrapped = F.when(F.size(msg("data")) > 0, msg("data"))
+    return once(df, "d", F.coalesce(wrapped, jmap("raw")))
 
 
-def items(df: DataFrame, text: Column) -> DataFrame:
-    """One row per object of a JSON array, in ``t``."""
-    return once(df, "_list", jmaps(text)).withColumn("t", F.explode("_list"))
+def items(df: DataFrame) -> DataFrame:
+    """One row per object of the message's ``data``, in ``t``."""
+    return df.withColumn("_list", msg("data")).withColumn("t", F.explode("_list"))
 
 
 def field(key: str, of: str = "t") -> Column:
@@ -60,7 +61,7 @@ def kraken_symbol(pair: Column) -> Column:
 
 
 def kraken(frames: DataFrame) -> DataFrame:
-    df = items(of_venue(frames, "kraken").where(msg("channel") == "trade"), msg("data"))
+    df = items(of_venue(frames, "kraken", channel="string", data=LIST).where(msg("channel") == "trade"))
     return trade_rows(df, "kraken", symbol=kraken_symbol(field("symbol")), ts_ns=iso_ns(field("timestamp")),
                       price=num(field("price")), size=num(field("qty")), side=buy_or_sell(field("side") == "buy"),
                       trade_id=text_id(field("trade_id")))
@@ -68,13 +69,13 @@ def kraken(frames: DataFrame) -> DataFrame:
 
 def bybit(frames: DataFrame) -> DataFrame:
     topic = F.startswith(msg("topic"), F.lit("publicTrade."))
-    df = items(of_venue(frames, "bybit").where(topic), msg("data"))
+    df = items(of_venue(frames, "bybit", topic="string", data=LIST).where(topic))
     return trade_rows(df, "bybit", field("s"), ts_ns=ms_ns(field("T")), price=num(field("p")), size=num(field("v")),
                       side=buy_or_sell(field("S") == "Buy"), trade_id=text_id(field("i")))
 
 
 def okx(frames: DataFrame) -> DataFrame:
-    df = items(of_venue(frames, "okx").where(jmap(msg("arg"))["channel"] == "trades"), msg("data"))
+    df = items(of_venue(frames, "okx", arg=OBJECT, data=LIST).where(msg("arg")["channel"] == "trades"))
     return trade_rows(df, "okx", field("instId"), ts_ns=ms_ns(field("ts")), price=num(field("px")),
                       size=num(field("sz")), side=buy_or_sell(field("side") == "buy"),
                       trade_id=text_id(field("tradeId")))
@@ -87,7 +88,8 @@ def bitstamp_ns(d: str = "d") -> Column:
 
 
 def bitstamp(frames: DataFrame) -> DataFrame:
-    df = once(of_venue(frames, "bitstamp").where(msg("event") == "trade"), "d", jmap(msg("data")))
+    df = of_venue(frames, "bitstamp", event="string", channel="string", data=OBJECT).where(
+        msg("event") == "trade").withColumn("d", msg("data"))
     native = F.replace(msg("channel"), F.lit("live_trades_"), F.lit(""))
     bought = F.coalesce(whole(field("type", "d")), F.lit(0)) == 0
     return trade_rows(df, "bitstamp", native, ts_ns=bitstamp_ns(), price=num(field("price", "d")),
@@ -95,7 +97,8 @@ def bitstamp(frames: DataFrame) -> DataFrame:
 
 
 def gemini(frames: DataFrame) -> DataFrame:
-    df = of_venue(frames, "gemini").where(msg("type") == "trade")
+    names = ("type", "symbol", "event_id", "timestamp", "price", "quantity", "side")
+    df = of_venue(frames, "gemini", **dict.fromkeys(names, "string")).where(msg("type") == "trade")
     return trade_rows(df, "gemini", msg("symbol"), ts_ns=F.coalesce(ms_ns(msg("timestamp")), recv_ms_ns()),
                       price=num(msg("price")), size=num(msg("quantity")),
                       side=buy_or_sell(F.lower(msg("side")) == "buy"), trade_id=text_id(msg("event_id")))
