@@ -153,17 +153,6 @@ def bar_slices(bars: DataFrame, file: str | None = None, row: str | None = None,
 
 # ---- trades ----
 
-def trade_extremes(trades: DataFrame, min_trades: int = 20, max_rel: float = 0.5) -> DataFrame:
-    """Per slice: prints further than ``max_rel`` from the median price. Works on merged
-    prices, so a hot slice meets in one place only as its distinct prices."""
-    px = trades.groupBy(*SLICE, "price").agg(F.count(F.lit(1)).alias("n"))
-    med = px.groupBy(*SLICE).agg(F.percentile("price", F.lit(0.5), F.col("n")).alias("med"),
-                                 F.sum("n").alias("n_trades"))
-    wild = F.abs(F.col("price") - F.col("med")) / F.col("med") > max_rel
-    return (px.join(med.where((F.col("n_trades") >= min_trades) & (F.col("med") > 0)), list(SLICE))
-            .groupBy(*SLICE).agg(F.coalesce(F.sum(F.when(wild, F.col("n"))), F.lit(0)).alias("n_extreme")))
-
-
 def lag_p99_ms(trades: DataFrame) -> DataFrame:
     """Exact 99th percentile of the receive lag. Lags have nanosecond variety, so they are
     ranked bucket by bucket (about 4 ms each) rather than in one list per slice."""
@@ -172,17 +161,37 @@ def lag_p99_ms(trades: DataFrame) -> DataFrame:
     return p.select(*SLICE, (F.col("p99_ns") / 1e6).alias("p99_ms"))
 
 
-def trade_slices(trades: DataFrame, file: str | None = None, row: str | None = None,
-                 stale_ms: float = 5000) -> DataFrame:
+def trade_stats(trades: DataFrame, stale_ms: float = 5000, min_trades: int = 20,
+                max_rel: float = 0.5) -> DataFrame:
+    """Counts per slice and prints over ``max_rel`` off the slice median. Trades are merged per
+    price first, so a hot slice meets in one place only as its distinct prices."""
     real_id = F.when(F.col("trade_id") != "", F.col("trade_id"))
     lag_ms = (F.col("recv_ns") - F.col("ts_ns")) / 1e6
-    keys = list(SLICE)
-    stats = trades.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_trades"),
-        F.count_if(F.col("price") <= 0).alias("px"), F.count_if(F.col("size") <= 0).alias("sz"),
+    per_price = trades.groupBy(*SLICE, "price").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("size") <= 0).alias("sz"),
         F.count_if(~F.col("side").isin(-1, 0, 1)).alias("side"), F.count_if(lag_ms > stale_ms).alias("stale"),
-        (F.count(real_id) - F.count_distinct(real_id)).alias("dup"))
-    stats = stats.join(trade_extremes(trades), keys, "left").join(lag_p99_ms(trades), keys, "left")
+        F.count(real_id).alias("ids"))
+    whole = Window.partitionBy(*SLICE)
+    marked = (per_price.withColumn("_med", F.percentile("price", F.lit(0.5), F.col("n")).over(whole))
+              .withColumn("_all", F.sum("n").over(whole)))
+    wild = ((F.col("_all") >= min_trades) & (F.col("_med") > 0)
+            & (F.abs(F.col("price") - F.col("_med")) / F.col("_med") > max_rel))
+
+    def trades_where(c: Column) -> Column:
+        return F.sum(F.when(c, F.col("n")).otherwise(0))
+
+    return marked.groupBy(*SLICE).agg(
+        F.sum("n").alias("n_trades"), trades_where(F.col("price") <= 0).alias("px"),
+        trades_where(wild).alias("n_extreme"), *[F.sum(c).alias(c) for c in ("sz", "side", "stale", "ids")])
+
+
+def trade_slices(trades: DataFrame, file: str | None = None, row: str | None = None,
+                 stale_ms: float = 5000) -> DataFrame:
+    keys = list(SLICE)
+    real_id = F.when(F.col("trade_id") != "", F.col("trade_id"))
+    unique = trades.groupBy(*keys).agg(F.count_distinct(real_id).alias("unique_ids"))
+    stats = (trade_stats(trades, stale_ms).join(unique, keys).join(lag_p99_ms(trades), keys, "left")
+             .withColumn("dup", F.col("ids") - F.col("unique_ids")))
     stats = _with_stored_order(stats, trades, file, row)
     lag_detail = F.format_string("%d trades received more than 5s late (p99 %.0f ms)", "stale", "p99_ms")
     return stats.withColumn("issues", _found(
