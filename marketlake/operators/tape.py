@@ -126,15 +126,19 @@ def filter_diagnostics(trades: DataFrame, **options) -> DataFrame:
     return tape_with_diagnostics(trades, **options).select(*DIAGNOSTICS)
 
 
-def run_summary(diagnostics: DataFrame, trades: DataFrame) -> DataFrame:
-    """Per symbol: contributing venues, bars built, trades dropped and consolidated."""
-    built = diagnostics.groupBy("symbol").agg(
+def run_summary(diagnostics: DataFrame, feeds: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
+    """Per key: contributing venues, bars built, trades dropped and consolidated.
+
+    ``feeds`` carries the keys, ``venue`` and ``trades`` (a count); per-venue bars qualify,
+    so a build need not read its trades again.
+    """
+    built = diagnostics.groupBy(*keys).agg(
         F.count_if(F.col("n_kept") > 0).alias("agg_bars"),
         F.sum("n_dropped").alias("trades_dropped_by_filter"))
-    seen = trades.groupBy("symbol").agg(
-        F.count(F.lit(1)).alias("consolidated_trades"),
+    seen = feeds.groupBy(*keys).agg(
+        F.sum("trades").alias("consolidated_trades"),
         F.array_sort(F.collect_set("venue")).alias("contributing_venues"))
-    return seen.join(built, "symbol", "left")
+    return seen.join(built, list(keys), "left")
 
 
 def exclude_down(trades: DataFrame, status: DataFrame, cell_ns: int = 300 * 1000 * MS) -> DataFrame:

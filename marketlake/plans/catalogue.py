@@ -100,8 +100,8 @@ def _tape_filter(v, n):
 
 @query("tape_run_summary")
 def _run_summary(v, n):
-    spot = T.spot_only(v.trades)
-    return T.run_summary(T.tape_with_diagnostics(spot), spot).withColumn(
+    feeds = T.spot_only(v.trades).groupBy("symbol", "venue").agg(F.count(F.lit(1)).alias("trades"))
+    return T.run_summary(tape_diag_of(v), feeds).withColumn(
         "contributing_venues", joined("contributing_venues"))
 
 

@@ -12,13 +12,15 @@ import time
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.functions.timeutil import date_of
 from marketlake.operators import coverage as C
 from marketlake.operators import quality as Q
 from marketlake.operators import tape as T
 from marketlake.operators.bars import bars_from_trades
 from marketlake.operators.refdata import listed_mappings, seed_symbol_map
 from marketlake.schemas import META_SCHEMAS, conform
-from marketlake.sources.store import ARRIVAL, Lake, with_arrival
+from marketlake.session import shared_dir
+from marketlake.sources.store import ARRIVAL, Lake, materialize, with_arrival
 
 
 def slices_present(trades: DataFrame) -> DataFrame:
@@ -35,28 +37,33 @@ def build_bars(lake: Lake, symbols: list[str] | None = None, dates: list[str] |
         trades = trades.where(F.col("symbol").isin(symbols))
     if dates:
         trades = trades.where(F.col("date").isin(dates))
-    now = F.lit(time.time_ns())
-    venue_bars = bars_from_trades(trades, ARRIVAL).withColumn("ingested_at_ns", now)
-    spot = T.spot_only(trades)
-    tape = T.tape_with_diagnostics(spot, arrival=ARRIVAL).withColumn("ingested_at_ns", now)
+    now = time.time_ns()
+    # both are one row per second: stored once here, then read for the table and for the log
+    venue_bars = materialize(bars_from_trades(trades, ARRIVAL).withColumn("ingested_at_ns", F.lit(now)),
+                             shared_dir(lake.spark, "venue-bars"))
+    tape = materialize(T.tape_with_diagnostics(T.spot_only(trades), arrival=ARRIVAL)
+                       .withColumn("ingested_at_ns", F.lit(now)), shared_dir(lake.spark, "tape"))
     lake.append("bars_1s", venue_bars.unionByName(
         tape.where(F.col("n_kept") > 0).select(*venue_bars.columns)))
-    log_build(lake, T.run_summary(tape, spot), trades)
-
-
-def log_build(lake: Lake, summary: DataFrame, trades: DataFrame) -> None:
-    """One backfill correction per symbol built, with what the filter dropped in its note."""
-    now = time.time_ns()
-    rows = summary.join(trades.groupBy("symbol").agg(F.min("date").alias("lo"), F.max("date").alias("hi")), "symbol")
-    note = F.format_string("rebuilt %s..%s: agg=%d venues=%s dropped=%d", "lo", "hi",
-                           F.coalesce("agg_bars", F.lit(0)), F.array_join("contributing_venues", ","),
-                           F.coalesce("trades_dropped_by_filter", F.lit(0)))
+    log_build(lake, tape, venue_bars, now)
+
+
+def log_build(lake: Lake, tape: DataFrame, venue_bars: DataFrame, now: int) -> None:
+    """One backfill correction per slice built, with what the filter dropped in its note."""
+    keys = ["symbol", "date"]
+    dated = venue_bars.withColumn("date", date_of("ts_ns"))
+    per_venue = dated.groupBy(*keys).agg(F.count(F.lit(1)).alias("venue_bars"))
+    rows = per_venue.join(T.run_summary(tape.withColumn("date", date_of("ts_ns")), T.spot_only(dated), keys), keys,
+                          "left").fillna(0)
+    note = F.format_string("rebuilt %s: per_venue=%d agg=%d venues=%s dropped=%d", "date", "venue_bars", "agg_bars",
+                           F.coalesce(F.array_join("contributing_venues", ","), F.lit("")),
+                           "trades_dropped_by_filter")
     lake.put_meta("corrections", conform(rows.select(
-        F.concat_ws("-", F.lit(str(now)), "symbol").alias("correction_id"), F.lit(now).alias("recorded_at_ns"),
-        F.lit(0).alias("effective_from_ns"), F.lit(0).alias("effective_to_ns"),
+        F.concat_ws("-", F.lit(str(now)), "symbol", "date").alias("correction_id"),
+        F.lit(now).alias("recorded_at_ns"), F.lit(0).alias("effective_from_ns"), F.lit(0).alias("effective_to_ns"),
         F.lit("bars_1s").alias("table_name"), "symbol", F.lit("agg").alias("venue"),
         F.lit("backfill").alias("kind"), F.lit("info").alias("severity"),
-        F.col("agg_bars").alias("rows_affected"), note.alias("note")), "corrections"))
+        (F.col("venue_bars") + F.col("agg_bars")).alias("rows_affected"), note.alias("note")), "corrections"))
 
 
 def write_daily_quality(lake: Lake, symbols: list[str] | None = None, dates: list[str] | None = None,
