@@ -20,7 +20,7 @@ from marketlake.operators.resample import resample_bars
 from marketlake.plans import query as G
 from marketlake.plans.market_views import T0, MarketViews
 from marketlake.plans.pipeline import build_dataset
-from marketlake.plans.status import bars_span
+from marketlake.plans.status import bars_span, status_report
 from marketlake.session import ensure_session, shared_dir
 from marketlake.sources.store import Lake, latest_by_key
 from marketlake.sources.venues import symbol_dim
@@ -636,6 +636,20 @@ def _manifest(v, n):
     return C.by_table(lake.meta("coverage")).drop("bytes", "partitions")
 
 
+@query("status_venue_status", "status_coverage", "status_quality", "status_corrections")
+def _status_report(v, n):
+    lake = Lake(v.spark, shared_dir(v.spark, "status"))
+    if n == "status_venue_status":
+        lake.put_meta("venue_status", v.status)
+    elif n == "status_corrections":
+        lake.put_meta("corrections", v.corrections)
+    elif n == "status_coverage":
+        lake.put_meta("coverage", C.coverage(stored_tables(v)), replace=True)
+    else:
+        lake.put_meta("daily_quality", Q.daily_quality_rows(cards(v)))
+    return status_report(lake)[n.removeprefix("status_")].drop("bytes")
+
+
 # ---- analytics ----
 
 @query("wide_closes")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from marketlake.functions.timeutil import MINUTE, SECOND, date_of, ts_of
+from marketlake.functions.timeutil import MINUTE, SECOND, date_of, date_text, ts_of
 from marketlake.operators import health as H
 from marketlake.operators import tape as T
 from marketlake.operators.bars import bars_from_trades
@@ -85,15 +85,20 @@ def write_health(counts: DataFrame, path: str, checkpoint: str, available_now: b
     """Store each batch's minute counts, then judge its minutes against the stored last hour."""
     def judge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{path}/counts/batch={batch_id}")
-        fresh = spark.read.schema(batch.schema).parquet(f"{path}/counts/batch={batch_id}")
-        span = fresh.agg(F.min("ts_ns").alias("lo"), F.max("ts_ns").alias("hi")).first()  # two numbers
+        dated = batch.withColumn("date", date_of("ts_ns")).withColumn("batch", F.lit(batch_id))
+        (dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("date", "batch").parquet(f"{path}/counts"))
+        stored = spark.read.schema(dated.schema).parquet(f"{path}/counts")
+        span = stored.where(F.col("batch") == batch_id).agg(
+            F.min("ts_ns").alias("lo"), F.max("ts_ns").alias("hi")).first()  # two numbers
         if span["lo"] is None:
             return
-        stored = spark.read.schema(batch.schema).parquet(f"{path}/counts").where(
-            (F.col("ts_ns") > span["lo"] - H.BASELINE_S * SECOND) & (F.col("ts_ns") <= span["hi"]))
-        health = H.health_series(stored.select(*batch.columns)).where(F.col("ts_ns") >= span["lo"])
-        H.status_rows(health.join(fresh.select("ts_ns", *H.FEED), ["ts_ns", *H.FEED], "left_semi")).write.mode(
+        since = span["lo"] - H.BASELINE_S * SECOND
+        recent = stored.where(F.col("date").between(date_text(since), date_text(span["hi"]))
+                              & (F.col("ts_ns") > since) & (F.col("ts_ns") <= span["hi"]))
+        fresh = recent.where(F.col("batch") == batch_id).select("ts_ns", *H.FEED)
+        health = H.health_series(recent.select(*batch.columns)).where(F.col("ts_ns") >= span["lo"])
+        H.status_rows(health.join(fresh, ["ts_ns", *H.FEED], "left_semi")).write.mode(
             "overwrite").parquet(f"{path}/status/batch={batch_id}")
 
     return _start(counts.writeStream.outputMode("append").foreachBatch(judge), checkpoint, available_now,

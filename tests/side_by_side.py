@@ -6,6 +6,7 @@ Usage: python -m tests.side_by_side [sf] [name-prefix ...]
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -56,8 +57,12 @@ def main(argv: list[str]) -> int:
     sf = argv[0] if argv else "0.01"
     prefixes = tuple(argv[1:])
     sf_dir = f"/root/testdata/sf{sf}"
-    spark = build_session("check", "local[8]", {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
-                                                "spark.ui.showConsoleProgress": "false"})
+    if os.environ.get("PLAIN"):  # a session somebody else set up, with Spark's own defaults
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+    else:
+        spark = build_session("check", "local[8]", {
+            "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     sqls, failed = e.oracle_sql(), 0
