@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketlake.llm import decontaminate, exact_dedup, mixing, near_dedup, toxicity
+from marketlake.llm import (decontaminate, exact_dedup, html_extract, lm_score, mixing, near_dedup, quality,
+                            substring_dedup, toxicity, url_filter)
 from marketlake.llm.common import read
 from marketlake.session import ensure_session
 
@@ -15,6 +17,19 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_filter(read(spark, sf_dir, "pages"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = read(spark, sf_dir, "labels").where(F.col("quality") == 1)
+    return lm_score.lm_scores(read(spark, sf_dir, "documents"), good)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -32,12 +47,21 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(read(spark, sf_dir, "documents"))
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read(spark, sf_dir, "pages"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = [op1_exact_dedup, op5_mixing, op6_minhash_near_dedup, op7_toxicity, op8_decontamination, pipeline]
+QUERIES = [op1_exact_dedup, op2_url_filters, op3_quality, op4_lm_scoring, op5_mixing, op6_minhash_near_dedup, op7_toxicity,
+           op8_decontamination, op9_substring_dedup, op10_html_extraction, pipeline]
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
