@@ -41,6 +41,19 @@ def as_bytes(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit("")).cast("binary").alias(name)
 
 
+def select_ids(docs: DataFrame, ids: DataFrame, how: str, raw: bool = False) -> DataFrame:
+    """Rows of ``docs`` whose id (and with ``raw`` whose text hash) is among ``ids``, or with ``left_anti`` is not.
+
+    Null ids match null ids. The other side's columns take names that ``docs`` does not have.
+    """
+    names = {c: f"{c}_" + "x" * max(map(len, docs.columns)) for c in ids.columns}
+    ids = ids.withColumnsRenamed(names).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(ids[names["doc_id"]])
+    if raw:
+        same = same & (F.xxhash64(docs["text"]) == ids[names["raw"]])
+    return docs.join(ids, same, how)
+
+
 # ---- shingles --------------------------------------------------------------------------
 
 _BASE = 0x9E3779B97F4A7C15

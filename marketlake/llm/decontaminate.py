@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import as_bytes, small_batches
+from marketlake.llm.common import as_bytes, select_ids, small_batches
 
 WINDOW = 10
 #: Words of a shard, and the distance of its sampled positions.
@@ -333,7 +333,6 @@ def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents without any test phrase, with all their columns; null ids stay if their text is clean."""
-    found = find_contamination(docs, benchmark).where(F.size("spans") > 0)
-    dirty = found.select(F.col("doc_id").alias("_dirty_id")).distinct()
-    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col("_dirty_id")), "left_anti")
+    dirty = find_contamination(docs, benchmark).where(F.size("spans") > 0)
+    return select_ids(docs, dirty.select("doc_id"), "left_anti")
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import as_bytes, small_batches, stored
+from marketlake.llm.common import as_bytes, select_ids, small_batches, stored
 
 #: Counters of a summary. Digests above 2 / COUNTERS of all rows are split off; at most so many are broadcast.
 COUNTERS = 4096
@@ -105,6 +105,5 @@ def exact_dedup(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 def keep_one_each(docs: DataFrame) -> DataFrame:
     """The row of each group that stays, with all its columns; of repeated winner rows one stays."""
     winners = (groups(docs).where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-               .groupBy(F.col("digest").alias("_digest")).agg(F.max("keep_id").alias("_id"), F.min("raw").alias("_raw")))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_raw"))
-    return docs.join(winners, same, "left_semi").dropDuplicates(["doc_id", "text"])
+               .groupBy("digest").agg(F.max("keep_id").alias("doc_id"), F.min("raw").alias("raw")).drop("digest"))
+    return select_ids(docs, winners, "left_semi", raw=True).dropDuplicates(["doc_id", "text"])

@@ -133,8 +133,8 @@ def mix(docs: DataFrame, sources: str = "source", weights=WEIGHTS, share: float
             if words := flow.get((pattern, source), 0):
                 upto += words
                 ranges.append((source, upto))
-        first = pattern[0] if pattern else None
-        rows.append((list(pattern), n, upto, ranges, sizes.get(first, 0), float(targets.get(first, 0.0))))
+        first = pattern[:1]
+        rows.append((list(pattern), n, upto, ranges, sum(sizes[s] for s in first), float(sum(targets[s] for s in first))))
     plan = spark.createDataFrame(rows, "pattern array<string>, words long, flow long, ranges array<struct<source:string,"
                                        "upto:long>>, source_size long, target double")
     in_order = Window.partitionBy("pattern").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import as_bytes, components, mix, shingle_hashes, small_batches, stored
+from marketlake.llm.common import as_bytes, components, mix, select_ids, shingle_hashes, small_batches, stored
 
 SHINGLE = 5
 SIDE, ROWS = 8, 3
@@ -234,6 +234,5 @@ def keep_one_each(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     Documents without words all stay. Rows that repeat the id and text of a winner stay once.
     """
-    kept = near_duplicates(docs, percent).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(
-        ["doc_id", "text"])
+    kept = near_duplicates(docs, percent).where("kept").select("doc_id")
+    return select_ids(docs, kept, "left_semi").dropDuplicates(["doc_id", "text"])

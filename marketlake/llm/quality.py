@@ -50,7 +50,8 @@ def ratios() -> dict[str, Column]:
     }
 
 
-STATISTICS = list(ratios())
+STATISTICS = ["words", "word_length", "upper", "digits", "symbols", "ends", "bangs", "line_words", "distinct",
+              "distinct_lines"]
 
 
 def with_statistics(docs: DataFrame) -> DataFrame:
@@ -173,8 +174,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Ensemble
     own = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
            .groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min("quality").cast("double").alias("label"))
            .orderBy(F.xxhash64("id"), "id").limit(rows))
-    sample = docs.join(F.broadcast(own), F.col("doc_id").cast("long") == F.col("id"))  # `rows` rows at most
-    table = with_statistics(sample.select("doc_id", "text")).join(own, F.col("doc_id") == F.col("id")).orderBy(
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    sample = texts.join(F.broadcast(own.select("id")), F.col("doc_id") == F.col("id"))  # `rows` rows at most
+    table = with_statistics(sample).join(own, F.col("doc_id") == F.col("id")).orderBy(
         "doc_id").select(*STATISTICS, "label").toArrow()
     y = table.column("label").to_numpy()
     if not len(y) or y.min() == y.max():

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import as_bytes, sigmoid, small_batches
+from marketlake.llm.common import as_bytes, mix, select_ids, sigmoid, small_batches
 from marketlake.llm.decontaminate import words
 
 #: Labelled rows to fit on at most (those of the smallest hashes), and features to choose from them.
@@ -192,7 +192,6 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Chain |
 
 
 def mod_fold(ids: np.ndarray) -> np.ndarray:
-    from marketlake.llm.common import mix
     return (mix(ids.astype(np.uint64)) % np.uint64(FOLDS)).astype(np.int64)
 
 
@@ -228,5 +227,4 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents that the chain does not reject, with all their columns. A null id stays unless rejected."""
-    rejected = toxicity(docs, labels).where("toxic").select(F.col("doc_id").alias("_toxic_id")).distinct()
-    return docs.join(rejected, F.col("doc_id").cast("long").eqNullSafe(F.col("_toxic_id")), "left_anti")
+    return select_ids(docs, toxicity(docs, labels).where("toxic").select("doc_id"), "left_anti")
