@@ -125,7 +125,7 @@ def labelled(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Dat
            .groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").alias("toxic"))
            .orderBy(F.xxhash64("id"), "id").limit(rows))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), as_bytes("text"))
-    return texts.join(own, "id")
+    return texts.join(F.broadcast(own), "id")  # `rows` rows at most
 
 
 def _counted(batches) -> Iterator[pa.RecordBatch]:
