@@ -19,10 +19,13 @@ def _first(c: str, order: Column) -> Column:
     return F.min_by(c, order)
 
 
-def adjacent_decreases(df: DataFrame, keys: Sequence[str], value: str, file: str | None, row: str,
+def adjacent_decreases(df: DataFrame, keys: Sequence[str], value: str, file: str | Column | None, row: str,
                        block_rows: int = 1 << 20) -> DataFrame:
-    """Per key: how often ``value`` drops from one row to the next in (file, row) order."""
-    order_file = F.col(file) if file else F.lit("")
+    """Per key: how often ``value`` drops from one row to the next in (file, row) order.
+
+    ``file`` is a column or a struct of columns that order whatever the rows are numbered in.
+    """
+    order_file = (F.col(file) if isinstance(file, str) else file) if file is not None else F.lit("")
     base = df.select(*keys, F.col(value).alias("_v"), order_file.alias("_f"), F.col(row).alias("_r"),
                      idiv(F.col(row), block_rows).alias("_b"))
     inside = Window.partitionBy(*keys, "_f", "_b").orderBy("_r")
@@ -56,15 +59,17 @@ def running_best(df: DataFrame, keys: Sequence[str], order: Sequence[str], best:
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, wanted: dict[str, float],
-                      bucket: Column) -> DataFrame:
+                      bucket: Column, carried: str | None = None) -> DataFrame:
     """Linear-interpolated percentiles per key, exact, for values with unbounded variety.
 
     ``wanted`` maps output names to fractions. Equal values are merged first.
     ``bucket`` is any non-decreasing function of the merged value ``_v``; only the
-    buckets that hold a wanted rank are sorted, each on its own.
+    buckets that hold a wanted rank are sorted, each on its own. ``carried`` is a column that equal
+    values share and ``bucket`` needs.
     """
+    more = [F.first(carried).alias(carried)] if carried else []
     counts = (df.where(F.col(value).isNotNull())
-              .groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+              .groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"), *more)
               .withColumn("_b", bucket))
     per_bucket = counts.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
     upto = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -21,9 +21,8 @@ def to_ns(t) -> int:
     """An int is nanoseconds already; anything else is parsed, naive meaning UTC."""
     if isinstance(t, int):
         return t
-    stamp = pd.Timestamp(t)
-    stamp = stamp.tz_localize("UTC") if stamp.tzinfo is None else stamp.tz_convert("UTC")
-    return int(stamp.as_unit("ns").value)
+    instant = pd.to_datetime([t], utc=True)  # naive entries are read as UTC, others converted
+    return int(instant.as_unit("ns").asi8[0])
 
 
 def _col(c) -> Column:

@@ -4,35 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions.ordered import exact_percentiles
 from marketlake.operators.quality import second_extremes
-from marketlake.sources.venues import venue_bits
+from marketlake.sources.venues import known_venue, mask_bits, present_venues
 
 
-def wide_closes(bars: DataFrame, venues: Sequence[str]) -> DataFrame:
-    """One close column per venue and second: a full outer alignment done as one grouping."""
-    return bars.groupBy("ts_ns", "symbol").pivot("venue", list(venues)).agg(F.max("close"))
+def wide_closes(bars: DataFrame, venues: Sequence[str] | None = None) -> DataFrame:
+    """One close column per venue and second: a full outer alignment done as one grouping.
+
+    Without ``venues`` those present; with them any other venue stops the query.
+    """
+    columns = present_venues(bars) if venues is None else list(venues)
+    return (bars.withColumn("venue", known_venue(venues)).groupBy("ts_ns", "symbol").pivot("venue", columns)
+            .agg(F.max("close")))
 
 
 def tracking_error(bars: DataFrame) -> DataFrame:
     """Each venue's close against the tape close of the same second, in bps."""
-    tape = bars.where(F.col("venue") == "agg").select("ts_ns", "symbol", F.col("close").alias("tape_close"))
-    return (bars.where(F.col("venue") != "agg").select("ts_ns", "symbol", "venue", "close")
-            .join(tape, ["ts_ns", "symbol"])
+    # one shuffle puts the tape next to the few venue bars of its second
+    second = Window.partitionBy("ts_ns", "symbol")
+    tape_close = F.max(F.when(F.col("venue") == "agg", F.col("close"))).over(second)
+    return (bars.select("ts_ns", "symbol", "venue", "close").withColumn("tape_close", tape_close)
+            .where((F.col("venue") != "agg") & F.col("tape_close").isNotNull())
             .withColumn("te_bps", (F.col("close") - F.col("tape_close")) / F.col("tape_close") * 1e4))
 
 
 def describe(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """count, mean, std, min, quartiles and max per key; quartiles exact, ranked in unit-wide
-    buckets so that a long series never meets in one buffer."""
+    """count, mean, std, min, quartiles and max per key; quartiles exact, ranked in buckets of a 4096th of
+    the spread around the mean, so that a long series never meets in one buffer whatever its unit."""
     v = F.col(value)
     moments = df.where(v.isNotNull()).groupBy(*keys).agg(
         F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"),
         F.max(v).alias("max"))
-    quartiles = exact_percentiles(df, keys, value, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, F.floor("_v"))
+    width = F.coalesce(F.nullif((F.col("max") - F.col("min")) / 4096, F.lit(0.0)), F.lit(1.0))
+    placed = df.join(moments.select(*keys, F.col("min").alias("_low"), width.alias("_width")), list(keys))
+    quartiles = exact_percentiles(placed.withColumn("_place", F.floor((v - F.col("_low")) / F.col("_width"))), keys, value,
+                                  {"q25": 0.25, "q50": 0.5, "q75": 0.75}, F.col("_place"), "_place")
     return moments.join(quartiles, list(keys))
 
 
@@ -45,7 +55,7 @@ def dispersion(bars: DataFrame) -> DataFrame:
 
 def mask_presence(tape: DataFrame) -> DataFrame:
     """Per symbol and venue: share of tape seconds the venue contributed to, in percent."""
-    bits = venue_bits()
+    bits = mask_bits()
     flags = tape.groupBy("symbol").agg(*[
         (F.avg((F.col("sources_mask").bitwiseAND(F.lit(b)) != 0).cast("int")) * 100).alias(v)
         for v, b in bits.items()])

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.functions.timeutil import SECOND, idiv
+from marketlake.sources.venues import known_venue, present_venues
 
 PART = ("symbol", "venue", "date")
 
@@ -51,13 +52,16 @@ def summary(cov: DataFrame) -> DataFrame:
                    *[F.array_sort(F.collect_set(c)).alias(f"{c}s") for c in PART])
 
 
-def matrix(cov: DataFrame, venues: list[str]) -> DataFrame:
-    """Rows per (table, symbol), one column per venue."""
-    return cov.groupBy("table_name", "symbol").pivot("venue", venues).agg(F.sum("rows"))
+def matrix(cov: DataFrame, venues: list[str] | None = None) -> DataFrame:
+    """Rows per (table, symbol), one column per venue; without a list those present, and no other with one."""
+    columns = present_venues(cov) if venues is None else venues
+    return (cov.withColumn("venue", known_venue(venues)).groupBy("table_name", "symbol").pivot("venue", columns)
+            .agg(F.sum("rows")))
 
 
-def matrix_markdown(cov: DataFrame, venues: list[str]) -> DataFrame:
+def matrix_markdown(cov: DataFrame, venues: list[str] | None = None) -> DataFrame:
     """The matrix as lines of Markdown, one per (table, symbol), with the header line first."""
+    venues = present_venues(cov) if venues is None else venues
     cells = [F.coalesce(F.format_number(F.col(v), 0), F.lit("·")) for v in venues]
     body = matrix(cov, venues).select(
         "table_name", F.lit(1).alias("kind"), "symbol",

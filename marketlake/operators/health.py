@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.functions.timeutil import MINUTE, SECOND, floor_ns
+from marketlake.functions.timeutil import DAY, MINUTE, SECOND, date_text, floor_ns
 
 # Health parameters.
 RECENT_S = 300
@@ -22,14 +22,25 @@ def _judge(df: DataFrame, ratio: float, silent_is_down: bool) -> DataFrame:
 
 
 def feed_health(rows: DataFrame, now_ns: int, recent_s: int = RECENT_S, baseline_s: int = BASELINE_S,
-                ratio: float = DOWN_RATIO, silent_is_down: bool = False) -> DataFrame:
-    """Message rates of each feed at one instant. ``rows`` carry venue, symbol, stream, recv_ns."""
+                ratio: float = DOWN_RATIO, silent_is_down: bool = False, feeds: DataFrame | None = None) -> DataFrame:
+    """Message rates of each feed at one instant. ``rows`` carry venue, symbol, stream, recv_ns.
+
+    ``feeds (venue, symbol, stream)`` lists the feeds to judge: only the baseline window is then read, by date where
+    the rows have one, and a feed silent in it keeps rate 0. Without the list, feeds are those ever seen.
+    """
+    start = now_ns - baseline_s * SECOND
     seen = rows.where(F.col("recv_ns") <= now_ns)
+    if feeds is not None:
+        seen = seen.where(F.col("recv_ns") >= start)
+        if "date" in rows.columns:  # events carry the date of ts_ns; a message is received within a day of it
+            seen = seen.where(F.col("date").cast("string").between(date_text(start - DAY), date_text(now_ns + DAY)))
 
     def rate(window_s: int):
         return F.count_if(F.col("recv_ns") >= now_ns - window_s * SECOND) / F.lit(float(window_s))
 
     rates = seen.groupBy(*FEED).agg(rate(recent_s).alias("recent_per_s"), rate(baseline_s).alias("baseline_per_s"))
+    if feeds is not None:
+        rates = feeds.select(*FEED).distinct().join(rates, list(FEED), "left").fillna(0.0, ["recent_per_s", "baseline_per_s"])
     return _judge(rates, ratio, silent_is_down)
 
 
@@ -71,8 +82,10 @@ def gap_worklist(trades: DataFrame, listed: DataFrame, now_ns: int, lookback_min
                  min_gap_s: int = 60) -> DataFrame:
     """Listed feeds silent for at least ``min_gap_s`` and the range to fetch for each."""
     start = now_ns - lookback_minutes * MINUTE
-    last = (trades.where((F.col("ts_ns") >= start) & (F.col("ts_ns") <= now_ns))
-            .groupBy("venue", "symbol").agg(F.max("ts_ns").alias("last_seen")))
+    recent = trades.where((F.col("ts_ns") >= start) & (F.col("ts_ns") <= now_ns))
+    if "date" in trades.columns:
+        recent = recent.where(F.col("date").cast("string").between(date_text(start), date_text(now_ns)))
+    last = recent.groupBy("venue", "symbol").agg(F.max("ts_ns").alias("last_seen"))
     return (listed.select("venue", "symbol").distinct().join(last, ["venue", "symbol"], "left")
             .withColumn("last_seen", F.coalesce("last_seen", F.lit(start)))
             .where(F.lit(now_ns) - F.col("last_seen") >= min_gap_s * SECOND)

@@ -3,6 +3,7 @@ check, severity, count, detail, sample."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -119,19 +120,29 @@ def _flat_issue(min_run: int) -> Column:
     return _issue("bar.flatline", "minor", F.when(F.col("longest_run") >= min_run, F.col("longest_run")), detail)
 
 
-def _with_stored_order(stats: DataFrame, rows: DataFrame, file: str | None, row: str | None) -> DataFrame:
-    """Backward steps exist only in stored order; without ``row`` that check is off."""
-    if row is None:
+def _with_arrival_order(stats: DataFrame, rows: DataFrame, arrival: Sequence[str] | None, per_append: bool = False
+                        ) -> DataFrame:
+    """Backward steps exist only in the order of arrival; without ``arrival`` that check is off.
+
+    The last ``arrival`` column numbers the rows within the others. ``per_append`` looks at every append alone: a rebuild
+    starts over at the first second, which is no fault.
+    """
+    if arrival is None:
         return stats.withColumn("n_decreases", F.lit(0))
-    return stats.join(adjacent_decreases(rows, SLICE, "ts_ns", file, row), list(SLICE), "left")
+    *outer, row = arrival
+    keys = [*SLICE, *outer] if per_append else list(SLICE)
+    steps = adjacent_decreases(rows, keys, "ts_ns", F.struct(*outer) if outer and not per_append else None, row)
+    if per_append:
+        steps = steps.groupBy(*SLICE).agg(F.sum("n_decreases").alias("n_decreases"))
+    return stats.join(steps, list(SLICE), "left")
 
 
 def check_bar_ohlc(bars: DataFrame) -> DataFrame:
     return _rows(bar_stats(bars).withColumn("issues", _found(*_ohlc_issues())))
 
 
-def check_bar_timestamps(bars: DataFrame, file: str | None = None, row: str | None = None) -> DataFrame:
-    stats = _with_stored_order(bar_stats(bars), bars, file, row)
+def check_bar_timestamps(bars: DataFrame, arrival: Sequence[str] | None = None) -> DataFrame:
+    stats = _with_arrival_order(bar_stats(bars), bars, arrival, per_append=True)
     return _rows(stats.withColumn("issues", _found(*_time_issues())))
 
 
@@ -144,10 +155,9 @@ def check_flatline(bars: DataFrame, min_run: int = 120) -> DataFrame:
     return _rows(bar_stats(bars).withColumn("issues", _found(_flat_issue(min_run))))
 
 
-def bar_slices(bars: DataFrame, file: str | None = None, row: str | None = None, min_run: int = 120,
-               **thresholds) -> DataFrame:
+def bar_slices(bars: DataFrame, arrival: Sequence[str] | None = None, min_run: int = 120, **thresholds) -> DataFrame:
     """Bar statistics with the issues of all bar checks."""
-    stats = _with_stored_order(bar_stats(bars, **thresholds), bars, file, row)
+    stats = _with_arrival_order(bar_stats(bars, **thresholds), bars, arrival, per_append=True)
     return stats.withColumn("issues", _found(*_ohlc_issues(), *_time_issues(), _gap_issue(), _flat_issue(min_run)))
 
 
@@ -185,28 +195,28 @@ def trade_stats(trades: DataFrame, stale_ms: float = 5000, min_trades: int = 20,
         trades_where(wild).alias("n_extreme"), *[F.sum(c).alias(c) for c in ("sz", "side", "stale", "ids")])
 
 
-def trade_slices(trades: DataFrame, file: str | None = None, row: str | None = None,
-                 stale_ms: float = 5000) -> DataFrame:
+def trade_slices(trades: DataFrame, arrival: Sequence[str] | None = None, stale_ms: float = 5000,
+                 max_rel: float = 0.5, min_trades: int = 20) -> DataFrame:
     keys = list(SLICE)
     real_id = F.when(F.col("trade_id") != "", F.col("trade_id"))
     unique = trades.groupBy(*keys).agg(F.count_distinct(real_id).alias("unique_ids"))
-    stats = (trade_stats(trades, stale_ms).join(unique, keys).join(lag_p99_ms(trades), keys, "left")
+    stats = (trade_stats(trades, stale_ms, min_trades, max_rel).join(unique, keys).join(lag_p99_ms(trades), keys, "left")
              .withColumn("dup", F.col("ids") - F.col("unique_ids")))
-    stats = _with_stored_order(stats, trades, file, row)
-    lag_detail = F.format_string("%d trades received more than 5s late (p99 %.0f ms)", "stale", "p99_ms")
+    stats = _with_arrival_order(stats, trades, arrival)
+    lag_detail = F.format_string(f"%d trades received more than {stale_ms / 1000:g}s late (p99 %.0f ms)", "stale", "p99_ms")
     return stats.withColumn("issues", _found(
         _issue("trade.nonpositive_price", "critical", F.col("px"), "trade price is not positive"),
         _issue("trade.nonpositive_size", "major", F.col("sz"), "trade size is not positive"),
         _issue("trade.bad_side", "minor", F.col("side"), "side is not one of -1, 0, 1"),
         _issue("trade.timestamps_out_of_order", "minor", F.col("n_decreases"), "stored trades step backwards"),
         _issue("trade.duplicate_trade_id", "major", F.col("dup"), "venue trade id repeats in the slice"),
-        _issue("trade.extreme_price", "major", F.col("n_extreme"), "price is over 50% off the slice median"),
+        _issue("trade.extreme_price", "major", F.col("n_extreme"),
+               f"price is over {max_rel * 100:g}% off the slice median"),
         _issue("trade.high_receive_lag", "minor", F.col("stale"), lag_detail)))
 
 
-def check_trades(trades: DataFrame, file: str | None = None, row: str | None = None,
-                 stale_ms: float = 5000) -> DataFrame:
-    return _rows(trade_slices(trades, file, row, stale_ms))
+def check_trades(trades: DataFrame, arrival: Sequence[str] | None = None, **thresholds) -> DataFrame:
+    return _rows(trade_slices(trades, arrival, **thresholds))
 
 
 # ---- quotes ----
@@ -222,7 +232,7 @@ def quote_slices(quotes: DataFrame, wide_bps: float = 500) -> DataFrame:
         _issue("quote.crossed_book", "major", F.col("crossed"), "ask is below bid"),
         _issue("quote.locked_book", "info", F.col("locked"), "ask equals bid"),
         _issue("quote.nonpositive_price", "critical", F.col("px"), "bid or ask is not positive"),
-        _issue("quote.implausible_spread", "minor", F.col("wide"), "spread is over 500 bps")))
+        _issue("quote.implausible_spread", "minor", F.col("wide"), f"spread is over {wide_bps:g} bps")))
 
 
 def check_quotes(quotes: DataFrame, wide_bps: float = 500) -> DataFrame:
@@ -296,15 +306,21 @@ def tape_coverage(bars: DataFrame) -> DataFrame:
 
 
 def run_checks(bars: DataFrame | None = None, trades: DataFrame | None = None,
-               quotes: DataFrame | None = None, file: str | None = None, row: str | None = None) -> DataFrame:
-    """Every check that applies to the tables given, one row per issue."""
+               quotes: DataFrame | None = None, arrival: Sequence[str] | None = None,
+               thresholds: dict[str, dict] | None = None) -> DataFrame:
+    """Every check that applies to the tables given, one row per issue.
+
+    ``arrival`` names the order-of-arrival columns of bars and trades (``Lake.arrivals``); ``thresholds`` has
+    arguments of ``bar_slices``, ``trade_slices`` and ``quote_slices`` under bars, trades and quotes.
+    """
+    given = thresholds or {}
     found = []
     if bars is not None:
-        found += [_rows(bar_slices(bars)), _rows(tape_slices(bars))]
+        found += [_rows(bar_slices(bars, arrival, **given.get("bars", {}))), _rows(tape_slices(bars))]
     if trades is not None:
-        found.append(_rows(trade_slices(trades, file, row)))
+        found.append(_rows(trade_slices(trades, arrival, **given.get("trades", {}))))
     if quotes is not None:
-        found.append(_rows(quote_slices(quotes)))
+        found.append(_rows(quote_slices(quotes, **given.get("quotes", {}))))
     if not found:
         raise ValueError("give at least one table to check")
     return union_issues(*found).select(*ISSUE)
@@ -367,12 +383,12 @@ def judge(slices: DataFrame) -> DataFrame:
         **{f"n_{s}": of(s) for s in SEVERITIES}, "issues": _ordered(F.col("issues"))})
 
 
-def _joined_slices(bars: DataFrame, trades: DataFrame | None, quotes: DataFrame | None, file: str | None,
-                   row: str | None, how: str) -> DataFrame:
+def _joined_slices(bars: DataFrame, trades: DataFrame | None, quotes: DataFrame | None,
+                   arrival: Sequence[str] | None, how: str, thresholds: dict[str, dict] | None = None) -> DataFrame:
     """Slice statistics of every table side by side, their issue arrays put together.
     One row per slice on either side of each join."""
-    keys = list(SLICE)
-    out = _completeness_columns(bar_slices(bars)).select(*keys, *COMPLETENESS, F.col("issues").alias("_i0"))
+    keys, given = list(SLICE), thresholds or {}
+    out = _completeness_columns(bar_slices(bars, arrival, **given.get("bars", {}))).select(*keys, *COMPLETENESS, F.col("issues").alias("_i0"))
     tape = tape_slices(bars).select(*keys, "union_seconds", "agg_coverage_of_union_pct",
                                     F.col("issues").alias("_i1"))
     out = out.join(tape, keys, "left")
@@ -381,13 +397,14 @@ def _joined_slices(bars: DataFrame, trades: DataFrame | None, quotes: DataFrame
     if trades is None:
         out = out.withColumn("n_trades", none)
     else:
-        out = out.join(trade_slices(trades, file, row).select(*keys, "n_trades", F.col("issues").alias("_i2")),
+        out = out.join(trade_slices(trades, arrival, **given.get("trades", {})).select(*keys, "n_trades", F.col("issues").alias("_i2")),
                        keys, how)
         found.append("_i2")
     if quotes is None:
         out = out.withColumn("n_quotes", none)
     else:
-        out = out.join(quote_slices(quotes).select(*keys, "n_quotes", F.col("issues").alias("_i3")), keys, how)
+        out = out.join(quote_slices(quotes, **given.get("quotes", {})).select(*keys, "n_quotes", F.col("issues").alias("_i3")),
+                       keys, how)
         found.append("_i3")
     nothing = F.from_json(F.lit("[]"), ISSUE_JSON)
     return (out.withColumn("issues", F.concat(*[F.coalesce(c, nothing) for c in found])).drop(*found)
@@ -396,18 +413,18 @@ def _joined_slices(bars: DataFrame, trades: DataFrame | None, quotes: DataFrame
 
 def slice_scores(bars: DataFrame, trades: DataFrame | None = None, quotes: DataFrame | None = None) -> DataFrame:
     """Per slice with an issue in any table: points lost, issue counts and the ordered issues."""
-    judged = judge(_joined_slices(bars, trades, quotes, None, None, "full"))
+    judged = judge(_joined_slices(bars, trades, quotes, None, "full"))
     return judged.where(F.col("n_issues") > 0).select(
         *SLICE, "penalty", "n_issues", *[f"n_{s}" for s in SEVERITIES], "issues")
 
 
 def score_cards(bars: DataFrame, trades: DataFrame | None = None, quotes: DataFrame | None = None,
-                file: str | None = None, row: str | None = None) -> DataFrame:
-    """One card per slice of ``bars``, all slices in one job."""
+                arrival: Sequence[str] | None = None, thresholds: dict[str, dict] | None = None) -> DataFrame:
+    """One card per slice of ``bars``, all slices in one job; ``arrival`` and ``thresholds`` as in ``run_checks``."""
     is_tape = F.col("venue") == "agg"
     base = F.when(is_tape, F.coalesce("agg_coverage_of_union_pct", F.lit(100.0))).otherwise(F.lit(100.0))
     score = F.round(F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.col("score_base_pct") - F.col("penalty"))), 2)
-    return (judge(_joined_slices(bars, trades, quotes, file, row, "left"))
+    return (judge(_joined_slices(bars, trades, quotes, arrival, "left", thresholds))
             .withColumn("score_base_pct", base).withColumn("score", score)
             .withColumn("grade", grade_of(F.col("score")))
             .withColumn("score_basis", F.when(is_tape, "coverage_of_contributing_venues")

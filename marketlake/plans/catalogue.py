@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.functions.timeutil import SECOND, date_of, hour_bucket
+from marketlake.functions.timeutil import SECOND, date_of, hour_bucket, second_of
 from marketlake.operators import analytics as A
 from marketlake.operators import bars as B
 from marketlake.operators import books as K
@@ -16,14 +16,15 @@ from marketlake.operators import health as H
 from marketlake.operators import quality as Q
 from marketlake.operators import refdata as D
 from marketlake.operators import tape as T
+from marketlake.operators.bars import bars_from_trades
 from marketlake.operators.resample import resample_bars
 from marketlake.plans import query as G
 from marketlake.plans.market_views import T0, MarketViews
-from marketlake.plans.pipeline import build_dataset
+from marketlake.plans.pipeline import build_dataset, write_daily_quality
 from marketlake.plans.status import bars_span, status_report
 from marketlake.session import ensure_session, shared_dir
-from marketlake.sources.store import Lake, latest_by_key
-from marketlake.sources.venues import symbol_dim
+from marketlake.sources.store import ARRIVAL, Lake, latest_by_key
+from marketlake.sources.venues import list_symbols, symbol_dim
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -188,6 +189,17 @@ def _grid(v, n):
     return r(G.grid_ffill(v.bars, "5s"), "open high low close volume")
 
 
+@query("grid_7h_end")
+def _grid_7h(v, n):
+    """Windows anchored at each series' own first bar, carried on to an end two days later."""
+    return r(G.grid_ffill(v.bars, "7h", end=at(200_000)), "open high low close volume")
+
+
+@query("bars_fill_ffill")
+def _fill_ffill(v, n):
+    return bars_out(G.get_bars(v.bars, SYMBOLS, at(0), at(100000), "5m", fill="ffill"))
+
+
 @query("bars_latest_version")
 def _latest(v, n):
     bars = v.bars
@@ -213,8 +225,7 @@ def _get_funding(v, n):
 
 @query("funding_wide")
 def _funding_wide(v, n):
-    wide = (v.funding.groupBy("symbol", "ts_ns").pivot("venue", ["bybit", "okx"]).agg(F.first("funding_rate")))
-    return r(wide, "bybit okx", 10)
+    return r(G.funding_wide(v.funding, ["bybit", "okx"]), "bybit okx", 10)
 
 
 @query("get_open_interest")
@@ -474,12 +485,46 @@ def _sink(v, n):
     return lake.table("trades")
 
 
+@query("bars_from_store")
+def _bars_from_store(v, n):
+    """Ties on the event time after a store round trip: the row that was appended first opens."""
+    lake = Lake(v.spark, shared_dir(v.spark, "order"))
+    tied = v.trades.withColumns({"ts_ns": second_of("ts_ns"), "recv_ns": F.col("recv_ns") - F.col("seq") * 1000})
+    lake.append("trades", tied, order="seq")
+    return bars_out(bars_from_trades(lake.arrivals("trades"), ARRIVAL))
+
+
+@query("dq_order")
+def _dq_order(v, n):
+    """Backward steps in order of arrival, of stored trades and bars."""
+    lake = Lake(v.spark, shared_dir(v.spark, "damaged"))
+    shaken = F.when(F.col("seq") % 9 == 0, F.col("ts_ns") - 3 * SECOND).otherwise(F.col("ts_ns"))
+    lake.append("trades", v.trades.withColumn("ts_ns", shaken), order="seq")
+    lake.append("bars_1s", v.bars.withColumn("place", F.col("ts_ns") + F.when(
+        sec_mod(7) == 3, 5 * SECOND).otherwise(0)), order="place")
+    steps = [Q.check_bar_timestamps(lake.arrivals("bars_1s"), arrival=ARRIVAL),
+             Q.check_trades(lake.arrivals("trades"), arrival=ARRIVAL)]
+    found = Q.union_issues(*steps).where(F.endswith("check", F.lit("out_of_order")))
+    return found.select(*Q.SLICE, "check", "severity", "count")
+
+
+@query("quality_json")
+def _quality_json(v, n):
+    """Cards as JSON per date: scoring one date again leaves the others."""
+    lake, base = Lake(v.spark, shared_dir(v.spark, "json-lake")), shared_dir(v.spark, "json")
+    lake.append("bars_1s", v.bars)
+    write_daily_quality(lake, json_dir=base)
+    first = v.bars.agg(F.min("date")).first()[0]
+    write_daily_quality(lake, dates=[str(first)], json_dir=base)
+    return v.spark.read.schema("symbol string, venue string, bars long, date string").json(base)
+
+
 @query("compact_rows")
 def _compact(v, n):
     lake = Lake(v.spark, shared_dir(v.spark, "compact"))
     for part in range(2):
         lake.append("trades", v.trades.where(F.col("seq") % 2 == part))
-    lake.compact("trades", shared_dir(v.spark, "staging"))
+    lake.compact("trades")
     files = lake.files("trades").select(*Q.SLICE, "n_files").distinct()
     rows = lake.table("trades").groupBy(*Q.SLICE).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("ts_ns") % 1000000007).alias("sum_ts"),
@@ -499,8 +544,7 @@ def _landing(v, n):
 
 @query("list_symbols")
 def _list_symbols(v, n):
-    dim = symbol_dim(v.spark).select("canonical").distinct()
-    return dim.join(v.listed.groupBy("canonical").agg(F.count(F.lit(1)).alias("n_trades")), "canonical")
+    return list_symbols(v.spark).join(v.listed.groupBy("canonical").agg(F.count(F.lit(1)).alias("n_trades")), "canonical")
 
 
 @query("symbols_for_venue")
@@ -548,7 +592,7 @@ def _map_retire(v, n):
 @query("corrections_append")
 def _corrections_append(v, n):
     _, entry = D.retire_mapping(v.symbol_map, "BTC-USDT", "binance", at(900), "delisted")
-    return D.valid_corrections(v.corrections.unionByName(entry))
+    return D.valid_corrections(v.corrections.unionByName(entry)).drop("correction_id", "recorded_at_ns")
 
 
 @query("corrections_list")
@@ -613,7 +657,7 @@ def _cov_by_table(v, n):
 
 @query("coverage_matrix")
 def _cov_matrix(v, n):
-    return C.matrix(C.coverage(stored_tables(v)), ["agg", "binance", "bybit", "coinbase", "kraken", "okx"])
+    return C.matrix(C.coverage(stored_tables(v)))
 
 
 @query("coverage_summary")
@@ -654,8 +698,8 @@ def _status_report(v, n):
 
 @query("wide_closes")
 def _wide(v, n):
-    names = ["agg", "binance", "bybit", "coinbase", "kraken", "okx"]
-    return r(A.wide_closes(v.bars, names), " ".join(names))
+    wide = A.wide_closes(v.bars)
+    return r(wide, " ".join(c for c in wide.columns if c not in ("ts_ns", "symbol")))
 
 
 @query("tracking_error")

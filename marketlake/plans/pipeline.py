@@ -20,7 +20,7 @@ from marketlake.operators.bars import bars_from_trades
 from marketlake.operators.refdata import listed_mappings, seed_symbol_map
 from marketlake.schemas import META_SCHEMAS, conform
 from marketlake.session import shared_dir
-from marketlake.sources.store import ARRIVAL, Lake, materialize, with_arrival
+from marketlake.sources.store import ARRIVAL, Files, Lake, materialize
 
 
 def slices_present(trades: DataFrame) -> DataFrame:
@@ -29,10 +29,9 @@ def slices_present(trades: DataFrame) -> DataFrame:
 
 def build_bars(lake: Lake, symbols: list[str] | None = None, dates: list[str] | None = None) -> None:
     """Per-venue bars and the tape of every slice, appended; the run is logged per slice."""
-    found = lake._stored("trades")[0]
-    if found is None:
+    if not lake.exists("trades"):
         return
-    trades = with_arrival(found)
+    trades = lake.arrivals("trades")
     if symbols:
         trades = trades.where(F.col("symbol").isin(symbols))
     if dates:
@@ -40,12 +39,14 @@ def build_bars(lake: Lake, symbols: list[str] | None = None, dates: list[str] |
     now = time.time_ns()
     # both are one row per second: stored once here, then read for the table and for the log
     venue_bars = materialize(bars_from_trades(trades, ARRIVAL).withColumn("ingested_at_ns", F.lit(now)),
-                             shared_dir(lake.spark, "venue-bars"))
+                             venue_path := shared_dir(lake.spark, "venue-bars"))
     tape = materialize(T.tape_with_diagnostics(T.spot_only(trades), arrival=ARRIVAL)
-                       .withColumn("ingested_at_ns", F.lit(now)), shared_dir(lake.spark, "tape"))
+                       .withColumn("ingested_at_ns", F.lit(now)), tape_path := shared_dir(lake.spark, "tape"))
     lake.append("bars_1s", venue_bars.unionByName(
         tape.where(F.col("n_kept") > 0).select(*venue_bars.columns)))
     log_build(lake, tape, venue_bars, now)
+    for copy in (venue_path, tape_path):
+        Files(lake.spark, copy).delete(copy)
 
 
 def log_build(lake: Lake, tape: DataFrame, venue_bars: DataFrame, now: int) -> None:
@@ -68,16 +69,19 @@ def log_build(lake: Lake, tape: DataFrame, venue_bars: DataFrame, now: int) -> N
 
 def write_daily_quality(lake: Lake, symbols: list[str] | None = None, dates: list[str] | None = None,
                         json_dir: str | None = None) -> DataFrame:
-    """Score every stored slice, upsert the cards and mirror them as JSON per date."""
+    """Score every stored slice, upsert the cards and mirror them as JSON; dates not scored keep theirs."""
     def pick(df: DataFrame) -> DataFrame:
         if symbols:
             df = df.where(F.col("symbol").isin(symbols))
         return df.where(F.col("date").isin(dates)) if dates else df
 
-    cards = Q.score_cards(pick(lake.table("bars_1s")), pick(lake.table("trades")), pick(lake.table("quotes")))
+    path = shared_dir(lake.spark, "cards")  # one row per slice, read for the table and for the files
+    cards = materialize(Q.score_cards(pick(lake.arrivals("bars_1s")), pick(lake.arrivals("trades")),
+                                      pick(lake.table("quotes")), arrival=ARRIVAL), path)
     lake.put_meta("daily_quality", Q.daily_quality_rows(cards))
     if json_dir:
-        cards.write.mode("overwrite").partitionBy("date").json(json_dir)
+        (cards.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").json(json_dir))
+    Files(lake.spark, path).delete(path)
     return pick(lake.meta("daily_quality"))
 
 

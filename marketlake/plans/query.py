@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from marketlake.functions.timeutil import date_text, floor_ns, parse_timeframe, to_ns, ts_of
 from marketlake.operators.resample import resample_bars
 from marketlake.schemas import BAR_COLUMNS
-from marketlake.sources.venues import PERP_VENUES
+from marketlake.sources.venues import PERP_VENUES, known_venue
 
 Venues = Iterable[str] | str | None
 
@@ -87,8 +87,12 @@ def get_funding(funding: DataFrame, symbol: str, start, end, venues: Venues = "a
 
 
 def funding_wide(funding: DataFrame, venues: Sequence[str] = PERP_VENUES) -> DataFrame:
-    """One column of rates per venue. Naming the venues saves a job to discover them."""
-    return funding.groupBy("ts_ns").pivot("venue", list(venues)).agg(F.first("funding_rate"))
+    """One column of rates per venue, a row per settlement and symbol; of repeated rates the last ingested.
+
+    Naming the venues saves a job to discover them; a venue that is not named stops the query.
+    """
+    return (funding.withColumn("venue", known_venue(venues)).groupBy("ts_ns", "symbol").pivot("venue", list(venues))
+            .agg(F.max_by("funding_rate", F.struct("ingested_at_ns", "recv_ns", "funding_rate"))))
 
 
 def get_open_interest(oi: DataFrame, symbol: str, start, end, venues: Venues = "all", tz: str = "UTC",
@@ -147,12 +151,12 @@ def get_bars(bars: DataFrame, symbol: str | Sequence[str], start, end, timeframe
         # nothing after resampling has a null price, so only the counters can change
         out = out.fillna(0, ["volume", "trades"])
     out = with_ts(out, tz).orderBy("ts_ns", "venue")
-    if fields:
-        keep = [c for c in fields if c in out.columns]
-        if len(wanted) > 1 and "venue" not in keep:
-            keep.append("venue")
-        out = out.select(*keep)
-    return out
+    if not fields:
+        return out
+    shown = dict.fromkeys(fields)
+    if len(wanted) > 1:
+        shown.setdefault("venue")  # several series are told apart by it
+    return out.select(*filter(set(out.columns).__contains__, shown))
 
 
 def grid_ffill(bars: DataFrame, timeframe: str, start=None, end=None) -> DataFrame:
@@ -168,7 +172,8 @@ def grid_ffill(bars: DataFrame, timeframe: str, start=None, end=None) -> DataFra
     last = F.col("ts_ns")
     if end is not None:
         bars = bars.where(F.col("ts_ns") < to_ns(end))
-        last = floor_ns(F.lit(to_ns(end) - 1).cast("long"), frame.step, frame.origin)
+        # windows of a series stand a whole number of steps from any of its bars, whatever it is anchored at
+        last = F.col("ts_ns") + floor_ns(F.lit(to_ns(end) - 1).cast("long") - F.col("ts_ns"), frame.step)
     rows = resample_bars(bars.select(*BAR_COLUMNS), timeframe)
     # bars of one series: bounded by the calendar, not by trade volume
     following = F.lead("ts_ns").over(Window.partitionBy("symbol", "venue").orderBy("ts_ns"))

@@ -7,14 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.functions.timeutil import second_of
 from marketlake.operators import health as H
 from marketlake.plans import frame_views as V
-from marketlake.plans.catalogue import BARS_OUT, bars_out, query, r
+from marketlake.plans.catalogue import bars_out, query, r
 from marketlake.plans.frame_queries import _out, ladder_text
 from marketlake.plans.market_views import MarketViews
-from marketlake.schemas import SCHEMAS
 from marketlake.session import shared_dir
 from marketlake.sources.frames.level2 import LEVEL_EVENTS, stream_books
+from marketlake.sources.store import Lake
 from marketlake.streaming import jobs as J
 
 
@@ -31,33 +32,47 @@ def drained(v: MarketViews, start: Callable[[str, str], object], read: Callable[
     return read(f"{base}/out")
 
 
+def into_lake(v: MarketViews, start: Callable[[Lake, str], object]) -> Lake:
+    base = shared_dir(v.spark, "stream-lake")
+    lake = Lake(v.spark, f"{base}/lake")
+    start(lake, f"{base}/checkpoint").awaitTermination()
+    return lake
+
+
 @query("stream_bars_1s")
 def _bars(v, n):
-    return bars_out(drained(
-        v, lambda out, cp: J.write_bars(J.bars_stream(live(v).trades), out, cp, available_now=True),
-        lambda out: v.spark.read.parquet(out)))
+    return bars_out(into_lake(v, lambda lake, cp: J.write_bars(
+        J.bars_stream(live(v).trades), lake, cp, available_now=True)).table("bars_1s"))
 
 
 @query("stream_tape_1s")
 def _tape(v, n):
-    return bars_out(drained(
-        v, lambda out, cp: J.write_tape(J.levels_stream(live(v).trades), out, cp, available_now=True),
-        lambda out: v.spark.read.schema(SCHEMAS["bars_1s"]).parquet(out).select(*BARS_OUT)))
+    return bars_out(into_lake(v, lambda lake, cp: J.write_tape(
+        J.levels_stream(live(v).trades), lake, cp, available_now=True)).table("bars_1s"))
 
 
 @query("stream_sink")
 def _sink(v, n):
-    return drained(v, lambda out, cp: J.write_raw(live(v).trades, "trades", out, cp, available_now=True),
-                   lambda out: v.spark.read.parquet(out).withColumn("date", F.col("date").cast("string")))
+    return into_lake(v, lambda lake, cp: J.write_raw(live(v).trades, "trades", lake, cp, available_now=True)).table("trades")
+
+
+@query("stream_then_append")
+def _then_append(v, n):
+    """Streamed trades, late ones appended in batch, all rebuilt: bars of the one table."""
+    late = F.col("seq") % 11 == 5
+    lake = into_lake(v, lambda lake, cp: J.write_raw(live(v).trades.where(~late), "trades", lake, cp, available_now=True))
+    lake.append("trades", v.trades.where(late))
+    per_second = lake.table("trades").groupBy(second_of("ts_ns").alias("ts_ns"), "symbol", "venue")
+    return r(per_second.agg(F.count(F.lit(1)).alias("trades"), F.max("price").alias("high"), F.min("price").alias("low"),
+                            F.sum("size").alias("volume")), "high low volume")
 
 
 @query("stream_health")
 def _health(v, n):
     feeds = live(v).trades.select("venue", "symbol", F.lit("trades").alias("stream"), "recv_ns")
-    status = drained(v, lambda out, cp: J.write_health(J.counts_stream(feeds), out, cp, available_now=True),
-                     lambda out: v.spark.read.parquet(f"{out}/status"))
-    return r(status.select("ts_ns", *H.FEED, "up", "recent_per_s", "baseline_per_s"),
-             "recent_per_s baseline_per_s", 8)
+    lake = into_lake(v, lambda lake, cp: J.write_health(J.counts_stream(feeds), lake, cp, available_now=True))
+    status = lake.meta("venue_status").withColumn("recent_per_s", F.col("coverage_pct"))
+    return r(status.select("ts_ns", *H.FEED, "up", "recent_per_s"), "recent_per_s", 8)
 
 
 @query("stream_book")

@@ -8,36 +8,38 @@ from pyspark.sql import types as T
 LEVELS = T.ArrayType(T.StructType([T.StructField("px", T.DoubleType()),
                                    T.StructField("sz", T.DoubleType())]))
 
-_TYPES = {"long": T.LongType(), "int": T.IntegerType(), "short": T.ShortType(),
-          "byte": T.ByteType(), "double": T.DoubleType(), "string": T.StringType(),
-          "bool": T.BooleanType(), "timestamp": T.TimestampType(), "levels": LEVELS}
+LONG, INT, DOUBLE, STRING = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType()
 
 
-def _struct(text: str) -> T.StructType:
-    fields = []
-    for item in text.split():
-        name, kind = item.split(":")
-        fields.append(T.StructField(name, _TYPES[kind]))
-    return T.StructType(fields)
+def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields])
 
 
 # Column names, order and types of the stored tables.
 SCHEMAS: dict[str, T.StructType] = {
-    "trades": _struct("ts_ns:long recv_ns:long symbol:string venue:string price:double size:double "
-                      "side:byte trade_id:string ingested_at_ns:long"),
-    "quotes": _struct("ts_ns:long recv_ns:long symbol:string venue:string bid_px:double ask_px:double "
-                      "bid_sz:double ask_sz:double ingested_at_ns:long"),
-    "book_l2_snapshot": _struct("ts_ns:long recv_ns:long symbol:string venue:string depth:short "
-                                "bids:levels asks:levels ingested_at_ns:long"),
-    "funding": _struct("ts_ns:long recv_ns:long symbol:string venue:string funding_rate:double "
-                       "mark_price:double next_ts_ns:long ingested_at_ns:long"),
-    "open_interest": _struct("ts_ns:long recv_ns:long symbol:string venue:string oi_base:double "
-                             "oi_quote:double ingested_at_ns:long"),
-    "bars_1s": _struct("ts_ns:long symbol:string venue:string open:double high:double low:double "
-                       "close:double volume:double vwap:double trades:int sources_mask:int "
-                       "ingested_at_ns:long"),
-    "bars_ref": _struct("ts_ns:long symbol:string venue:string interval:string open:double high:double "
-                        "low:double close:double volume:double trades:int ingested_at_ns:long"),
+    "trades": _struct(
+        ("ts_ns", LONG), ("recv_ns", LONG), ("symbol", STRING), ("venue", STRING), ("price", DOUBLE),
+        ("size", DOUBLE), ("side", T.ByteType()), ("trade_id", STRING), ("ingested_at_ns", LONG)),
+    "quotes": _struct(
+        ("ts_ns", LONG), ("recv_ns", LONG), ("symbol", STRING), ("venue", STRING), ("bid_px", DOUBLE),
+        ("ask_px", DOUBLE), ("bid_sz", DOUBLE), ("ask_sz", DOUBLE), ("ingested_at_ns", LONG)),
+    "book_l2_snapshot": _struct(
+        ("ts_ns", LONG), ("recv_ns", LONG), ("symbol", STRING), ("venue", STRING), ("depth", T.ShortType()),
+        ("bids", LEVELS), ("asks", LEVELS), ("ingested_at_ns", LONG)),
+    "funding": _struct(
+        ("ts_ns", LONG), ("recv_ns", LONG), ("symbol", STRING), ("venue", STRING), ("funding_rate", DOUBLE),
+        ("mark_price", DOUBLE), ("next_ts_ns", LONG), ("ingested_at_ns", LONG)),
+    "open_interest": _struct(
+        ("ts_ns", LONG), ("recv_ns", LONG), ("symbol", STRING), ("venue", STRING), ("oi_base", DOUBLE),
+        ("oi_quote", DOUBLE), ("ingested_at_ns", LONG)),
+    "bars_1s": _struct(
+        ("ts_ns", LONG), ("symbol", STRING), ("venue", STRING), ("open", DOUBLE), ("high", DOUBLE),
+        ("low", DOUBLE), ("close", DOUBLE), ("volume", DOUBLE), ("vwap", DOUBLE), ("trades", INT),
+        ("sources_mask", INT), ("ingested_at_ns", LONG)),
+    "bars_ref": _struct(
+        ("ts_ns", LONG), ("symbol", STRING), ("venue", STRING), ("interval", STRING), ("open", DOUBLE),
+        ("high", DOUBLE), ("low", DOUBLE), ("close", DOUBLE), ("volume", DOUBLE), ("trades", INT),
+        ("ingested_at_ns", LONG)),
 }
 
 RAW_TABLES = ("trades", "quotes", "book_l2_snapshot", "funding", "open_interest")
@@ -45,21 +47,27 @@ DERIVED_TABLES = ("bars_1s", "bars_ref")
 
 # Metadata tables and their keys.
 META_SCHEMAS: dict[str, T.StructType] = {
-    "symbol_map": _struct("canonical:string venue:string native:string asset_class:string base:string "
-                          "quote:string effective_from_ns:long effective_to_ns:long note:string"),
-    "venue_status": _struct("ts_ns:long venue:string symbol:string stream:string up:bool "
-                            "coverage_pct:double notes:string"),
-    "corrections": _struct("correction_id:string recorded_at_ns:long effective_from_ns:long "
-                           "effective_to_ns:long table_name:string symbol:string venue:string kind:string "
-                           "severity:string rows_affected:long note:string"),
-    "daily_quality": _struct("date:string symbol:string venue:string score:double grade:string "
-                             "score_base_pct:double bars:long expected_bars:long completeness_pct:double "
-                             "max_gap_seconds:long n_issues:long n_critical:long issues_json:string "
-                             "computed_at_ns:long"),
-    "coverage": _struct("table_name:string symbol:string venue:string date:string rows:long "
-                        "first_ts_ns:long last_ts_ns:long span_seconds:long bytes_on_disk:long "
-                        "computed_at_ns:long"),
-    "schema_version": _struct("version:int applied_at:timestamp"),
+    "symbol_map": _struct(
+        ("canonical", STRING), ("venue", STRING), ("native", STRING), ("asset_class", STRING), ("base", STRING),
+        ("quote", STRING), ("effective_from_ns", LONG), ("effective_to_ns", LONG), ("note", STRING)),
+    "venue_status": _struct(
+        ("ts_ns", LONG), ("venue", STRING), ("symbol", STRING), ("stream", STRING), ("up", T.BooleanType()),
+        ("coverage_pct", DOUBLE), ("notes", STRING)),
+    "corrections": _struct(
+        ("correction_id", STRING), ("recorded_at_ns", LONG), ("effective_from_ns", LONG),
+        ("effective_to_ns", LONG), ("table_name", STRING), ("symbol", STRING), ("venue", STRING),
+        ("kind", STRING), ("severity", STRING), ("rows_affected", LONG), ("note", STRING)),
+    "daily_quality": _struct(
+        ("date", STRING), ("symbol", STRING), ("venue", STRING), ("score", DOUBLE), ("grade", STRING),
+        ("score_base_pct", DOUBLE), ("bars", LONG), ("expected_bars", LONG), ("completeness_pct", DOUBLE),
+        ("max_gap_seconds", LONG), ("n_issues", LONG), ("n_critical", LONG), ("issues_json", STRING),
+        ("computed_at_ns", LONG)),
+    "coverage": _struct(
+        ("table_name", STRING), ("symbol", STRING), ("venue", STRING), ("date", STRING), ("rows", LONG),
+        ("first_ts_ns", LONG), ("last_ts_ns", LONG), ("span_seconds", LONG), ("bytes_on_disk", LONG),
+        ("computed_at_ns", LONG)),
+    "schema_version": _struct(
+        ("version", INT), ("applied_at", T.TimestampType())),
 }
 META_KEYS = {
     "symbol_map": ("canonical", "venue", "effective_from_ns"),
@@ -71,7 +79,8 @@ META_KEYS = {
 }
 
 # Input of the frame normalisers: landed venue messages.
-FRAMES = _struct("conn_id:string seq:long recv_ns:long venue:string raw:string")
+FRAMES = _struct(
+        ("conn_id", STRING), ("seq", LONG), ("recv_ns", LONG), ("venue", STRING), ("raw", STRING))
 
 BAR_COLUMNS = SCHEMAS["bars_1s"].fieldNames()
 
@@ -83,9 +92,9 @@ def schema_for(table: str) -> T.StructType:
     return META_SCHEMAS[table]
 
 
-def conform(df, table: str):
-    """Cast to the declared types, null-filling columns the input lacks."""
+def conform(df, table: str, extra: list[str] | None = None):
+    """Cast to the declared types, null-filling columns the input lacks; ``extra`` columns pass through."""
     from pyspark.sql import functions as F
     present = set(df.columns)
     return df.select(*[(F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-                       for f in schema_for(table).fields])
+                       for f in schema_for(table).fields], *(extra or []))

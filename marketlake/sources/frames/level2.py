@@ -13,6 +13,7 @@ distributed, its events are cut into blocks of time:
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,8 +23,10 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.timeutil import MINUTE, SECOND, idiv
 from marketlake.schemas import SCHEMAS
+from marketlake.session import shared_dir
 from marketlake.sources.frames.common import msg, of_venue
 from marketlake.sources.frames.trades import coinbase_events, kraken_symbol
+from marketlake.sources.store import materialize
 from marketlake.sources.venues import canonical_of
 
 EMIT_EVERY_NS = 5 * SECOND  # fixed value
@@ -68,27 +71,36 @@ def kraken_level_events(frames: DataFrame) -> DataFrame:
 
 # ---- replay of one ordered run of events ----
 
+def best_levels(levels: dict[float, float], depth: int, highest: bool) -> list[dict]:
+    """The ``depth`` best prices of one side, best first, without sorting the rest."""
+    pick = heapq.nlargest if highest else heapq.nsmallest
+    return [{"px": px, "sz": levels[px]} for px in pick(depth, levels)]
+
+
+def apply_updates(book: dict[str, dict[float, float]], updates) -> None:
+    """Set the quantity of each priced level of a known side; quantity 0 takes the level out."""
+    for side, px, qty in ((u["side"], u["px"], u["qty"]) for u in updates):
+        if side in book and px is not None and qty is not None:
+            book[side][px] = qty
+            if not qty:
+                del book[side][px]
+
+
 def replay(book: dict[str, dict[float, float]], last_emit: int, events, depth: int) -> tuple[list[dict], int]:
     """Apply (recv_ns, clear, updates) events to ``book`` in place; returns due snapshots."""
-    out = []
+    snapshots = []
     for recv_ns, clear, updates in events:
         if clear:
-            book["bid"].clear()
-            book["ask"].clear()
-        for u in updates if updates is not None else ():
-            levels = book.get(u["side"])
-            if levels is None or u["px"] is None or u["qty"] is None:
-                continue
-            if u["qty"] == 0.0:
-                levels.pop(u["px"], None)
-            else:
-                levels[u["px"]] = u["qty"]
-        if recv_ns - last_emit >= EMIT_EVERY_NS:
-            last_emit = recv_ns
-            out.append({"ts_ns": recv_ns,
-                        "bids": [{"px": p, "sz": s} for p, s in sorted(book["bid"].items(), reverse=True)[:depth]],
-                        "asks": [{"px": p, "sz": s} for p, s in sorted(book["ask"].items())[:depth]]})
-    return out, last_emit
+            for levels in book.values():
+                levels.clear()
+        if updates is not None:
+            apply_updates(book, updates)
+        if recv_ns < last_emit + EMIT_EVERY_NS:
+            continue
+        last_emit = recv_ns
+        snapshots.append({"ts_ns": recv_ns, "bids": best_levels(book["bid"], depth, True),
+                          "asks": best_levels(book["ask"], depth, False)})
+    return snapshots, last_emit
 
 
 def _ordered_events(pdf: pd.DataFrame):
@@ -210,5 +222,15 @@ def stream_books(events: DataFrame, venue: str, depth: int = 20) -> DataFrame:
     return book_rows(books, venue, depth)
 
 
+def rebuild_from_frames(venue: str):
+    """The parser form of the rebuild: landed messages of a venue → snapshots. Messages are decoded once, into a scratch
+    copy, since the rebuild reads the events several times."""
+    def parse(frames: DataFrame, depth: int = 20, **options) -> DataFrame:
+        events = LEVEL_EVENTS[venue](frames)
+        return rebuild_books(materialize(events, shared_dir(frames.sparkSession, "level-events")), venue, depth, **options)
+
+    return parse
+
+
 LEVEL_EVENTS = {"coinbase": coinbase_level_events, "kraken": kraken_level_events}
-__all__ = ["LEVEL_EVENTS", "rebuild_books", "stream_books"]
+__all__ = ["LEVEL_EVENTS", "rebuild_books", "rebuild_from_frames", "stream_books"]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marketlake.sources.frames.common import (LIST, OBJECT, buy_or_sell, cell, iso_ns, jlist, jmap, jtable, ms_ns,
                                               msg, num, of_venue, once, present, recv_ms_ns, trade_rows, whole,
                                               with_channel)
-from marketlake.sources.venues import lookup, symbols_for_venue
+from marketlake.sources.venues import listing, lookup
 
 COINBASE = ("channel string, timestamp string, events array<struct<trades:array<map<string,string>>,"
             "tickers:array<map<string,string>>,product_id:string,updates:array<map<string,string>>>>")
@@ -56,7 +56,7 @@ def coinbase(frames: DataFrame) -> DataFrame:
 
 def kraken_symbol(pair: Column) -> Column:
     """Socket pairs are BASE/QUOTE (or joined), unlike the tickers of the listing."""
-    pairs = {c.replace("-", ""): c for c, _ in symbols_for_venue("kraken")}
+    pairs = {c.replace("-", ""): c for c in listing().tickers("kraken").values()}
     return lookup(pairs, F.replace(pair, F.lit("/"), F.lit("")))
 
 

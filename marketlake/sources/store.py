@@ -1,8 +1,10 @@
-"""Partitioned Parquet tables: scan, views, append, compaction, metadata log."""
+"""Partitioned Parquet tables: scan, views, append, published batches, compaction, metadata log."""
 
 from __future__ import annotations
 
+import json
 import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -11,21 +13,74 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.functions.timeutil import date_of, hour_bucket
-from marketlake.schemas import META_KEYS, META_SCHEMAS, RAW_TABLES, SCHEMAS, conform, schema_for
+from marketlake.schemas import META_KEYS, META_SCHEMAS, SCHEMAS, conform, schema_for
 
 PARTITION = ("symbol", "venue", "date")
 # Encoding and rotation of stored files.
 ZSTD_LEVEL = 6
 ROWS_PER_FILE = 50_000
 
+FILE_LISTING = ("path string, modificationTime timestamp, length long, content binary, "
+                "symbol string, venue string, date string")
+#: Stored next to every row: when its append ran and its place in what was appended.
+STAMP = ("appended_ns", "appended_row")
+#: Order of arrival of stored rows. Files without a stamp come first, by file and row.
+ARRIVAL = ("appended_ns", "arrival_file", "appended_row")
+
 
 def with_arrival(df: DataFrame) -> DataFrame:
-    """Stored order of a scan: file name, then row inside the file."""
-    return df.select("*", F.col("_metadata.file_path").alias("arrival_file"),
-                     F.col("_metadata.row_index").alias("arrival_row"))
+    """Give a scan of stored files its order of arrival, whatever order the files were sorted in."""
+    unstamped = F.col("appended_ns").isNull()
+    return df.withColumns({
+        "arrival_file": F.when(unstamped, F.col("_metadata.file_path")).otherwise(""),
+        "appended_row": F.when(unstamped, F.col("_metadata.row_index")).otherwise(F.col("appended_row")),
+        "appended_ns": F.coalesce("appended_ns", F.lit(0).cast("long"))})
+
 
+class Files:
+    """The few file-system calls that tables need, on whatever store holds them."""
 
-ARRIVAL = ("arrival_file", "arrival_row")
+    def __init__(self, spark: SparkSession, base: str):
+        self.jvm = spark.sparkContext._jvm
+        self.fs = self.path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def path(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(name)
+
+    def exists(self, name: str) -> bool:
+        return self.fs.exists(self.path(name))
+
+    def data_files(self, folder: str) -> list[str]:
+        """Paths below a folder of the data files a write has left there."""
+        found, out = self.fs.listFiles(self.path(folder), True), []
+        while found.hasNext():
+            at = found.next().getPath()
+            if not at.getName().startswith(("_", ".")):
+                out.append(at.toString())
+        return sorted(out)
+
+    def children(self, folder: str) -> list[str]:
+        return sorted(x.getPath().toString() for x in self.fs.listStatus(self.path(folder))) if self.exists(folder) else []
+
+    def move(self, source: str, target: str) -> None:
+        self.fs.mkdirs(self.path(target).getParent())
+        if not self.fs.rename(self.path(source), self.path(target)):
+            raise OSError(f"cannot move {source} to {target}")
+
+    def delete(self, name: str) -> None:
+        self.fs.delete(self.path(name), True)
+
+    def write(self, name: str, text: str) -> None:
+        out = self.fs.create(self.path(name), True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+    def read(self, name: str) -> str:
+        source = self.fs.open(self.path(name))
+        try:
+            return bytes(source.readAllBytes()).decode()
+        finally:
+            source.close()
 
 
 class Lake:
@@ -52,13 +107,21 @@ class Lake:
 
     def _stored(self, table: str) -> tuple[DataFrame | None, T.StructType]:
         # date stays a string; given schemas null-fill columns an old file lacks
-        schema = T.StructType([*schema_for(table).fields, T.StructField("date", T.StringType())])
+        schema = T.StructType([*schema_for(table).fields, T.StructField("date", T.StringType()),
+                               *[T.StructField(c, T.LongType()) for c in STAMP]])
         return self._scan(self.path(table), schema), schema
 
     def table(self, table: str) -> DataFrame:
         """A stored table with its ``date``; a table nobody wrote yet is empty, not an error."""
         found, schema = self._stored(table)
-        return found if found is not None else self.spark.createDataFrame([], schema)
+        return (found if found is not None else self.spark.createDataFrame([], schema)).drop(*STAMP)
+
+    def arrivals(self, table: str) -> DataFrame:
+        """The stored table with the columns of ``ARRIVAL``."""
+        found, schema = self._stored(table)
+        if found is None:
+            return self.spark.createDataFrame([], schema).withColumn("arrival_file", F.lit(""))
+        return with_arrival(found)
 
     def exists(self, table: str) -> bool:
         return self._stored(table)[0] is not None
@@ -77,17 +140,77 @@ class Lake:
 
     # ---- sinks ----
 
-    def append(self, table: str, rows: DataFrame, records_per_file: int | None = None) -> None:
-        """Append without overwriting or deduplicating, one file per feed and hour.
+    def _laid_out(self, table: str, rows: DataFrame, order: str | None) -> DataFrame:
+        """Declared columns, stamp and date, dealt by feed and hour and sorted by time.
 
-        The rebalance lets adaptive execution split a feed that holds most of the rows
+        The place of a row is its place in ``rows``, taken before anything is shuffled, or what its ``order``
+        column says. The rebalance lets adaptive execution split a feed that holds most of the rows
         and merge the small ones; sorting by time keeps row-group ranges tight.
         """
-        out = conform(rows, table).withColumn("date", date_of("ts_ns")).withColumn("_hour", hour_bucket("ts_ns"))
-        order = [*PARTITION, "_hour", "ts_ns", *(["recv_ns"] if table in RAW_TABLES else [])]
-        out = (out.hint("rebalance", F.col("symbol"), F.col("venue"), F.col("date"), F.col("_hour"))
-               .sortWithinPartitions(*order).drop("_hour"))
-        write_parquet(out, self.path(table), records_per_file)
+        if order is not None:
+            place = F.col(order)
+        elif table.startswith("bars"):
+            place = F.col("ts_ns")  # computed rows have no order of arrival but time
+        else:
+            place = F.monotonically_increasing_id()
+        placed = rows.withColumn("appended_row", place.cast("long"))
+        names = schema_for(table).fieldNames()
+        out = (conform(placed, table, extra=["appended_row"])
+               .withColumns({"appended_ns": F.lit(time.time_ns()), "date": date_of("ts_ns"), "_hour": hour_bucket("ts_ns")}))
+        return (out.hint("rebalance", F.col("symbol"), F.col("venue"), F.col("date"), F.col("_hour"))
+                .sortWithinPartitions(*PARTITION, "_hour", "ts_ns", "appended_row").select(*names, *STAMP, "date"))
+
+    def append(self, table: str, rows: DataFrame, records_per_file: int | None = None, order: str | None = None) -> None:
+        """Append without overwriting or deduplicating, one file per feed and hour."""
+        write_parquet(self._laid_out(table, rows, order), self.path(table), records_per_file)
+
+    def append_once(self, table: str, rows: DataFrame, tag: str, order: str | None = None) -> bool:
+        """Append under a name: done at most once however often it is retried. False if it was done before.
+
+        The files are staged beside the table, then moved in under names that a log lists beforehand, so
+        a retry goes on where the last attempt stopped. Readers see plain table files.
+        """
+        if self._published(table, tag):
+            return False
+        staging = f"{self.path(table)}/_staged/{tag}"
+        write_parquet(self._laid_out(table, rows, order), staging, ROWS_PER_FILE, mode="overwrite")
+        self._publish(table, staging, tag, [])
+        return True
+
+    def _log(self, table: str, tag: str) -> str:
+        return f"{self.path(table)}/_log/{tag}"
+
+    def _published(self, table: str, tag: str) -> bool:
+        """Whether a batch is in the table; a half-done one is finished first."""
+        files, log = Files(self.spark, self.base), self._log(table, tag)
+        if files.exists(f"{log}.planned"):
+            self._carry_out(files, table, tag)
+        return files.exists(f"{log}.done")
+
+    def _publish(self, table: str, staging: str, tag: str, remove: list[str]) -> None:
+        files, top = Files(self.spark, self.base), files_root(staging)
+        moves = []
+        for i, source in enumerate(files.data_files(staging)):
+            inner = source[source.index(top) + len(top):].rpartition("/")[0]
+            moves.append([source, f"{self.path(table)}{inner}/{tag}-{i:05d}.parquet"])
+        files.write(f"{self._log(table, tag)}.planned", json.dumps({"moves": moves, "remove": remove, "staging": staging}))
+        self._carry_out(files, table, tag)
+
+    def _carry_out(self, files: Files, table: str, tag: str) -> None:
+        """Bring a planned batch to its end; every step can be repeated."""
+        log = self._log(table, tag)
+        plan = json.loads(files.read(f"{log}.planned"))
+        for source, target in plan["moves"]:
+            if files.exists(source) and not files.exists(target):
+                files.move(source, target)
+        for old in plan["remove"]:
+            files.delete(old)
+        files.delete(plan["staging"])
+        files.move(f"{log}.planned", f"{log}.done")
+
+    def forget(self, table: str, tag: str) -> None:
+        """Drop the log of a batch that can no longer be retried."""
+        Files(self.spark, self.base).delete(f"{self._log(table, tag)}.done")
 
     def land_klines(self, klines: DataFrame, interval: str = "1m") -> None:
         """Klines → bars_ref: constant interval, unknown ingest time."""
@@ -97,46 +220,61 @@ class Lake:
     # ---- compaction ----
 
     def files(self, table: str) -> DataFrame:
-        """One row per data file: partition, path, size, and its rank in the partition."""
-        found, _ = self._stored(table)
-        if found is None:
-            return self.spark.createDataFrame([], "symbol string, venue string, date string, file string, "
-                                                  "bytes long, rank int, n_files long, before long")
-        per_partition = Window.partitionBy(*PARTITION)
-        return (found.select(*PARTITION, F.col("_metadata.file_path").alias("file"),
-                             F.col("_metadata.file_size").alias("bytes"))
-                .groupBy(*PARTITION, "file").agg(F.max("bytes").alias("bytes"))
-                .withColumn("rank", F.row_number().over(per_partition.orderBy("file")))
-                .withColumn("n_files", F.count(F.lit(1)).over(per_partition))
-                .withColumn("before", F.coalesce(F.sum("bytes").over(
-                    per_partition.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
-
-    def compact(self, table: str, staging: str, target_bytes: int = 1 << 30) -> int:
-        """Merge the files of every partition that has more than one; returns files merged.
-
-        A partition up to ``target_bytes`` becomes one file. A larger one becomes several,
-        cut between old files, so no task handles more than a chunk. Stored row order
-        is kept: chunks are range-partitioned in order and sorted by old file and row.
+        """One row per data file: partition, path, size and number of files in the partition.
+
+        Listed from the store's metadata; no row is read.
         """
-        many = self.files(table).where(F.col("n_files") > 1).withColumn(
-            "chunk", F.floor(F.col("before") / F.lit(target_bytes)))
-        chunk_of = many.select("file", "chunk")
-        merged = many.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-        if not merged:
+        empty = self.spark.createDataFrame([], "symbol string, venue string, date string, file string, bytes long, n_files long")
+        if not self.exists(table):
+            return empty
+        # this source reads no content when only path and length are asked for
+        listed = self.spark.read.format("binaryFile").schema(FILE_LISTING).load(self.path(table))
+        return (listed.select(*PARTITION, F.col("path").alias("file"), F.col("length").alias("bytes"))
+                .withColumn("n_files", F.count(F.lit(1)).over(Window.partitionBy(*PARTITION))))
+
+    def compact(self, table: str, target_bytes: int = 1 << 30, most_files: int = 10_000) -> int:
+        """Merge small files of each partition into files of up to ``target_bytes``; returns files merged.
+
+        Only files below half the target are touched, in groups of at least two, so a second run finds nothing to do.
+        The files of a run are listed once; rows appended meanwhile are other files and stay. Merged files are
+        staged, then exactly the listed ones are replaced, by a log that a later run finishes after a crash.
+        A run takes ``most_files`` at most, whole groups each; call again for the rest.
+        """
+        files = Files(self.spark, self.base)
+        for planned in files.children(f"{self.path(table)}/_log"):
+            if planned.endswith(".planned"):
+                self._carry_out(files, table, planned.rpartition("/")[2].removesuffix(".planned"))
+        in_order = Window.partitionBy(*PARTITION).orderBy("file")  # the files of one partition
+        before = F.coalesce(F.sum("bytes").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        small = self.files(table).where(F.col("bytes") * 2 < target_bytes).withColumn(
+            "part", F.floor(before / F.lit(target_bytes)).cast("long"))
+        group = Window.partitionBy(*PARTITION, "part")
+        many = (small.withColumn("n", F.count(F.lit(1)).over(group)).where("n > 1")
+                .orderBy(*PARTITION, "part", "file").limit(most_files))
+        chosen = [r.asDict() for r in many.select(*PARTITION, "part", "n", "file").collect()]
+        groups: dict[tuple, list[str]] = {}
+        for r in chosen:
+            groups.setdefault((*[r[c] for c in PARTITION], r["part"]), []).append(r["file"])
+        if chosen and len(groups) > 1 and len(groups[last := next(reversed(groups))]) < chosen[-1]["n"]:
+            del groups[last]  # cut by the limit: left to the next run
+        listed = [f for names in groups.values() for f in names]
+        if not listed:
             return 0
-        rows = with_arrival(self._stored(table)[0]).join(chunk_of, F.col("arrival_file") == F.col("file"))
-        ordered = (rows.repartitionByRange(*PARTITION, "chunk")
-                   .sortWithinPartitions(*PARTITION, "chunk", *ARRIVAL)
-                   .drop("file", "chunk", *ARRIVAL))
-        write_parquet(ordered, staging)
+        # one task writes the files of a partition's parts under equal names: partition and name tell a file
+        part = self.spark.createDataFrame(
+            [(*key[:3], f.rpartition("/")[2], i) for i, (key, names) in enumerate(groups.items()) for f in names],
+            "symbol string, venue string, date string, _file string, _group int")
         schema = self._stored(table)[1]
-        staged = self.spark.read.schema(schema).parquet(staging)
-        # reading back splits large staged files by size, whole small files stay one task each
-        (staged.select("*", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.row_index").alias("_i"))
-         .repartitionByRange(*PARTITION, "_f").sortWithinPartitions(*PARTITION, "_f", "_i").drop("_f", "_i")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**encoding())
-         .partitionBy(*PARTITION).parquet(self.path(table)))
-        return merged
+        rows = (self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*listed)
+                .select("*", F.col("_metadata.file_name").alias("_file")))
+        tag = f"compact-{uuid.uuid4().hex[:12]}"
+        staging = f"{self.path(table)}/_staged/{tag}"
+        merged = (rows.join(F.broadcast(part), [*PARTITION, "_file"]).repartition(len(groups), "_group")  # at most `most_files` rows
+                  .sortWithinPartitions("_group", "ts_ns", *STAMP).drop("_file", "_group"))
+        write_parquet(merged, staging)
+        self._publish(table, staging, tag, listed)
+        self.forget(table, tag)
+        return len(listed)
 
     # ---- metadata: an append-only log, latest write of a key wins ----
 
@@ -170,8 +308,13 @@ def encoding() -> dict[str, str]:
             "parquet.enable.dictionary": "true"}
 
 
-def write_parquet(rows: DataFrame, path: str, records_per_file: int | None = None) -> None:
-    writer = rows.write.mode("append").options(**encoding()).partitionBy(*PARTITION)
+def files_root(folder: str) -> str:
+    """A folder's path without scheme and host, as it stands inside full file names."""
+    return folder if "://" not in folder else "/" + folder.split("://", 1)[1].partition("/")[2]
+
+
+def write_parquet(rows: DataFrame, path: str, records_per_file: int | None = None, mode: str = "append") -> None:
+    writer = rows.write.mode(mode).options(**encoding()).partitionBy(*PARTITION)
     if records_per_file:
         writer = writer.option("maxRecordsPerFile", records_per_file)
     writer.parquet(path)

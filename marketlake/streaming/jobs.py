@@ -2,13 +2,14 @@
 
 A stream closes a second (or minute) when the watermark passes its end, so results
 equal the batch results for everything closed. Rows later than the watermark are
-left to the batch rebuild, which appends a newer build of the same bars.
+left to the batch rebuild, which appends a newer build of the same bars to the same table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,9 +19,9 @@ from marketlake.functions.timeutil import MINUTE, SECOND, date_of, date_text, ts
 from marketlake.operators import health as H
 from marketlake.operators import tape as T
 from marketlake.operators.bars import bars_from_trades
-from marketlake.schemas import BAR_COLUMNS, conform
+from marketlake.schemas import BAR_COLUMNS
 from marketlake.sources.frames.quotes import gemini_changes, gemini_quotes
-from marketlake.sources.store import PARTITION, ROWS_PER_FILE, encoding
+from marketlake.sources.store import Lake, encoding
 
 # Default lateness and flush interval.
 WATERMARK = "5 seconds"
@@ -49,29 +50,37 @@ def _start(writer, checkpoint: str, available_now: bool, flush: str = FLUSH) ->
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=flush)).start()
 
 
-def write_bars(bars: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """Append-mode file sink, partitioned like every stored table; exactly once by its log."""
-    dated = bars.withColumn("date", date_of("ts_ns"))
-    return _start(dated.writeStream.outputMode("append").format("parquet").option("path", path)
-                  .options(**encoding()).partitionBy(*PARTITION), checkpoint, available_now)
+def into_table(rows: DataFrame, lake: Lake, table: str, name: str, checkpoint: str, available_now: bool = False,
+               flush: str = FLUSH, finish: Callable[[DataFrame], DataFrame] = lambda batch: batch) -> StreamingQuery:
+    """Every micro-batch into a stored table, once: a retried batch finds its name in the table's log.
 
+    The table stays plain partitioned files, so batch appends, rebuilds, compaction and streams share it. ``name`` tells
+    this stream's batches from those of other streams and must stay with its checkpoint.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        lake.append_once(table, finish(batch), f"{name}-{batch_id}")
+        if batch_id > 1:
+            lake.forget(table, f"{name}-{batch_id - 2}")  # only the last batch can come again
 
-def write_tape(levels: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """Finish the tape per batch. A retried batch overwrites its own folder, so nothing doubles."""
-    def finish(batch: DataFrame, batch_id: int) -> None:
-        bars = T.roll_levels(T.mark_levels(batch)).where(F.col("n_kept") > 0).select(*BAR_COLUMNS)
-        bars.write.mode("overwrite").options(**encoding()).parquet(f"{path}/batch={batch_id}")
+    return _start(rows.writeStream.outputMode("append").foreachBatch(write), checkpoint, available_now, flush)
 
-    return _start(levels.writeStream.outputMode("append").foreachBatch(finish), checkpoint, available_now)
 
+def write_bars(bars: DataFrame, lake: Lake, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    return into_table(bars, lake, "bars_1s", "stream-bars", checkpoint, available_now)
 
-def write_raw(rows: DataFrame, table: str, path: str, checkpoint: str, available_now: bool = False,
+
+def write_tape(levels: DataFrame, lake: Lake, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Finish the tape of the seconds that a batch closes, with the batch operators."""
+    def finish(batch: DataFrame) -> DataFrame:
+        return T.roll_levels(T.mark_levels(batch)).where(F.col("n_kept") > 0).select(*BAR_COLUMNS)
+
+    return into_table(levels, lake, "bars_1s", "stream-tape", checkpoint, available_now, finish=finish)
+
+
+def write_raw(rows: DataFrame, table: str, lake: Lake, checkpoint: str, available_now: bool = False,
               flush: str = FLUSH) -> StreamingQuery:
-    """Micro-batch sink of canonical rows: flushed by time, files bounded by rows."""
-    out = conform(rows, table).withColumn("date", date_of("ts_ns"))
-    return _start(out.writeStream.outputMode("append").format("parquet").option("path", path)
-                  .options(**encoding()).option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(*PARTITION),
-                  checkpoint, available_now, flush)
+    """Canonical rows, flushed by time, files bounded by rows."""
+    return into_table(rows, lake, table, f"stream-{table}", checkpoint, available_now, flush)
 
 
 def counts_stream(rows: DataFrame, delay: str = WATERMARK) -> DataFrame:
@@ -81,25 +90,29 @@ def counts_stream(rows: DataFrame, delay: str = WATERMARK) -> DataFrame:
     return counts.select((F.unix_micros("window.end") * 1000).alias("ts_ns"), *H.FEED, "n")
 
 
-def write_health(counts: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """Store each batch's minute counts, then judge its minutes against the stored last hour."""
+def write_health(counts: DataFrame, lake: Lake, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Store each batch's minute counts, then judge its minutes against the stored last hour, into ``venue_status``.
+
+    Counts are one row per feed and minute; a retried batch replaces its own rows when they are read, and
+    ``venue_status`` keeps the latest row of a key, so nothing doubles.
+    """
+    path = f"{lake.base}/meta/minute_counts"
+
     def judge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        dated = batch.withColumn("date", date_of("ts_ns")).withColumn("batch", F.lit(batch_id))
-        (dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("date", "batch").parquet(f"{path}/counts"))
-        stored = spark.read.schema(dated.schema).parquet(f"{path}/counts")
-        span = stored.where(F.col("batch") == batch_id).agg(
-            F.min("ts_ns").alias("lo"), F.max("ts_ns").alias("hi")).first()  # two numbers
+        dated = batch.withColumns({"batch": F.lit(batch_id).cast("long"), "date": date_of("ts_ns")})
+        span = dated.agg(F.min("ts_ns").alias("lo"), F.max("ts_ns").alias("hi")).first()  # two numbers
         if span["lo"] is None:
             return
+        dated.write.mode("append").options(**encoding()).partitionBy("date").parquet(path)
         since = span["lo"] - H.BASELINE_S * SECOND
-        recent = stored.where(F.col("date").between(date_text(since), date_text(span["hi"]))
-                              & (F.col("ts_ns") > since) & (F.col("ts_ns") <= span["hi"]))
-        fresh = recent.where(F.col("batch") == batch_id).select("ts_ns", *H.FEED)
+        stored = spark.read.schema(dated.schema).parquet(path).where(
+            F.col("date").between(date_text(since), date_text(span["hi"]))
+            & (F.col("ts_ns") > since) & (F.col("ts_ns") <= span["hi"]))
+        recent = stored.dropDuplicates(["ts_ns", *H.FEED])  # a closed minute has one count, retried or not
+        fresh = stored.where(F.col("batch") == batch_id).select("ts_ns", *H.FEED).distinct()
         health = H.health_series(recent.select(*batch.columns)).where(F.col("ts_ns") >= span["lo"])
-        H.status_rows(health.join(fresh, ["ts_ns", *H.FEED], "left_semi")).write.mode(
-            "overwrite").parquet(f"{path}/status/batch={batch_id}")
+        lake.put_meta("venue_status", H.status_rows(health.join(fresh, ["ts_ns", *H.FEED], "left_semi")))
 
     return _start(counts.writeStream.outputMode("append").foreachBatch(judge), checkpoint, available_now,
                   f"{MINUTE // SECOND} seconds")
@@ -117,23 +130,20 @@ def best_quotes_stream(frames: DataFrame) -> DataFrame:
                                               for f in ("k", "qty")])
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        # the running best is the latest row among the largest prices so far: a prefix maximum per side
         pdf = pd.concat(list(batches)).sort_values(["recv_ns", "seq"], kind="stable")
-        best = dict(zip(("bid_k", "bid_qty", "ask_k", "ask_qty"), state.get if state.exists else [None] * 4,
-                        strict=True))
-        out = {"symbol": [], "recv_ns": [], "seq": [], "best_bid": [], "best_ask": []}
-        for row in pdf.itertuples(index=False):
-            for side in ("bid", "ask"):
-                k, known = getattr(row, f"{side}_k"), best[f"{side}_k"]
-                if not pd.isna(k) and (known is None or k >= known):
-                    best[f"{side}_k"], best[f"{side}_qty"] = k, getattr(row, f"{side}_qty")
-            out["symbol"].append(key[0])
-            out["recv_ns"].append(row.recv_ns)
-            out["seq"].append(row.seq)
-            for side in ("bid", "ask"):
-                k = best[f"{side}_k"]
-                out[f"best_{side}"].append(
-                    None if k is None else {"k": k, "r": 0, "s": 0, "i": 0, "qty": best[f"{side}_qty"]})
-        state.update(tuple(best.values()))
+        held = state.get if state.exists else (None,) * 4
+        out, kept = {"symbol": key[0], "recv_ns": pdf["recv_ns"], "seq": pdf["seq"]}, []
+        for side, k, qty in (("bid", *held[:2]), ("ask", *held[2:])):
+            first = np.array([[np.nan if k is None else k, np.nan if qty is None else qty]], float)
+            both = np.vstack((first, pdf[[f"{side}_k", f"{side}_qty"]].to_numpy(float)))
+            price = np.where(np.isnan(both[:, 0]), -np.inf, both[:, 0])
+            top = np.maximum.accumulate(price)
+            at = np.maximum.accumulate(np.where((price == top) & (price > -np.inf), np.arange(len(both)), 0))
+            best = both[at]
+            out[f"best_{side}"] = [None if np.isnan(p) else {"k": p, "r": 0, "s": 0, "i": 0, "qty": q} for p, q in best[1:]]
+            kept += [None if np.isnan(x) else float(x) for x in best[-1]]
+        state.update(tuple(kept))
         yield pd.DataFrame(out)
 
     return gemini_quotes(changes.groupBy("symbol").applyInPandasWithState(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.base import BAR_COLS, cte, date_of, r, rounded, sql
+from oracle.base import BAR_COLS, VENUE_BARS, cte, date_of, r, rounded, sql
 
 OHLC = "open high low close volume vwap"
 T0 = 1700006200000000000
@@ -132,6 +132,23 @@ def bar_oracles() -> dict[str, str]:
         f"SELECT g AS ts_ns, symbol, venue, {flat}, {r('close')} AS close, "
         f"{r('CASE WHEN g = ts_ns THEN volume ELSE 0 END')} AS volume, "
         "CASE WHEN g = ts_ns THEN trades ELSE 0 END AS trades, g <> ts_ns AS filled FROM grid5", "grid5")
+    end, seven = T0 + 200_000 * S, 7 * 3600 * S
+    cte("early", f"SELECT * FROM bars WHERE ts_ns < {end}", "bars")
+    cte("m7h", resampled(f"(SELECT b.*, a.anchor FROM early b JOIN (SELECT symbol, venue, min(ts_ns) - min(ts_ns) % {86400 * S} "
+                         "AS anchor FROM early GROUP BY 1, 2) a USING (symbol, venue)) e",
+                         f"(ts_ns - (ts_ns - anchor) % {seven})"), "early")
+    cte("grid7", f"""SELECT m.*, unnest(generate_series(ts_ns, coalesce(nxt - {seven},
+        ts_ns + ({end} - 1 - ts_ns) // {seven} * {seven}), {seven})) AS g FROM (SELECT *, lead(ts_ns) OVER
+        (PARTITION BY symbol, venue ORDER BY ts_ns) AS nxt FROM m7h) m""", "m7h")
+    out["grid_7h_end"] = sql(
+        f"SELECT g AS ts_ns, symbol, venue, {flat}, {r('close')} AS close, "
+        f"{r('CASE WHEN g = ts_ns THEN volume ELSE 0 END')} AS volume, "
+        "CASE WHEN g = ts_ns THEN trades ELSE 0 END AS trades, g <> ts_ns AS filled FROM grid7", "grid7")
+    out["bars_fill_ffill"] = sql(
+        f"SELECT {BARS_OUT} FROM ({resampled('bars', five, f'{agg} AND {window(0, 100000)}')}) x", "bars")
+    cte("tied", f"SELECT * REPLACE (ts_ns - ts_ns % {S} AS ts_ns) FROM fx_trades", "fx_trades")
+    cte("tied_bars", VENUE_BARS.replace("{src}", "tied"), "tied")
+    out["bars_from_store"] = sql(f"SELECT {BARS_OUT} FROM tied_bars", "tied_bars")
     out["bars_latest_version"] = sql(
         f"SELECT {BARS_OUT}, {ts_text()} AS ts FROM ({resampled('bars', grid(60 * S), agg)}) x", "bars")
     return out

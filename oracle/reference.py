@@ -2,12 +2,95 @@
 
 from __future__ import annotations
 
-from marketlake.sources.venues import listings
 from oracle.base import cte, date_of, r, rounded, sql
 from oracle.market import S, T0, grid, resampled
 
 SL = "symbol, venue, date"
 
+# Canonical symbol, venue, the venue's own ticker.
+LISTED = (
+    ("BTC-USDT", "binance", "BTCUSDT"),
+    ("BTC-USDT", "bybit", "BTCUSDT"),
+    ("BTC-USDT", "kraken", "XBTUSDT"),
+    ("BTC-USDT", "okx", "BTC-USDT"),
+    ("BTC-USDT", "bitstamp", "btcusdt"),
+    ("BTC-USDT", "gemini", "btcusdt"),
+    ("BTC-USDT", "bitfinex", "tBTCUST"),
+    ("BTC-USD", "coinbase", "BTC-USD"),
+    ("BTC-USD", "kraken", "XBTUSD"),
+    ("BTC-USD", "bitstamp", "btcusd"),
+    ("BTC-USD", "gemini", "btcusd"),
+    ("BTC-USD", "bitfinex", "tBTCUSD"),
+    ("ETH-USDT", "binance", "ETHUSDT"),
+    ("ETH-USDT", "bybit", "ETHUSDT"),
+    ("ETH-USDT", "kraken", "ETHUSDT"),
+    ("ETH-USDT", "okx", "ETH-USDT"),
+    ("ETH-USDT", "bitstamp", "ethusdt"),
+    ("ETH-USDT", "gemini", "ethusdt"),
+    ("ETH-USDT", "bitfinex", "tETHUST"),
+    ("ETH-USD", "coinbase", "ETH-USD"),
+    ("ETH-USD", "kraken", "ETHUSD"),
+    ("ETH-USD", "bitstamp", "ethusd"),
+    ("ETH-USD", "gemini", "ethusd"),
+    ("ETH-USD", "bitfinex", "tETHUSD"),
+    ("SOL-USDT", "binance", "SOLUSDT"),
+    ("SOL-USDT", "bybit", "SOLUSDT"),
+    ("SOL-USDT", "okx", "SOL-USDT"),
+    ("SOL-USDT", "bitstamp", "solusdt"),
+    ("SOL-USDT", "bitfinex", "tSOLUST"),
+    ("SOL-USD", "coinbase", "SOL-USD"),
+    ("SOL-USD", "bitstamp", "solusd"),
+    ("SOL-USD", "bitfinex", "tSOLUSD"),
+    ("BNB-USDT", "binance", "BNBUSDT"),
+    ("BNB-USDT", "bybit", "BNBUSDT"),
+    ("XRP-USDT", "binance", "XRPUSDT"),
+    ("XRP-USDT", "bybit", "XRPUSDT"),
+    ("XRP-USD", "coinbase", "XRP-USD"),
+    ("ADA-USDT", "binance", "ADAUSDT"),
+    ("ADA-USDT", "bybit", "ADAUSDT"),
+    ("DOGE-USDT", "binance", "DOGEUSDT"),
+    ("DOGE-USDT", "bybit", "DOGEUSDT"),
+    ("AVAX-USDT", "binance", "AVAXUSDT"),
+    ("AVAX-USDT", "bybit", "AVAXUSDT"),
+    ("LINK-USDT", "binance", "LINKUSDT"),
+    ("LINK-USDT", "bybit", "LINKUSDT"),
+    ("MATIC-USDT", "binance", "MATICUSDT"),
+    ("MATIC-USDT", "bybit", "MATICUSDT"),
+    ("DOT-USDT", "binance", "DOTUSDT"),
+    ("DOT-USDT", "bybit", "DOTUSDT"),
+    ("LTC-USDT", "binance", "LTCUSDT"),
+    ("LTC-USDT", "bybit", "LTCUSDT"),
+    ("TRX-USDT", "binance", "TRXUSDT"),
+    ("TRX-USDT", "bybit", "TRXUSDT"),
+    ("NEAR-USDT", "binance", "NEARUSDT"),
+    ("NEAR-USDT", "bybit", "NEARUSDT"),
+    ("ATOM-USDT", "binance", "ATOMUSDT"),
+    ("ATOM-USDT", "bybit", "ATOMUSDT"),
+    ("ARB-USDT", "binance", "ARBUSDT"),
+    ("ARB-USDT", "bybit", "ARBUSDT"),
+    ("OP-USDT", "binance", "OPUSDT"),
+    ("OP-USDT", "bybit", "OPUSDT"),
+    ("APT-USDT", "binance", "APTUSDT"),
+    ("APT-USDT", "bybit", "APTUSDT"),
+    ("FIL-USDT", "binance", "FILUSDT"),
+    ("FIL-USDT", "bybit", "FILUSDT"),
+    ("ETC-USDT", "binance", "ETCUSDT"),
+    ("ETC-USDT", "bybit", "ETCUSDT"),
+    ("BTC-USDT-PERP", "binance_futures", "BTCUSDT"),
+    ("BTC-USDT-PERP", "bybit", "BTCUSDT"),
+    ("ETH-USDT-PERP", "binance_futures", "ETHUSDT"),
+    ("ETH-USDT-PERP", "bybit", "ETHUSDT"),
+    ("SOL-USDT-PERP", "binance_futures", "SOLUSDT"),
+    ("SOL-USDT-PERP", "bybit", "SOLUSDT"),
+    ("BNB-USDT-PERP", "binance_futures", "BNBUSDT"),
+    ("BNB-USDT-PERP", "bybit", "BNBUSDT"),
+    ("XRP-USDT-PERP", "binance_futures", "XRPUSDT"),
+    ("XRP-USDT-PERP", "bybit", "XRPUSDT"),
+)
+# Mask bit of each venue.
+MASK = {"binance": 1, "binance_futures": 2, "bitfinex": 4, "bitstamp": 8, "bybit": 16, "coinbase": 32, "gemini": 64,
+        "kraken": 128, "okx": 256}
+
 
 def oracles() -> dict[str, str]:
     out = {}
@@ -21,7 +104,7 @@ def oracles() -> dict[str, str]:
         f"""SELECT ts_ns, symbol, venue, '1m' AS interval, {rounded('open high low close volume')},
             CAST(trades AS INTEGER) AS trades, CAST(NULL AS BIGINT) AS ingested_at_ns, {date_of('ts_ns')} AS date
             FROM ({resampled('vbars', grid(60 * S))}) x""", "vbars")
-    values = ", ".join(f"('{c}', '{v}', '{n}')" for c, v, n in listings())
+    values = ", ".join(f"('{c}', '{v}', '{n}')" for c, v, n in LISTED)
     cte("listing", f"SELECT * FROM (VALUES {values}) l(canonical, venue, native)")
     out["list_symbols"] = sql("SELECT canonical, count(*) AS n_trades FROM fx_listed WHERE canonical IN "
                               "(SELECT canonical FROM listing) GROUP BY 1", "fx_listed", "listing")
@@ -46,6 +129,22 @@ def oracles() -> dict[str, str]:
         f"CASE WHEN {hit} THEN 'delisted' ELSE note END AS note) FROM fx_symbol_map", "fx_symbol_map")
     out["corrections_list"] = sql("SELECT * FROM fx_corrections WHERE table_name = 'trades' AND venue = 'okx' AND "
                                   f"recorded_at_ns >= {T0 + 120 * S}", "fx_corrections")
+    rest = ("effective_from_ns, effective_to_ns, table_name, symbol, venue, kind, severity, rows_affected, note")
+    out["corrections_append"] = sql(
+        f"SELECT {rest} FROM fx_corrections WHERE kind IN ('backfill', 'restatement', 'bad_range', 'gap', 'note') AND "
+        f"severity IN ('info', 'minor', 'major', 'critical') UNION ALL SELECT {T0 + 900 * S}, {T0 + 900 * S}, 'symbol_map', "
+        "'BTC-USDT', 'binance', 'restatement', 'info', NULL, 'BTC-USDT at binance retired (delisted)'", "fx_corrections")
+    place = f"(ts_ns + CASE WHEN ts_ns // {S} % 7 = 3 THEN {5 * S} ELSE 0 END)"
+    shaken = f"CASE WHEN seq % 9 = 0 THEN ts_ns - {3 * S} ELSE ts_ns END"
+    cte("damaged", f"SELECT symbol, venue, {date_of('t')} AS date, t, seq AS place, 'trade' AS kind FROM "
+                   f"(SELECT *, {shaken} AS t FROM fx_trades) x UNION ALL "
+                   f"SELECT symbol, venue, date, ts_ns, {place}, 'bar' FROM bars", "fx_trades", "bars")
+    cte("steps", f"SELECT *, lag(t) OVER (PARTITION BY kind, {SL} ORDER BY place, t) AS before FROM damaged", "damaged")
+    out["dq_order"] = sql(
+        f"SELECT {SL}, kind || '.timestamps_out_of_order' AS check, CASE kind WHEN 'bar' THEN 'major' ELSE 'minor' END AS "
+        f"severity, count(*) AS count FROM steps WHERE t < before GROUP BY {SL}, kind", "steps")
+    out["quality_json"] = sql(f"SELECT symbol, venue, count(*) AS bars, CAST(date AS VARCHAR) AS date FROM bars "
+                              f"GROUP BY {SL}", "bars")
     out["corrections_rollup"] = sql("SELECT kind, severity, count(*) AS n FROM fx_corrections GROUP BY 1, 2",
                                     "fx_corrections")
     out["quality_upsert"] = sql(
@@ -115,10 +214,9 @@ def oracles() -> dict[str, str]:
         + " FROM te GROUP BY 1, 2", "te")
     out["dispersion"] = sql(f"SELECT ts_ns, symbol, {r('(max(close) - min(close)) / ((max(close) + min(close)) / 2) * 1e4')} "
                             "AS disp_bps FROM vbars GROUP BY 1, 2", "vbars")
-    from marketlake.sources.venues import venue_bits
     cte("shares", " UNION ALL ".join(
         f"SELECT symbol, '{v}' AS venue, avg(CASE WHEN sources_mask & {b} <> 0 THEN 1 ELSE 0 END) * 100 AS share_pct "
-        "FROM tape GROUP BY 1" for v, b in venue_bits().items()), "tape")
+        "FROM tape GROUP BY 1" for v, b in MASK.items()), "tape")
     out["mask_presence"] = sql(f"SELECT symbol, venue, {r('share_pct', 4)} AS share_pct FROM shares "
                                "WHERE share_pct > 0", "shares")
     out["mask_histogram"] = sql("SELECT symbol, CAST(bit_count(sources_mask) AS INTEGER) AS n_venues, count(*) AS "

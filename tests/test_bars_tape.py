@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from marketlake.operators import bars as B
 from marketlake.operators import tape as K
-from marketlake.sources.venues import venue_bits
+from marketlake.sources.venues import mask_bits
 from tests.helpers import S, T, bars, rows, trades
 
 MS = 1_000_000
@@ -36,7 +36,7 @@ def test_bars_without_volume_use_close_as_vwap(spark):
 
 
 def test_blend(spark):
-    bits = venue_bits(["binance", "coinbase", "kraken"])
+    bits = mask_bits(["binance", "coinbase", "kraken"])
     got = rows(B.blend_bars(bars(spark, [
         dict(venue="binance", open=100, high=101, low=99, close=100.5, volume=10, vwap=100.2, trades=50),
         dict(venue="coinbase", open=100.1, high=101.2, low=99.1, close=100.6, volume=5, vwap=100.3, trades=30),
@@ -48,7 +48,7 @@ def test_blend(spark):
 
 
 def test_blend_drops_outlier_and_empty(spark):
-    bits = venue_bits(["binance", "coinbase", "kraken", "rogue"])
+    bits = mask_bits(["binance", "coinbase", "kraken", "rogue"])
     three = [dict(venue=v, px=100) for v in ("binance", "coinbase", "kraken")]
     got = rows(B.blend_bars(bars(spark, [*three, dict(venue="rogue", px=200)]), outlier_sigma=2.0, bits=bits))[0]
     assert got["sources_mask"] & bits["rogue"] == 0 and got["volume"] == 3
@@ -68,7 +68,7 @@ def test_tape_basics(spark):
     got = rows(K.build_tape(trades(spark, [
         (T + 1, "binance", 100, 2), (T + 2, "coinbase", 100.2, 1), (T + 3, "kraken", 99.9, 1)])))[0]
     assert (got["venue"], got["open"], got["close"], got["volume"]) == ("agg", 100, 99.9, 4)
-    assert got["sources_mask"] == sum(venue_bits()[v] for v in ("binance", "coinbase", "kraken"))
+    assert got["sources_mask"] == sum(mask_bits()[v] for v in ("binance", "coinbase", "kraken"))
 
 
 def test_tape_drops_fat_finger(spark):

@@ -51,7 +51,7 @@ def test_timestamps(spark):
     back = bars(spark, [dict(s=s) for s in (0, 5, 3, 9)]).withColumn(
         "row", F.when(F.col("ts_ns") == T, 0).when(F.col("ts_ns") == T + 5 * S, 1)
         .when(F.col("ts_ns") == T + 3 * S, 2).otherwise(3).cast("long"))
-    assert named(Q.check_bar_timestamps(back, row="row"))["bar.timestamps_out_of_order"]["count"] == 1
+    assert named(Q.check_bar_timestamps(back, arrival=["row"]))["bar.timestamps_out_of_order"]["count"] == 1
     assert named(Q.check_bar_timestamps(bars(spark, [dict(ts_ns=T + 5)]))) == {}  # single bar: not checked
 
 

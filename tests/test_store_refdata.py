@@ -36,40 +36,146 @@ def test_append_keeps_duplicates_and_splits_by_utc_date(spark, lake):
     assert {r["date"] for r in got.select("date").distinct().collect()} == {"2023-11-14", "2023-11-15"}
 
 
-def test_compaction_keeps_rows_and_order(spark, lake, tmp_path):
+def test_compaction_keeps_rows_and_order(spark, lake):
     for part in range(4):
         lake.append("trades", trades(spark, [(T + part, "okx", part, 1), (T + 9, "okx", 50 + part, 1)]))
     before = [(r["price"]) for r in _stored(lake)]
-    assert lake.compact("trades", str(tmp_path / "s1")) == 4
+    assert lake.compact("trades") == 4
     assert lake.files("trades").count() == 1
-    assert [(r["price"]) for r in _stored(lake)] == before
-    assert lake.compact("trades", str(tmp_path / "s2")) == 0  # one file: left alone
+    assert [(r["price"]) for r in _stored(lake)] == before == [0, 1, 2, 3, 50, 51, 52, 53]
+    assert lake.compact("trades") == 0  # one file: left alone
 
 
-def test_compaction_cuts_large_partitions(spark, lake, tmp_path):
+def test_compaction_merges_small_files_only(spark, lake):
     for part in range(6):
-        lake.append("trades", trades(spark, [(T + part, "okx", part, 1)]))
+        lake.append("trades", trades(spark, [(T + part, "okx", part, 1), (T + part, "kraken", part, 1)]))
     size = lake.files("trades").first()["bytes"]
-    assert lake.compact("trades", str(tmp_path / "s"), target_bytes=2 * size) == 6
-    assert 1 <= lake.files("trades").count() <= 4 and lake.table("trades").count() == 6
+    assert lake.compact("trades", target_bytes=size) == 0  # all at least half of the target
+    assert lake.compact("trades", target_bytes=4 * size) >= 10
+    left = lake.files("trades").count()
+    assert left <= 6 and lake.table("trades").count() == 12
+    assert lake.compact("trades", target_bytes=size) == 0 and lake.files("trades").count() == left
+
+
+def test_compaction_by_limited_runs(spark, lake):
+    for part in range(5):
+        lake.append("trades", trades(spark, [(T + part, v, part, 1) for v in ("okx", "kraken")]))
+    assert lake.compact("trades", most_files=7) == 5 and lake.compact("trades", most_files=7) == 5
+    assert lake.files("trades").count() == 2 and lake.table("trades").count() == 10
+
+
+def test_rows_appended_during_compaction_survive(spark, lake, monkeypatch):
+    for part in range(3):
+        lake.append("trades", trades(spark, [(T + part, "okx", part, 1)]))
+    publish = lake._publish
+
+    def late(*args):
+        lake.append("trades", trades(spark, [(T + 50, "okx", 50, 1)]))
+        publish(*args)
+
+    monkeypatch.setattr(lake, "_publish", late)
+    assert lake.compact("trades") == 3
+    assert [r["price"] for r in _stored(lake)] == [0, 1, 2, 50]
+
+
+def test_compaction_goes_on_after_a_crash(spark, lake, monkeypatch):
+    from marketlake.sources.store import Files
+    for part in range(3):
+        lake.append("trades", trades(spark, [(T + part, "okx", part, 1)]))
+    with monkeypatch.context() as m:
+        def fail(self, name):
+            raise RuntimeError("lost")
+        m.setattr(Files, "delete", fail)
+        with pytest.raises(RuntimeError):
+            lake.compact("trades")
+    lake.compact("trades")
+    assert [r["price"] for r in _stored(lake)] == [0, 1, 2]
+
+
+def test_append_once(spark, lake, monkeypatch):
+    from marketlake.sources.store import Files
+    one = trades(spark, [(T, "okx", 1, 1)])
+    assert lake.append_once("trades", one, "job-1") and not lake.append_once("trades", one, "job-1")
+    with monkeypatch.context() as m:
+        move = Files.move
+
+        def fail(self, source, target):
+            move(self, source, target)
+            raise RuntimeError("lost")
+        m.setattr(Files, "move", fail)
+        with pytest.raises(RuntimeError):
+            lake.append_once("trades", trades(spark, [(T + 1, "okx", 2, 1)]), "job-2")
+    assert not lake.append_once("trades", trades(spark, [(T + 1, "okx", 2, 1)]), "job-2")
+    lake.append("trades", trades(spark, [(T + 2, "okx", 3, 1)]))
+    assert [r["price"] for r in _stored(lake)] == [1, 2, 3]
+
+
+def test_order_of_arrival_survives_the_store(spark, lake):
+    from marketlake.operators.bars import bars_from_trades
+    from marketlake.sources.store import ARRIVAL
+    first = trades(spark, [(T, "okx", 100, 1), (T, "okx", 101, 1)])
+    first = first.withColumn("recv_ns", first["ts_ns"] + 1000 - first["price"].cast("long"))
+    lake.append("trades", first.coalesce(1))
+    got = bars_from_trades(lake.arrivals("trades"), ARRIVAL).collect()[0]
+    assert (got["open"], got["close"]) == (100, 101)
+
+
+def test_json_of_other_dates_stays(spark, lake, tmp_path):
+    day = 86400 * S
+    from tests.helpers import bars
+    lake.append("bars_1s", bars(spark, [dict(ts_ns=T - T % S + i * S + d * day) for d in range(2) for i in range(5)]))
+    P.write_daily_quality(lake, json_dir=str(tmp_path / "j"))
+    P.write_daily_quality(lake, dates=["2023-11-14"], json_dir=str(tmp_path / "j"))
+    assert sorted(p.name for p in (tmp_path / "j").glob("date=*")) == ["date=2023-11-14", "date=2023-11-15"]
+
+
+def test_pivots_refuse_unlisted_venues(spark):
+    from marketlake.operators.analytics import wide_closes
+    from marketlake.plans.query import funding_wide
+    from tests.helpers import bars
+    b = bars(spark, [dict(venue="okx"), dict(venue="kraken")])
+    assert {"okx", "kraken"} <= set(wide_closes(b).columns)
+    with pytest.raises(Exception, match="kraken"):
+        wide_closes(b, ["okx"]).collect()
+    rates = spark.createDataFrame([(T, T, "A", "okx", 0.1, 5), (T, T, "B", "okx", 0.9, 5)],
+                                  "ts_ns long, recv_ns long, symbol string, venue string, funding_rate double, ingested_at_ns long")
+    assert sorted(r["okx"] for r in funding_wide(rates, ["okx"]).collect()) == [0.1, 0.9]
 
 
 def _stored(lake):
-    from marketlake.sources.store import ARRIVAL, with_arrival
-    return with_arrival(lake._stored("trades")[0]).orderBy("ts_ns", *ARRIVAL).collect()
-
-
-def test_symbols():
-    for c, v, n in V.listings():
-        assert V.to_native(c, v) == n
-        if (v, c) != ("bybit", "BTC-USDT"):
-            assert V.to_canonical(n.lower(), v).split("-")[:2] == c.split("-")[:2]
-    assert V.to_canonical("BTCUSDT", "bybit") == "BTC-USDT-PERP"  # the later listing wins
-    assert V.to_canonical("NOPE", "binance") is None and V.to_native("BTC-USD", "binance") is None
-    assert not set(V.perpetuals()) & set(V.spots())
-    bits = V.venue_bits()
+    from marketlake.sources.store import ARRIVAL
+    return lake.arrivals("trades").orderBy("ts_ns", *ARRIVAL).collect()
+
+
+def test_symbols(spark):
+    own = {(v, n.upper()): c for c, v, n in V.LISTED}
+    for (venue, native), canonical in own.items():
+        assert V.listing().tickers(venue)[native] == canonical
+    assert V.listing().tickers("bybit")["BTCUSDT"] == "BTC-USDT-PERP"  # the later listing wins
+    assert "NOPE" not in V.listing().tickers("binance") and V.listing().tickers("nowhere") == {}
+    bits = V.mask_bits()
     assert len(set(bits.values())) == 9 and all(b & (b - 1) == 0 for b in bits.values())
-    assert V.to_native("BTC-USD", "kraken") == "XBTUSD" and V.to_native("ETH-USDT", "bitfinex") == "tETHUST"
+    assert ("BTC-USD", "kraken", "XBTUSD") in V.LISTED and ("ETH-USDT", "bitfinex", "tETHUST") in V.LISTED
+    assert [r.canonical for r in V.list_symbols(spark, "coinbase").collect()] == ["BTC-USD", "ETH-USD", "SOL-USD", "XRP-USD"]
+    perps = V.listing().frame(spark).where("asset_class = 'perp'").select("canonical").distinct()
+    assert perps.count() == 5
+
+
+def test_given_listing(spark):
+    from marketlake.sources.frames import normalise
+    given = spark.createDataFrame([("NEW-USD", "coinbase", "odd.ticker")], "canonical string, venue string, native string")
+    raw = ('{"channel":"market_trades","events":[{"trades":[{"product_id":"ODD.ticker","price":"1.5","size":"2",'
+           '"side":"BUY","time":"2026-05-12T00:00:00Z","trade_id":"7"}]}]}')
+    frames = spark.createDataFrame([("c", 1, 5, "coinbase", raw)], "conn_id string, seq long, recv_ns long, venue string, "
+                                                                   "raw string")
+    assert normalise(frames, "coinbase", "trades").where("symbol is not null").count() == 0
+    V.use_listing(given)
+    try:
+        assert [r.symbol for r in normalise(frames, "coinbase", "trades").collect()] == ["NEW-USD"]
+        assert [tuple(r) for r in V.symbol_dim(spark).collect()] == [("NEW-USD", "coinbase", "odd.ticker", 0)]
+        assert [r.canonical for r in V.list_symbols(spark).collect()] == ["NEW-USD"]
+    finally:
+        V.use_listing()
 
 
 def test_seed_retire_and_asof(spark):
@@ -141,6 +247,6 @@ def test_pipeline(spark, lake):
     assert report["coverage"] == 2 and report["quality"] == 4 and report["corrections"] == 1
     cov = {r["table_name"]: r for r in rows(C.by_table(lake.meta("coverage")))}
     assert cov["trades"]["rows"] == 1800 and cov["trades"]["bytes"] > 0
-    lines = rows(C.matrix_markdown(lake.meta("coverage"), ["agg", "binance"]))
+    lines = rows(C.matrix_markdown(lake.meta("coverage")))
     assert lines[0]["line"].startswith("| symbol |") and len(lines) == 4
     assert datetime.fromtimestamp(manifest["built_at_ns"] / S, timezone.utc).year > 2000
