@@ -501,7 +501,7 @@ def _dq_order(v, n):
     shaken = F.when(F.col("seq") % 9 == 0, F.col("ts_ns") - 3 * SECOND).otherwise(F.col("ts_ns"))
     lake.append("trades", v.trades.withColumn("ts_ns", shaken), order="seq")
     lake.append("bars_1s", v.bars.withColumn("place", F.col("ts_ns") + F.when(
-        sec_mod(7) == 3, 5 * SECOND).otherwise(0)), order="place")
+        sec_mod(7) == 3, 5 * SECOND + 1).otherwise(0)), order="place")
     steps = [Q.check_bar_timestamps(lake.arrivals("bars_1s"), arrival=ARRIVAL),
              Q.check_trades(lake.arrivals("trades"), arrival=ARRIVAL)]
     found = Q.union_issues(*steps).where(F.endswith("check", F.lit("out_of_order")))

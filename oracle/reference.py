@@ -134,7 +134,7 @@ def oracles() -> dict[str, str]:
         f"SELECT {rest} FROM fx_corrections WHERE kind IN ('backfill', 'restatement', 'bad_range', 'gap', 'note') AND "
         f"severity IN ('info', 'minor', 'major', 'critical') UNION ALL SELECT {T0 + 900 * S}, {T0 + 900 * S}, 'symbol_map', "
         "'BTC-USDT', 'binance', 'restatement', 'info', NULL, 'BTC-USDT at binance retired (delisted)'", "fx_corrections")
-    place = f"(ts_ns + CASE WHEN ts_ns // {S} % 7 = 3 THEN {5 * S} ELSE 0 END)"
+    place = f"(ts_ns + CASE WHEN ts_ns // {S} % 7 = 3 THEN {5 * S + 1} ELSE 0 END)"
     shaken = f"CASE WHEN seq % 9 = 0 THEN ts_ns - {3 * S} ELSE ts_ns END"
     cte("damaged", f"SELECT symbol, venue, {date_of('t')} AS date, t, seq AS place, 'trade' AS kind FROM "
                    f"(SELECT *, {shaken} AS t FROM fx_trades) x UNION ALL "
