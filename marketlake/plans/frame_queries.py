@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from marketlake.plans import frame_views as V
+from market_fixtures import frame_views as V
 from marketlake.plans.catalogue import query, r
 from marketlake.session import shared_dir
 from marketlake.sources.frames import PARSERS, normalise
@@ -68,7 +68,7 @@ def _rest_funding(v, n):
 @query(*[f"norm_{v}_klines" for v in KLINE_PAGES])
 def _klines(v, n):
     venue = _venue(n, "klines")
-    return rest_klines(V.kline_pages(v.venue_bars.where("venue = 'okx'"), venue), venue)
+    return rest_klines(V.kline_pages(v.venue_bars, venue), venue)
 
 
 def ladder_text(df: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.timeutil import second_of
 from marketlake.operators import health as H
-from marketlake.plans import frame_views as V
+from market_fixtures import frame_views as V
 from marketlake.plans.catalogue import bars_out, query, r
 from marketlake.plans.frame_queries import _out, ladder_text
 from marketlake.plans.market_views import MarketViews

@@ -16,6 +16,8 @@ PLAN_CONFS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # keys of a partial aggregate that hash before it falls back to sorting
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",
     # call-site capture costs a stack walk per column expression
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marketlake.plans.frame_views import CANONICAL
+from market_fixtures.frame_views import CANONICAL
 from marketlake.plans.market_views import TEXTS
 from oracle.base import cte, r, sql
 
@@ -80,7 +80,7 @@ def oracles() -> dict[str, str]:
         n = "trades" if v in ("binance", "binance_futures", "kraken") else "0"
         cols = ", ".join(f"(round({c}, 6) + 0.0) AS {c}" for c in ("open", "high", "low", "close", "volume"))
         out[f"norm_{v}_klines"] = sql(f"SELECT ts_ns, symbol, '{v}' AS venue, {cols}, {n} AS trades FROM vbars "
-                                      f"WHERE venue = 'okx' AND {cond}", "vbars")
+                                      f"WHERE {cond}", "vbars")
     for v in ("coinbase", "kraken"):
         out[f"norm_{v}_book"] = book_text(v)
     return out
