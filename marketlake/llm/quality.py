@@ -184,6 +184,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Ensemble
         return Ensemble([], [], float(np.log(rate / (1 - rate))))
     x = np.column_stack([table.column(c).to_numpy() for c in STATISTICS])
     rules = tree_rules(x, y)
+    if not rules:  # too few rows to split
+        return Ensemble([], [], float(np.log(y.mean() / (1 - y.mean()))))
     matrix = np.column_stack([holds(r, x) for r in rules]).astype(np.float32)
     weights, bias = lasso(matrix, y)
     kept = np.flatnonzero(np.abs(weights) > 1e-4)

@@ -22,8 +22,8 @@ from marketlake.llm.decontaminate import words
 
 #: Labelled rows to fit on at most (those of the smallest hashes), and features to choose from them.
 SAMPLE_ROWS, FEATURES = 30_000, 2048
-#: Rows that must hold a feature before it counts.
-SUPPORT = 5
+#: Rows that must hold a feature before it counts, and the G statistic it must reach (one in a thousand by chance is 10.8).
+SUPPORT, LEAST_G = 4, 10.8
 FOLDS = 3
 THRESHOLD = 0.5
 PREFIXES = (4, 5, 6)
@@ -32,7 +32,7 @@ PREFIXES = (4, 5, 6)
 def features(text: bytes) -> set[bytes]:
     """Distinct words, and distinct word beginnings marked by a star."""
     found = set(words(text))
-    return found.union(*({w[:n] + b"*" for w in found} for n in PREFIXES))
+    return found.union(*({w[:n] + b"*" for w in found if len(w) >= n} for n in PREFIXES))
 
 
 @dataclass
@@ -69,7 +69,7 @@ class Linear:
         return sigmoid(rows.dot(self.weights) + earlier @ self.earlier + self.bias)
 
 
-def fit_linear(rows: Rows, earlier: np.ndarray, y: np.ndarray, width: int, ridge: float = 0.5, steps: int = 150) -> Linear:
+def fit_linear(rows: Rows, earlier: np.ndarray, y: np.ndarray, width: int, ridge: float = 0.02, steps: int = 400) -> Linear:
     """Ridge logistic regression by accelerated gradient steps scaled to each feature's count."""
     n, m = len(y), earlier.shape[1]
     scale = np.concatenate((rows.transposed_dot(np.ones(n), width), (earlier ** 2).sum(0), [n])) / 4
@@ -155,9 +155,9 @@ def choose_features(sample: DataFrame, keep: int = FEATURES) -> tuple[list[bytes
 
     g = (term(F.col("a"), held * t / n) + term(F.col("b"), held * (n - t) / n)
          + term(t - F.col("a"), (n - held) * t / n) + term(n - t - F.col("b"), (n - held) * (n - t) / n))
-    best = (counts.where(held >= SUPPORT).select("feature", "a", "b", g.alias("g"))
+    best = (counts.where(held >= SUPPORT).select("feature", "a", "b", g.alias("g")).where(F.col("g") >= LEAST_G)
             .orderBy(F.desc("g"), "feature").limit(keep).collect())
-    return [bytes(r["feature"]) for r in best], {bytes(r["feature"]) for r in best if r["b"] == 0 and r["g"] > 10}
+    return [bytes(r["feature"]) for r in best], {bytes(r["feature"]) for r in best if r["b"] == 0}
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Chain | None:
