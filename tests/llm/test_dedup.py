@@ -195,6 +195,29 @@ def test_passages_that_many_documents_share(spark):
         assert (r.first_word, r.past_word) == (20 + r.doc_id, 110 + r.doc_id)
 
 
+def test_passage_behind_documents_that_only_hold_its_least_words(spark):
+    words, least = prose(4242, 60, 10 ** 6).split(), 46
+
+    def places(text):
+        hashes = shingle_hashes(text.encode(), 5)
+        return [set(substring_dedup.compact_windows(np.maximum(substring_dedup.mix(hashes ^ seed) >> np.uint64(32), np.uint64(1)),
+                                                    least)[1].tolist()) for seed in substring_dedup._SEEDS]
+
+    decoys, seed = [], 0
+    for f, found in enumerate(places(" ".join(words))):
+        for c in found:
+            while True:
+                seed += 1
+                text = f"{prose(10_000 + seed, 30, 10 ** 6)} {' '.join(words[c: c + 5])} {prose(90_000 + seed, 30, 10 ** 6)}"
+                held = places(text)
+                if 30 in held[f] and not any(30 in h for i, h in enumerate(held) if i != f):
+                    decoys.append(text)
+                    break
+    pairs = [*enumerate(decoys), (1000, " ".join(words)), (1001, " ".join(words))]
+    got = substring_dedup.repeated_passages(documents(spark, pairs)).collect()
+    assert [tuple(r)[:6] for r in got] == [(1001, 0, 60, 1000, 0, 60)]
+
+
 def test_every_long_common_run_is_reported(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     pairs = [(r.doc_id, lowered(r.text).split()) for r in docs.collect()]
