@@ -218,6 +218,17 @@ def test_passage_behind_documents_that_only_hold_its_least_words(spark):
     assert [tuple(r)[:6] for r in got] == [(1001, 0, 60, 1000, 0, 60)]
 
 
+def test_functions_agree_by_place_and_miss_rarely(spark):
+    columns = "doc long, other long, f long, d long, low long, high long"
+    met = [(1, 0, 0, 0, 10, 60), (1, 0, 3, 30, 50, 110),  # functions 0 and 3 lie over places 50 to 60, 30 diagonals apart
+           (2, 0, 0, 0, 10, 60), (2, 0, 3, 0, 61, 110),  # side by side
+           (3, 0, 2, 0, 10, 60), (3, 0, 2, 0, 20, 70)]  # one function only
+    got = substring_dedup._candidates(spark.createDataFrame(met, columns)).collect()
+    assert [(r.doc, r.other, sorted(r.diagonals)) for r in got] == [(1, 0, [0, 30])]
+    n = substring_dedup.FUNCTIONS
+    assert substring_dedup.ENOUGH == 2 and 0.2 ** n + n * 0.8 * 0.2 ** (n - 1) < 0.002
+
+
 def test_every_long_common_run_is_reported(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     pairs = [(r.doc_id, lowered(r.text).split()) for r in docs.collect()]
