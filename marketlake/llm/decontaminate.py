@@ -260,7 +260,7 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> list[Phrases]:
 
 
 SPANS = "array<struct<first:int,past:int>>"
-FOUND = f"doc_id long, n_words int, spans {SPANS}, items array<string>"
+FOUND = f"doc_id long, raw long, n_words int, spans {SPANS}, items array<string>"
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES,
@@ -271,10 +271,16 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int =
     items without words have none; a null item id counts as the text ``null``. One row per
     row of ``docs``, repeated and null ids too. An empty benchmark finds nothing.
     """
+    return find_in_texts(docs, benchmark, block_bytes, shard_words).drop("raw")
+
+
+def find_in_texts(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES,
+                  shard_words: int = SHARD_WORDS) -> DataFrame:
+    """``find_contamination`` with ``raw``, a hash of the row's text as it is."""
     spark = docs.sparkSession
     small_batches(spark)
     kind = pa.list_(pa.struct([("first", pa.int32()), ("past", pa.int32())]))
-    now = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes("text"), F.lit(0).alias("n_words"),
+    now = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("raw"), as_bytes("text"), F.lit(0).alias("n_words"),
                       F.array().cast(SPANS).alias("spans"), F.array().cast("array<string>").alias("items"))
     blocks = _blocks(benchmark, block_bytes)
     for i, phrases in enumerate(blocks):
@@ -296,12 +302,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int =
             texts = table.column("text").to_pylist()
             found = search_texts(phrases, texts, shard_words)
             spans, items = table.column("spans").to_pylist(), table.column("items").to_pylist()
-            columns = [table.column("doc_id").combine_chunks()] + ([] if last else [table.column("text").combine_chunks()])
+            columns = [table.column(c).combine_chunks() for c in ("doc_id", "raw")] + ([] if last else [table.column("text").combine_chunks()])
             columns += [pa.array([f[0] for f in found], pa.int32()),
                         pa.array([[{"first": a, "past": b} for a, b in merged(
                             [(x["first"], x["past"]) for x in old] + f[1])] for old, f in zip(spans, found)], kind),
                         pa.array([sorted({*old, *f[2]}) for old, f in zip(items, found)], pa.list_(pa.string()))]
-            names = ["doc_id", *([] if last else ["text"]), "n_words", "spans", "items"]
+            names = ["doc_id", "raw", *([] if last else ["text"]), "n_words", "spans", "items"]
             yield from pa.table(columns, names).to_batches()
 
         now = now.mapInArrow(search, FOUND if last else FOUND.replace("n_words", "text binary, n_words"))
@@ -332,7 +338,7 @@ def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents without any test phrase, with all their columns; null ids stay if their text is clean."""
-    dirty = find_contamination(docs, benchmark).where(F.size("spans") > 0)
-    return select_ids(docs, dirty.select("doc_id"), "left_anti")
+    """Documents without any test phrase, with all their columns. A row is judged by its own text, whatever its id."""
+    dirty = find_in_texts(docs, benchmark).where(F.size("spans") > 0)
+    return select_ids(docs, dirty.select("doc_id", "raw"), "left_anti", raw=True)
 

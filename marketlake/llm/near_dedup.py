@@ -52,19 +52,19 @@ def set_name(shingles: np.ndarray) -> bytes | None:
 
 
 def named_sets(docs: DataFrame) -> DataFrame:
-    """``doc_id, node, n_shingles`` per row; node is the name of the shingle set, null if empty."""
+    """``doc_id, raw, node, n_shingles, keys`` per row; raw is a hash of the text as it is, node is the name of the shingle set, null if empty."""
     def names(batches):
         for batch in batches:
-            sets = [shingle_set(x) for x in batch.column(1).to_pylist()]
+            sets = [shingle_set(x) for x in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([set_name(s) for s in sets], pa.binary()),
+                [*batch.columns[:2], pa.array([set_name(s) for s in sets], pa.binary()),
                  pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([table_keys(s).astype(np.int64) if len(s) else [] for s in sets], pa.list_(pa.int64()))],
-                ["doc_id", "node", "n_shingles", "keys"])
+                ["doc_id", "raw", "node", "n_shingles", "keys"])
 
     small_batches(docs.sparkSession)
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes("text"))
-            .mapInArrow(names, "doc_id long, node binary, n_shingles long, keys array<long>"))
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("raw"), as_bytes("text"))
+            .mapInArrow(names, "doc_id long, raw long, node binary, n_shingles long, keys array<long>"))
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -191,6 +191,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     texts are linked with nothing. Rows that repeat an id keep their own text; a component whose ids
     are all null has a null name and is kept. An empty table gives no rows.
     """
+    return grouped(docs, percent).drop("raw", "root")
+
+
+def grouped(docs: DataFrame, percent: int) -> DataFrame:
+    """``near_duplicates`` with ``raw``, a hash of the row's text, and ``root``, the component's least node."""
     named = stored(named_sets(docs), "named")
     nodes = stored(named.where(F.col("node").isNotNull()).groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys")), "nodes")
@@ -222,17 +227,21 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     tied = components(links, "linked")
     of_node = nodes.select("node", "doc_id").join(tied, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named_root = of_node.groupBy("root").agg(F.min("doc_id").alias("component"))
-    of_node = of_node.join(named_root, "root").select("node", "component")
+    of_node = of_node.join(named_root, "root").select("node", "root", "component")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return (named.drop("keys").join(of_node, "node", "left")
-            .select("doc_id", "n_shingles", component.alias("component_id"),
+            .select("doc_id", "raw", "root", "n_shingles", component.alias("component_id"),
                     F.col("doc_id").eqNullSafe(component).alias("kept")))
 
 
 def keep_one_each(docs: DataFrame, percent: int = 85) -> DataFrame:
     """The document of each group that stays, with all its columns.
 
-    Documents without words all stay. Rows that repeat the id and text of a winner stay once.
+    Documents without words all stay. Rows that repeat the id and text of a winner stay once; where a group's least
+    id, or null as its only one, has several texts, one of them stays. Other texts of a winner's id are judged for themselves.
     """
-    kept = near_duplicates(docs, percent).where("kept").select("doc_id")
-    return select_ids(docs, kept, "left_semi").dropDuplicates(["doc_id", "text"])
+    kept = stored(grouped(docs, percent).where("kept"), "kept")
+    winners = kept.where(F.col("root").isNotNull()).groupBy("root").agg(
+        F.min(F.struct("doc_id", "raw")).alias("w")).select("w.doc_id", "w.raw")
+    kept = winners.unionByName(kept.where(F.col("root").isNull()).select("doc_id", "raw"))
+    return select_ids(docs, kept, "left_semi", raw=True).dropDuplicates(["doc_id", "text"])

@@ -200,9 +200,14 @@ def score(docs: DataFrame, chain: Chain | None) -> DataFrame:
 
     Without a chain every probability is 0.
     """
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes("text"))
+    return score_texts(docs, chain).drop("raw")
+
+
+def score_texts(docs: DataFrame, chain: Chain | None) -> DataFrame:
+    """``score`` with ``raw``, a hash of the row's text as it is."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("raw"), as_bytes("text"))
     if chain is None:
-        return ids.select("doc_id", F.lit(0.0).alias("p_severe"), F.lit(0.0).alias("p_toxic"), F.lit(False).alias("toxic"))
+        return ids.select("doc_id", "raw", F.lit(0.0).alias("p_severe"), F.lit(0.0).alias("p_toxic"), F.lit(False).alias("toxic"))
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(chain)
@@ -213,10 +218,10 @@ def score(docs: DataFrame, chain: Chain | None) -> DataFrame:
         for batch in batches:
             found = [[number[f] for f in features(x) & known] for x in batch.column("text").to_pylist()]
             p = shared.value.score(Rows.of(found))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p[:, 0]), pa.array(p[:, 1])],
-                                             ["doc_id", "p_severe", "p_toxic"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("raw"), pa.array(p[:, 0]),
+                                              pa.array(p[:, 1])], ["doc_id", "raw", "p_severe", "p_toxic"])
 
-    return ids.mapInArrow(scored, "doc_id long, p_severe double, p_toxic double").withColumn(
+    return ids.mapInArrow(scored, "doc_id long, raw long, p_severe double, p_toxic double").withColumn(
         "toxic", F.col("p_toxic") >= THRESHOLD)
 
 
@@ -226,5 +231,5 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents that the chain does not reject, with all their columns. A null id stays unless rejected."""
-    return select_ids(docs, toxicity(docs, labels).where("toxic").select("doc_id"), "left_anti")
+    """Documents that the chain does not reject, with all their columns. A row is judged by its own text, whatever its id."""
+    return select_ids(docs, score_texts(docs, fit(docs, labels)).where("toxic").select("doc_id", "raw"), "left_anti", raw=True)

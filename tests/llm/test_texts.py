@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from marketlake.llm import decontaminate, html_extract, mixing
+from marketlake.llm import decontaminate, html_extract, mixing, near_dedup, toxicity
 from marketlake.llm.decontaminate import Phrases, words
 from tests.llm.helpers import awkward, documents, prose, rows
 from tests.side_by_side import compare, connect
@@ -219,6 +219,25 @@ def test_html_awkward_rows(spark):
 
 # ---- pipeline and registered queries ---------------------------------------------------
 
+def test_stages_judge_rows_of_shared_ids_by_their_own_text(spark):
+    bench = spark.createDataFrame([(1, prose(50, 20))], "item_id long, text string")
+    docs = documents(spark, [(None, prose(50, 20)), (None, "clean"), (1, prose(50, 20)), (1, "clean too"), (2, "other")])
+    got = rows(decontaminate.drop_contaminated(docs, bench), "doc_id", "text")
+    assert got == sorted([(None, "clean"), (1, "clean too"), (2, "other")], key=repr)
+    toxic = [(i, f"vile{i % 2} filth scum {prose(i, 20, 60)}") for i in range(40)]
+    clean = [(i, prose(i, 20, 60)) for i in range(40, 80)]
+    more = [(None, "vile0 filth scum"), (None, prose(200, 20, 60)), (90, "vile1 filth scum"), (90, prose(201, 20, 60))]
+    labels = spark.createDataFrame([(i, int(i < 40)) for i in range(80)], "doc_id long, toxic int")
+    got = rows(toxicity.drop_toxic(documents(spark, toxic + clean + more), labels).where("doc_id is null or doc_id = 90"),
+               "doc_id", "text")
+    assert got == sorted([more[1], more[3]], key=repr)
+    a, b, c = prose(1, 200, 10 ** 6), prose(2, 200, 10 ** 6), prose(3, 200, 10 ** 6)
+    # null copies of one text stay once, a null copy of document 3 goes, the text of id 5 near document 3 goes, its other stays
+    docs = documents(spark, [(None, a), (None, f"{a} x"), (3, b), (None, f"{b} x"), (5, f"{b} y"), (5, c)])
+    got = rows(near_dedup.keep_one_each(docs, 80), "doc_id", "text")
+    assert len(got) == 3 and (3, b) in got and (5, c) in got and [t[: len(a)] for i, t in got if i is None] == [a]
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
