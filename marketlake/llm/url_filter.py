@@ -7,6 +7,7 @@ PageRanks over one weighted edge table and advance in the same join. All of it i
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +18,9 @@ from marketlake.llm.common import ascii_lower, stored
 #: (verdict, host, path): a rule fits its host and all subdomains if the path starts with its own.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
          ("allow", "org", "/fr/"))
-DAMPING, ROUNDS, TOLERANCE = 0.85, 20, 1e-7
+DAMPING, TOLERANCE = 0.85, 1e-7
+#: Rounds after which the tolerance is always met: what both kinds move in a round is at most 4 * DAMPING ** round.
+ROUNDS = math.ceil(math.log(TOLERANCE / 4) / math.log(DAMPING)) + 1
 #: A host is blocked if its distrust is above its trust by this factor.
 MARGIN = 1.0
 _LINK = r"(?i)href\s*=\s*[\"']?\s*(?:[a-z][a-z0-9+.\-]*:)?//([^/?#\"'\s>]+)"

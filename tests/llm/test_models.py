@@ -196,6 +196,13 @@ def test_propagation_equals_brute_force(spark):
     assert verdicts["spam.io"] == "block" and verdicts["lone.io"] == "allow" and verdicts["mid.io"] == "allow"
 
 
+def test_distrust_reaches_hosts_far_from_its_seed(spark):
+    edges = spark.createDataFrame([("distrust", f"h{i}", f"h{i + 1}", 1) for i in range(25)],
+                                  "kind string, src string, dst string, links long")
+    got = {r.host: r.rank for r in url_filter.propagate(edges, spark.createDataFrame([("distrust", "h0")], "kind string, host string")).collect()}
+    assert got["h25"] == pytest.approx(0.15 * 0.85 ** 25)
+
+
 def test_url_filter_plan_has_no_python(spark):
     got = url_filter.url_filter(spark.read.parquet(f"{SF}/pages.parquet"))
     assert "Python" not in got._jdf.queryExecution().toString() and "Arrow" not in got._jdf.queryExecution().toString()
