@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import (decontaminate, exact_dedup, html_extract, lm_score, mixing, near_dedup, quality,
+from marketlake.llm import (decontaminate, exact_dedup, html_extract, lm_score, merkle, mixing, near_dedup, quality,
                             substring_dedup, toxicity, url_filter)
 from marketlake.llm.common import read
 from marketlake.session import ensure_session
@@ -55,16 +55,44 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read(spark, sf_dir, "pages"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.merkle_manifest(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = [op1_exact_dedup, op2_url_filters, op3_quality, op4_lm_scoring, op5_mixing, op6_minhash_near_dedup, op7_toxicity,
-           op8_decontamination, op9_substring_dedup, op10_html_extraction, pipeline]
+           op8_decontamination, op9_substring_dedup, op10_html_extraction, op11_merkle_manifest, pipeline]
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, bit by bit."""
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+            string_split({text}, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+            lambda a, b: xor(xor(a, b) >> 1, 3988292384 * (xor(a, b) & 1))), 4294967295)"""
+
+
+def _leaf(text: str) -> str:
+    fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+def _climb(walk: str, node: str, same: str) -> str:
+    """Recursive step of a fold: a run's nodes with the walker's own digest in its place, and the others."""
+    return f"""
+            SELECT w.id, w.tree, w.lvl + 1, w.r // 16, (w.n + 15) // 16,
+                   sha256(string_agg(CASE WHEN k.r = w.r THEN w.cur ELSE k.d END, '' ORDER BY k.r)),
+                   w.sib || coalesce(string_agg(k.d, '' ORDER BY k.r) FILTER (WHERE k.r <> w.r), '')
+            FROM {walk} w JOIN {node} k ON {same} AND k.lvl = w.lvl AND k.r // 16 = w.r // 16
+            WHERE w.n > 1 GROUP BY w.id, w.tree, w.lvl, w.r, w.n, w.sib"""
+
+
 ORACLES = {
     "op1_exact_dedup": f"""
         WITH d AS (SELECT doc_id, sha256({_LOWER}) AS text_sha256 FROM documents)
@@ -93,6 +121,41 @@ ORACLES = {
         SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_merkle_manifest": f"""
+        WITH RECURSIVE part AS (
+            SELECT doc_id, source, {_leaf("text")} AS d,
+                   CASE WHEN {_crc32("doc_id::VARCHAR")} % 5 = 0
+                        THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS t
+            FROM documents),
+        leaf AS (
+            SELECT *, row_number() OVER (ORDER BY source, doc_id) AS id,
+                   row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, d) - 1 AS r,
+                   count(*) OVER (PARTITION BY source) AS n
+            FROM part),
+        node AS (
+            SELECT source AS tree, 0 AS lvl, r, n, d FROM leaf
+            UNION ALL
+            SELECT tree, lvl + 1, r // 16, (n + 15) // 16, sha256(string_agg(d, '' ORDER BY r))
+            FROM node WHERE n > 1 GROUP BY tree, lvl, r // 16, n),
+        sub AS (
+            SELECT tree, d, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS r, count(*) OVER () AS n
+            FROM node WHERE n = 1),
+        top AS (
+            SELECT 0 AS lvl, r, n, d FROM sub
+            UNION ALL
+            SELECT lvl + 1, r // 16, (n + 15) // 16, sha256(string_agg(d, '' ORDER BY r))
+            FROM top WHERE n > 1 GROUP BY lvl, r // 16, n),
+        walk AS (
+            SELECT id, source AS tree, 0 AS lvl, r, n, coalesce(t, d) AS cur, '' AS sib FROM leaf
+            UNION ALL {_climb("walk", "node", "k.tree IS NOT DISTINCT FROM w.tree")}),
+        climb AS (
+            SELECT w.id, w.tree, 0 AS lvl, s.r, s.n, w.cur, w.sib
+            FROM walk w JOIN sub s ON s.tree IS NOT DISTINCT FROM w.tree WHERE w.n = 1
+            UNION ALL {_climb("climb", "top", "true")})
+        SELECT l.doc_id, l.d AS leaf, s.d AS subroot, t.d AS root, sha256(c.sib) AS proof_sha256, c.cur AS folded_root,
+               c.cur = t.d AS verified
+        FROM leaf l JOIN sub s ON s.tree IS NOT DISTINCT FROM l.source JOIN climb c ON c.id = l.id AND c.n = 1
+        JOIN top t ON t.n = 1""",
 }
 
 
