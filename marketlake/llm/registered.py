@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import (decontaminate, exact_dedup, html_extract, lm_score, merkle, mixing, near_dedup, quality,
-                            substring_dedup, toxicity, url_filter)
+from marketlake.llm import (conversation_trie, decontaminate, exact_dedup, fingerprints, html_extract, lm_score, merkle,
+                            mixing, near_dedup, quality, substring_dedup, toxicity, url_filter)
 from marketlake.llm.common import read
 from marketlake.session import ensure_session
 
@@ -59,13 +59,22 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.merkle_manifest(read(spark, sf_dir, "documents"))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(read(spark, sf_dir, "documents"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = [op1_exact_dedup, op2_url_filters, op3_quality, op4_lm_scoring, op5_mixing, op6_minhash_near_dedup, op7_toxicity,
-           op8_decontamination, op9_substring_dedup, op10_html_extraction, op11_merkle_manifest, pipeline]
+           op8_decontamination, op9_substring_dedup, op10_html_extraction, op11_merkle_manifest, op12_fingerprints,
+           op13_conversation_trie, pipeline]
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -156,6 +165,34 @@ ORACLES = {
                c.cur = t.d AS verified
         FROM leaf l JOIN sub s ON s.tree IS NOT DISTINCT FROM l.source JOIN climb c ON c.id = l.id AND c.n = 1
         JOIN top t ON t.n = 1""",
+    "op13_conversation_trie": rf"""
+        WITH turns AS (
+            SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                       sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS p
+            FROM conversations WHERE conv_id IS NOT NULL),
+        conv AS (SELECT c, {_crc32("c::VARCHAR")} % 4 AS h FROM (SELECT DISTINCT c FROM turns)),
+        turn AS (
+            SELECT conv.c, 0 AS own, p, role, text FROM conv JOIN turns t ON t.c = conv.c - conv.c % 20 AND p < h
+            UNION ALL SELECT conv.c, 1, p, role, text FROM conv JOIN turns t ON t.c = conv.c AND p >= h),
+        whole AS (
+            SELECT conv.c, coalesce(l, []) AS l
+            FROM conv LEFT JOIN (SELECT c, list(struct_pack(role, text) ORDER BY own, p) AS l FROM turn GROUP BY c) USING (c)),
+        node AS (
+            SELECT k, d, min(c) AS conv_id, count(*) AS n_convs,
+                   CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(k[d].text, '[^\x20\x09-\x0D]+')) END AS words
+            FROM (SELECT c, d, l[1:d] AS k FROM (SELECT c, l, unnest(range(0, len(l) + 1)) AS d FROM whole)) GROUP BY k, d),
+        child AS (SELECT k[1:d - 1] AS k, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+        marked AS (SELECT node.*, coalesce(child.n, 0) AS n_children FROM node LEFT JOIN child USING (k)),
+        below AS (
+            SELECT k[1:a] AS k, sum((n_children = 0)::BIGINT)::BIGINT AS n_leaves,
+                   sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+            FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM marked) GROUP BY ALL),
+        stops AS (SELECT l AS k, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids FROM whole GROUP BY l)
+        SELECT m.conv_id, m.d AS depth, up.conv_id AS parent_conv_id, m.n_convs, m.n_children, n_leaves, saved_tokens,
+               sha256(coalesce(ids, '')) AS ends_sha256
+        FROM marked m JOIN below USING (k) LEFT JOIN stops USING (k)
+        LEFT JOIN node up ON m.d > 0 AND up.d = m.d - 1 AND up.k = m.k[1:m.d - 1]""",
 }
 
 
