@@ -20,14 +20,15 @@ def _first(c: str, order: Column) -> Column:
 
 
 def adjacent_decreases(df: DataFrame, keys: Sequence[str], value: str, file: str | Column | None, row: str,
-                       block_rows: int = 1 << 20) -> DataFrame:
+                       block_rows: int = 1 << 20, block: Column | None = None) -> DataFrame:
     """Per key: how often ``value`` drops from one row to the next in (file, row) order.
 
-    ``file`` is a column or a struct of columns that order whatever the rows are numbered in.
+    ``file`` is a column or a struct of columns that order whatever the rows are numbered in. ``block`` cuts the
+    rows of a file where ``row`` is no number; it must not fall along ``row``.
     """
     order_file = (F.col(file) if isinstance(file, str) else file) if file is not None else F.lit("")
     base = df.select(*keys, F.col(value).alias("_v"), order_file.alias("_f"), F.col(row).alias("_r"),
-                     idiv(F.col(row), block_rows).alias("_b"))
+                     (idiv(F.col(row), block_rows) if block is None else block).alias("_b"))
     inside = Window.partitionBy(*keys, "_f", "_b").orderBy("_r")
     blocks = (base.withColumn("_p", F.lag("_v").over(inside))
               .groupBy(*keys, "_f", "_b")

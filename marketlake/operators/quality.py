@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.ordered import adjacent_decreases, exact_percentiles
 from marketlake.functions.timeutil import SECOND, idiv
+from marketlake.sources.arrival import POSITION, position_block
 
 SLICE = ("symbol", "venue", "date")
 ISSUE = [*SLICE, "check", "severity", "count", "detail", "sample"]
@@ -124,14 +125,15 @@ def _with_arrival_order(stats: DataFrame, rows: DataFrame, arrival: Sequence[str
                         ) -> DataFrame:
     """Backward steps exist only in the order of arrival; without ``arrival`` that check is off.
 
-    The last ``arrival`` column numbers the rows within the others. ``per_append`` looks at every append alone: a rebuild
+    The last ``arrival`` column numbers the rows within the others, or is their position. ``per_append`` looks at every append alone: a rebuild
     starts over at the first second, which is no fault.
     """
     if arrival is None:
         return stats.withColumn("n_decreases", F.lit(0))
     *outer, row = arrival
     keys = [*SLICE, *outer] if per_append else list(SLICE)
-    steps = adjacent_decreases(rows, keys, "ts_ns", F.struct(*outer) if outer and not per_append else None, row)
+    steps = adjacent_decreases(rows, keys, "ts_ns", F.struct(*outer) if outer and not per_append else None, row,
+                               block=position_block(row) if row == POSITION else None)
     if per_append:
         steps = steps.groupBy(*SLICE).agg(F.sum("n_decreases").alias("n_decreases"))
     return stats.join(steps, list(SLICE), "left")

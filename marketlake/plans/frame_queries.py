@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from market_fixtures import frame_views as V
-from marketlake.plans.catalogue import query, r
+from marketlake.functions.timeutil import second_of
+from marketlake.operators.bars import bars_from_trades
+from marketlake.plans.catalogue import bars_out, query, r
 from marketlake.session import shared_dir
 from marketlake.sources.frames import PARSERS, normalise
 from marketlake.sources.frames.level2 import LEVEL_EVENTS, rebuild_books
 from marketlake.sources.frames.pages import KLINE_PAGES, TRADE_PAGES, rest_funding, rest_klines, rest_trades
-from marketlake.sources.store import materialize
+from marketlake.sources.store import ARRIVAL, Lake, materialize
 
 
 def _out(df: DataFrame) -> DataFrame:
-    return df.drop("ingested_at_ns")
+    return df.drop("ingested_at_ns", "arrival")
 
 
 def _venue(name: str, stream: str) -> str:
@@ -27,6 +29,16 @@ def _trades(v, n):
     return _out(normalise(V.trade_frames(v.trades, venue), venue, "trades"))
 
 
+@query("bars_from_frames")
+def _bars_from_frames(v, n):
+    """Messages of two venues with ties on the event time, parsed and stored: receive time, connection and sequence decide."""
+    tied = v.trades.withColumn("ts_ns", second_of("ts_ns"))
+    lake = Lake(v.spark, shared_dir(v.spark, "frames-lake"))
+    for venue in ("coinbase", "kraken"):
+        lake.append("trades", normalise(V.trade_frames(tied.where(tied.venue == venue), venue), venue, "trades"))
+    return bars_out(bars_from_trades(lake.arrivals("trades"), ARRIVAL)).drop("ingested_at_ns")
+
+
 @query(*[f"norm_{v}_quotes" for v in PARSERS["quotes"]])
 def _quotes(v, n):
     venue = _venue(n, "quotes")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.timeutil import MS, floor_ns
 from marketlake.schemas import SCHEMAS
+from marketlake.sources.arrival import POSITION, message_position
 from marketlake.sources.venues import canonical_of
 
 OBJECT, LIST = "map<string,string>", "array<map<string,string>>"
@@ -80,13 +81,15 @@ def msg(key: str) -> Column:
 def rows_as(df: DataFrame, table: str, venue: str, required: tuple[str, ...], **columns: Column) -> DataFrame:
     """Project parsed columns into the table layout; rows lacking a required value are dropped.
 
-    The ingest time is the moment of the job, as nothing in a message tells it.
+    Rows of a message carry its position (``_event`` is their place in it), which storing them keeps. The ingest
+    time is the moment of the job, as nothing in a message tells it.
     """
     columns.setdefault("recv_ns", F.col("recv_ns"))
     columns["venue"] = F.lit(venue)
     columns["ingested_at_ns"] = F.unix_micros(F.current_timestamp()) * 1000
+    at = message_position(df, F.col("_event") if "_event" in df.columns else None)
     out = df.select(*[columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
-                      for f in SCHEMAS[table].fields])
+                      for f in SCHEMAS[table].fields], *([] if at is None else [at.alias(POSITION)]))
     return out.dropna(subset=["ts_ns", "symbol", *required])
 
 

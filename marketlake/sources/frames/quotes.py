@@ -10,7 +10,7 @@ from marketlake.functions.timeutil import MINUTE, MS, idiv
 from marketlake.sources.frames.common import (LIST, OBJECT, cell, iso_ns, jlist, jtable, ms_ns, msg, num, of_venue, once,
                                               present, quote_rows, recv_ms_ns, rows_as, top_of_book,
                                               with_channel)
-from marketlake.sources.frames.trades import bitstamp_ns, coinbase_events, field, items, kraken_symbol, unwrapped
+from marketlake.sources.frames.trades import bitstamp_ns, coinbase_events, event_items, field, items, kraken_symbol, unwrapped
 from marketlake.sources.venues import canonical_of
 
 TABLE = "array<array<string>>"
@@ -26,7 +26,7 @@ def binance(frames: DataFrame) -> DataFrame:
 
 
 def coinbase(frames: DataFrame) -> DataFrame:
-    df = coinbase_events(frames, "ticker").withColumn("t", F.explode("ev.tickers"))
+    df = event_items(coinbase_events(frames, "ticker"), "tickers")
 
     def or_zero(*keys: str) -> Column:
         return F.coalesce(num(F.coalesce(*[present(field(k)) for k in keys])), F.lit(0.0))

@@ -22,8 +22,8 @@ def unwrapped(frames: DataFrame, venue: str) -> DataFrame:
 
 
 def items(df: DataFrame) -> DataFrame:
-    """One row per object of the message's ``data``, in ``t``."""
-    return df.withColumn("_list", msg("data")).withColumn("t", F.explode("_list"))
+    """One row per object of the message's ``data``, in ``t``, with its place there."""
+    return df.withColumn("_list", msg("data")).select("*", F.posexplode("_list").alias("_event", "t"))
 
 
 def field(key: str, of: str = "t") -> Column:
@@ -47,8 +47,14 @@ def coinbase_events(frames: DataFrame, channel: str) -> DataFrame:
             .select("*", F.posexplode("m.events").alias("event_no", "ev")))
 
 
+def event_items(events: DataFrame, name: str) -> DataFrame:
+    """One row per object of an event's list, in ``t``, with its place in the message."""
+    items = events.select("*", F.posexplode(f"ev.{name}").alias("_item", "t"))
+    return items.withColumn("_event", F.shiftleft(F.col("event_no").cast("long"), 32) + F.col("_item"))
+
+
 def coinbase(frames: DataFrame) -> DataFrame:
-    df = coinbase_events(frames, "market_trades").withColumn("t", F.explode("ev.trades"))
+    df = event_items(coinbase_events(frames, "market_trades"), "trades")
     return trade_rows(df, "coinbase", field("product_id"), ts_ns=iso_ns(field("time")), price=num(field("price")),
                       size=num(field("size")), side=buy_or_sell(F.upper(field("side")) == "BUY"),
                       trade_id=text_id(field("trade_id")))
@@ -112,7 +118,7 @@ def bitfinex(frames: DataFrame, dedup_trade_id: bool = False) -> DataFrame:
     listed = F.startswith(second, F.lit("["))
     many = F.startswith(payload, F.lit("[["))
     rows = F.when(many, jtable(payload)).otherwise(F.array(jlist(payload)))
-    df = (once(df.where(listed | second.isin("te", "tu")), "_list", rows).withColumn("t", F.explode("_list"))
+    df = (once(df.where(listed | second.isin("te", "tu")), "_list", rows).select("*", F.posexplode("_list").alias("_event", "t"))
           .where(F.size("t") >= 4))
     amount = num(cell(F.col("t"), 2))
     out = trade_rows(df, "bitfinex", symbol=F.col("symbol"), ts_ns=ms_ns(cell(F.col("t"), 1)),

@@ -7,6 +7,7 @@ import time
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,27 +15,27 @@ from pyspark.sql import types as T
 
 from marketlake.functions.timeutil import date_of, hour_bucket
 from marketlake.schemas import META_KEYS, META_SCHEMAS, SCHEMAS, conform, schema_for
+from marketlake.sources.arrival import POSITION, POSITION_TYPE, position, with_position
 
 PARTITION = ("symbol", "venue", "date")
 # Encoding and rotation of stored files.
 ZSTD_LEVEL = 6
 ROWS_PER_FILE = 50_000
 
+#: Tags of compactions in a table's log.
+COMPACTION = "compact-"
 FILE_LISTING = ("path string, modificationTime timestamp, length long, content binary, "
                 "symbol string, venue string, date string")
-#: Stored next to every row: when its append ran and its place in what was appended.
-STAMP = ("appended_ns", "appended_row")
-#: Order of arrival of stored rows. Files without a stamp come first, by file and row.
-ARRIVAL = ("appended_ns", "arrival_file", "appended_row")
+#: Stored next to every row: when its append ran and its position in what was appended. Their order is the order of
+#: arrival; files without a stamp come first, by file and row.
+ARRIVAL = ("appended_ns", POSITION)
+STAMP = (T.StructField("appended_ns", T.LongType()), T.StructField(POSITION, POSITION_TYPE))
 
 
 def with_arrival(df: DataFrame) -> DataFrame:
     """Give a scan of stored files its order of arrival, whatever order the files were sorted in."""
-    unstamped = F.col("appended_ns").isNull()
-    return df.withColumns({
-        "arrival_file": F.when(unstamped, F.col("_metadata.file_path")).otherwise(""),
-        "appended_row": F.when(unstamped, F.col("_metadata.row_index")).otherwise(F.col("appended_row")),
-        "appended_ns": F.coalesce("appended_ns", F.lit(0).cast("long"))})
+    filed = position(0, F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    return df.withColumns({POSITION: F.coalesce(POSITION, filed), "appended_ns": F.coalesce("appended_ns", F.lit(0).cast("long"))})
 
 
 class Files:
@@ -63,8 +64,13 @@ class Files:
         return sorted(x.getPath().toString() for x in self.fs.listStatus(self.path(folder))) if self.exists(folder) else []
 
     def move(self, source: str, target: str) -> None:
+        """Move a file; a move that somebody else has made meanwhile is no fault."""
         self.fs.mkdirs(self.path(target).getParent())
-        if not self.fs.rename(self.path(source), self.path(target)):
+        try:
+            moved = self.fs.rename(self.path(source), self.path(target))
+        except Py4JJavaError:  # some stores raise, others say False
+            moved = False
+        if not moved and (self.exists(source) or not self.exists(target)):
             raise OSError(f"cannot move {source} to {target}")
 
     def delete(self, name: str) -> None:
@@ -108,19 +114,19 @@ class Lake:
     def _stored(self, table: str) -> tuple[DataFrame | None, T.StructType]:
         # date stays a string; given schemas null-fill columns an old file lacks
         schema = T.StructType([*schema_for(table).fields, T.StructField("date", T.StringType()),
-                               *[T.StructField(c, T.LongType()) for c in STAMP]])
+                               *STAMP])
         return self._scan(self.path(table), schema), schema
 
     def table(self, table: str) -> DataFrame:
         """A stored table with its ``date``; a table nobody wrote yet is empty, not an error."""
         found, schema = self._stored(table)
-        return (found if found is not None else self.spark.createDataFrame([], schema)).drop(*STAMP)
+        return (found if found is not None else self.spark.createDataFrame([], schema)).drop(*ARRIVAL)
 
     def arrivals(self, table: str) -> DataFrame:
         """The stored table with the columns of ``ARRIVAL``."""
         found, schema = self._stored(table)
         if found is None:
-            return self.spark.createDataFrame([], schema).withColumn("arrival_file", F.lit(""))
+            return self.spark.createDataFrame([], schema)
         return with_arrival(found)
 
     def exists(self, table: str) -> bool:
@@ -143,22 +149,17 @@ class Lake:
     def _laid_out(self, table: str, rows: DataFrame, order: str | None) -> DataFrame:
         """Declared columns, stamp and date, dealt by feed and hour and sorted by time.
 
-        The place of a row is its place in ``rows``, taken before anything is shuffled, or what its ``order``
-        column says. The rebalance lets adaptive execution split a feed that holds most of the rows
-        and merge the small ones; sorting by time keeps row-group ranges tight.
+        The position of a row is the one it carries from its message, or its file and row, taken before anything is
+        shuffled, or what its ``order`` column says. The rebalance lets adaptive execution split a feed that holds
+        most of the rows and merge the small ones; sorting by time keeps row-group ranges tight.
         """
-        if order is not None:
-            place = F.col(order)
-        elif table.startswith("bars"):
-            place = F.col("ts_ns")  # computed rows have no order of arrival but time
-        else:
-            place = F.monotonically_increasing_id()
-        placed = rows.withColumn("appended_row", place.cast("long"))
+        if order is None and table.startswith("bars"):
+            order = "ts_ns"  # computed rows have no order of arrival but time
         names = schema_for(table).fieldNames()
-        out = (conform(placed, table, extra=["appended_row"])
+        out = (conform(with_position(rows, order), table, extra=[POSITION])
                .withColumns({"appended_ns": F.lit(time.time_ns()), "date": date_of("ts_ns"), "_hour": hour_bucket("ts_ns")}))
         return (out.hint("rebalance", F.col("symbol"), F.col("venue"), F.col("date"), F.col("_hour"))
-                .sortWithinPartitions(*PARTITION, "_hour", "ts_ns", "appended_row").select(*names, *STAMP, "date"))
+                .sortWithinPartitions(*PARTITION, "_hour", "ts_ns", POSITION).select(*names, *ARRIVAL, "date"))
 
     def append(self, table: str, rows: DataFrame, records_per_file: int | None = None, order: str | None = None) -> None:
         """Append without overwriting or deduplicating, one file per feed and hour."""
@@ -199,7 +200,12 @@ class Lake:
     def _carry_out(self, files: Files, table: str, tag: str) -> None:
         """Bring a planned batch to its end; every step can be repeated."""
         log = self._log(table, tag)
-        plan = json.loads(files.read(f"{log}.planned"))
+        try:
+            plan = json.loads(files.read(f"{log}.planned"))
+        except Py4JJavaError:
+            if files.exists(f"{log}.done"):
+                return  # brought to its end by another run in this moment
+            raise
         for source, target in plan["moves"]:
             if files.exists(source) and not files.exists(target):
                 files.move(source, target)
@@ -225,7 +231,8 @@ class Lake:
         Listed from the store's metadata; no row is read.
         """
         empty = self.spark.createDataFrame([], "symbol string, venue string, date string, file string, bytes long, n_files long")
-        if not self.exists(table):
+        folders = Files(self.spark, self.base).children(self.path(table))
+        if not any(f"/{PARTITION[0]}=" in name for name in folders):  # nothing but logs and staged files, if anything
             return empty
         # this source reads no content when only path and length are asked for
         listed = self.spark.read.format("binaryFile").schema(FILE_LISTING).load(self.path(table))
@@ -242,8 +249,9 @@ class Lake:
         """
         files = Files(self.spark, self.base)
         for planned in files.children(f"{self.path(table)}/_log"):
-            if planned.endswith(".planned"):
-                self._carry_out(files, table, planned.rpartition("/")[2].removesuffix(".planned"))
+            tag = planned.rpartition("/")[2].removesuffix(".planned")
+            if planned.endswith(".planned") and tag.startswith(COMPACTION):  # batches of streams are theirs to finish
+                self._carry_out(files, table, tag)
         in_order = Window.partitionBy(*PARTITION).orderBy("file")  # the files of one partition
         before = F.coalesce(F.sum("bytes").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         small = self.files(table).where(F.col("bytes") * 2 < target_bytes).withColumn(
@@ -267,10 +275,10 @@ class Lake:
         schema = self._stored(table)[1]
         rows = (self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*listed)
                 .select("*", F.col("_metadata.file_name").alias("_file")))
-        tag = f"compact-{uuid.uuid4().hex[:12]}"
+        tag = f"{COMPACTION}{uuid.uuid4().hex[:12]}"
         staging = f"{self.path(table)}/_staged/{tag}"
         merged = (rows.join(F.broadcast(part), [*PARTITION, "_file"]).repartition(len(groups), "_group")  # at most `most_files` rows
-                  .sortWithinPartitions("_group", "ts_ns", *STAMP).drop("_file", "_group"))
+                  .sortWithinPartitions("_group", "ts_ns", *ARRIVAL).drop("_file", "_group"))
         write_parquet(merged, staging)
         self._publish(table, staging, tag, listed)
         self.forget(table, tag)

@@ -20,6 +20,7 @@ from marketlake.operators import health as H
 from marketlake.operators import tape as T
 from marketlake.operators.bars import bars_from_trades
 from marketlake.schemas import BAR_COLUMNS
+from marketlake.sources.arrival import POSITION, file_position
 from marketlake.sources.frames.quotes import gemini_changes, gemini_quotes
 from marketlake.sources.store import Lake, encoding
 
@@ -79,7 +80,11 @@ def write_tape(levels: DataFrame, lake: Lake, checkpoint: str, available_now: bo
 
 def write_raw(rows: DataFrame, table: str, lake: Lake, checkpoint: str, available_now: bool = False,
               flush: str = FLUSH) -> StreamingQuery:
-    """Canonical rows, flushed by time, files bounded by rows."""
+    """Canonical rows, flushed by time, files bounded by rows. Rows keep the position of their message, or of
+    the landed file they are read from."""
+    if POSITION not in rows.columns:
+        found = file_position(rows)
+        rows = rows if found is None else found
     return into_table(rows, lake, table, f"stream-{table}", checkpoint, available_now, flush)
 
 

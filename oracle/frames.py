@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from market_fixtures.frame_views import CANONICAL
 from marketlake.plans.market_views import TEXTS
-from oracle.base import cte, r, sql
+from oracle.base import VENUE_BARS, cte, r, rounded, sql
 
 S = 1_000_000_000
 TEXT = TEXTS["fx_trades"].replace("{events}", "events")
@@ -26,6 +26,13 @@ def side(venue: str) -> str:
 
 def oracles() -> dict[str, str]:
     out = {}
+    cte("landed", " UNION ALL ".join(
+        f"SELECT ts_ns - ts_ns % {S} AS ts_ns, recv_ns, {symbol(v)}, price, size, seq, ingested_at_ns "
+        f"FROM fx_trades WHERE {LIVE} AND venue = '{v}'" for v in ("coinbase", "kraken")), "fx_trades")
+    cte("landed_bars", VENUE_BARS.replace("{src}", "landed").replace("ts_ns, seq", "ts_ns, recv_ns, seq % 4, seq"), "landed")
+    out["bars_from_frames"] = sql(
+        f"SELECT ts_ns, symbol, venue, {rounded('open high low close volume vwap')}, trades, sources_mask FROM landed_bars",
+        "landed_bars")
     for v in ("binance", "coinbase", "kraken", "bybit", "okx", "bitstamp", "gemini", "bitfinex"):
         out[f"norm_{v}_trades"] = sql(
             f"SELECT ts_ns, recv_ns, {symbol(v)}, price, size, {side(v)}, CAST(seq AS VARCHAR) AS trade_id "

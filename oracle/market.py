@@ -148,7 +148,7 @@ def bar_oracles() -> dict[str, str]:
         f"SELECT {BARS_OUT} FROM ({resampled('bars', five, f'{agg} AND {window(0, 100000)}')}) x", "bars")
     cte("tied", f"SELECT * REPLACE (ts_ns - ts_ns % {S} AS ts_ns) FROM fx_trades", "fx_trades")
     cte("tied_bars", VENUE_BARS.replace("{src}", "tied"), "tied")
-    out["bars_from_store"] = sql(f"SELECT {BARS_OUT} FROM tied_bars", "tied_bars")
+    out["bars_from_store"] = out["bars_from_landed"] = sql(f"SELECT {BARS_OUT} FROM tied_bars", "tied_bars")
     out["bars_latest_version"] = sql(
         f"SELECT {BARS_OUT}, {ts_text()} AS ts FROM ({resampled('bars', grid(60 * S), agg)}) x", "bars")
     return out

@@ -120,6 +120,98 @@ def test_order_of_arrival_survives_the_store(spark, lake):
     assert (got["open"], got["close"]) == (100, 101)
 
 
+def _bar(lake):
+    from marketlake.operators.bars import bars_from_trades
+    from marketlake.sources.store import ARRIVAL
+    return bars_from_trades(lake.arrivals("trades"), ARRIVAL).collect()[0]
+
+
+@pytest.mark.parametrize("form", ["parquet", "json"])
+def test_file_and_row_are_the_order_of_arrival(spark, lake, tmp_path, form):
+    """Spark reads the large file first; the small one was landed before it. A shuffle on the way changes nothing."""
+    trades(spark, [(T, "okx", 100, 1)]).coalesce(1).write.format(form).save(str(tmp_path / "a"))
+    many = trades(spark, [(T, "okx", 101 + i % 2, 1) for i in range(20_000)])
+    many.coalesce(1).write.format(form).save(str(tmp_path / "b"))
+    landed = spark.read.schema(many.schema).format(form).load([str(tmp_path / "a"), str(tmp_path / "b")])
+    lake.append("trades", landed)
+    assert (_bar(lake)["open"], _bar(lake)["close"]) == (100, 102)
+    from marketlake.sources.arrival import file_position
+    shuffled = file_position(landed).repartition(7)
+    other = type(lake)(spark, f"{lake.base}-shuffled")
+    other.append("trades", shuffled)
+    assert (_bar(other)["open"], _bar(other)["close"]) == (100, 102)
+    assert file_position(landed.groupBy("venue").count()) is None
+
+
+def test_rows_of_a_message_keep_their_place(spark, lake):
+    """Two events of several trades in one message, and messages of one moment on two connections."""
+    import json as J
+
+    from marketlake.sources.frames import normalise
+
+    def text(*events):
+        return J.dumps({"channel": "market_trades", "events": [{"type": "update", "trades": [
+            {"product_id": "BTC-USD", "time": "2026-05-12T10:00:00Z", "price": str(p), "size": "1", "side": "BUY", "trade_id": str(p)}
+            for p in prices]} for prices in events]})
+
+    raw = [("c2", 1, 20, text([7], [9])), ("c1", 8, 20, text([6])), ("c1", 3, 10, text([5, 4], [3, 2])), ("c1", 9, 20, text([8]))]
+    frames = spark.createDataFrame([(c, s, r, "coinbase", x) for c, s, r, x in raw],
+                                   "conn_id string, seq long, recv_ns long, venue string, raw string").repartition(3)
+    lake.append("trades", normalise(frames, "coinbase", "trades").repartition(5))
+    assert [r["price"] for r in _stored(lake)] == [5, 4, 3, 2, 6, 8, 7, 9]
+    assert (_bar(lake)["open"], _bar(lake)["close"]) == (5, 9)
+
+
+def test_streamed_files_keep_file_and_row(spark, lake, tmp_path):
+    from marketlake.streaming.jobs import write_raw
+    trades(spark, [(T, "okx", 100, 1)]).coalesce(1).write.parquet(str(tmp_path / "in" / "a"))
+    trades(spark, [(T, "okx", 101 + i % 2, 1) for i in range(20_000)]).coalesce(1).write.parquet(str(tmp_path / "in" / "b"))
+    stream = spark.readStream.schema(trades(spark, []).schema).parquet(str(tmp_path / "in" / "*"))
+    write_raw(stream, "trades", lake, str(tmp_path / "cp"), available_now=True).awaitTermination()
+    assert (_bar(lake)["open"], _bar(lake)["close"], _bar(lake)["trades"]) == (100, 102, 20_001)
+
+
+def test_two_runs_may_finish_one_batch(spark, lake, monkeypatch):
+    from marketlake.sources.store import Files
+    for i in range(4):
+        lake.append("trades", trades(spark, [(T + i, "okx", i, 1)]))
+    move, inside = Files.move, []
+
+    def also_elsewhere(self, source, target):
+        if not inside:
+            inside.append(1)
+            for planned in self.children(f"{lake.path('trades')}/_log"):
+                lake._carry_out(self, "trades", planned.rpartition("/")[2].removesuffix(".planned"))
+        move(self, source, target)
+
+    monkeypatch.setattr(Files, "move", also_elsewhere)
+    assert lake.compact("trades") == 4
+    assert [r["price"] for r in _stored(lake)] == [0, 1, 2, 3] and inside
+
+
+def test_compaction_leaves_a_stream_batch_to_its_stream(spark, lake, monkeypatch):
+    from marketlake.sources.store import Files
+    with monkeypatch.context() as m:
+        m.setattr(Files, "move", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            lake.append_once("trades", trades(spark, [(T, "okx", 1, 1)]), "stream-trades-0")
+    assert lake.compact("trades") == 0 and lake.table("trades").count() == 0
+    assert not lake.append_once("trades", trades(spark, [(T, "okx", 1, 1)]), "stream-trades-0")
+    assert lake.table("trades").count() == 1
+
+
+def test_stored_files_are_zstd_with_dictionaries(spark, lake, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+    from marketlake.sources.store import encoding
+    lake.append("trades", trades(spark, [(T + i, "okx", i % 3, 1) for i in range(5000)]))
+    files = glob.glob(f"{lake.path('trades')}/symbol=*/venue=*/date=*/*.parquet")
+    column = pq.ParquetFile(files[0]).metadata.row_group(0).column(pq.ParquetFile(files[0]).schema_arrow.names.index("price"))
+    assert column.compression == "ZSTD" and any("DICTIONARY" in e for e in column.encodings)
+    assert encoding()["parquet.compression.codec.zstd.level"] == "6"
+
+
 def test_json_of_other_dates_stays(spark, lake, tmp_path):
     day = 86400 * S
     from tests.helpers import bars
