@@ -1,7 +1,7 @@
 """SimHash fingerprints, their likeness, and search within a Hamming radius by permuted block tables.
 
 A text's terms are runs of three pieces, a piece being up to four characters of a word. Every occurrence
-of a term votes on 256 bits, for a one or against it as its hash says, so a term weighs as often as it
+of a term votes on 128 bits, for a one or against it as its hash says, so a term weighs as often as it
 occurs. Votes are counted two to a long and merge before they shuffle. Everything is column expressions,
 joins and aggregates.
 """
@@ -17,27 +17,27 @@ from marketlake.llm.blocks import numbered, on
 from marketlake.llm.common import stored
 
 PIECE = r"[^\x20\x09-\x0D]{1,4}"
-LANES = 4
+LANES = 2
 BITS = 64 * LANES
 #: Bits within which a search finds all fingerprints, and the blocks they are cut into.
-RADIUS, BLOCKS = 7, 8
+RADIUS, BLOCKS = 3, 4
 #: Lowest bits of both halves of a long.
 _ENDS = (1 << 32) | 1
 
 
 def votes(texts: DataFrame, keys: list[str]) -> DataFrame:
-    """Fingerprints ``l0..l3`` (64 bits each) of ``(keys..., text)``; ``keys`` tell the rows apart.
+    """Fingerprints ``l0, l1`` (64 bits each) of ``(keys..., text)``; ``keys`` tell the rows apart.
 
-    A text without words is one term. The first term votes once more where the votes are even in number,
-    so no bit is ever tied.
+    A text without words is one term. Pieces even in number are followed by the first one again, so no bit is ever tied.
     """
-    pieces = texts.withColumn("pieces", F.regexp_extract_all(F.lower("text"), F.lit(PIECE), F.lit(0)))
-    pieces = pieces.withColumn("pieces", F.when(F.size("pieces") > 0, F.col("pieces")).otherwise(F.array("text")))
-    pieces = pieces.select(*keys, "pieces", F.concat(F.array(F.lit(""), F.lit("")), "pieces").alias("padded"))
-    terms = pieces.select(*keys, F.transform("pieces", lambda x, i: F.xxhash64(
-        F.get("padded", i), F.get("padded", i + 1), x)).alias("terms"))
-    odd = F.when(F.size("terms") % 2 == 0, F.concat("terms", F.slice("terms", 1, 1))).otherwise(F.col("terms"))
-    votes = terms.select(*keys, F.explode(odd).alias("h0"))
+    none, one = F.array().cast("array<string>"), F.array(F.lit(""))
+    # a generator keeps the optimiser from copying the split into each of its uses
+    pieces = texts.select(*keys, "text", F.explode(F.array(F.regexp_extract_all(F.lower("text"), F.lit(PIECE), F.lit(0)))).alias("pieces"))
+    pieces = pieces.select(*keys, F.explode(F.array(F.when(F.size("pieces") == 0, F.array("text")).otherwise(F.concat(
+        "pieces", F.when(F.size("pieces") % 2 == 0, F.slice("pieces", 1, 1)).otherwise(none))))).alias("pieces"))
+    runs = F.arrays_zip(F.slice(F.concat(one, one, "pieces"), F.lit(1), F.size("pieces")).alias("a"),
+                        F.slice(F.concat(one, "pieces"), F.lit(1), F.size("pieces")).alias("b"), F.col("pieces").alias("c"))
+    votes = pieces.select(*keys, F.explode(runs).alias("x")).select(*keys, F.xxhash64("x.a", "x.b", "x.c").alias("h0"))
     votes = votes.withColumns({f"h{lane}": F.xxhash64(F.lit(lane), "h0") for lane in range(1, LANES)})
     counted = votes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *(
         F.sum(F.shiftrightunsigned(f"h{lane}", bit).bitwiseAND(F.lit(_ENDS))).alias(f"v{lane}_{bit}")
@@ -86,7 +86,7 @@ def _tables(prints: DataFrame, radius: int, blocks: int) -> DataFrame:
 def search(prints: DataFrame, queries: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
     """``fingerprint, found, distance``: for each distinct query all distinct prints within ``radius`` bits.
 
-    Both sides: ``(fingerprint, l0..l3)``, repeated rows count once. ``radius`` is below ``blocks``, which is 64 at
+    Both sides: ``(fingerprint, l0, l1)``, repeated rows count once. ``radius`` is below ``blocks``, which is 64 at
     most. A pair that meets in several tables is taken from the first, by the blocks that agree.
     """
     lanes = [f"l{i}" for i in range(LANES)]
