@@ -43,7 +43,7 @@ def rebuilt(conversations: DataFrame) -> DataFrame:
     turns = conversations.where("conv_id is not null").select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.unhex(F.substring(sha, 1, 32)).alias("digest"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("words"))
-    turns = numbered(turns, ["conv_id"], [F.col("turn").asc_nulls_first(), F.col("digest")], "turns").drop("turn")
+    turns = numbered(stored(turns, "digests"), ["conv_id"], [F.col("turn").asc_nulls_first(), F.col("digest")], "turns").drop("turn")
     first = turns.where((F.col("rank") < HEADS) & (F.col("conv_id") % FAMILY == 0)).groupBy(
         F.col("conv_id").alias("base")).agg(F.array_sort(F.collect_list(F.struct("rank", "digest", "words"))).alias("lent"))
     whole = (turns.where("rank = 0").select("conv_id", (F.col("conv_id") - F.col("conv_id") % FAMILY).alias("base"))
