@@ -76,7 +76,7 @@ def likeness(a: str, b: str) -> Column:
 def _tables(prints: DataFrame, radius: int, blocks: int) -> DataFrame:
     """A row per table: its blocks' digits in front form the key. Two prints within the radius agree in
     ``blocks - radius`` blocks at least, so they meet in the table of those."""
-    edges = [64 * i // blocks for i in range(blocks + 1)]
+    edges = [16 * LANES * i // blocks for i in range(blocks + 1)]
     parts = prints.withColumn("parts", F.array(*(F.substring("fingerprint", a + 1, b - a) for a, b in zip(edges, edges[1:]))))
     keys = [F.struct(F.array(*map(F.lit, c)).alias("taken"), F.concat(*(F.col("parts")[i] for i in c)).alias("key"))
             for c in combinations(range(blocks), blocks - radius)]
@@ -86,7 +86,7 @@ def _tables(prints: DataFrame, radius: int, blocks: int) -> DataFrame:
 def search(prints: DataFrame, queries: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
     """``fingerprint, found, distance``: for each distinct query all distinct prints within ``radius`` bits.
 
-    Both sides: ``(fingerprint, l0, l1)``, repeated rows count once. ``radius`` is below ``blocks``, which is 64 at
+    Both sides: ``(fingerprint, l0, l1)``, repeated rows count once. ``radius`` is below ``blocks``, which is 32 at
     most. A pair that meets in several tables is taken from the first, by the blocks that agree.
     """
     lanes = [f"l{i}" for i in range(LANES)]
