@@ -41,6 +41,31 @@ def adjacent_decreases(df: DataFrame, keys: Sequence[str], value: str, file: str
             .agg((F.sum("_n") + F.count_if(F.col("_head") < F.col("_p"))).alias("n_decreases")))
 
 
+def sorted_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
+    """Rows range-sorted by ``keys`` and ``order`` with ``block``, the partition they fell into, and their ``place`` in it.
+
+    A large key lies across many blocks. Rows that ``order`` ties are told apart by their place in the input. The
+    result has to be stored before its block and place are used, so that they stay what they are.
+    """
+    by = [*(F.col(c).asc_nulls_first() for c in keys), *(F.col(c) if isinstance(c, str) else c for c in order), F.col("_tie")]
+    return (df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*by).sortWithinPartitions(*by)
+            .drop("_tie").withColumns({"block": F.spark_partition_id(), "place": F.monotonically_increasing_id()}))
+
+
+def ranked(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored ``sorted_blocks`` with ``rank``, from 0 within ``keys``, and ``n``, the rows of the key: counts per block and
+    the sum of the blocks before."""
+    whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    before = whole.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (placed.groupBy("block", *keys).agg(F.min("place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+              .withColumns({"_start": F.coalesce(F.sum("_rows").over(before), F.lit(0)), "n": F.sum("_rows").over(whole)}))
+    names = {c: f"_{c}_of" for c in ("block", *keys)}
+    same = [placed[c].eqNullSafe(F.col(names[c])) for c in names]
+    return (placed.join(blocks.withColumnsRenamed(names), same)
+            .withColumn("rank", F.col("place") - F.col("_first") + F.col("_start"))
+            .drop("place", "_first", "_rows", "_start", *names.values()))
+
+
 def running_best(df: DataFrame, keys: Sequence[str], order: Sequence[str], best: dict[str, Column],
                  block: Column) -> DataFrame:
     """Running maximum of each ``best`` expression per key in ``order``, current row included.

@@ -95,4 +95,4 @@ def _books(v, n):
     # decoded once, then read by each step of the rebuild
     events = materialize(LEVEL_EVENTS[venue](V.level2_frames(v.trades, venue)), shared_dir(v.spark, "levels"))
     # short blocks, so that the hand-over between blocks is exercised at any size
-    return ladder_text(_out(rebuild_books(events, venue, depth=5, block_ns=60_000_000_000)))
+    return ladder_text(_out(rebuild_books(events, venue, depth=5, block_events=1024)))

@@ -2,13 +2,12 @@
 
 A book is emitted when at least five seconds passed since its last emission, so both
 the levels and the emission times depend on everything before. To keep a hot symbol
-distributed, its events are cut into blocks of time:
+distributed, its events are sorted once and cut into blocks of equal numbers of events:
 
-1. each block reports, for any possible moment the first emission may fall due, when
-   its last emission would be (``_exits``; different starts soon meet, so few rows);
-2. those reports are walked once per symbol to find what each block starts with;
-3. the levels alive at the start of each block come from grouped last updates;
-4. blocks are replayed in parallel from that start (``_replay``).
+1. emission times follow from the receive times alone (``emission_times``);
+2. the levels a block starts with come from grouped last updates, held by a tree over the blocks
+   and cut to those that the block can bring to the top (``levels_at_start``);
+3. blocks are replayed in parallel from that start (``replay``).
 """
 
 from __future__ import annotations
@@ -21,6 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlake.functions.ordered import ranked, sorted_blocks
 from marketlake.functions.timeutil import MINUTE, SECOND, idiv
 from marketlake.schemas import SCHEMAS
 from marketlake.session import shared_dir
@@ -30,6 +30,7 @@ from marketlake.sources.store import materialize
 from marketlake.sources.venues import canonical_of
 
 EMIT_EVERY_NS = 5 * SECOND  # fixed value
+SIDES = ("bid", "ask")
 EVENTS = ("symbol string, recv_ns long, seq long, event_no int, clear boolean, "
           "updates array<struct<side:string,px:double,qty:double>>")
 SNAPSHOTS = ("ts_ns long, symbol string, bids array<struct<px:double,sz:double>>, "
@@ -108,75 +109,155 @@ def _ordered_events(pdf: pd.DataFrame):
     return zip(pdf["recv_ns"].tolist(), pdf["clear"].tolist(), pdf["updates"].tolist(), strict=True)
 
 
-# ---- blocks ----
+# ---- emission times ----
+
+def chain_ends(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of the sorted times: the index of the emission after it (past the end: none), and of the last one that
+    follows from it."""
+    n = len(t)
+    following = np.searchsorted(t, t + EMIT_EVERY_NS)
+    last, jump = np.arange(n), following.copy()
+    while (open_ := jump < n).any():  # doubling: each round skips twice as many emissions
+        last[open_] = last[jump[open_]]
+        jump[open_] = jump[jump[open_]]
+    return following, last
+
 
 def _exits(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    """(from, last): an emission falling due at or before ``from`` ends the block at ``last``."""
-    symbol, idx = key
+    """(entry, last): an emission falling due at or before ``entry`` makes ``last`` the cell's last one."""
+    symbol, cell = key
     t = np.sort(pdf["recv_ns"].to_numpy())
-    following = np.searchsorted(t, t + EMIT_EVERY_NS)
-    last = t.copy()
-    for i in range(len(t) - 1, -1, -1):
-        if following[i] < len(t):
-            last[i] = last[following[i]]
-    # a due time reaches at most one interval past the block's first message
+    last = t[chain_ends(t)[1]]
+    # a due time reaches at most one interval past the cell's first message
     reach = min(int(np.searchsorted(t, t[0] + EMIT_EVERY_NS)) + 1, len(t))
     t, last = t[:reach], last[:reach]
     keep = np.append(last[1:] != last[:-1], True)
-    return pd.DataFrame({"symbol": symbol, "idx": idx, "entry_ns": t[keep], "last_ns": last[keep]})
+    return pd.DataFrame({"symbol": symbol, "cell": cell, "entry_ns": t[keep], "last_ns": last[keep]})
 
 
 def _walk(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    """Last emission before each block of a symbol, from the blocks' exit reports."""
+    """Last emission before each cell of a symbol, from the cells' exit reports."""
     rows, last = [], 0
-    for idx, block in pdf.sort_values(["idx", "entry_ns"]).groupby("idx", sort=True):
-        rows.append((key[0], idx, last))
-        hit = block[block["entry_ns"] >= last + EMIT_EVERY_NS]
+    for cell, reports in pdf.sort_values(["cell", "entry_ns"]).groupby("cell", sort=True):
+        rows.append((key[0], cell, last))
+        hit = reports[reports["entry_ns"] >= last + EMIT_EVERY_NS]
         if len(hit):
             last = int(hit["last_ns"].iloc[0])
-    return pd.DataFrame(rows, columns=["symbol", "idx", "last_emit"])
-
-
-def number_blocks(events: DataFrame, block_ns: int) -> DataFrame:
-    """Existing blocks of each symbol, numbered 1.. in time order, with the next clearing block."""
-    per = Window.partitionBy("symbol").orderBy("block")
-    later = per.rowsBetween(1, Window.unboundedFollowing)
-    blocks = events.groupBy("symbol", idiv(F.col("recv_ns"), block_ns).alias("block")).agg(
-        F.max(F.when(F.col("clear"), F.struct(*ORDER))).alias("last_clear"))
-    numbered = blocks.withColumn("idx", F.row_number().over(per))
-    return (numbered.withColumn("next_clear", F.first(F.when(F.col("last_clear").isNotNull(), F.col("idx")),
-                                                      ignorenulls=True).over(later))
+    return pd.DataFrame(rows, columns=["symbol", "cell", "last_emit"])
+
+
+def _emissions(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """All emission times of a cell."""
+    t, out = np.sort(pdf["recv_ns"].to_numpy()), []
+    following = chain_ends(t)[0]
+    at = int(np.searchsorted(t, int(pdf["last_emit"].iloc[0]) + EMIT_EVERY_NS))
+    while at < len(t):
+        out.append(t[at])
+        at = int(following[at])
+    return pd.DataFrame({"symbol": key[0], "emit_ns": np.array(out, np.int64)})
+
+
+def emission_times(events: DataFrame, cell_ns: int = MINUTE) -> DataFrame:
+    """``symbol, emit_ns``: when a book is due, from the receive times alone.
+
+    Cells of time report in parallel where an emission due at their start would lead; a walk over the reports, one
+    task per symbol and few rows per cell, says how each cell begins. A task holds the distinct receive times of a cell.
+    """
+    times = events.select("symbol", "recv_ns").distinct().withColumn("cell", idiv(F.col("recv_ns"), cell_ns))
+    exits = times.groupBy("symbol", "cell").applyInPandas(_exits, "symbol string, cell long, entry_ns long, last_ns long")
+    starts = exits.groupBy("symbol").applyInPandas(_walk, "symbol string, cell long, last_emit long")
+    return times.join(starts, ["symbol", "cell"]).groupBy("symbol", "cell").applyInPandas(
+        _emissions, "symbol string, emit_ns long")
+
+
+# ---- blocks of events ----
+
+def event_blocks(events: DataFrame, depth: int) -> DataFrame:
+    """Blocks of each symbol, numbered 1.. in order, as ``symbol, idx`` with their time range, their last and the next
+    clearing, and the levels per side that their start can bring to the top: the depth and one more per deletion."""
+    per = Window.partitionBy("symbol").orderBy("idx")  # blocks hold many events, so these are few rows
+
+    def deleted(side: str) -> Column:
+        gone = F.filter("updates", lambda u: (u["side"] == side) & (u["qty"] == 0))
+        return F.coalesce(F.sum(F.when(F.col("updates").isNotNull(), F.size(gone))), F.lit(0))
+
+    blocks = events.groupBy("symbol", "idx").agg(
+        F.min("recv_ns").alias("first_ns"), F.max("recv_ns").alias("until_ns"),
+        F.max(F.when(F.col("clear"), F.struct(*ORDER))).alias("last_clear"),
+        *((deleted(s) + depth).alias(f"{s}_need") for s in SIDES))
+    return (blocks.withColumn("next_clear", F.first(F.when(F.col("last_clear").isNotNull(), F.col("idx")), ignorenulls=True)
+                              .over(per.rowsBetween(1, Window.unboundedFollowing)))
+            .withColumn("before_ns", F.lag("until_ns").over(per))
             .withColumn("n_blocks", F.count(F.lit(1)).over(Window.partitionBy("symbol"))))
 
 
+def last_emissions(blocks: DataFrame, emissions: DataFrame) -> DataFrame:
+    """``symbol, idx, last_emit``: the last emission before each block, 0 if there is none."""
+    both = (emissions.select("symbol", F.col("emit_ns").alias("at"), F.lit(None).cast("long").alias("idx"), "emit_ns")
+            .unionByName(blocks.select("symbol", F.coalesce("before_ns", F.lit(-1)).alias("at"), "idx",
+                                       F.lit(None).cast("long").alias("emit_ns"))))
+    upto = Window.partitionBy("symbol").orderBy("at", F.col("idx").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    return (both.withColumn("last_emit", F.coalesce(F.max("emit_ns").over(upto), F.lit(0))).where("idx is not null")
+            .select("symbol", "idx", "last_emit"))
+
+
+def tree_nodes(first: str, last: str, size: str) -> Column:
+    """The few nodes ``(height, no)`` of a binary tree over block numbers that make up ``first..last`` exactly."""
+    return F.expr(f"""flatten(transform(sequence(0, cast(ceil(log2({size} + 2)) as int)), k -> filter(array(
+        case when shiftright({first} + shiftleft(1L, k) - 1, k) < shiftright({last} + 1, k)
+                  and shiftright({first} + shiftleft(1L, k) - 1, k) % 2 = 1
+             then struct(k as height, shiftright({first} + shiftleft(1L, k) - 1, k) as no) end,
+        case when shiftright({first} + shiftleft(1L, k) - 1, k) < shiftright({last} + 1, k)
+                  and shiftright({last} + 1, k) % 2 = 1
+             then struct(k as height, shiftright({last} + 1, k) - 1 as no) end), x -> x is not null)))""")
+
+
 def levels_at_start(events: DataFrame, blocks: DataFrame) -> DataFrame:
-    """(symbol, idx, side, px, qty): levels alive when block ``idx`` begins."""
+    """(symbol, idx, side, px, qty): the levels alive when block ``idx`` begins that can come to the top within it.
+
+    A level lives from the block after its last update until the block that updates or clears it. That span is a few
+    nodes of a tree over the blocks, so a level that rests for long is no row per block; a node keeps its best levels
+    only, as many as the neediest block below can use. What leaves here is bounded by events times the tree's height.
+    """
     order = F.struct(*ORDER, "i")
-    changes = (events.select("symbol", "idx", *ORDER, "last_clear", "next_clear", "n_blocks",
-                             F.posexplode("updates").alias("i", "u"))
+    known = blocks.select("symbol", "idx", "last_clear", "next_clear", "n_blocks")
+    changes = (events.select("symbol", "idx", *ORDER, "updates").join(known, ["symbol", "idx"])
+               .select("symbol", "idx", *ORDER, "last_clear", "next_clear", "n_blocks", F.posexplode("updates").alias("i", "u"))
                .where(F.col("last_clear").isNull() | (F.struct(*ORDER) >= F.col("last_clear")))
+               .where("u.side is not null and u.px is not null and u.qty is not null")
                .groupBy("symbol", "idx", F.col("u.side").alias("side"), F.col("u.px").alias("px"))
                .agg(F.max_by("u.qty", order).alias("qty"), F.first("next_clear").alias("next_clear"),
                     F.first("n_blocks").alias("n_blocks")))
     level = Window.partitionBy("symbol", "side", "px").orderBy("idx")
     until = F.least(F.lead("idx").over(level), F.col("next_clear"), F.col("n_blocks"))
-    return (changes.withColumn("until", until)
-            .where((F.col("qty") != 0) & (F.col("until") > F.col("idx")))
-            .select("symbol", F.explode(F.sequence(F.col("idx") + 1, "until")).alias("idx"), "side", "px", "qty"))
-
-
-def rebuild_books(events: DataFrame, venue: str, depth: int = 20, block_ns: int = 10 * MINUTE) -> DataFrame:
-    blocks = number_blocks(events, block_ns)
-    keyed = (events.withColumn("block", idiv(F.col("recv_ns"), block_ns))
-             .join(blocks, ["symbol", "block"]))
-    times = keyed.select("symbol", "idx", "recv_ns").distinct()
-    exits = times.groupBy("symbol", "idx").applyInPandas(
-        _exits, "symbol string, idx int, entry_ns long, last_ns long")
-    starts = exits.groupBy("symbol").applyInPandas(_walk, "symbol string, idx int, last_emit long")
-    runs = keyed.select("symbol", "idx", *ORDER, "clear", "updates").join(starts, ["symbol", "idx"])
+    spans = (changes.withColumn("until", until).where((F.col("qty") != 0) & (F.col("until") > F.col("idx")))
+             .withColumn("since", F.col("idx") + 1))
+    node = ["symbol", "side", "height", "no"]
+    resting = spans.select("symbol", "side", "px", "qty", F.explode(tree_nodes("since", "until", "n_blocks")).alias("x")
+                           ).select("symbol", "side", "px", "qty", "x.*")
+    above = (blocks.select("symbol", "idx", F.explode(F.array(*(F.struct(F.lit(s).alias("side"), F.col(f"{s}_need").alias("need"))
+                                                               for s in SIDES))).alias("x"),
+                           F.expr("sequence(0, cast(ceil(log2(n_blocks + 2)) as int))").alias("heights"))
+             .select("symbol", "idx", "x.*", F.explode("heights").alias("height"))
+             .withColumn("no", F.expr("shiftright(idx, height)")))
+    best_first = F.when(F.col("side") == "bid", -F.col("px")).otherwise(F.col("px"))
+    top = (resting.withColumn("rank", F.row_number().over(Window.partitionBy(*node).orderBy(best_first)))
+           .join(above.groupBy(*node).agg(F.max("need").alias("most")), node).where("rank <= most"))
+    return top.join(above, node).where("rank <= need").select("symbol", "idx", "side", "px", "qty")
+
+
+def rebuild_books(events: DataFrame, venue: str, depth: int = 20, block_events: int = 1 << 15) -> DataFrame:
+    """Snapshots of all symbols from their level events; events are sorted once, into a scratch copy."""
+    spark = events.sparkSession
+    events = materialize(sorted_blocks(events, ["symbol"], ORDER), shared_dir(spark, "sorted-events"))
+    events = ranked(events, ["symbol"]).withColumn("idx", idiv(F.col("rank"), block_events) + 1).drop("block", "rank", "n")
+    blocks = event_blocks(events, depth)
+    blocks = materialize(blocks, shared_dir(spark, "event-blocks"))
+    starts = last_emissions(blocks, emission_times(events))
+    runs = events.select("symbol", "idx", *ORDER, "clear", "updates").join(starts, ["symbol", "idx"])
 
     def run(key: tuple, pdf: pd.DataFrame, alive: pd.DataFrame) -> pd.DataFrame:
-        book: dict = {"bid": {}, "ask": {}}
+        book: dict = {side: {} for side in SIDES}
         for side, px, qty in zip(alive["side"], alive["px"], alive["qty"], strict=True):
             if side in book:
                 book[side][px] = qty
@@ -185,7 +266,7 @@ def rebuild_books(events: DataFrame, venue: str, depth: int = 20, block_ns: int
         found, _ = replay(book, int(pdf["last_emit"].iloc[0]), _ordered_events(pdf), depth)
         return pd.DataFrame([{"symbol": key[0], **s} for s in found], columns=["ts_ns", "symbol", "bids", "asks"])
 
-    alive_at = levels_at_start(keyed, blocks).withColumnsRenamed({"symbol": "of_symbol", "idx": "of_idx"})
+    alive_at = levels_at_start(events, blocks).withColumnsRenamed({"symbol": "of_symbol", "idx": "of_idx"})
     books = (runs.groupBy("symbol", "idx").cogroup(alive_at.groupBy("of_symbol", "of_idx"))
              .applyInPandas(run, SNAPSHOTS))
     return book_rows(books, venue, depth)

@@ -5,7 +5,9 @@ import pytest
 
 from marketlake.schemas import FRAMES
 from marketlake.sources.frames import normalise
-from marketlake.sources.frames.level2 import (EVENTS, kraken_level_events, rebuild_books, replay)
+from marketlake.functions.ordered import ranked, sorted_blocks
+from marketlake.sources.frames.level2 import (EVENTS, ORDER, emission_times, event_blocks, kraken_level_events, levels_at_start,
+                                              rebuild_books, replay, tree_nodes)
 from tests.helpers import S, T, rows
 
 MS = 1_000_000
@@ -92,18 +94,60 @@ def sequential(events, depth):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_blocked_books_equal_one_sequential_replay(spark, seed):
+def level_events(seed, n=400, prices=12, steps=(0, 50 * MS, 900 * MS, 4 * S, 13 * S), clears=0.02):
     rng = random.Random(seed)
     events, now = [], T
-    for i in range(400):
-        now += rng.choice([0, 50 * MS, 900 * MS, 4 * S, 13 * S])
-        ups = [{"side": rng.choice(["bid", "ask"]), "px": float(rng.randrange(12)), "qty": float(rng.randrange(3))}
+    for i in range(n):
+        now += rng.choice(steps)
+        ups = [{"side": rng.choice(["bid", "ask", "ask", "bid", "none", None]), "px": rng.choice([float(rng.randrange(prices)), None])
+                if rng.random() < 0.1 else float(rng.randrange(prices)), "qty": float(rng.choice([0, 1, 2, 2]))}
                for _ in range(rng.randrange(4))]
-        events.append(("hot" if rng.random() < 0.8 else "thin", now, i, 0, rng.random() < 0.02, ups))
-    got = [(r["symbol"], r["ts_ns"], [x["px"] for x in r["bids"]], [x["px"] for x in r["asks"]])
-           for r in rows(rebuild_books(spark.createDataFrame(events, EVENTS), "kraken", 5, 20 * S), "symbol", "ts_ns")]
-    assert got == sequential(events, 5)
+        events.append(("hot" if rng.random() < 0.8 else "thin", now, i, 0, rng.random() < clears, None if i % 50 == 3 else ups))
+    return events
+
+
+def blocked(spark, events, depth, block):
+    return [(r["symbol"], r["ts_ns"], [x["px"] for x in r["bids"]], [x["px"] for x in r["asks"]])
+            for r in rows(rebuild_books(spark.createDataFrame(events, EVENTS).repartition(3), "kraken", depth, block), "symbol", "ts_ns")]
+
+
+@pytest.mark.parametrize("seed,block,prices,depth", [(1, 1, 12, 5), (2, 7, 60, 2), (3, 50, 200, 3), (4, 1000, 12, 5)])
+def test_blocked_books_equal_one_sequential_replay(spark, seed, block, prices, depth):
+    events = level_events(seed, prices=prices, clears=0.02 if seed % 2 else 0.0)
+    assert blocked(spark, events, depth, block) == sequential(events, depth)
+
+
+def test_a_symbol_with_all_events_in_one_minute(spark):
+    events = level_events(9, n=900, prices=300, steps=(0, 5 * MS, 40 * MS, 60 * MS, 200 * MS), clears=0.0)
+    assert blocked(spark, events, 4, 16) == sequential(events, 4)
+
+
+def test_a_deep_book_starts_blocks_with_what_can_come_to_the_top(spark):
+    """300 resting levels, then updates at the top: later blocks start with a few levels, not with the book."""
+    events = [("A", T + i * S, i, 0, False, [{"side": "bid", "px": float(i) if i < 300 else 1000.0 + i % 5, "qty": 1.0 + i % 2}])
+              for i in range(600)]
+    placed = ranked(sorted_blocks(spark.createDataFrame(events, EVENTS).coalesce(1), ["symbol"], ORDER), ["symbol"])
+    cut = placed.selectExpr("*", "rank div 4 + 1 as idx").drop("block", "rank", "n")
+    alive = levels_at_start(cut, event_blocks(cut, 2)).where("idx > 80")
+    assert 0 < max(r["count"] for r in alive.groupBy("idx").count().collect()) <= 2 * 9
+    assert blocked(spark, events, 2, 4) == sequential(events, 2)
+
+
+def test_spans_are_tree_nodes(spark):
+    spans = [(a, b, 40) for a in range(1, 41) for b in range(a, 41)]
+    found = spark.createDataFrame(spans, "a long, b long, n long").select("a", "b", tree_nodes("a", "b", "n").alias("x")).collect()
+    for r in found:
+        covered = sorted(i for x in r.x for i in range(x.no << x.height, (x.no + 1) << x.height))
+        assert covered == list(range(r.a, r.b + 1)) and len(r.x) <= 12
+
+
+def test_emission_times_do_not_depend_on_the_cells(spark):
+    events = level_events(5, n=600)
+    want = sorted((s, f["ts_ns"]) for s in ("hot", "thin") for f in replay(
+        {"bid": {}, "ask": {}}, 0, sorted((e[1], False, None) for e in events if e[0] == s), 1)[0])
+    df = spark.createDataFrame(events, EVENTS)
+    for cell in (S, 20 * S, 3600 * S):
+        assert sorted((r.symbol, r.emit_ns) for r in emission_times(df, cell).collect()) == want
 
 
 def test_kraken_snapshot_clears(spark):
