@@ -26,12 +26,6 @@ def live(v: MarketViews) -> MarketViews:
     return MarketViews(v.spark, v.sf_dir, stream)
 
 
-def drained(v: MarketViews, start: Callable[[str, str], object], read: Callable[[str], DataFrame]) -> DataFrame:
-    base = shared_dir(v.spark, "stream")
-    start(f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return read(f"{base}/out")
-
-
 def into_lake(v: MarketViews, start: Callable[[Lake, str], object]) -> Lake:
     base = shared_dir(v.spark, "stream-lake")
     lake = Lake(v.spark, f"{base}/lake")
@@ -78,14 +72,12 @@ def _health(v, n):
 @query("stream_book")
 def _book(v, n):
     events = LEVEL_EVENTS["coinbase"](V.level2_frames(live(v).trades, "coinbase"))
-    return ladder_text(_out(drained(
-        v, lambda out, cp: J.write_rows(stream_books(events, "coinbase", depth=5), out, cp, available_now=True),
-        lambda out: v.spark.read.parquet(out))))
+    lake = into_lake(v, lambda lake, cp: J.write_books(stream_books(events, "coinbase", depth=5), lake, cp, available_now=True))
+    return ladder_text(_out(lake.table("book_l2_snapshot").drop("date")))
 
 
 @query("stream_bbo")
 def _bbo(v, n):
     frames = V.quote_frames(live(v).quotes, "gemini")
-    return r(_out(drained(
-        v, lambda out, cp: J.write_rows(J.best_quotes_stream(frames), out, cp, available_now=True),
-        lambda out: v.spark.read.parquet(out))), "bid_px ask_px")
+    lake = into_lake(v, lambda lake, cp: J.write_quotes(J.best_quotes_stream(frames), lake, cp, available_now=True))
+    return r(_out(lake.table("quotes").drop("date")), "bid_px ask_px")

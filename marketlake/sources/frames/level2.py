@@ -19,6 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from marketlake.functions.ordered import ranked, sorted_blocks
 from marketlake.functions.timeutil import MINUTE, SECOND, idiv
@@ -281,25 +282,56 @@ def book_rows(books: DataFrame, venue: str, depth: int) -> DataFrame:
 
 # ---- the same replay as a stateful stream ----
 
-BOOK_STATE = "last_emit long, side array<string>, px array<double>, qty array<double>"
+class TrackedBook:
+    """A book over keyed state that remembers which levels changed."""
 
+    def __init__(self, levels: Iterator):
+        self.sides: dict[str, dict[float, float]] = {side: {} for side in SIDES}
+        for (side, px), (qty,) in levels:
+            self.sides[side][px] = qty
+        self.stored = {side: dict(found) for side, found in self.sides.items()}
 
-def stream_books(events: DataFrame, venue: str, depth: int = 20) -> DataFrame:
-    """Keyed state holds the live levels and the last emission; it outlives reconnects."""
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        book: dict = {"bid": {}, "ask": {}}
-        last = 0
-        if state.exists:
-            last, sides, pxs, qtys = state.get
-            for side, px, qty in zip(sides, pxs, qtys, strict=True):
-                book[side][px] = qty
-        pdf = pd.concat(list(batches))  # one symbol in one trigger
-        found, last = replay(book, last, _ordered_events(pdf), depth)
-        flat = [(s, p, q) for s in book for p, q in book[s].items()]
-        state.update((last, [x[0] for x in flat], [x[1] for x in flat], [x[2] for x in flat]))
+    def changes(self) -> Iterator[tuple[str, float, float | None]]:
+        """Levels to set, and with None those to remove, since the state was read."""
+        for side in SIDES:
+            now, before = self.sides[side], self.stored[side]
+            yield from ((side, px, qty) for px, qty in now.items() if before.get(px) != qty)
+            yield from ((side, px, None) for px in before if px not in now)
+
+
+class BookStream(StatefulProcessor):
+    """Live levels as map state, one entry per price level, and the last emission; both outlive reconnects.
+
+    A trigger writes the entries of levels it changed. Rows of a trigger come in any order and are sorted, so what a
+    trigger takes in is bounded at the source (``maxFilesPerTrigger`` or ``maxBytesPerTrigger``), also for a backlog.
+    """
+
+    def __init__(self, depth: int):
+        self.depth = depth
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.levels = handle.getMapState("levels", "side string, px double", "qty double")
+        self.last = handle.getValueState("last", "emit_ns long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        book = TrackedBook(self.levels.iterator())
+        last = self.last.get()[0] if self.last.exists() else 0
+        found, last = replay(book.sides, last, _ordered_events(pd.concat(list(rows))), self.depth)
+        for side, px, qty in book.changes():
+            if qty is None:
+                self.levels.removeKey((side, px))
+            else:
+                self.levels.updateValue((side, px), (qty,))
+        self.last.update((last,))
         yield pd.DataFrame([{"symbol": key[0], **s} for s in found], columns=["ts_ns", "symbol", "bids", "asks"])
 
-    books = events.groupBy("symbol").applyInPandasWithState(step, SNAPSHOTS, BOOK_STATE, "append", "NoTimeout")
+    def close(self) -> None:
+        pass
+
+
+def stream_books(events: DataFrame, venue: str, depth: int = 20) -> DataFrame:
+    """Books of a stream of level events; needs the session's state store to be one that can hold maps (RocksDB)."""
+    books = events.groupBy("symbol").transformWithStateInPandas(BookStream(depth), SNAPSHOTS, "Append", "None")
     return book_rows(books, venue, depth)
 
 

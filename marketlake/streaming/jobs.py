@@ -8,12 +8,14 @@ left to the batch rebuild, which appends a newer build of the same bars to the s
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from marketlake.functions.timeutil import MINUTE, SECOND, date_of, date_text, ts_of
 from marketlake.operators import health as H
@@ -46,20 +48,40 @@ def levels_stream(trades: DataFrame, arrival: Sequence[str] = ("seq",), delay: s
     return levels.drop("window")
 
 
+# The setting that picks the state store, and the store that can hold maps of levels.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+MAP_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def _start(writer, checkpoint: str, available_now: bool, flush: str = FLUSH) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=flush)).start()
 
 
+@contextmanager
+def map_state(spark: SparkSession) -> Iterator[None]:
+    """A query started within keeps its state in a store that can hold maps; a query keeps the settings it starts with."""
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, MAP_STORE)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+
+
 def into_table(rows: DataFrame, lake: Lake, table: str, name: str, checkpoint: str, available_now: bool = False,
-               flush: str = FLUSH, finish: Callable[[DataFrame], DataFrame] = lambda batch: batch) -> StreamingQuery:
+               flush: str = FLUSH, finish: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+               order: str | None = None) -> StreamingQuery:
     """Every micro-batch into a stored table, once: a retried batch finds its name in the table's log.
 
     The table stays plain partitioned files, so batch appends, rebuilds, compaction and streams share it. ``name`` tells
     this stream's batches from those of other streams and must stay with its checkpoint.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        lake.append_once(table, finish(batch), f"{name}-{batch_id}")
+        lake.append_once(table, finish(batch), f"{name}-{batch_id}", order)
         if batch_id > 1:
             lake.forget(table, f"{name}-{batch_id - 2}")  # only the last batch can come again
 
@@ -125,19 +147,18 @@ def write_health(counts: DataFrame, lake: Lake, checkpoint: str, available_now:
 
 BBO = "struct<k:double,r:long,s:long,i:int,qty:double>"
 BBO_ROWS = f"symbol string, recv_ns long, seq long, best_bid {BBO}, best_ask {BBO}"
-BBO_STATE = "bid_k double, bid_qty double, ask_k double, ask_qty double"
 
 
-def best_quotes_stream(frames: DataFrame) -> DataFrame:
-    """Running best bid and ask as keyed state; the stream form of the batch prefix maximum."""
-    changes = gemini_changes(frames).select("symbol", "recv_ns", "seq",
-                                            *[F.col(f"{s}.{f}").alias(f"{s}_{f}") for s in ("bid", "ask")
-                                              for f in ("k", "qty")])
+class BestQuotes(StatefulProcessor):
+    """Running best bid and ask, a value of fixed size per symbol; the stream form of the batch prefix maximum."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.best = handle.getValueState("best", "bid_k double, bid_qty double, ask_k double, ask_qty double")
 
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # the running best is the latest row among the largest prices so far: a prefix maximum per side
-        pdf = pd.concat(list(batches)).sort_values(["recv_ns", "seq"], kind="stable")
-        held = state.get if state.exists else (None,) * 4
+        pdf = pd.concat(list(rows)).sort_values(["recv_ns", "seq"], kind="stable")
+        held = self.best.get() if self.best.exists() else (None,) * 4
         out, kept = {"symbol": key[0], "recv_ns": pdf["recv_ns"], "seq": pdf["seq"]}, []
         for side, k, qty in (("bid", *held[:2]), ("ask", *held[2:])):
             first = np.array([[np.nan if k is None else k, np.nan if qty is None else qty]], float)
@@ -148,13 +169,26 @@ def best_quotes_stream(frames: DataFrame) -> DataFrame:
             best = both[at]
             out[f"best_{side}"] = [None if np.isnan(p) else {"k": p, "r": 0, "s": 0, "i": 0, "qty": q} for p, q in best[1:]]
             kept += [None if np.isnan(x) else float(x) for x in best[-1]]
-        state.update(tuple(kept))
+        self.best.update(tuple(kept))
         yield pd.DataFrame(out)
 
-    return gemini_quotes(changes.groupBy("symbol").applyInPandasWithState(
-        step, BBO_ROWS, BBO_STATE, "append", "NoTimeout"))
+    def close(self) -> None:
+        pass
+
+
+def best_quotes_stream(frames: DataFrame) -> DataFrame:
+    """Best quotes of a stream of messages, one per message that follows the first with both sides known."""
+    changes = gemini_changes(frames).select("symbol", "recv_ns", "seq",
+                                            *[F.col(f"{s}.{f}").alias(f"{s}_{f}") for s in ("bid", "ask")
+                                              for f in ("k", "qty")])
+    return gemini_quotes(changes.groupBy("symbol").transformWithStateInPandas(BestQuotes(), BBO_ROWS, "Append", "None"))
+
+
+def write_books(books: DataFrame, lake: Lake, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    with map_state(lake.spark):
+        return into_table(books, lake, "book_l2_snapshot", "stream-books", checkpoint, available_now, order="ts_ns")
 
 
-def write_rows(rows: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    return _start(rows.writeStream.outputMode("append").format("parquet").option("path", path), checkpoint,
-                  available_now)
+def write_quotes(quotes: DataFrame, lake: Lake, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    with map_state(lake.spark):
+        return into_table(quotes, lake, "quotes", "stream-quotes", checkpoint, available_now, order="recv_ns")
