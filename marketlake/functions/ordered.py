@@ -84,45 +84,87 @@ def running_best(df: DataFrame, keys: Sequence[str], order: Sequence[str], best:
                     *[F.greatest(F.col(f"_c_{n}"), F.max(n).over(inside)).alias(n) for n in names]))
 
 
+def as_of(rows: DataFrame, states: DataFrame, keys: Sequence[str], at: str, since: str, columns: Sequence[str],
+          cell: int) -> DataFrame:
+    """``rows`` with ``columns`` of the state of their keys that holds at ``at``: the latest with ``since`` not after it,
+    null where there is none. ``at`` and ``since`` are long.
+
+    Rows meet states within cells of ``cell`` units, so one key may hold any share of the rows; what a cell starts with
+    comes from one small row per cell that has rows. ``rows`` are shuffled once.
+    """
+    def cell_of(t: Column) -> Column:
+        return idiv(t - F.pmod(t, F.lit(cell)), cell)
+
+    known = states.select(*keys, F.col(since).alias("_at"), F.struct(*columns).alias("_state"))
+    none = F.lit(None).cast(known.schema["_state"].dataType)
+    cells = (rows.select(*keys, cell_of(F.col(at)).alias("_cell")).distinct()
+             .select(*keys, (F.col("_cell") * cell).alias("_at"), "_cell", none.alias("_state")))
+    # a state of the very start belongs to the cell itself: markers come first
+    before = Window.partitionBy(*keys).orderBy("_at", F.col("_cell").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    carried = (cells.unionByName(known.withColumn("_cell", F.lit(None).cast("long")))
+               .withColumn("_state", F.last("_state", ignorenulls=True).over(before))
+               .where(F.col("_cell").isNotNull() & F.col("_state").isNotNull()).withColumn("_kind", F.lit(0)))
+    inside = known.withColumns({"_cell": cell_of(F.col("_at")), "_kind": F.lit(1)})
+    mine = rows.select(*keys, F.col(at).alias("_at"), none.alias("_state"), cell_of(F.col(at)).alias("_cell"),
+                       F.lit(2).alias("_kind"), F.struct(*rows.columns).alias("_row"))
+    here = Window.partitionBy(*keys, "_cell").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    return (mine.unionByName(carried, allowMissingColumns=True).unionByName(inside, allowMissingColumns=True)
+            .withColumn("_state", F.last("_state", ignorenulls=True).over(here)).where(F.col("_row").isNotNull())
+            .select("_row.*", *(F.col(f"_state.{c}").alias(c) for c in columns)))
+
+
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, wanted: dict[str, float],
-                      bucket: Column, carried: str | None = None) -> DataFrame:
-    """Linear-interpolated percentiles per key, exact, for values with unbounded variety.
+                      accuracy: int = 1000) -> DataFrame:
+    """Linear-interpolated percentiles per key, exact, for values with unbounded variety. Nulls do not count.
 
-    ``wanted`` maps output names to fractions. Equal values are merged first.
-    ``bucket`` is any non-decreasing function of the merged value ``_v``; only the
-    buckets that hold a wanted rank are sorted, each on its own. ``carried`` is a column that equal
-    values share and ``bucket`` needs.
+    ``wanted`` maps output names to fractions. A sketch per key, merged map-side, bounds each percentile from both sides by
+    a few thousandths of the rows; rows below a band are counted, and only values inside one are merged and ranked.
+    The counts prove the bounds; a key whose sketch missed is ranked between its extremes instead. Outliers
+    move neither the bands nor their size, and a key that holds most rows meets nowhere but in its bands.
     """
-    more = [F.first(carried).alias(carried)] if carried else []
-    counts = (df.where(F.col(value).isNotNull())
-              .groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"), *more)
-              .withColumn("_b", bucket))
-    per_bucket = counts.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
-    upto = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = F.sum("_bn").over(Window.partitionBy(*keys)) - 1
-    edges = (per_bucket.withColumn("_last", last)
-             .withColumn("_end", F.sum("_bn").over(upto))
-             .withColumn("_start", F.col("_end") - F.col("_bn")))
-
-    def pos(p: float) -> Column:
-        return F.col("_last") * F.lit(float(p))
-
-    holds = F.lit(False)
-    for p in wanted.values():
-        holds = holds | ((F.col("_start") <= F.ceil(pos(p))) & (F.col("_end") > F.floor(pos(p))))
-    chosen = edges.where(holds).select(*keys, "_b", "_start", "_last")
-    rank = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding,
-                                                                     Window.currentRow)
-    ranked = (counts.join(chosen, [*keys, "_b"])
-              .withColumn("_hi", F.col("_start") + F.sum("_n").over(rank))
-              .withColumn("_lo", F.col("_hi") - F.col("_n")))
-
-    def at(r: Column) -> Column:
-        return F.max(F.when((F.col("_lo") <= r) & (r < F.col("_hi")), F.col("_v"))).cast("double")
-
-    picked = ranked.groupBy(*keys, "_last").agg(
-        *[at(F.floor(pos(p))).alias(f"_a_{n}") for n, p in wanted.items()],
-        *[at(F.ceil(pos(p))).alias(f"_z_{n}") for n, p in wanted.items()])
-    return picked.select(*keys, *[
-        (F.col(f"_a_{n}") + (F.col(f"_z_{n}") - F.col(f"_a_{n}")) * (pos(p) - F.floor(pos(p)))).alias(n)
-        for n, p in wanted.items()])
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    slack = 4.0 / accuracy
+    edges = [e for p in wanted.values() for e in (max(p - slack, 0.0), min(p + slack, 1.0))]
+    sketch = rows.groupBy(*keys).agg(
+        F.percentile_approx("_v", edges, accuracy).alias("_e"), F.count(F.lit(1)).alias("_n"),
+        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    bounds = sketch.select(*keys, "_n", "_lo", "_hi", F.array(*(F.struct(
+        F.lit(i).alias("i"),
+        (F.lit(p) * (F.col("_n") - 1)).alias("pos"),
+        # the outermost bands reach to the extremes, which a sketch need not hold
+        (F.col("_lo") if edges[2 * i] == 0 else F.col("_e")[2 * i]).alias("lo"),
+        (F.col("_hi") if edges[2 * i + 1] == 1 else F.col("_e")[2 * i + 1]).alias("hi"))
+        for i, p in enumerate(wanted.values()))).alias("_bands"))
+
+    def ranked_in(bounds: DataFrame) -> DataFrame:
+        placed = _same(rows, bounds, keys)
+        low = placed.groupBy(*keys).agg(*(F.count_if(F.col("_v") < F.col("_bands")[i]["lo"]).alias(f"_b{i}")
+                                          for i in range(len(wanted))))
+        band = (placed.select(*keys, "_v", F.explode(F.filter("_bands", lambda b: F.col("_v").between(b["lo"], b["hi"]))).alias("b"))
+                .groupBy(*keys, F.col("b.i").alias("i"), F.col("b.pos").alias("pos"), "_v").agg(F.count(F.lit(1)).alias("_c")))
+        upto = Window.partitionBy(*keys, "i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+        below = F.element_at(F.array(*(F.col(f"_b{i}") for i in range(len(wanted)))), F.col("i") + 1)
+        ranks = (_same(band, low, keys).withColumn("_end", below + F.sum("_c").over(upto))
+                 .withColumn("_start", F.col("_end") - F.col("_c")))
+
+        def at(rank: Column) -> Column:
+            return F.max(F.when((F.col("_start") <= rank) & (rank < F.col("_end")), F.col("_v"))).cast("double")
+
+        return ranks.groupBy(*keys, "i", "pos").agg(at(F.floor("pos")).alias("_a"), at(F.ceil("pos")).alias("_z"))
+
+    found = ranked_in(bounds)
+    held = found.groupBy(*keys).agg(F.count_if(F.col("_a").isNotNull() & F.col("_z").isNotNull()).alias("_ok"))
+    missed = (_same(bounds, held, keys, "left").where(F.coalesce("_ok", F.lit(0)) < len(wanted))
+              .withColumn("_bands", F.transform("_bands", lambda b: F.struct(
+                  b["i"].alias("i"), b["pos"].alias("pos"), F.col("_lo").alias("lo"), F.col("_hi").alias("hi")))).drop("_ok"))
+    whole = _same(found, missed.select(*keys), keys, "left_anti").unionByName(ranked_in(missed))
+    return whole.groupBy(*keys).agg(*(
+        F.max(F.when(F.col("i") == i, F.col("_a") + (F.col("_z") - F.col("_a")) * (F.col("pos") - F.floor("pos")))).alias(name)
+        for i, name in enumerate(wanted)))
+
+
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, null equal to null."""
+    names = {k: f"_{k}_of" for k in keys}
+    right = right.withColumnsRenamed(names)
+    return left.join(right, [left[k].eqNullSafe(F.col(names[k])) for k in keys], how).drop(*names.values())

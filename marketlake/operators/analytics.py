@@ -33,16 +33,12 @@ def tracking_error(bars: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """count, mean, std, min, quartiles and max per key; quartiles exact, ranked in buckets of a 4096th of
-    the spread around the mean, so that a long series never meets in one buffer whatever its unit."""
+    """count, mean, std, min, quartiles and max per key; quartiles are exact, and a long series never meets in one buffer."""
     v = F.col(value)
     moments = df.where(v.isNotNull()).groupBy(*keys).agg(
         F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"),
         F.max(v).alias("max"))
-    width = F.coalesce(F.nullif((F.col("max") - F.col("min")) / 4096, F.lit(0.0)), F.lit(1.0))
-    placed = df.join(moments.select(*keys, F.col("min").alias("_low"), width.alias("_width")), list(keys))
-    quartiles = exact_percentiles(placed.withColumn("_place", F.floor((v - F.col("_low")) / F.col("_width"))), keys, value,
-                                  {"q25": 0.25, "q50": 0.5, "q75": 0.75}, F.col("_place"), "_place")
+    quartiles = exact_percentiles(df, keys, value, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
     return moments.join(quartiles, list(keys))
 
 

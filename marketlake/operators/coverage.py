@@ -8,21 +8,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.functions.timeutil import SECOND, idiv
+from marketlake.sources.store import footer_spans
 from marketlake.sources.venues import known_venue, present_venues
 
 PART = ("symbol", "venue", "date")
 
 
-def partition_rows(table_name: str, df: DataFrame) -> DataFrame:
-    return (df.groupBy(*PART).agg(F.count(F.lit(1)).alias("rows"), F.min("ts_ns").alias("first_ts_ns"),
-                                  F.max("ts_ns").alias("last_ts_ns"))
-            .select(F.lit(table_name).alias("table_name"), *PART, "rows", "first_ts_ns", "last_ts_ns",
-                    idiv(F.col("last_ts_ns") - F.col("first_ts_ns"), SECOND).alias("span_seconds")))
+def coverage(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row per (table, symbol, venue, date), counted."""
+    return spanned({n: footer_spans(df) for n, df in tables.items()})
 
 
-def coverage(tables: dict[str, DataFrame], sizes: DataFrame | None = None) -> DataFrame:
-    """One row per (table, symbol, venue, date). ``sizes``: (table_name, symbol, venue, date, bytes)."""
-    rows = reduce(DataFrame.unionByName, [partition_rows(n, df) for n, df in tables.items()])
+def spanned(spans: dict[str, DataFrame], sizes: DataFrame | None = None) -> DataFrame:
+    """Coverage rows from each table's spans. ``sizes``: (table_name, symbol, venue, date, bytes)."""
+    rows = reduce(DataFrame.unionByName, [
+        df.select(F.lit(n).alias("table_name"), *PART, "rows", "first_ts_ns", "last_ts_ns",
+                  idiv(F.col("last_ts_ns") - F.col("first_ts_ns"), SECOND).alias("span_seconds"))
+        for n, df in spans.items()])
     if sizes is None:
         return rows.withColumn("bytes_on_disk", F.lit(0).cast("long"))
     total = sizes.groupBy("table_name", *PART).agg(F.sum("bytes").alias("bytes_on_disk"))
@@ -30,12 +32,12 @@ def coverage(tables: dict[str, DataFrame], sizes: DataFrame | None = None) -> Da
 
 
 def stored_coverage(lake) -> DataFrame:
-    """Coverage of every stored table of a lake, bytes taken from file metadata."""
+    """Coverage of every stored table of a lake: counts and spans from footers, bytes from the listing of files."""
     from marketlake.schemas import SCHEMAS
     present = [t for t in SCHEMAS if lake.exists(t)]
     sizes = reduce(DataFrame.unionByName,
                    [lake.files(t).select(F.lit(t).alias("table_name"), *PART, "bytes") for t in present])
-    return coverage({t: lake.table(t) for t in present}, sizes)
+    return spanned({t: lake.spans(t) for t in present}, sizes)
 
 
 def by_table(cov: DataFrame) -> DataFrame:

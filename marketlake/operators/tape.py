@@ -14,7 +14,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.functions.timeutil import MS, idiv, second_of
+from marketlake.functions.ordered import as_of
+from marketlake.functions.timeutil import MS, SECOND, second_of
 from marketlake.operators.bars import within_robust_band
 from marketlake.schemas import BAR_COLUMNS
 from marketlake.sources.venues import SPOT_VENUES, venue_bit
@@ -141,26 +142,12 @@ def run_summary(diagnostics: DataFrame, feeds: DataFrame, keys: Sequence[str] =
     return seen.join(built, list(keys), "left")
 
 
-def exclude_down(trades: DataFrame, status: DataFrame, cell_ns: int = 300 * 1000 * MS) -> DataFrame:
-    """Drop trades made while their feed's latest status was DOWN.
+def exclude_down(trades: DataFrame, status: DataFrame, cell_ns: int = 300 * SECOND) -> DataFrame:
+    """Drop trades made while their feed's latest status was DOWN. Feeds without a status are taken as up.
 
-    Status rows become [from, to) intervals. Closed down intervals are cut along a
-    fixed time grid so that trades meet them by equality on (venue, symbol, cell),
-    which splits a hot feed by time; a feed that is still down has one open interval.
+    Trades meet the status rows of their own cell of time and the one status that the cell starts with.
     """
-    following = Window.partitionBy("venue", "symbol").orderBy("ts_ns")
-    down = (status.where(F.col("stream") == "trades")
-            .withColumn("_to", F.lead("ts_ns").over(following))
-            .where(~F.col("up"))
-            .select("venue", "symbol", F.col("ts_ns").alias("_from"), "_to"))
-    closed = (down.where(F.col("_to").isNotNull())
-              .withColumn("_cell", F.explode(F.sequence(idiv(F.col("_from"), cell_ns),
-                                                        idiv(F.col("_to") - 1, cell_ns)))))
-    still_down = down.where(F.col("_to").isNull()).drop("_to")
-    t = trades.withColumn("_cell", idiv(F.col("ts_ns"), cell_ns))
-    t = t.join(closed, [t["venue"] == closed["venue"], t["symbol"] == closed["symbol"],
-                        t["_cell"] == closed["_cell"], t["ts_ns"] >= closed["_from"],
-                        t["ts_ns"] < closed["_to"]], "left_anti")
-    t = t.join(still_down, [t["venue"] == still_down["venue"], t["symbol"] == still_down["symbol"],
-                            t["ts_ns"] >= still_down["_from"]], "left_anti")
-    return t.drop("_cell")
+    feed = status.where(F.col("stream") == "trades").select("venue", "symbol", F.col("ts_ns").alias("_since"),
+                                                            F.col("up").alias("_up"))
+    judged = as_of(trades, feed, ["venue", "symbol"], "ts_ns", "_since", ["_up"], cell_ns)
+    return judged.where(F.coalesce("_up", F.lit(True))).drop("_up")

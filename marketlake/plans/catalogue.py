@@ -21,7 +21,7 @@ from marketlake.operators.resample import resample_bars
 from marketlake.plans import query as G
 from marketlake.plans.market_views import T0, MarketViews
 from marketlake.plans.pipeline import build_dataset, write_daily_quality
-from marketlake.plans.status import bars_span, status_report
+from marketlake.plans.status import bars_span, status_report, write_artefacts
 from marketlake.session import ensure_session, shared_dir
 from marketlake.sources.store import ARRIVAL, Lake, latest_by_key
 from marketlake.sources.venues import list_symbols, symbol_dim
@@ -149,6 +149,7 @@ def at(seconds: int) -> int:
 
 
 SYMBOLS = ["SYM0", "SYM1", "SYM2"]
+FAR = 4_102_444_800 * SECOND  # the year 2100: later than any row, however many events there are
 
 
 @query("get_bars_1s", "get_bars_1m", "get_bars_5m", "get_bars_1h", "get_bars_1d")
@@ -158,30 +159,30 @@ def _get_bars(v, n):
 
 @query("get_bars_multi")
 def _get_bars_multi(v, n):
-    return bars_out(G.get_bars(v.bars, SYMBOLS, at(0), at(100000), "5m", sources=["binance", "coinbase"]), ts_text())
+    return bars_out(G.get_bars(v.bars, SYMBOLS, at(0), FAR, "5m", sources=["binance", "coinbase"]), ts_text())
 
 
 @query("bars_asof")
 def _asof(v, n):
-    return bars_out(G.get_bars(v.bars, SYMBOLS, at(0), at(100000), "1m", asof=at(310)), ts_text())
+    return bars_out(G.get_bars(v.bars, SYMBOLS, at(0), FAR, "1m", asof=at(310)), ts_text())
 
 
 @query("bars_fields")
 def _fields(v, n):
-    return r(G.get_bars(v.bars, SYMBOLS, at(0), at(100000), "5m", sources=["binance", "coinbase"],
+    return r(G.get_bars(v.bars, SYMBOLS, at(0), FAR, "5m", sources=["binance", "coinbase"],
                         fields=["close", "volume", "no_such_column"]), "close volume")
 
 
 @query("bars_tz")
 def _tz(v, n):
-    return r(G.get_bars(v.bars, SYMBOLS, at(0), at(100000), "5m", tz="Asia/Tokyo"), "close").select(
+    return r(G.get_bars(v.bars, SYMBOLS, at(0), FAR, "5m", tz="Asia/Tokyo"), "close").select(
         "symbol", ts_text(), "close")
 
 
 @query("bars_fill_zero")
 def _fill_zero(v, n):
     old = v.bars.withColumn("ingested_at_ns", F.lit(None).cast("long"))
-    return bars_out(G.get_bars(old, SYMBOLS, at(0), at(100000), "5m", fill="zero"))
+    return bars_out(G.get_bars(old, SYMBOLS, at(0), FAR, "5m", fill="zero"))
 
 
 @query("bars_grid_ffill")
@@ -197,7 +198,7 @@ def _grid_7h(v, n):
 
 @query("bars_fill_ffill")
 def _fill_ffill(v, n):
-    return bars_out(G.get_bars(v.bars, SYMBOLS, at(0), at(100000), "5m", fill="ffill"))
+    return bars_out(G.get_bars(v.bars, SYMBOLS, at(0), FAR, "5m", fill="ffill"))
 
 
 @query("bars_latest_version")
@@ -205,7 +206,7 @@ def _latest(v, n):
     bars = v.bars
     rebuilt = bars.unionByName(bars.withColumns({"volume": F.col("volume") * 2,
                                                  "ingested_at_ns": F.col("ingested_at_ns") - 1}))
-    return bars_out(G.get_bars(rebuilt, SYMBOLS, at(0), at(1000000), "1m", versions="latest"), ts_text())
+    return bars_out(G.get_bars(rebuilt, SYMBOLS, at(0), FAR, "1m", versions="latest"), ts_text())
 
 
 @query("get_trades")
@@ -588,6 +589,12 @@ def _map_asof(v, n):
     return D.symbol_map_asof(v.symbol_map, at(200))
 
 
+@query("symbol_map_asof_many")
+def _map_asof_many(v, n):
+    instants = v.trades.select((F.col("ts_ns") - F.col("ts_ns") % (10 * SECOND)).alias("ts_ns")).distinct()
+    return D.symbol_map_asof_many(v.symbol_map, instants, bin_ns=60 * SECOND)
+
+
 @query("symbol_map_seed")
 def _map_seed(v, n):
     known = v.symbol_map.where(F.col("effective_from_ns") < at(300))
@@ -692,6 +699,38 @@ def _manifest(v, n):
     return C.by_table(lake.meta("coverage")).drop("bytes", "partitions")
 
 
+@query("manifest_text")
+def _manifest_text(v, n):
+    """The manifest's own JSON, parsed again."""
+    lake = Lake(v.spark, shared_dir(v.spark, "manifest"))
+    lake.append("trades", v.trades)
+    text = build_dataset(lake, {"run": 1})
+    parsed = v.spark.createDataFrame([(text,)], "text string").select(F.from_json("text", """
+        params struct<run:long>, bars_built struct<per_venue_1s:long,agg_1s:long,slices:long>,
+        coverage struct<partitions:long,total_rows:long,total_bytes:long>, quality struct<slices:long>""").alias("m"))
+    return parsed.select("m.params.run", "m.bars_built.*", "m.coverage.partitions", "m.coverage.total_rows",
+                         (F.col("m.coverage.total_bytes") > 0).alias("has_bytes"), F.col("m.quality.slices").alias("cards"))
+
+
+@query("coverage_footers")
+def _cov_footers(v, n):
+    """Coverage of a stored lake, from footers and file sizes, several files to a partition."""
+    lake = Lake(v.spark, shared_dir(v.spark, "footers"))
+    lake.append("trades", v.trades.where("seq % 2 = 0"))
+    lake.append("trades", v.trades.where("seq % 2 = 1"))
+    lake.append("quotes", v.quotes)
+    return C.stored_coverage(lake).withColumn("bytes_on_disk", F.col("bytes_on_disk") > 0)
+
+
+@query("status_fallback")
+def _status_fallback(v, n):
+    """A lake whose coverage is gone reports it from the JSON of an earlier build."""
+    lake, base = Lake(v.spark, shared_dir(v.spark, "status")), shared_dir(v.spark, "artefacts")
+    lake.put_meta("coverage", C.coverage(stored_tables(v)))
+    write_artefacts(lake, base)
+    return status_report(Lake(v.spark, shared_dir(v.spark, "bare")), base)["coverage"].drop("bytes")
+
+
 @query("status_venue_status", "status_coverage", "status_quality", "status_corrections")
 def _status_report(v, n):
     lake = Lake(v.spark, shared_dir(v.spark, "status"))
@@ -746,7 +785,7 @@ def _anatomy(v, n):
 
 @query("tape_breaches")
 def _breaches(v, n):
-    return A.tape_breaches(v.tape, v.venue_bars.where(F.col("venue") != "bybit"))
+    return A.tape_breaches(v.tape, T.spot_only(v.venue_bars))
 
 
 def queries() -> dict[str, Query]:

@@ -3,15 +3,18 @@ stay string maps, because some venues' keys differ by case only."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.functions.ordered import as_of
 from marketlake.functions.timeutil import MS, floor_ns
 from marketlake.schemas import SCHEMAS
 from marketlake.sources.arrival import POSITION, message_position
 from marketlake.sources.venues import canonical_of
 
 OBJECT, LIST = "map<string,string>", "array<map<string,string>>"
+#: Sequence numbers of a connection that are handled together.
+RUN = 1 << 16
 
 
 def jmap(c) -> Column:
@@ -120,22 +123,15 @@ def with_channel(frames: DataFrame, venue: str, channel: str) -> DataFrame:
     """Array messages of a channel-numbered feed, each with the symbol its channel stands for.
 
     The numbering is per connection and holds from its ``subscribed`` message until the
-    next one for the same number, so messages meet subscriptions by (connection,
-    channel) and position. No side is broadcast by hand: subscriptions grow with
-    reconnects.
+    next one for the same number. Messages meet the subscription that holds at their sequence
+    number within runs of sequence numbers, so one connection may carry a whole feed.
     """
     mine = frames.where(F.col("venue") == venue)
     asked = once(mine.where(F.contains("raw", F.lit("subscribed"))), "msg", jmap("raw"))
-    following = Window.partitionBy("conn_id", "chan").orderBy("from_seq")
     subs = (asked.where((msg("event") == "subscribed") & (msg("channel") == channel))
-            .select("conn_id", whole(msg("chanId")).alias("chan"), F.col("seq").alias("from_seq"),
+            .select("conn_id", whole(msg("chanId")).alias("chan"), (F.col("seq") + 1).alias("from_seq"),
                     F.coalesce(canonical_of(msg("symbol"), venue), canonical_of(msg("pair"), venue)).alias("symbol"))
-            .where(F.col("symbol").isNotNull() & F.col("chan").isNotNull())
-            .withColumn("to_seq", F.lead("from_seq").over(following)))
+            .where(F.col("symbol").isNotNull() & F.col("chan").isNotNull()))
     data = (once(mine.where(F.startswith("raw", F.lit("["))), "parts", jlist("raw"))
             .where(F.size("parts") >= 2).withColumn("chan", whole(cell(F.col("parts"), 0))))
-    return (data.alias("d").join(subs.alias("s"), [
-        F.col("d.conn_id") == F.col("s.conn_id"), F.col("d.chan") == F.col("s.chan"),
-        F.col("d.seq") > F.col("s.from_seq"),
-        F.col("s.to_seq").isNull() | (F.col("d.seq") < F.col("s.to_seq"))])
-        .select("d.*", "s.symbol"))
+    return as_of(data, subs, ["conn_id", "chan"], "seq", "from_seq", ["symbol"], RUN).where(F.col("symbol").isNotNull())

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from marketlake.functions.timeutil import date_of, hour_bucket
 from marketlake.schemas import META_KEYS, META_SCHEMAS, SCHEMAS, conform, schema_for
+from marketlake.session import settings, shared_dir
 from marketlake.sources.arrival import POSITION, POSITION_TYPE, position, with_position
 
 PARTITION = ("symbol", "venue", "date")
@@ -103,9 +104,9 @@ class Lake:
 
     # ---- scans ----
 
-    def _scan(self, path: str, schema: T.StructType) -> DataFrame | None:
+    def read_or_none(self, path: str, schema: T.StructType, form: str = "parquet") -> DataFrame | None:
         try:
-            return self.spark.read.schema(schema).parquet(path)
+            return self.spark.read.schema(schema).format(form).load(path)
         except AnalysisException as err:
             if "PATH_NOT_FOUND" in str(err):
                 return None
@@ -115,7 +116,7 @@ class Lake:
         # date stays a string; given schemas null-fill columns an old file lacks
         schema = T.StructType([*schema_for(table).fields, T.StructField("date", T.StringType()),
                                *STAMP])
-        return self._scan(self.path(table), schema), schema
+        return self.read_or_none(self.path(table), schema), schema
 
     def table(self, table: str) -> DataFrame:
         """A stored table with its ``date``; a table nobody wrote yet is empty, not an error."""
@@ -223,6 +224,16 @@ class Lake:
         self.append("bars_ref", klines.withColumn("interval", F.lit(interval))
                     .withColumn("ingested_at_ns", F.lit(None).cast("long")))
 
+    def spans(self, table: str) -> DataFrame:
+        """Rows, first and last ``ts_ns`` of each partition, from the footers of the files: no page of data is read.
+
+        Counts and extremes are pushed into the footers by the second-generation reader only, hence the settings. The
+        result, a row per partition, is stored while they hold.
+        """
+        schema = T.StructType([f for f in self._stored(table)[1] if f.name in ("ts_ns", *PARTITION)])
+        with settings(self.spark, spark__sql__sources__useV1SourceList="", spark__sql__parquet__aggregatePushdown="true"):
+            return self.materialize(footer_spans(self.read_or_none(self.path(table), schema)), shared_dir(self.spark, "spans"))
+
     # ---- compaction ----
 
     def files(self, table: str) -> DataFrame:
@@ -288,7 +299,7 @@ class Lake:
 
     def meta_log(self, name: str) -> DataFrame:
         schema = T.StructType([*META_SCHEMAS[name].fields, T.StructField("written_ns", T.LongType())])
-        found = self._scan(self.path(name), schema)
+        found = self.read_or_none(self.path(name), schema)
         return found if found is not None else self.spark.createDataFrame([], schema)
 
     def meta(self, name: str) -> DataFrame:
@@ -304,6 +315,11 @@ class Lake:
         return materialize(rows, path)
 
 
+def footer_spans(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*PARTITION).agg(F.count(F.lit(1)).alias("rows"), F.min("ts_ns").alias("first_ts_ns"),
+                                        F.max("ts_ns").alias("last_ts_ns"))
+
+
 def latest_by_key(log: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
     """Newest row per key; merges map-side, so the length of a key's history does not matter."""
     rest = [c for c in log.columns if c not in keys]

@@ -8,11 +8,10 @@ left to the batch rebuild, which appends a newer build of the same bars to the s
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -22,6 +21,7 @@ from marketlake.operators import health as H
 from marketlake.operators import tape as T
 from marketlake.operators.bars import bars_from_trades
 from marketlake.schemas import BAR_COLUMNS
+from marketlake.session import settings
 from marketlake.sources.arrival import POSITION, file_position
 from marketlake.sources.frames.quotes import gemini_changes, gemini_quotes
 from marketlake.sources.store import Lake, encoding
@@ -48,8 +48,7 @@ def levels_stream(trades: DataFrame, arrival: Sequence[str] = ("seq",), delay: s
     return levels.drop("window")
 
 
-# The setting that picks the state store, and the store that can hold maps of levels.
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+#: The state store that can hold maps of levels.
 MAP_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -58,20 +57,6 @@ def _start(writer, checkpoint: str, available_now: bool, flush: str = FLUSH) ->
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=flush)).start()
 
 
-@contextmanager
-def map_state(spark: SparkSession) -> Iterator[None]:
-    """A query started within keeps its state in a store that can hold maps; a query keeps the settings it starts with."""
-    before = spark.conf.get(STATE_STORE, None)
-    spark.conf.set(STATE_STORE, MAP_STORE)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(STATE_STORE)
-        else:
-            spark.conf.set(STATE_STORE, before)
-
-
 def into_table(rows: DataFrame, lake: Lake, table: str, name: str, checkpoint: str, available_now: bool = False,
                flush: str = FLUSH, finish: Callable[[DataFrame], DataFrame] = lambda batch: batch,
                order: str | None = None) -> StreamingQuery:
@@ -185,10 +170,10 @@ def best_quotes_stream(frames: DataFrame) -> DataFrame:
 
 
 def write_books(books: DataFrame, lake: Lake, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    with map_state(lake.spark):
+    with settings(lake.spark, spark__sql__streaming__stateStore__providerClass=MAP_STORE):
         return into_table(books, lake, "book_l2_snapshot", "stream-books", checkpoint, available_now, order="ts_ns")
 
 
 def write_quotes(quotes: DataFrame, lake: Lake, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    with map_state(lake.spark):
+    with settings(lake.spark, spark__sql__streaming__stateStore__providerClass=MAP_STORE):
         return into_table(quotes, lake, "quotes", "stream-quotes", checkpoint, available_now, order="recv_ns")

@@ -10,4 +10,5 @@ def all_oracles() -> dict[str, str]:
     for section, same_as in (("venue_status", "health_latest"), ("coverage", "coverage_by_table"),
                              ("quality", "quality_latest"), ("corrections", "corrections_rollup")):
         texts[f"status_{section}"] = texts[same_as]
+    texts["status_fallback"] = texts["status_coverage"]
     return texts

@@ -30,6 +30,10 @@ def window(lo_s: int, hi_s: int) -> str:
     return f"ts_ns >= {T0 + lo_s * S} AND ts_ns < {T0 + hi_s * S}"
 
 
+def from_start() -> str:
+    return f"ts_ns >= {T0}"
+
+
 def ts_text(expr: str = "ts_ns") -> str:
     return f"strftime(make_timestamp({expr} // 1000), '%Y-%m-%d %H:%M:%S.%f')"
 
@@ -106,23 +110,23 @@ def bar_oracles() -> dict[str, str]:
     two = "venue IN ('binance', 'coinbase')"
     five = grid(300 * S)
     out["get_bars_multi"] = sql(f"SELECT {BARS_OUT}, {ts_text()} AS ts FROM "
-                                f"({resampled('bars', five, f'{two} AND {window(0, 100000)}')}) x", "bars")
+                                f"({resampled('bars', five, f'{two} AND {from_start()}')}) x", "bars")
     cut = T0 + 310 * S
     out["bars_asof"] = sql(
         f"SELECT {BARS_OUT}, {ts_text()} AS ts FROM "
-        f"({resampled('bars', grid(60 * S), f'{agg} AND {window(0, 100000)} AND ingested_at_ns <= {cut}')}) x", "bars")
+        f"({resampled('bars', grid(60 * S), f'{agg} AND {from_start()} AND ingested_at_ns <= {cut}')}) x", "bars")
     out["bars_fields"] = sql(
         f"SELECT {r('close')} AS close, {r('volume')} AS volume, venue FROM "
-        f"({resampled('bars', five, f'{two} AND {window(0, 100000)}')}) x", "bars")
+        f"({resampled('bars', five, f'{two} AND {from_start()}')}) x", "bars")
     out["bars_tz"] = sql(
         "SELECT symbol, strftime(make_timestamp(ts_ns // 1000) + INTERVAL 9 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS ts, "
-        f"{r('close')} AS close FROM ({resampled('bars', five, f'{agg} AND {window(0, 100000)}')}) x", "bars")
+        f"{r('close')} AS close FROM ({resampled('bars', five, f'{agg} AND {from_start()}')}) x", "bars")
     nulled = f"SELECT * REPLACE (CAST(NULL AS BIGINT) AS ingested_at_ns) FROM bars WHERE {agg}"
     cte("bars_no_ingest", nulled, "bars")
     out["bars_fill_zero"] = sql(
         f"SELECT ts_ns, symbol, venue, {rounded(OHLC)}, trades, sources_mask, "
         "coalesce(ingested_at_ns, 0) AS ingested_at_ns FROM "
-        f"({resampled('bars_no_ingest', five, window(0, 100000))}) x", "bars_no_ingest")
+        f"({resampled('bars_no_ingest', five, from_start())}) x", "bars_no_ingest")
     cte("m5s", resampled("bars", grid(5 * S)), "bars")
     cte("m5s_next", "SELECT *, lead(ts_ns) OVER (PARTITION BY symbol, venue ORDER BY ts_ns) AS nxt FROM m5s", "m5s")
     cte("grid5", f"""SELECT m.*, unnest(generate_series(ts_ns, coalesce(nxt - {5 * S}, ts_ns), {5 * S})) AS g
@@ -145,7 +149,7 @@ def bar_oracles() -> dict[str, str]:
         f"{r('CASE WHEN g = ts_ns THEN volume ELSE 0 END')} AS volume, "
         "CASE WHEN g = ts_ns THEN trades ELSE 0 END AS trades, g <> ts_ns AS filled FROM grid7", "grid7")
     out["bars_fill_ffill"] = sql(
-        f"SELECT {BARS_OUT} FROM ({resampled('bars', five, f'{agg} AND {window(0, 100000)}')}) x", "bars")
+        f"SELECT {BARS_OUT} FROM ({resampled('bars', five, f'{agg} AND {from_start()}')}) x", "bars")
     cte("tied", f"SELECT * REPLACE (ts_ns - ts_ns % {S} AS ts_ns) FROM fx_trades", "fx_trades")
     cte("tied_bars", VENUE_BARS.replace("{src}", "tied"), "tied")
     out["bars_from_store"] = out["bars_from_landed"] = sql(f"SELECT {BARS_OUT} FROM tied_bars", "tied_bars")

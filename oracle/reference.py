@@ -122,6 +122,9 @@ def oracles() -> dict[str, str]:
     t = T0 + 200 * S
     out["symbol_map_asof"] = sql(f"SELECT * FROM fx_symbol_map WHERE effective_from_ns <= {t} AND "
                                  f"(effective_to_ns IS NULL OR effective_to_ns > {t})", "fx_symbol_map")
+    out["symbol_map_asof_many"] = sql(
+        f"SELECT i.ts_ns, m.* FROM (SELECT DISTINCT ts_ns - ts_ns % {10 * S} AS ts_ns FROM fx_trades) i JOIN fx_symbol_map m "
+        "ON effective_from_ns <= i.ts_ns AND (effective_to_ns IS NULL OR effective_to_ns > i.ts_ns)", "fx_trades", "fx_symbol_map")
     out["symbol_map_seed"] = sql("SELECT * FROM fx_symbol_map", "fx_symbol_map")
     hit = "canonical = 'BTC-USDT' AND venue = 'binance' AND effective_to_ns IS NULL"
     out["symbol_map_retire"] = sql(
@@ -200,6 +203,13 @@ def oracles() -> dict[str, str]:
         "SELECT table_name, CAST(sum(rows) AS BIGINT) AS rows, count(DISTINCT symbol) AS symbols, count(DISTINCT "
         "venue) AS venues, min(date) AS first_date, max(date) AS last_date FROM cover "
         "WHERE table_name IN ('trades', 'quotes', 'bars_1s') GROUP BY 1", "cover")
+    out["coverage_footers"] = sql("SELECT *, TRUE AS bytes_on_disk FROM cover WHERE table_name IN ('trades', 'quotes')", "cover")
+    out["manifest_text"] = sql(
+        "SELECT 1::BIGINT AS run, (SELECT count(*) FROM bars WHERE venue <> 'agg') AS per_venue_1s, "
+        "(SELECT count(*) FROM bars WHERE venue = 'agg') AS agg_1s, (SELECT count(DISTINCT (symbol, date)) FROM bars) AS slices, "
+        "count(*) AS partitions, CAST(sum(rows) AS BIGINT) AS total_rows, TRUE AS has_bytes, "
+        "(SELECT count(DISTINCT (symbol, venue, date)) FROM bars) AS cards "
+        "FROM cover WHERE table_name IN ('trades', 'bars_1s')", "cover", "bars")
     wide = ", ".join(f"{r(f'max(close) FILTER (venue = {chr(39)}{v}{chr(39)})')} AS {v}"
                      for v in ("agg", "binance", "bybit", "coinbase", "kraken", "okx"))
     out["wide_closes"] = sql(f"SELECT ts_ns, symbol, {wide} FROM bars GROUP BY 1, 2", "bars")

@@ -138,13 +138,43 @@ def test_exact_percentiles_and_adjacent_decreases_equal_brute_force(spark):
     from marketlake.functions.ordered import adjacent_decreases, exact_percentiles
     rng = random.Random(4)
     data = [("hot" if i % 3 else f"k{i % 5}", rng.randrange(-10 ** 6, 10 ** 6) * rng.choice([1, 1000]), i)
-            for i in range(900)]
+            for i in range(9000)]
+    data += [("hot", 10 ** 17, 9001), ("hot", -10 ** 18, 9002), ("one", 5, 9003)] + [("ties", i // 400, 9100 + i) for i in range(1000)]
     df = spark.createDataFrame(data, "k string, v long, row long")
-    got = {r["k"]: r for r in rows(exact_percentiles(df, ["k"], "v", {"p50": .5, "p99": .99, "p0": 0.0},
-                                                     F.shiftright("_v", 14)))}
+    got = {r["k"]: r for r in rows(exact_percentiles(df, ["k"], "v", {"p50": .5, "p99": .99, "p0": 0.0, "p100": 1.0}))}
     drops = {r["k"]: r["n_decreases"] for r in rows(adjacent_decreases(df, ["k"], "v", None, "row", block_rows=50))}
     for k in {d[0] for d in data}:
         vs = [v for kk, v, _ in data if kk == k]
         assert got[k]["p50"] == pytest.approx(np.percentile(vs, 50)) and got[k]["p0"] == min(vs)
-        assert got[k]["p99"] == pytest.approx(np.percentile(vs, 99))
+        assert got[k]["p99"] == pytest.approx(np.percentile(vs, 99)) and got[k]["p100"] == max(vs)
         assert drops[k] == int((np.diff(vs) < 0).sum())
+
+
+def test_percentiles_of_a_key_the_sketch_misses(spark, monkeypatch):
+    """Bounds that are off are noticed by the counts, and the key is ranked between its extremes."""
+    import numpy as np
+
+    from marketlake.functions import ordered
+    data = [("a", float(i * i % 997)) for i in range(500)] + [("b", float(i)) for i in range(300)] + [(None, 4.0), (None, 5.0)]
+    df = spark.createDataFrame(data, "k string, v double")
+    real = F.percentile_approx
+    monkeypatch.setattr(ordered.F, "percentile_approx", lambda c, p, a: F.transform(real(c, p, a), lambda x: x + 1000.5))
+    got = {r["k"]: (r["p25"], r["p90"]) for r in rows(ordered.exact_percentiles(df, ["k"], "v", {"p25": .25, "p90": .9}))}
+    for k in ("a", "b", None):
+        vs = [v for kk, v in data if kk == k]
+        assert got[k] == (pytest.approx(np.percentile(vs, 25)), pytest.approx(np.percentile(vs, 90)))
+
+
+@pytest.mark.parametrize("cell", [1, 7, 1000])
+def test_as_of_equals_brute_force(spark, cell):
+    from marketlake.functions.ordered import as_of
+    rng = random.Random(6)
+    states = [(rng.choice(["a", "b", None]), rng.randrange(-60, 200), i) for i in range(40)]
+    states = list({(k, t): (k, t, i) for k, t, i in states}.values())
+    data = [(rng.choice(["a", "a", "a", "b", "c", None]), rng.randrange(-80, 240), i) for i in range(500)]
+    got = rows(as_of(spark.createDataFrame(data, "k string, t long, i long"), spark.createDataFrame(states, "k string, since long, s long"),
+                     ["k"], "t", "since", ["s"], cell), "i")
+    assert len(got) == len(data)
+    for r, (k, t, i) in zip(got, data):
+        held = [(since, s) for kk, since, s in states if kk == k and since <= t]
+        assert (r["i"], r["s"]) == (i, max(held)[1] if held else None)

@@ -9,9 +9,9 @@ from marketlake.operators import health as H
 from marketlake.operators import refdata as D
 from marketlake.plans import pipeline as P
 from marketlake.plans.status import status_report
-from marketlake.schemas import schema_for
+from marketlake.schemas import META_SCHEMAS, schema_for
 from marketlake.sources import venues as V
-from tests.helpers import S, T, rows, trades
+from tests.helpers import S, T, bars, rows, trades
 
 
 def test_schema_lookup():
@@ -214,7 +214,7 @@ def test_stored_files_are_zstd_with_dictionaries(spark, lake, tmp_path):
 
 def test_json_of_other_dates_stays(spark, lake, tmp_path):
     day = 86400 * S
-    from tests.helpers import bars
+
     lake.append("bars_1s", bars(spark, [dict(ts_ns=T - T % S + i * S + d * day) for d in range(2) for i in range(5)]))
     P.write_daily_quality(lake, json_dir=str(tmp_path / "j"))
     P.write_daily_quality(lake, dates=["2023-11-14"], json_dir=str(tmp_path / "j"))
@@ -224,7 +224,7 @@ def test_json_of_other_dates_stays(spark, lake, tmp_path):
 def test_pivots_refuse_unlisted_venues(spark):
     from marketlake.operators.analytics import wide_closes
     from marketlake.plans.query import funding_wide
-    from tests.helpers import bars
+
     b = bars(spark, [dict(venue="okx"), dict(venue="kraken")])
     assert {"okx", "kraken"} <= set(wide_closes(b).columns)
     with pytest.raises(Exception, match="kraken"):
@@ -342,3 +342,55 @@ def test_pipeline(spark, lake):
     lines = rows(C.matrix_markdown(lake.meta("coverage")))
     assert lines[0]["line"].startswith("| symbol |") and len(lines) == 4
     assert datetime.fromtimestamp(manifest["built_at_ns"] / S, timezone.utc).year > 2000
+
+
+def test_spans_come_from_footers(spark, lake):
+    from marketlake.session import settings
+    from marketlake.sources.store import footer_spans
+    for part in range(3):
+        lake.append("trades", trades(spark, [(T + i * S, v, 1, 1) for i in range(part, 900, 3) for v in ("okx", "kraken")]))
+    lake.append("trades", trades(spark, [(T + 86400 * S, "okx", 1, 1)]))
+    got = rows(lake.spans("trades"), "date", "venue")
+    assert [(r["venue"], r["date"], r["rows"], r["first_ts_ns"], r["last_ts_ns"]) for r in got] == [
+        ("kraken", "2023-11-14", 900, T, T + 899 * S), ("okx", "2023-11-14", 900, T, T + 899 * S),
+        ("okx", "2023-11-15", 1, T + 86400 * S, T + 86400 * S)]
+    with settings(spark, spark__sql__sources__useV1SourceList="", spark__sql__parquet__aggregatePushdown="true"):
+        schema = "ts_ns long, symbol string, venue string, date string"
+        plan = footer_spans(lake.read_or_none(lake.path("trades"), schema))._jdf.queryExecution().toString()
+    assert "PushedAggregation: [COUNT(*), MIN(ts_ns), MAX(ts_ns)]" in plan
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+    assert C.stored_coverage(lake).where("bytes_on_disk = 0").count() == 0
+
+
+def test_report_falls_back_on_artefacts(spark, lake, tmp_path):
+    from marketlake.plans.status import write_artefacts
+    lake.append("bars_1s", bars(spark, [dict(ts_ns=T - T % S + i * S) for i in range(5)]))
+    P.write_coverage(lake)
+    write_artefacts(lake, str(tmp_path / "json"))
+    bare = type(lake)(spark, str(tmp_path / "bare"))
+    assert status_report(bare)["coverage"].count() == 0
+    assert status_report(bare, str(tmp_path / "nowhere"))["coverage"].count() == 0
+    found = rows(status_report(bare, str(tmp_path / "json"))["coverage"])
+    assert [(r["table_name"], r["rows"]) for r in found] == [("bars_1s", 5)]
+
+
+@pytest.mark.parametrize("bin_ns", [7, 100, 10_000])
+def test_mappings_at_many_instants_equal_brute_force(spark, bin_ns):
+    import random
+
+    from marketlake.operators.refdata import symbol_map_asof_many
+    rng = random.Random(2)
+    maps = []
+    for i in range(60):
+        start = rng.randrange(-200, 1200)
+        maps.append((f"C{i % 7}", rng.choice(["okx", "kraken"]), f"N{i}", "spot", "b", "q", start,
+                     rng.choice([None, start, start + rng.randrange(400)]), None))
+    instants = [(rng.choice(["okx", "kraken"]), 500 if i < 40 else rng.randrange(1000), i) for i in range(120)]
+    mapping = spark.createDataFrame(maps, META_SCHEMAS["symbol_map"])
+    asked = spark.createDataFrame([(v, t, i) for v, t, i in instants], "venue string, ts_ns long, i long")
+    for keys in ((), ("venue",)):
+        table = asked if keys else asked.drop("venue")
+        got = sorted((r["i"], r["native"]) for r in symbol_map_asof_many(mapping, table, keys=keys, bin_ns=bin_ns).collect())
+        assert got == sorted((i, m[2]) for v, t, i in instants for m in maps
+                             if m[6] <= t and (m[7] is None or m[7] > t) and (not keys or m[1] == v))
+    assert symbol_map_asof_many(mapping, asked.drop("venue").limit(0)).count() == 0
