@@ -15,7 +15,8 @@ DOWN_RATIO = 0.10
 FEED = ("venue", "symbol", "stream")
 
 
-def _judge(df: DataFrame, ratio: float, silent_is_down: bool) -> DataFrame:
+def judged(df: DataFrame, ratio: float = DOWN_RATIO, silent_is_down: bool = False) -> DataFrame:
+    """Rates with ``up``: a recent rate of at least ``ratio`` of the baseline, or no baseline."""
     silent = F.col("baseline_per_s") == 0
     alive = F.col("recent_per_s") >= F.col("baseline_per_s") * ratio
     return df.withColumn("up", ~silent & alive if silent_is_down else silent | alive)
@@ -41,7 +42,7 @@ def feed_health(rows: DataFrame, now_ns: int, recent_s: int = RECENT_S, baseline
     rates = seen.groupBy(*FEED).agg(rate(recent_s).alias("recent_per_s"), rate(baseline_s).alias("baseline_per_s"))
     if feeds is not None:
         rates = feeds.select(*FEED).distinct().join(rates, list(FEED), "left").fillna(0.0, ["recent_per_s", "baseline_per_s"])
-    return _judge(rates, ratio, silent_is_down)
+    return judged(rates, ratio, silent_is_down)
 
 
 def per_step_counts(rows: DataFrame, step_ns: int = MINUTE) -> DataFrame:
@@ -61,7 +62,7 @@ def health_series(counts: DataFrame, recent_s: int = RECENT_S, baseline_s: int =
         return F.sum("n").over(frame) / F.lit(float(window_s))
 
     rates = counts.withColumns({"recent_per_s": rate(recent_s), "baseline_per_s": rate(baseline_s)})
-    return _judge(rates, ratio, silent_is_down)
+    return judged(rates, ratio, silent_is_down)
 
 
 def status_rows(health: DataFrame, ts_ns=None) -> DataFrame:

@@ -61,6 +61,12 @@ class Files:
                 out.append(at.toString())
         return sorted(out)
 
+    def sizes(self, folder: str) -> dict[str, int]:
+        """Data files of one folder and their bytes."""
+        found = self.fs.listStatus(self.path(folder)) if self.exists(folder) else []
+        return {x.getPath().toString(): x.getLen() for x in found
+                if x.isFile() and not x.getPath().getName().startswith(("_", "."))}
+
     def children(self, folder: str) -> list[str]:
         return sorted(x.getPath().toString() for x in self.fs.listStatus(self.path(folder))) if self.exists(folder) else []
 
@@ -311,6 +317,30 @@ class Lake:
         out = conform(rows, name).withColumn("written_ns", F.lit(time.time_ns()))
         out.write.mode("overwrite" if replace else "append").option("compression", "zstd").parquet(self.path(name))
 
+    def compact_log(self, name: str, target_bytes: int = 128 << 20, least: int = 16) -> int:
+        """Merge the small files of a metadata log once there are ``least`` of them; returns files merged.
+
+        Of the merged rows the latest of each key stays. The swap is logged like that of a table's compaction.
+        """
+        files, path = Files(self.spark, self.base), self.path(name)
+        for planned in files.children(f"{path}/_log"):
+            tag = planned.rpartition("/")[2].removesuffix(".planned")
+            if planned.endswith(".planned") and tag.startswith(COMPACTION):
+                self._carry_out(files, name, tag)
+        sizes = files.sizes(path)
+        small = sorted(f for f, size in sizes.items() if size * 2 < target_bytes)
+        if len(small) < least:
+            return 0
+        log = T.StructType([*META_SCHEMAS[name].fields, T.StructField("written_ns", T.LongType())])
+        rows = latest_by_key(self.spark.read.schema(log).parquet(*small), META_KEYS[name], "written_ns")
+        tag = f"{COMPACTION}{uuid.uuid4().hex[:12]}"
+        staging = f"{path}/_staged/{tag}"
+        merged = -(-sum(sizes[f] for f in small) // target_bytes)
+        rows.coalesce(merged).write.option("compression", "zstd").parquet(staging)
+        self._publish(name, staging, tag, small)
+        self.forget(name, tag)
+        return len(small)
+
     def materialize(self, rows: DataFrame, path: str) -> DataFrame:
         return materialize(rows, path)
 

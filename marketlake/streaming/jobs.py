@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from marketlake.functions.timeutil import MINUTE, SECOND, date_of, date_text, ts_of
+from marketlake.functions.timeutil import MINUTE, SECOND, ts_of
 from marketlake.operators import health as H
 from marketlake.operators import tape as T
 from marketlake.operators.bars import bars_from_trades
@@ -24,7 +24,7 @@ from marketlake.schemas import BAR_COLUMNS
 from marketlake.session import settings
 from marketlake.sources.arrival import POSITION, file_position
 from marketlake.sources.frames.quotes import gemini_changes, gemini_quotes
-from marketlake.sources.store import Lake, encoding
+from marketlake.sources.store import Lake
 
 # Default lateness and flush interval.
 WATERMARK = "5 seconds"
@@ -102,32 +102,56 @@ def counts_stream(rows: DataFrame, delay: str = WATERMARK) -> DataFrame:
     return counts.select((F.unix_micros("window.end") * 1000).alias("ts_ns"), *H.FEED, "n")
 
 
-def write_health(counts: DataFrame, lake: Lake, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """Store each batch's minute counts, then judge its minutes against the stored last hour, into ``venue_status``.
+class TrailingRates(StatefulProcessor):
+    """Rates of a feed over its last minutes. The state is the counts of the baseline window, one per minute at most."""
 
-    Counts are one row per feed and minute; a retried batch replaces its own rows when they are read, and
-    ``venue_status`` keeps the latest row of a key, so nothing doubles.
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.recent = handle.getValueState("recent", "ts_ns array<long>, n array<long>")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        fresh = pd.concat(list(rows)).sort_values("ts_ns")  # closed minutes of one feed
+        held = self.recent.get() if self.recent.exists() else ([], [])
+        ts = np.concatenate((np.array(held[0], np.int64), fresh["ts_ns"].to_numpy(np.int64)))
+        n = np.concatenate((np.array(held[1], np.int64), fresh["n"].to_numpy(np.int64)))
+        upto, at = np.concatenate(([0], np.cumsum(n))), ts[len(held[0]):]
+
+        def rate(window_s: int) -> np.ndarray:
+            first = np.searchsorted(ts, at - window_s * SECOND, side="right")
+            return (upto[np.searchsorted(ts, at, side="right")] - upto[first]) / float(window_s)
+
+        out = pd.DataFrame({**dict(zip(H.FEED, key)), "ts_ns": at, "recent_per_s": rate(H.RECENT_S),
+                            "baseline_per_s": rate(H.BASELINE_S)})
+        keep = ts > ts[-1] - H.BASELINE_S * SECOND
+        self.recent.update((ts[keep].tolist(), n[keep].tolist()))
+        yield out
+
+    def close(self) -> None:
+        pass
+
+
+def health_stream(counts: DataFrame) -> DataFrame:
+    """Health of every feed at the end of each closed minute with a message, from keyed state alone."""
+    rates = counts.groupBy(*H.FEED).transformWithStateInPandas(
+        TrailingRates(), "venue string, symbol string, stream string, ts_ns long, recent_per_s double, baseline_per_s double",
+        "Append", "None")
+    return H.judged(rates)
+
+
+def write_health(counts: DataFrame, lake: Lake, checkpoint: str, available_now: bool = False,
+                 merge_every: int = 60) -> StreamingQuery:
+    """Health of each batch's closed minutes into ``venue_status``.
+
+    A batch reads nothing back, and the table keeps the latest row of a key, so a retried batch doubles nothing. Every
+    ``merge_every`` batches the small files of the table are merged.
     """
-    path = f"{lake.base}/meta/minute_counts"
-
-    def judge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        dated = batch.withColumns({"batch": F.lit(batch_id).cast("long"), "date": date_of("ts_ns")})
-        span = dated.agg(F.min("ts_ns").alias("lo"), F.max("ts_ns").alias("hi")).first()  # two numbers
-        if span["lo"] is None:
-            return
-        dated.write.mode("append").options(**encoding()).partitionBy("date").parquet(path)
-        since = span["lo"] - H.BASELINE_S * SECOND
-        stored = spark.read.schema(dated.schema).parquet(path).where(
-            F.col("date").between(date_text(since), date_text(span["hi"]))
-            & (F.col("ts_ns") > since) & (F.col("ts_ns") <= span["hi"]))
-        recent = stored.dropDuplicates(["ts_ns", *H.FEED])  # a closed minute has one count, retried or not
-        fresh = stored.where(F.col("batch") == batch_id).select("ts_ns", *H.FEED).distinct()
-        health = H.health_series(recent.select(*batch.columns)).where(F.col("ts_ns") >= span["lo"])
-        lake.put_meta("venue_status", H.status_rows(health.join(fresh, ["ts_ns", *H.FEED], "left_semi")))
-
-    return _start(counts.writeStream.outputMode("append").foreachBatch(judge), checkpoint, available_now,
-                  f"{MINUTE // SECOND} seconds")
+    def put(batch: DataFrame, batch_id: int) -> None:
+        lake.put_meta("venue_status", H.status_rows(batch).coalesce(1))  # a row per feed and minute
+        if batch_id % merge_every == merge_every - 1:
+            lake.compact_log("venue_status")
+
+    with settings(lake.spark, spark__sql__streaming__stateStore__providerClass=MAP_STORE):
+        return _start(health_stream(counts).writeStream.outputMode("append").foreachBatch(put), checkpoint, available_now,
+                      f"{MINUTE // SECOND} seconds")
 
 
 BBO = "struct<k:double,r:long,s:long,i:int,qty:double>"

@@ -394,3 +394,32 @@ def test_mappings_at_many_instants_equal_brute_force(spark, bin_ns):
         assert got == sorted((i, m[2]) for v, t, i in instants for m in maps
                              if m[6] <= t and (m[7] is None or m[7] > t) and (not keys or m[1] == v))
     assert symbol_map_asof_many(mapping, asked.drop("venue").limit(0)).count() == 0
+
+
+def test_health_needs_no_stored_counts(spark, lake, tmp_path):
+    """Rates over several batches from bounded state; the log's files are merged, its rows stay."""
+    import random
+
+    from marketlake.streaming.jobs import counts_stream, write_health
+    rng = random.Random(8)
+    minute = 60 * S
+    seen = [(v, "BTC-USDT", "trades", T - T % minute + m * minute + rng.randrange(minute)) for v in ("okx", "kraken")
+            for m in range(150) if not (v == "okx" and 70 <= m < 140) for _ in range(1 if v == "kraken" and m > 60 else rng.randrange(8, 30))]
+    seen.sort(key=lambda x: x[3])
+    schema = "venue string, symbol string, stream string, recv_ns long"
+    source = str(tmp_path / "in")
+    for at in range(0, len(seen), 1500):
+        spark.createDataFrame(seen[at:at + 1500], schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        write_health(counts_stream(stream), lake, str(tmp_path / "cp"), available_now=True, merge_every=1000).awaitTermination()
+    want = H.health_series(H.per_step_counts(spark.createDataFrame(seen, schema)))
+    closed = max(x[3] for x in seen) - 5 * S
+    key = ["ts_ns", "venue"]
+    expected = [(r["ts_ns"], r["venue"], r["up"], r["recent_per_s"]) for r in rows(want.where(f"ts_ns <= {closed}"), *key)]
+    got = lambda: [(r["ts_ns"], r["venue"], r["up"], r["coverage_pct"]) for r in rows(lake.meta("venue_status"), *key)]
+    assert got() == expected and not all(e[2] for e in expected)
+    import glob
+    files = lambda: len(glob.glob(lake.path("venue_status") + "/*.parquet"))
+    before = files()
+    assert lake.compact_log("venue_status", least=10 ** 6) == 0 and files() == before
+    assert lake.compact_log("venue_status", least=2) == before and files() == 1 and got() == expected
