@@ -4,7 +4,7 @@ One page of each host serves as its reference. Every page's DOM tree is aligned
 by simple tree matching, so a block of text gets the reference node it stands at as its slot. A slot that
 holds the same text on most of a host's different pages is template; what varies is content. Regions that
 the markup itself declares as furniture (navigation, footers, asides, forms, adverts, comments and the like)
-are never content, however much they vary.
+are never content, however much they vary; inside an article only a few class names say so.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import html as entities
 import re
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,8 +23,6 @@ from marketlake.llm.url_filter import host_and_path
 
 #: A text is template at its slot from this share of a host's different pages on, and from so many pages on.
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.5, 3
-#: Children of a node beyond which two lists of children are aligned in order from both ends only.
-WIDEST = 400
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea iframe svg math object select title head".split())
@@ -40,6 +39,10 @@ NAMES = re.compile(
     r"breadcrumb\w*|footer|masthead|cookie\w*|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|"
     r"subscription|signup|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|repl(?:y|ies)|respond|"
     r"widget\w*|toolbar|pagination|pager|login|search|skip|hidden|teasers?)(?=$|[\s_-])", re.I)
+#: The names that count inside an article too, on elements that hold others; there the slots decide about the rest.
+INNER_NAMES = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|adslot|sponsored|comments|commentlist|disqus|newsletter|cookie\w*|gdpr)(?=$|[\s_-])", re.I)
+HOLDERS = frozenset("div section ul ol table ins figure details".split())
 #: Opening one of the keys ends an open element of the values.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
         "option": {"option"}, "body": {"head"}}
@@ -61,22 +64,19 @@ class Node:
     flow: list = field(default_factory=list)
     number: int = -1
     shape: int = 0
+    size: int = 1
 
 
 def _is_furniture(tag: str, attributes: str, inside_article: bool) -> bool:
     if tag in FURNITURE or (tag == "header" and not inside_article):
         return True
-    if not attributes or tag in ("html", "body", "article", "main"):
-        return any(v.lower() in ("comment", "comments") for m in _ATTRIBUTE.finditer(attributes or "")
-                   if (v := m[2] or m[3] or m[4] or "")) if tag == "article" else False
-    for m in _ATTRIBUTE.finditer(attributes):
-        value = m[2] or m[3] or m[4] or ""
-        if m[1].lower() == "role":
-            if value.strip().lower() in ROLES:
-                return True
-        elif NAMES.search(value):
-            return True
-    return False
+    values = [(m[1].lower(), (m[2] or m[3] or m[4] or "").strip()) for m in _ATTRIBUTE.finditer(attributes or "")]
+    if tag == "article":
+        return any(v.lower() in ("comment", "comments") for _, v in values)
+    if tag in ("html", "body", "main") or (inside_article and tag not in HOLDERS):
+        return False
+    names = INNER_NAMES if inside_article else NAMES
+    return any(v.lower() in ROLES if name == "role" else bool(names.search(v)) for name, v in values)
 
 
 def parse(text: str) -> Node:
@@ -147,7 +147,7 @@ def parse(text: str) -> Node:
 
 
 def _number(root: Node) -> None:
-    """Preorder numbers, and a hash of each subtree's tags."""
+    """Preorder numbers, and a hash of each subtree's tags and its number of nodes."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
@@ -155,55 +155,98 @@ def _number(root: Node) -> None:
         order.append(node)
         stack.extend(reversed(node.children))
     for node in reversed(order):
+        node.size = 1 + sum(c.size for c in node.children)
         node.shape = hash((len(node.tag), sum(ord(c) * 31 ** i for i, c in enumerate(node.tag)),
                            *(c.shape for c in node.children)))
 
 
+def middle(xs: list[Node], ys: list[Node]) -> tuple[list[Node], list[Node], list[tuple[Node, Node]]]:
+    """Two child lists without the equal subtrees at their ends, and the pairs of those."""
+    shorter, low, high = min(len(xs), len(ys)), 0, 0
+    while low < shorter and xs[low].shape == ys[low].shape:
+        low += 1
+    while high < shorter - low and xs[-1 - high].shape == ys[-1 - high].shape:
+        high += 1
+    equal = [*zip(xs[:low], ys[:low]), *(zip(xs[-high:], ys[-high:]) if high else ())]
+    return xs[low: len(xs) - high], ys[low: len(ys) - high], equal
+
+
+def row_ends(table: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Best weight of an in-order pairing of all of ``a`` with each beginning of ``b``, row after row."""
+    row = np.zeros(len(b) + 1, np.int64)
+    for kind in a:
+        row[1:] = np.maximum(row[1:], row[:-1] + table[kind, b])
+        np.maximum.accumulate(row, out=row)
+    return row
+
+
+def paired(table: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Positions of a best in-order pairing, by halving ``a`` where the best pairings of its halves meet: exact for lists of
+    any length, in memory for a few rows."""
+    out, parts = [], [(0, len(a), 0, len(b))]
+    while parts:
+        first, past, low, high = parts.pop()
+        if first == past or low == high:
+            continue
+        if past - first == 1:
+            w = table[a[first], b[low:high]]
+            if w.max() > 0:
+                out.append((first, low + int(w.argmax())))
+            continue
+        half = (first + past) // 2
+        left = row_ends(table, a[first:half], b[low:high])
+        right = row_ends(table, a[half:past][::-1], b[low:high][::-1])[::-1]
+        cut = low + int((left + right).argmax())
+        parts += [(first, half, low, cut), (half, past, cut, high)]
+    return out
+
+
 class Aligner:
     """Simple tree matching of page trees with one reference tree."""
 
     def __init__(self, reference: Node):
         self.reference, self.scores = reference, {}
 
-    def score(self, a: Node, b: Node) -> int:
-        """Most node pairs that match top-down and in order."""
+    def known(self, a: Node, b: Node) -> int | None:
+        """Score of a pair if it is known: 0 for different tags, all nodes for equal shapes."""
         if a.tag != b.tag:
             return 0
-        key = (a.shape, b.shape)
-        if key not in self.scores:
-            self.scores[key] = 1 + sum(s for _, _, s in self.pairs(a.children, b.children))
-        return self.scores[key]
-
-    def pairs(self, xs: list[Node], ys: list[Node]) -> list[tuple[Node, Node, int]]:
-        """The best in-order pairing of two child lists. Equal subtrees at either end pair at once."""
-        out, low, high = [], 0, 0
-        while low < min(len(xs), len(ys)) and xs[low].shape == ys[low].shape:
-            out.append((xs[low], ys[low], self.score(xs[low], ys[low])))
-            low += 1
-        while high < min(len(xs), len(ys)) - low and xs[-1 - high].shape == ys[-1 - high].shape:
-            out.append((xs[-1 - high], ys[-1 - high], self.score(xs[-1 - high], ys[-1 - high])))
-            high += 1
-        xs, ys = xs[low: len(xs) - high], ys[low: len(ys) - high]
-        if not xs or not ys:
-            return out
-        if len(xs) * len(ys) > WIDEST ** 2:
-            return out + [(x, y, s) for x, y in zip(xs, ys) if (s := self.score(x, y))]
-        best = [[0] * (len(ys) + 1)]
-        for x in xs:
-            above, row = best[-1], [0]
-            for j, y in enumerate(ys):
-                s = self.score(x, y)
-                row.append(max(above[j + 1], row[j], above[j] + s if s else 0))
-            best.append(row)
-        i, j = len(xs), len(ys)
-        while i and j:
-            if best[i][j] == best[i - 1][j]:
-                i -= 1
-            elif best[i][j] == best[i][j - 1]:
-                j -= 1
-            else:
-                out.append((xs[i - 1], ys[j - 1], best[i][j] - best[i - 1][j - 1]))
-                i, j = i - 1, j - 1
+        return a.size if a.shape == b.shape else self.scores.get((a.shape, b.shape))
+
+    def score(self, a: Node, b: Node) -> int:
+        """Most node pairs that match top-down and in order. Pairs below come first, by a stack of pairs still open."""
+        stack = [(a, b)]
+        while stack:
+            x, y = stack[-1]
+            if self.known(x, y) is None:
+                xs, ys, equal = middle(x.children, y.children)
+                kinds = {c.shape: c for c in xs}.values(), {c.shape: c for c in ys}.values()
+                missing = [(c, d) for c in kinds[0] for d in kinds[1] if self.known(c, d) is None]
+                if missing:
+                    stack.extend(missing)
+                    continue
+                self.scores[x.shape, y.shape] = 1 + sum(c.size for c, _ in equal) + self.best(xs, ys)
+            stack.pop()
+        return self.known(a, b)
+
+    def weights(self, xs: list[Node], ys: list[Node]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores between the kinds of children (by shape), and each child's kind."""
+        a, b = {c.shape: c for c in xs}, {c.shape: c for c in ys}
+        table = np.array([[self.known(c, d) for d in b.values()] for c in a.values()], np.int64)
+        place = [{shape: i for i, shape in enumerate(kinds)} for kinds in (a, b)]
+        return table, np.array([place[0][c.shape] for c in xs]), np.array([place[1][c.shape] for c in ys])
+
+    def best(self, xs: list[Node], ys: list[Node]) -> int:
+        return int(row_ends(*self.weights(xs, ys))[-1]) if xs and ys else 0
+
+    def pairs(self, xs: list[Node], ys: list[Node]) -> list[tuple[Node, Node]]:
+        """A best in-order pairing of two child lists. Equal subtrees at either end pair at once."""
+        xs, ys, out = middle(xs, ys)
+        if xs and ys:
+            for c in {c.shape: c for c in xs}.values():
+                for d in {d.shape: d for d in ys}.values():
+                    self.score(c, d)
+            out += [(xs[i], ys[j]) for i, j in paired(*self.weights(xs, ys))]
         return out
 
     def slots(self, page: Node) -> dict[int, int]:
@@ -212,7 +255,7 @@ class Aligner:
         while open_pairs:
             a, b = open_pairs.pop()
             found[a.number] = b.number
-            open_pairs.extend((x, y) for x, y, _ in self.pairs(a.children, b.children))
+            open_pairs.extend(self.pairs(a.children, b.children))
         return found
 
 
@@ -328,14 +371,13 @@ def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` per row of ``pages``: blocks joined by two line feeds.
 
     Null and empty html give an empty text; null urls are pages of one nameless host. Repeated rows each
-    give their text. A page that would lose more than half of its characters to the template keeps all.
+    give their text. A page of which nothing varies keeps all: its slots tell nothing.
     """
     slotted = stored(slotted_blocks(pages), "blocks")
     rest = F.filter("blocks", lambda b: ~F.array_contains("constant", F.xxhash64(b["slot"], b["text"])))
-    size = lambda c: F.aggregate(c, F.lit(0), lambda n, b: n + F.length(b["text"]))
     constant = if_small(stored(templates(slotted), "templates"), 8 * F.size("constant"))
     kept = (slotted.join(constant, "host", "left")
             .withColumn("rest", F.coalesce(rest, "blocks"))
-            .withColumn("final", F.when(2 * size("rest") >= size("blocks"), F.col("rest")).otherwise(F.col("blocks"))))
+            .withColumn("final", F.when(F.size("rest") > 0, F.col("rest")).otherwise(F.col("blocks"))))
     text = F.array_join(F.col("final.text"), "\n\n")
     return kept.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

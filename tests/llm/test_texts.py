@@ -209,6 +209,54 @@ def test_broken_markup(text, wanted):
     assert [t for _, t in html_extract.blocks(html_extract.parse(text))] == wanted
 
 
+def test_a_notice_in_plain_markup_is_template_however_long(spark):
+    notice = "".join(f"<div>{prose(40 + k, 12)}</div>" for k in range(3))
+    made = [(i, "http://h.com/", f"<body><div>{notice}</div><div><div>Own line {i}</div></div></body>") for i in range(8)]
+    assert {r.text for r in html_extract.extract(pages(spark, made)).collect()} == {f"Own line {i}" for i in range(8)}
+    same = [(i, "http://h.com/", f"<body><div>{notice}</div></body>") for i in range(8)]  # nothing tells template from content
+    assert all(r.n_chars > 100 for r in html_extract.extract(pages(spark, same)).collect())
+
+
+def test_class_words_inside_articles_do_not_remove_text(spark):
+    body = ('<article><p>First {i}.</p><div class="search-results"><p>Second {i}.</p></div><p class="related">Third {i}.</p>'
+            '<p class="hidden-gem ad">Fourth {i}.</p><div class="ad-slot">Buy {i}</div><ul id="comments"><li>Nice {i}</ul></article>')
+    made = [(i, "http://h.com/", body.replace("{i}", str(i))) for i in range(6)]
+    for r in html_extract.extract(pages(spark, made)).collect():
+        assert r.text == "\n\n".join(f"{n} {r.page_id}." for n in ("First", "Second", "Third", "Fourth"))
+
+
+def test_deep_pages_are_aligned(spark):
+    made = [(i, "http://deep.com/", "<div>" * (900 + 7 * i) + f"own {i}" + "</div>" * 5 + f"<p>more {i}") for i in range(4)]
+    got = {r.page_id: r.text for r in html_extract.extract(pages(spark, made)).collect()}
+    assert got == {i: f"own {i}\n\nmore {i}" for i in range(4)}
+
+
+def test_long_child_lists_are_aligned_exactly(spark):
+    """A constant line between many varying ones gets one slot, however many stand before it."""
+    def page(i):
+        lines = [f"<p>a {i} {k}</p>" for k in range(500 + 40 * i)] + ["<section><h3>Always</h3></section>"]
+        return "<main>" + "".join(lines + [f"<div><i>c {i} {k}</i></div>" for k in range(90 - 10 * i)]) + "</main>"
+
+    made = [(i, "http://long.com/", page(i)) for i in range(6)]
+    for r in html_extract.extract(pages(spark, made)).collect():
+        assert "Always" not in r.text and r.text.count("\n\n") == 500 + 40 * r.page_id + 90 - 10 * r.page_id - 1
+
+
+def test_long_pairings_equal_the_full_table():
+    import numpy as np
+    r = np.random.default_rng(5)
+    for _ in range(40):
+        table = r.integers(0, 4, (3, 4)) * r.integers(0, 2, (3, 4))
+        a, b = r.integers(0, 3, r.integers(0, 30)), r.integers(0, 4, r.integers(0, 30))
+        best = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                best[i + 1, j + 1] = max(best[i, j + 1], best[i + 1, j], best[i, j] + table[a[i], b[j]])
+        found = sorted(html_extract.paired(table, a, b))
+        assert sum(table[a[i], b[j]] for i, j in found) == best[-1, -1] and all(table[a[i], b[j]] > 0 for i, j in found)
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(found, found[1:]))
+
+
 def test_html_awkward_rows(spark):
     long_page = "<p>" + "word " * 200_000 + "</p>" + "<div>" * 3000
     made = [(1, None, None), (2, "http://a/", ""), (None, "http://a/", "<p>x"), (3, "http://a/", long_page), (3, "http://a/", long_page)]
