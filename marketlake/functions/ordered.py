@@ -7,7 +7,7 @@ blocks in parallel, and carry one summary row per block across.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -66,6 +66,29 @@ def ranked(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
             .drop("place", "_first", "_rows", "_start", *names.values()))
 
 
+def weighted_medians(rows: DataFrame, keys: Sequence[str], value: str, weight: str,
+                     store: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``keys, median`` of values that each stand for ``weight`` equal ones, however many values a key has.
+
+    Rows are range-sorted, so a large key lies across blocks; weights before a block are summed from one row per block,
+    and the values at the two middle ranks are picked where they lie. ``store`` keeps the sorted rows.
+    """
+    cut = store(sorted_blocks(rows.select(*keys, F.col(value).alias("_v"), F.col(weight).alias("_w")), keys, ["_v"]))
+    whole = Window.partitionBy(*keys)
+    sums = (cut.groupBy("block", *keys).agg(F.sum("_w").alias("_part")).withColumns({
+        "_before": F.coalesce(F.sum("_part").over(whole.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "_all": F.sum("_part").over(whole)}))
+    inside = Window.partitionBy("block", *keys).orderBy("_v", "place").rowsBetween(Window.unboundedPreceding, 0)
+    ends = (_same(cut, sums.drop("_part"), ["block", *keys]).withColumn("_end", F.col("_before") + F.sum("_w").over(inside))
+            .withColumn("_start", F.col("_end") - F.col("_w")))
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("_start") <= rank) & (rank < F.col("_end")), F.col("_v")))
+
+    low, high = idiv(F.col("_all") - 1, 2), idiv(F.col("_all"), 2)
+    return ends.groupBy(*keys).agg(((at(low) + at(high)) / 2).alias("median"))
+
+
 def running_best(df: DataFrame, keys: Sequence[str], order: Sequence[str], best: dict[str, Column],
                  block: Column) -> DataFrame:
     """Running maximum of each ``best`` expression per key in ``order``, current row included.

@@ -14,10 +14,12 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.functions.ordered import as_of
+from marketlake.functions.ordered import as_of, weighted_medians
 from marketlake.functions.timeutil import MS, SECOND, second_of
 from marketlake.operators.bars import within_robust_band
 from marketlake.schemas import BAR_COLUMNS
+from marketlake.session import shared_dir
+from marketlake.sources.store import materialize
 from marketlake.sources.venues import SPOT_VENUES, venue_bit
 
 # Tape parameters.
@@ -65,8 +67,19 @@ def price_levels(trades: DataFrame, arrival: Sequence[str] = ("seq",), keys: Seq
                  F.max("ingested_at_ns").alias("ingested_at_ns")))
 
 
-def mark_levels(levels: DataFrame, mad_k: float = MAD_K, min_venues: int = MIN_VENUES) -> DataFrame:
-    """Add the trade-weighted median of the second and whether the level survives."""
+def mark_levels(levels: DataFrame, mad_k: float = MAD_K, min_venues: int = MIN_VENUES,
+                hot_levels: int | None = None) -> DataFrame:
+    """Add the trade-weighted median of the second and whether the level survives.
+
+    With ``hot_levels``, seconds of more levels than that are handled apart (``mark_hot_levels``): venues without a
+    price grid can fill one second with any number of levels. Levels are then counted first, in batch only.
+    """
+    if hot_levels is not None:
+        key = ["sec_ns", "symbol"]
+        levels = materialize(levels, shared_dir(levels.sparkSession, "levels"))
+        hot = levels.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_levels).select(*key)
+        rest = mark_levels(levels.join(hot, key, "left_anti"), mad_k, min_venues)
+        return rest.unionByName(mark_hot_levels(levels.join(hot, key, "left_semi"), mad_k, min_venues))
     w = Window.partitionBy("sec_ns", "symbol")
     return (levels
             .withColumn("n_venues", F.size(F.collect_set("venue").over(w)))
@@ -77,6 +90,24 @@ def mark_levels(levels: DataFrame, mad_k: float = MAD_K, min_venues: int = MIN_V
                                                    F.col("n_venues"), min_venues)))
 
 
+def mark_hot_levels(levels: DataFrame, mad_k: float = MAD_K, min_venues: int = MIN_VENUES) -> DataFrame:
+    """The same marks where the levels of one second are too many for one task: medians by weights along sorted
+    levels, and one row per second joined back. The levels are stored, as they are read several times."""
+    key = ["sec_ns", "symbol"]
+
+    def store(rows: DataFrame) -> DataFrame:
+        return materialize(rows, shared_dir(levels.sparkSession, "hot-levels"))
+
+    levels = store(levels)
+    seconds = (levels.groupBy(*key).agg(F.count_distinct("venue").cast("int").alias("n_venues"))
+               .join(weighted_medians(levels, key, "price", "n", store).withColumnRenamed("median", "median_px"), key))
+    far = levels.join(seconds, key).withColumn("dev", F.abs(F.col("price") - F.col("median_px")))
+    mads = weighted_medians(far, key, "dev", "n", store).withColumnRenamed("median", "mad")
+    return (far.join(mads, key).select(*levels.columns, "n_venues", "median_px", "dev", "mad")
+            .withColumn("kept", within_robust_band(F.col("price"), F.col("median_px"), F.col("mad"), mad_k,
+                                                   F.col("n_venues"), min_venues)))
+
+
 def roll_levels(marked: DataFrame, bits: dict[str, int] | None = None) -> DataFrame:
     """One row per (symbol, second): the bar of the survivors plus the diagnostics.
     Bar columns are null where nothing survived."""
@@ -113,9 +144,9 @@ def tape_with_diagnostics(trades: DataFrame, *, mad_k: float = MAD_K, min_venues
                           excluded_venues: Iterable[str] = (),
                           stale_recv_lag_ms: float | None = STALE_RECV_LAG_MS,
                           bits: dict[str, int] | None = None,
-                          arrival: Sequence[str] = ("seq",)) -> DataFrame:
+                          arrival: Sequence[str] = ("seq",), hot_levels: int | None = None) -> DataFrame:
     gated = gate_trades(trades, excluded_venues, stale_recv_lag_ms)
-    return roll_levels(mark_levels(price_levels(gated, arrival), mad_k, min_venues), bits)
+    return roll_levels(mark_levels(price_levels(gated, arrival), mad_k, min_venues, hot_levels), bits)
 
 
 def build_tape(trades: DataFrame, **options) -> DataFrame:

@@ -111,6 +111,17 @@ def _tape_health(v, n):
     return bars_out(T.build_tape(T.exclude_down(T.spot_only(v.trades), v.status)))
 
 
+@query("tape_hot_second")
+def _tape_hot(v, n):
+    """A third of all trades in one second, nearly each at a price of its own; medians by weights along sorted levels."""
+    third = F.col("seq") % 3 == 0
+    trades = v.trades.withColumns({
+        "ts_ns": F.when(third, F.lit(T0)).otherwise(F.col("ts_ns")), "recv_ns": F.when(third, F.lit(T0)).otherwise(F.col("recv_ns")),
+        "price": F.when(third, F.col("price") + F.col("seq") / 1e7).otherwise(F.col("price"))})
+    d = T.tape_with_diagnostics(T.spot_only(trades), hot_levels=64)
+    return r(d.withColumn("venues", joined("venues")), f"{OHLC} median_px")
+
+
 @query("merged_tape")
 def _merged(v, n):
     return T.merge_trades(T.spot_only(v.trades)).select("symbol", "ts_ns", "recv_ns", "venue", "seq", "price",

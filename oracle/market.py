@@ -80,6 +80,13 @@ def tape_oracles() -> dict[str, str]:
     cte("healthy", """SELECT * FROM fx_trades x WHERE NOT EXISTS (SELECT 1 FROM status_iv s WHERE NOT up
         AND s.venue = x.venue AND s.symbol = x.symbol AND x.ts_ns >= s.f AND (s.t IS NULL OR x.ts_ns < s.t))""",
         "fx_trades", "status_iv")
+    hot = "seq % 3 = 0"
+    cte("hot_second", f"SELECT * REPLACE (CASE WHEN {hot} THEN {T0} ELSE ts_ns END AS ts_ns, CASE WHEN {hot} THEN {T0} ELSE recv_ns "
+        f"END AS recv_ns, CASE WHEN {hot} THEN price + seq / 1e7 ELSE price END AS price) FROM fx_trades", "fx_trades")
+    cte("tape_hot", TAPE.replace("{src}", "hot_second").replace("{bit}", BIT), "hot_second")
+    out["tape_hot_second"] = sql(
+        f"SELECT * REPLACE ({', '.join(f'{r(c)} AS {c}' for c in (OHLC + ' median_px').split())}, "
+        "array_to_string(venues, ',') AS venues) FROM tape_hot", "tape_hot")
     cte("tape_healthy", TAPE.replace("{src}", "healthy").replace("{bit}", BIT), "healthy")
     out["tape_health_excluded"] = sql(f"SELECT {BARS_OUT} FROM tape_healthy WHERE n_kept > 0", "tape_healthy")
     return out

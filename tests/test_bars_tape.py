@@ -150,6 +150,38 @@ def test_exclude_down(spark):
     assert kept == {("binance", 5), ("binance", 900), ("binance", 1999), ("okx", 400)}
 
 
+def test_weighted_medians_lie_across_blocks(spark):
+    import random as R
+
+    import numpy as np
+    from marketlake.functions.ordered import sorted_blocks, weighted_medians
+    rng = R.Random(3)
+    data = [("hot" if i % 4 else f"s{i % 12}", rng.random() * 50, rng.randrange(1, 9)) for i in range(6000)] + [("even", 1.0, 1), ("even", 2.0, 1)]
+    df = spark.createDataFrame(data, "k string, v double, n long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    try:
+        got = {r["k"]: r["median"] for r in weighted_medians(df, ["k"], "v", "n", lambda x: x).collect()}
+        sizes = [r["count"] for r in sorted_blocks(df, ["k"], ["v"]).where("k = 'hot'").groupBy("block").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for k in {d[0] for d in data}:
+        assert got[k] == pytest.approx(np.median(np.repeat([v for kk, v, _ in data if kk == k], [n for kk, _, n in data if kk == k])))
+    assert max(sizes) < 0.02 * 6000  # a key of 4,500 rows: no task holds 2 % of the levels
+
+
+@pytest.mark.parametrize("hot_levels", [0, 5, 10 ** 6])
+def test_hot_seconds_give_the_same_tape(spark, hot_levels):
+    import random as R
+    rng = R.Random(7)
+    ticks = [(T + rng.choice([0, 0, 0, S, 2 * S]), rng.choice(["binance", "okx", "kraken"]), 100 + rng.random() * rng.choice([0.1, 5]), 1, None, i)
+             for i in range(400)]
+    plain, hot = ([tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in rows(
+        K.tape_with_diagnostics(trades(spark, ticks), hot_levels=h), "ts_ns")] for h in (None, hot_levels))
+    assert plain == hot and len(plain) == 3  # but for the order in which sums are added up
+
+
 def test_one_hot_second_is_spread_over_its_price_levels(spark):
     """A third of all trades in one second: levels, not trades, meet in one task."""
     ticks = [(T, "binance", 100 + (i % 7) / 100, 1, None, i) for i in range(3000)]
