@@ -25,8 +25,10 @@ from marketlake.llm.common import as_bytes, components, mix, select_ids, shingle
 
 SHINGLE = 5
 SIDE, ROWS = 8, 3
-#: Shingles that one block of a family may hold.
-BLOCK_SHINGLES = 200_000
+#: Shingles and sets that one block of a family may hold; two blocks meet in a matrix of BLOCK_SETS squared at most.
+BLOCK_SHINGLES, BLOCK_SETS = 200_000, 4096
+#: Sets of a block whose similarities are looked at together.
+SLICE = 256
 
 _SEEDS = mix(np.arange(1, 2 * SIDE * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -105,13 +107,13 @@ def block_links(sides: np.ndarray, roots: np.ndarray, sets: list[np.ndarray], pe
     rows = np.flatnonzero(sides != 1)
     columns = np.flatnonzero(sides != 0)
     both = np.zeros((len(rows), len(columns)), np.float32)
-    for low in range(0, len(dense), 1024):
-        a, b = np.searchsorted(number, [low, low + 1024])
-        part = np.zeros((len(sets), min(1024, len(dense) - low)), np.float32)
+    for low in range(0, len(dense), 512):
+        a, b = np.searchsorted(number, [low, low + 512])
+        part = np.zeros((len(sets), min(512, len(dense) - low)), np.float32)
         part[owner[a:b], number[a:b] - low] = 1
-        both += part[rows] @ part[columns].T
-    linked = similar(both.astype(np.int64), sizes[rows][:, None], sizes[columns][None, :], percent)
-    linked &= roots[rows][:, None] != roots[columns][None, :]
+        right = part[columns].T
+        for first in range(0, len(rows), SLICE):
+            both[first:first + SLICE] += part[rows[first:first + SLICE]] @ right
     # a spanning forest of what was found is enough
     parent = list(range(len(sets)))
 
@@ -122,11 +124,15 @@ def block_links(sides: np.ndarray, roots: np.ndarray, sets: list[np.ndarray], pe
         return x
 
     out = []
-    for i, j in zip(*np.nonzero(linked)):
-        x, y = int(rows[i]), int(columns[j])
-        if top(x) != top(y):
-            parent[top(x)] = top(y)
-            out.append((x, y))
+    for first in range(0, len(rows), SLICE):
+        here = rows[first:first + SLICE]
+        linked = similar(both[first:first + SLICE].astype(np.int64), sizes[here][:, None], sizes[columns][None, :], percent)
+        linked &= roots[here][:, None] != roots[columns][None, :]
+        for i, j in zip(*np.nonzero(linked)):
+            x, y = int(here[i]), int(columns[j])
+            if top(x) != top(y):
+                parent[top(x)] = top(y)
+                out.append((x, y))
     return out
 
 
@@ -148,7 +154,8 @@ def _families(docs: DataFrame, open_rows: DataFrame, nodes: DataFrame, percent:
     main = counts.groupBy("family").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
     members = members.join(main, "family").withColumn("is_main", (F.col("root") == F.col("main")).cast("int"))
     load = members.groupBy("family", "class", "is_main").agg(
-        F.ceil(F.sum("n_shingles") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks"))
+        F.greatest(F.ceil(F.sum("n_shingles") / F.lit(BLOCK_SHINGLES)),
+                   F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_SETS))).cast("int").alias("blocks"))
     placed = stored(members.join(load, ["family", "class", "is_main"]).withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "placed")
     # every block meets itself (unless main), its class and the next one

@@ -250,3 +250,26 @@ def test_every_long_common_run_is_reported(spark):
 def test_awkward_rows(spark):
     got = rows(substring_dedup.repeated_passages(awkward(spark)), "doc_id", "first_word", "past_word", "keep_id")
     assert got == [(7, 0, 30_000, 6)]
+
+
+def test_many_small_sets_meet_in_bounded_memory():
+    """Short templated texts: all share most of their shingles, none is linked."""
+    import tracemalloc
+    n = near_dedup.BLOCK_SETS
+    common = np.arange(7, dtype=np.int64)
+    sets = [np.append(common, 100 + i) for i in range(2 * n)]  # 7 of 9 shared: 0.78
+    sides = np.repeat([0, 1], n)
+    tracemalloc.start()
+    assert near_dedup.block_links(sides, np.arange(2 * n), sets, 80) == []
+    assert tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()
+    sets[3], sets[n + 5] = sets[0], sets[7]
+    assert near_dedup.block_links(sides, np.arange(2 * n), sets, 80) == [(7, n + 5)]
+
+
+def test_blocks_are_bounded_by_sets_too(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_SETS", 8)
+    pairs = [(i, f"page {i} of this site was not found please try again later or go home now") for i in range(60)]
+    pairs += [(100 + i, prose(500 + i // 3, 200) + f" end {i}") for i in range(30)]
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(documents(spark, pairs), 85).collect()}
+    assert all(got[i] == i for i in range(60)) and all(got[100 + i] == 100 + i - i % 3 for i in range(30))
