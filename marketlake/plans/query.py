@@ -153,10 +153,9 @@ def get_bars(bars: DataFrame, symbol: str | Sequence[str], start, end, timeframe
     out = with_ts(out, tz).orderBy("ts_ns", "venue")
     if not fields:
         return out
-    shown = dict.fromkeys(fields)
-    if len(wanted) > 1:
-        shown.setdefault("venue")  # several series are told apart by it
-    return out.select(*filter(set(out.columns).__contains__, shown))
+    # several series are told apart by their venue; columns that bars do not have are left out
+    asked = list(fields) if len(wanted) == 1 else [*fields, "venue"]
+    return out.select([F.col(c) for i, c in enumerate(asked) if c in out.columns and c not in asked[:i]])
 
 
 def grid_ffill(bars: DataFrame, timeframe: str, start=None, end=None) -> DataFrame:

@@ -157,11 +157,9 @@ def is_perp(canonical: Column) -> Column:
 
 
 def mask_bits(venues: Iterable[str] = VENUES) -> dict[str, int]:
-    """The mask bit of each venue: its rank by name."""
-    names, bits = sorted({*venues}), {}
-    for name in names:
-        bits[name] = 1 << len(bits)
-    return bits
+    """The mask bit of each venue: two to the power of how many listed venues come before it by name."""
+    listed = frozenset(venues)
+    return {venue: 2 ** sum(other < venue for other in listed) for venue in listed}
 
 
 def known_venue(venues: Iterable[str] | None) -> Column:
