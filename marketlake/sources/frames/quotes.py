@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.ordered import running_best
 from marketlake.functions.timeutil import MINUTE, MS, idiv
+from marketlake.session import shared_dir
 from marketlake.sources.frames.common import (LIST, OBJECT, cell, iso_ns, jlist, jtable, ms_ns, msg, num, of_venue, once,
                                               present, quote_rows, recv_ms_ns, rows_as, top_of_book,
                                               with_channel)
 from marketlake.sources.frames.trades import bitstamp_ns, coinbase_events, event_items, field, items, kraken_symbol, unwrapped
+from marketlake.sources.store import materialize
 from marketlake.sources.venues import canonical_of
 
 TABLE = "array<array<string>>"
@@ -105,10 +107,11 @@ def gemini_changes(frames: DataFrame) -> DataFrame:
 
 def gemini(frames: DataFrame, block_ns: int = 10 * MINUTE) -> DataFrame:
     """Best prices ever seen, one quote per message once both sides are known. The best
-    never moves away again, because emptied levels are ignored."""
-    changes = gemini_changes(frames)
-    running = running_best(changes.select("symbol", "recv_ns", "seq", F.col("bid").alias("b"), F.col("ask").alias("a")),
-                           ["symbol"], ["recv_ns", "seq"], {"best_bid": F.col("b"), "best_ask": F.col("a")},
+    never moves away again, because emptied levels are ignored. Messages are decoded once, into a scratch copy of
+    each one's own best, since the running best reads them twice."""
+    changes = materialize(gemini_changes(frames).withColumnsRenamed({"bid": "b", "ask": "a"}),
+                          shared_dir(frames.sparkSession, "gemini"))
+    running = running_best(changes, ["symbol"], ["recv_ns", "seq"], {"best_bid": F.col("b"), "best_ask": F.col("a")},
                            idiv(F.col("recv_ns"), block_ns))
     return gemini_quotes(running)
 

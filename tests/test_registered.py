@@ -12,7 +12,8 @@ SOME = ["entry_tape_1m", "tape_diag", "tape_health_excluded", "bars_1s_venue", "
         "get_bars_multi", "bars_asof", "bars_grid_ffill", "book_quality", "run_checks", "score_day", "lag_p99",
         "symbol_map_seed", "feed_health_series", "coverage_matrix", "compact_rows", "tracking_error_stats",
         "norm_bitfinex_trades", "norm_gemini_quotes", "norm_kraken_book", "rest_kraken_trades", "stream_tape_1s",
-        "stream_bars_1s", "stream_book", "stream_health"]
+        "stream_bars_1s", "stream_book", "stream_bbo", "stream_health", "bars_from_landed", "bars_from_frames", "tape_hot_second",
+        "symbol_map_asof_many", "coverage_footers", "status_fallback"]
 NAMES = sorted(e.queries()) if os.environ.get("MARKETLAKE_ALL") else SOME
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
