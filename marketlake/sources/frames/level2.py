@@ -282,6 +282,47 @@ def book_rows(books: DataFrame, venue: str, depth: int) -> DataFrame:
 
 # ---- the same replay as a stateful stream ----
 
+#: Rows of a trigger that are Python objects at one time.
+SLICE_ROWS = 8_192
+
+
+def gathered(rows: Iterator[pd.DataFrame], columns: dict[str, type | None]) -> dict[str, np.ndarray]:
+    """Columns of a trigger's rows as flat numbers; a column given a type holds a list of them per row, laid end to end."""
+    parts: dict[str, list[np.ndarray]] = {c: [] for c in columns}
+    for pdf in rows:
+        for c, kind in columns.items():
+            parts[c].append(pdf[c].to_numpy() if kind is None else
+                            np.concatenate([np.empty(0, kind), *(np.asarray(x, kind) for x in pdf[c])]))
+    return {c: np.concatenate(parts.pop(c)) for c in columns}
+
+
+def flat_updates(events: DataFrame) -> DataFrame:
+    """Level events with their applicable updates as lists of plain values."""
+    known = F.coalesce(F.filter("updates", lambda u: u["side"].isin(*SIDES) & u["px"].isNotNull() & u["qty"].isNotNull()),
+                       F.array().cast(events.schema["updates"].dataType))
+    return events.withColumn("updates", known).select(
+        "symbol", *ORDER, "clear", F.size("updates").alias("n"),
+        F.transform("updates", lambda u: u["side"] == SIDES[0]).alias("bid"),
+        F.col("updates.px").alias("px"), F.col("updates.qty").alias("qty"))
+
+
+def flat_events(rows: Iterator[pd.DataFrame]) -> Iterator[Iterator[tuple]]:
+    """The rows of ``flat_updates`` in order, in slices of (recv_ns, clear, updates). All of them are held as numbers
+    only, under a hundred bytes an event; a slice at a time is Python objects."""
+    x = gathered(rows, {**dict.fromkeys([*ORDER, "clear", "n"]), "bid": bool, "px": float, "qty": float})
+    order = np.lexsort([x.pop(c) for c in ORDER[:0:-1]] + [x["recv_ns"]])
+    until = np.cumsum(x["n"])
+
+    def updates(i: int) -> list[dict]:
+        at = slice(until[i] - x["n"][i], until[i])
+        return [{"side": SIDES[0] if bid else SIDES[1], "px": px, "qty": qty}
+                for bid, px, qty in zip(x["bid"][at].tolist(), x["px"][at].tolist(), x["qty"][at].tolist())]
+
+    for first in range(0, len(order), SLICE_ROWS):
+        at = order[first:first + SLICE_ROWS]
+        yield zip(x["recv_ns"][at].tolist(), x["clear"][at].tolist(), map(updates, at.tolist()), strict=True)
+
+
 class TrackedBook:
     """A book over keyed state that remembers which levels changed."""
 
@@ -302,8 +343,9 @@ class TrackedBook:
 class BookStream(StatefulProcessor):
     """Live levels as map state, one entry per price level, and the last emission; both outlive reconnects.
 
-    A trigger writes the entries of levels it changed. Rows of a trigger come in any order and are sorted, so what a
-    trigger takes in is bounded at the source (``maxFilesPerTrigger`` or ``maxBytesPerTrigger``), also for a backlog.
+    A trigger writes the entries of levels it changed. Rows of a trigger come in any order and are sorted as flat numbers;
+    updates and snapshots are Python objects a slice at a time. What a trigger takes in is bounded at the source
+    (``maxFilesPerTrigger`` or ``maxBytesPerTrigger``), also for a backlog.
     """
 
     def __init__(self, depth: int):
@@ -316,14 +358,15 @@ class BookStream(StatefulProcessor):
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         book = TrackedBook(self.levels.iterator())
         last = self.last.get()[0] if self.last.exists() else 0
-        found, last = replay(book.sides, last, _ordered_events(pd.concat(list(rows))), self.depth)
+        for events in flat_events(rows):
+            found, last = replay(book.sides, last, events, self.depth)
+            yield pd.DataFrame([{"symbol": key[0], **s} for s in found], columns=["ts_ns", "symbol", "bids", "asks"])
         for side, px, qty in book.changes():
             if qty is None:
                 self.levels.removeKey((side, px))
             else:
                 self.levels.updateValue((side, px), (qty,))
         self.last.update((last,))
-        yield pd.DataFrame([{"symbol": key[0], **s} for s in found], columns=["ts_ns", "symbol", "bids", "asks"])
 
     def close(self) -> None:
         pass
@@ -331,7 +374,7 @@ class BookStream(StatefulProcessor):
 
 def stream_books(events: DataFrame, venue: str, depth: int = 20) -> DataFrame:
     """Books of a stream of level events; needs the session's state store to be one that can hold maps (RocksDB)."""
-    books = events.groupBy("symbol").transformWithStateInPandas(BookStream(depth), SNAPSHOTS, "Append", "None")
+    books = flat_updates(events).groupBy("symbol").transformWithStateInPandas(BookStream(depth), SNAPSHOTS, "Append", "None")
     return book_rows(books, venue, depth)
 
 
