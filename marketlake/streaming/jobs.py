@@ -23,6 +23,7 @@ from marketlake.operators.bars import bars_from_trades
 from marketlake.schemas import BAR_COLUMNS
 from marketlake.session import settings
 from marketlake.sources.arrival import POSITION, file_position
+from marketlake.sources.frames.level2 import SLICE_ROWS, gathered
 from marketlake.sources.frames.quotes import gemini_changes, gemini_quotes
 from marketlake.sources.store import Lake
 
@@ -154,32 +155,36 @@ def write_health(counts: DataFrame, lake: Lake, checkpoint: str, available_now:
                       f"{MINUTE // SECOND} seconds")
 
 
-BBO = "struct<k:double,r:long,s:long,i:int,qty:double>"
-BBO_ROWS = f"symbol string, recv_ns long, seq long, best_bid {BBO}, best_ask {BBO}"
+BBO = ("bid_k", "bid_qty", "ask_k", "ask_qty")
+BBO_ROWS = f"symbol string, recv_ns long, seq long, {', '.join(f'{c} double' for c in BBO)}"
 
 
 class BestQuotes(StatefulProcessor):
-    """Running best bid and ask, a value of fixed size per symbol; the stream form of the batch prefix maximum."""
+    """Running best bid and ask, a value of fixed size per symbol; the stream form of the batch prefix maximum.
+
+    Rows of a trigger are sorted as flat numbers and leave in slices.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.best = handle.getValueState("best", "bid_k double, bid_qty double, ask_k double, ask_qty double")
+        self.best = handle.getValueState("best", ", ".join(f"{c} double" for c in BBO))
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # the running best is the latest row among the largest prices so far: a prefix maximum per side
-        pdf = pd.concat(list(rows)).sort_values(["recv_ns", "seq"], kind="stable")
-        held = self.best.get() if self.best.exists() else (None,) * 4
-        out, kept = {"symbol": key[0], "recv_ns": pdf["recv_ns"], "seq": pdf["seq"]}, []
-        for side, k, qty in (("bid", *held[:2]), ("ask", *held[2:])):
-            first = np.array([[np.nan if k is None else k, np.nan if qty is None else qty]], float)
-            both = np.vstack((first, pdf[[f"{side}_k", f"{side}_qty"]].to_numpy(float)))
-            price = np.where(np.isnan(both[:, 0]), -np.inf, both[:, 0])
-            top = np.maximum.accumulate(price)
-            at = np.maximum.accumulate(np.where((price == top) & (price > -np.inf), np.arange(len(both)), 0))
-            best = both[at]
-            out[f"best_{side}"] = [None if np.isnan(p) else {"k": p, "r": 0, "s": 0, "i": 0, "qty": q} for p, q in best[1:]]
-            kept += [None if np.isnan(x) else float(x) for x in best[-1]]
-        self.best.update(tuple(kept))
-        yield pd.DataFrame(out)
+        x = gathered(rows, dict.fromkeys(["recv_ns", "seq", *BBO]))
+        order = np.lexsort((x["seq"], x["recv_ns"]))
+        kept = np.array(self.best.get() if self.best.exists() else (None,) * 4, float)
+        for first in range(0, len(order), SLICE_ROWS):
+            at = order[first:first + SLICE_ROWS]
+            out = {"symbol": key[0], "recv_ns": x["recv_ns"][at], "seq": x["seq"][at]}
+            for side, held in ((BBO[:2], kept[:2]), (BBO[2:], kept[2:])):
+                both = np.vstack((held[None], np.column_stack([x[c][at].astype(float) for c in side])))
+                price = np.where(np.isnan(both[:, 0]), -np.inf, both[:, 0])
+                top = np.maximum.accumulate(price)
+                best = both[np.maximum.accumulate(np.where((price == top) & (price > -np.inf), np.arange(len(both)), 0))]
+                held[:] = best[-1]
+                out |= dict(zip(side, best[1:].T))
+            yield pd.DataFrame(out)
+        self.best.update(tuple(None if np.isnan(v) else float(v) for v in kept))
 
     def close(self) -> None:
         pass
@@ -190,7 +195,9 @@ def best_quotes_stream(frames: DataFrame) -> DataFrame:
     changes = gemini_changes(frames).select("symbol", "recv_ns", "seq",
                                             *[F.col(f"{s}.{f}").alias(f"{s}_{f}") for s in ("bid", "ask")
                                               for f in ("k", "qty")])
-    return gemini_quotes(changes.groupBy("symbol").transformWithStateInPandas(BestQuotes(), BBO_ROWS, "Append", "None"))
+    running = changes.groupBy("symbol").transformWithStateInPandas(BestQuotes(), BBO_ROWS, "Append", "None")
+    return gemini_quotes(running.withColumns({f"best_{s}": F.struct(F.col(f"{s}_k").alias("k"), F.col(f"{s}_qty").alias("qty"))
+                                              for s in ("bid", "ask")}))
 
 
 def write_books(books: DataFrame, lake: Lake, checkpoint: str, available_now: bool = False) -> StreamingQuery:

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 
 from marketlake.sources.frames import level2 as L
+from marketlake.streaming import jobs as J
 
 
 class Held:
@@ -77,3 +78,25 @@ def test_flat_updates_keep_what_applies(spark):
             ("S", 2, 1, 0, True, None)]
     got = L.flat_updates(spark.createDataFrame(rows, L.EVENTS)).orderBy("recv_ns").select("n", "bid", "px", "qty").collect()
     assert [tuple(x) for x in got] == [(2, [True, False], [1.0, 3.0], [2.0, 0.0]), (0, [], [], [])]
+
+
+def test_best_quotes_leave_in_slices(monkeypatch):
+    monkeypatch.setattr(J, "SLICE_ROWS", 64)
+    rng = random.Random(5)
+    rows = [("S", rng.randrange(800), i, *(rng.choice([None, float(rng.randrange(i + 1))]) if k % 2 == 0 else float(i) for k in range(4)))
+            for i in range(1000)]
+    columns = ["symbol", "recv_ns", "seq", *J.BBO]
+    stream = J.BestQuotes()
+    stream.init(Handle())
+    frames = list(stream.handleInputRows(("S",), parts(rows[:600], columns), None))
+    assert max(map(len, frames)) <= 64 and len(frames) == 10
+    frames += stream.handleInputRows(("S",), parts(rows[600:], columns), None)
+    want, best = [], [None] * 4
+    for trigger in (rows[:600], rows[600:]):
+        for row in sorted(trigger, key=lambda x: x[1:3]):
+            for k in (0, 2):
+                if row[3 + k] is not None and (best[k] is None or row[3 + k] >= best[k]):
+                    best[k:k + 2] = row[3 + k:5 + k]
+            want.append((*row[1:3], *best))
+    got = pd.concat(frames)[["recv_ns", "seq", *J.BBO]]
+    assert [tuple(None if pd.isna(v) else v for v in x) for x in got.itertuples(index=False)] == want
