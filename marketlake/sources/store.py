@@ -6,6 +6,7 @@ import json
 import time
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -22,6 +23,8 @@ PARTITION = ("symbol", "venue", "date")
 # Encoding and rotation of stored files.
 ZSTD_LEVEL = 6
 ROWS_PER_FILE = 50_000
+#: Files that are moved or deleted at a time.
+MOVES_AT_ONCE = 16
 
 #: Tags of compactions in a table's log.
 COMPACTION = "compact-"
@@ -43,22 +46,23 @@ class Files:
     """The few file-system calls that tables need, on whatever store holds them."""
 
     def __init__(self, spark: SparkSession, base: str):
-        self.jvm = spark.sparkContext._jvm
+        self.path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path  # looked up once: each name on the way is a call
         self.fs = self.path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def path(self, name: str):
-        return self.jvm.org.apache.hadoop.fs.Path(name)
-
     def exists(self, name: str) -> bool:
         return self.fs.exists(self.path(name))
 
     def data_files(self, folder: str) -> list[str]:
-        """Paths below a folder of the data files a write has left there."""
-        found, out = self.fs.listFiles(self.path(folder), True), []
-        while found.hasNext():
-            at = found.next().getPath()
-            if not at.getName().startswith(("_", ".")):
-                out.append(at.toString())
+        """Paths below a folder of the data files a write has left there, listed folder by folder: a recursive listing of
+        a local store asks for each file's owner by a process of its own."""
+        out, folders = [], [self.path(folder)]
+        while folders:
+            for x in self.fs.listStatus(folders.pop()):
+                at = x.getPath()
+                if x.isDirectory():
+                    folders.append(at)
+                elif not at.getName().startswith(("_", ".")):
+                    out.append(at.toString())
         return sorted(out)
 
     def sizes(self, folder: str) -> dict[str, int]:
@@ -213,11 +217,14 @@ class Lake:
             if files.exists(f"{log}.done"):
                 return  # brought to its end by another run in this moment
             raise
-        for source, target in plan["moves"]:
+
+        def move(source: str, target: str) -> None:
             if files.exists(source) and not files.exists(target):
                 files.move(source, target)
-        for old in plan["remove"]:
-            files.delete(old)
+
+        with ThreadPoolExecutor(MOVES_AT_ONCE) as pool:  # a store answers many calls at once; the first fault is raised
+            list(pool.map(move, *zip(*plan["moves"])) if plan["moves"] else ())
+            list(pool.map(files.delete, plan["remove"]))
         files.delete(plan["staging"])
         files.move(f"{log}.planned", f"{log}.done")
 

@@ -112,3 +112,30 @@ def test_open_mappings_are_joined_in_many_tasks(spark):
     got = symbol_map_asof_many(spark.createDataFrame(maps, META_SCHEMAS["symbol_map"]), instants, bin_ns=3)
     per_task = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(per_task) == sum(t // 10 + 1 for t in range(3000)) and max(per_task) < sum(per_task) / 5
+
+
+def test_files_of_a_batch_are_moved_together(spark, lake, monkeypatch):
+    """Moves overlap, every file arrives, and a fault in one leaves the batch to be finished by the next run."""
+    import threading
+
+    import pytest
+
+    from marketlake.sources.store import MOVES_AT_ONCE, Files
+    rows = spark.range(400).select((F.col("id") * 3_600_000_000_000).alias("ts_ns"), F.lit("S").alias("symbol"),
+                                   F.lit("okx").alias("venue"), F.col("id").cast("double").alias("price"))
+    move, lock, together = Files.move, threading.Barrier(4, timeout=20), []
+
+    def met(self, source, target):
+        if ".parquet" in source and len(together) < 4:
+            together.append(source)
+            lock.wait()
+            if source == together[0]:
+                raise RuntimeError("lost")
+        move(self, source, target)
+
+    monkeypatch.setattr(Files, "move", met)
+    with pytest.raises(RuntimeError):
+        lake.append_once("trades", rows, "job-0")
+    monkeypatch.undo()
+    assert len(together) == 4 <= MOVES_AT_ONCE and not lake.append_once("trades", rows, "job-0")
+    assert sorted(r["price"] for r in lake.table("trades").select("price").collect()) == list(map(float, range(400)))
