@@ -92,6 +92,26 @@ def test_lm_scores_equal_brute_force(spark):
         assert got[i] == pytest.approx(x, abs=1e-9) if x is not None else got[i] is None
 
 
+def test_lm_counts_rare_words_of_a_large_corpus(spark):
+    pairs = [(i, "filler " * 320_000) for i in range(4)] + [(i, f"{prose(i, 30, 20)} rare couple seen twice") for i in range(4, 8)]
+    ids = spark.createDataFrame([(0,), (1,), (4,), (5,)], "doc_id long")
+    got = {r.doc_id: r.score for r in lm_score.lm_scores(documents(spark, pairs), ids).collect()}
+    assert got == {i: pytest.approx(x, abs=1e-9) for i, x in brute_scores(pairs, {0, 1, 4, 5}).items()}
+
+
+def test_lm_scores_do_not_depend_on_blocks_and_slices(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", 700)
+    monkeypatch.setattr(lm_score, "SLICE_BYTES", 300)
+    monkeypatch.setattr(lm_score, "BROADCAST_IDS", 3)
+    test_lm_scores_equal_brute_force(spark)
+
+
+def test_lm_counts_survive_packing():
+    for keys in ([], [5], [2 ** 63, 2 ** 63 + 1, 2 ** 64 - 1], [0, 3, 2 ** 40]):
+        keys = np.array(keys, np.uint64)
+        assert (lm_score._unpacked(lm_score._packed(keys, keys // 2), 2, len(keys)) == np.stack((keys, keys // 2))).all()
+
+
 def test_lm_prefers_its_target(spark):
     pairs = [(i, prose(i, 200, 300) if i < 20 else edited(prose(i, 200, 300), i, 0.5)) for i in range(40)]
     got = lm_score.lm_scores(documents(spark, pairs), spark.createDataFrame([(i,) for i in range(15)], "doc_id long"))
