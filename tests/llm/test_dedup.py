@@ -229,6 +229,27 @@ def test_functions_agree_by_place_and_miss_rarely(spark):
     assert substring_dedup.ENOUGH == 2 and 0.2 ** n + n * 0.8 * 0.2 ** (n - 1) < 0.002
 
 
+def test_documents_that_share_a_line_only_do_not_meet(spark, monkeypatch):
+    met, stretches = [], substring_dedup._stretches
+    monkeypatch.setattr(substring_dedup, "_stretches", lambda m, least: met.append(m.count()) or stretches(m, least))
+    line, passage = prose(1, 14), prose(2, 60)
+    pairs = [(i, f"{prose(10 + i, 60, 10 ** 6)} {line} {prose(50 + i, 60, 10 ** 6)}") for i in range(30)]
+    assert substring_dedup.repeated_passages(documents(spark, pairs)).count() == 0 and sum(met) == 0
+    pairs += [(i, f"{prose(100 + i, 60, 10 ** 6)} {passage}") for i in (40, 41)]
+    assert rows(substring_dedup.repeated_passages(documents(spark, pairs)), "doc_id", "keep_id") == [(41, 40)] and sum(met) > 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_dense_places_equal_brute_force(seed):
+    flags = np.random.default_rng(seed).random(60) < 0.5 + 0.1 * seed
+    expected = np.zeros(60, bool)
+    for x in range(60):
+        for y in range(x + 7, 61):
+            if 100 * flags[x:y].sum() >= 70 * (y - x):
+                expected[x:y] = True
+    assert (substring_dedup.dense(flags, 7, 70) == expected).all()
+
+
 def test_every_long_common_run_is_reported(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     pairs = [(r.doc_id, lowered(r.text).split()) for r in docs.collect()]

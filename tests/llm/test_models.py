@@ -109,7 +109,7 @@ def test_lm_scores_do_not_depend_on_blocks_and_slices(spark, monkeypatch):
 def test_lm_counts_survive_packing():
     for keys in ([], [5], [2 ** 63, 2 ** 63 + 1, 2 ** 64 - 1], [0, 3, 2 ** 40]):
         keys = np.array(keys, np.uint64)
-        assert (lm_score._unpacked(lm_score._packed(keys, keys // 2), 2, len(keys)) == np.stack((keys, keys // 2))).all()
+        assert (lm_score.unpacked_columns(lm_score.packed_columns(keys, keys // 2), 2, len(keys)) == np.stack((keys, keys // 2))).all()
 
 
 def test_lm_prefers_its_target(spark):
