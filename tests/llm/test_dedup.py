@@ -250,6 +250,65 @@ def test_dense_places_equal_brute_force(seed):
     assert (substring_dedup.dense(flags, 7, 70) == expected).all()
 
 
+def packed_windows(rng, n, period):
+    """Windows of one value in a text that repeats itself, some with other gaps and reaches."""
+    s, gaps = substring_dedup, np.where(rng.random(n) < 0.8, period, rng.integers(1, 90, n))
+    c = 200 + np.cumsum(gaps)
+    left = np.minimum(gaps - 1, rng.integers(30, 200, n))
+    right = np.where(rng.random(n) < 0.9, c[-1] + 50 - c, rng.integers(20, 60, n))
+    return np.sort((c << s.REACH_BITS | left) << (s.REACH_BITS + s.FUNCTION_BITS) | right << s.FUNCTION_BITS | 3)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_left_out_meetings_lie_inside_others(seed):
+    r, s = np.random.default_rng(seed), substring_dedup
+    n, k = r.integers(1, 12, 5), r.integers(1, 12, 5)
+    a, b = (np.concatenate([packed_windows(r, x, 40) for x in sizes]) for sizes in (n, k))
+    order, begin, times = s._meetings(a, n, b, k)
+    row, start = np.repeat(np.arange(5), n), np.cumsum(k) - k
+    some = [(i, order[start[row[i]] + (begin[i] + t) % k[row[i]]]) for i in range(len(a)) for t in range(times[i])]
+    every = [(i, start[row[i]] + t) for i in range(len(a)) for t in range(k[row[i]])]
+    assert len(set(some)) == len(some) and set(some) <= set(every)
+    found = [s._merged(a[x], b[y], row[x] + 10, row[x], 46) for x, y in (np.array(m).T for m in (some, every))]
+    assert all((x == y).all() for x, y in zip(*found))
+
+
+def test_a_line_held_many_times_meets_once_per_diagonal():
+    s, n, k = substring_dedup, np.array([3000]), np.array([2000])
+    a, b = ((c << s.REACH_BITS | 39) << (s.REACH_BITS + s.FUNCTION_BITS) | c[-1] + 50 - c << s.FUNCTION_BITS
+            for c in (200 + 40 * np.arange(x[0]) for x in (n, k)))
+    assert s._meetings(a, n, b, k)[2].sum() == 3000 + 2000 - 1
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_runs_and_outermost_passages_equal_brute_force(seed, monkeypatch):
+    r, s = np.random.default_rng(seed), substring_dedup
+    monkeypatch.setattr(s, "PLACES", 100)
+    a, b = (r.integers(-1, 2, x).astype(np.int32) for x in (60, 45))
+    expected = []
+    for d in range(-50, 70):
+        same = [0 <= x - d < 45 and a[x] == b[x - d] for x in range(60)] + [False]
+        x = 0
+        for y in range(61):
+            if not same[y]:
+                if y - x >= s.RUN:
+                    expected.append((x, y, d))
+                x = y + 1
+    assert s._runs(a, b, np.arange(-50, 70)) == sorted(expected, key=lambda run: (run[0], -run[1], run[2]))
+    spans = [(int(k), int(x), int(x + w)) for k, x, w in zip(r.integers(0, 4, 80), r.integers(0, 40, 80), r.integers(1, 20, 80))]
+    inside = [any(x <= first and y >= past and (k < keep or k == keep and y - x > past - first) for k, x, y in spans)
+              for keep, first, past in spans]
+    assert [not x for x in inside] == s._outermost(spans)
+
+
+def test_an_id_that_repeats_counts_once(spark):
+    shared = prose(31, 80, 10 ** 6)
+    pairs = [(2, f"{prose(32, 60, 10 ** 6)} {shared}"), (5, shared), (5, shared), (5, prose(33, 90, 10 ** 6)), (2, None)]
+    docs = documents(spark, pairs)
+    got = substring_dedup._windows(docs.selectExpr("doc_id as id", "cast(coalesce(text, '') as binary) as text"), 46, 80)
+    assert got.groupBy("doc", "key").count().where("count > 1").count() == 0
+
+
 def test_every_long_common_run_is_reported(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     pairs = [(r.doc_id, lowered(r.text).split()) for r in docs.collect()]
