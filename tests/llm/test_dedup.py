@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from marketlake.llm import exact_dedup, near_dedup, substring_dedup
@@ -301,6 +302,38 @@ def test_runs_and_outermost_passages_equal_brute_force(seed, monkeypatch):
     assert [not x for x in inside] == s._outermost(spans)
 
 
+def test_only_the_least_of_equal_texts_meets_others(spark, monkeypatch):
+    met, stretches = [], substring_dedup._stretches
+    monkeypatch.setattr(substring_dedup, "_stretches", lambda m, least: met.append(
+        {x for r in m.select("doc", "other").collect() for x in r}) or stretches(m, least))
+    shared, text = prose(71, 90, 10 ** 6), prose(72, 70, 10 ** 6)
+    rest = f"{shared} {prose(73, 60, 10 ** 6)}"
+    pairs = [(1, f"{prose(74, 40, 10 ** 6)} {shared}"), *((i, rest) for i in range(10, 40)), *((i, text) for i in range(50, 80)),
+             (90, prose(75, 30)), (91, prose(75, 30))]
+    got = rows(substring_dedup.repeated_passages(documents(spark, pairs)), "doc_id", "first_word", "past_word", "keep_id", "keep_first")
+    expected = [(10, 0, 90, 1, 40), *((i, *x) for i in range(11, 40) for x in ((0, 90, 1, 40), (0, 150, 10, 0))),
+                *((i, 0, 70, 50, 0) for i in range(51, 80))]
+    assert got == sorted(expected, key=repr) and set().union(*met) == {1, 10}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_runs_of_many_pairs_equal_those_of_each(seed, monkeypatch):
+    r, s = np.random.default_rng(seed), substring_dedup
+    monkeypatch.setattr(s, "PLACES", 300)
+    pairs = []
+    for _ in range(200):
+        n, m, k = int(r.integers(0, 90)), int(r.integers(0, 90)), int(r.integers(0, 60))
+        a, b = r.integers(0, 400, n), r.integers(0, 400, m)
+        x, y = (int(r.integers(0, max(1, z - k))) for z in (n, m))
+        k = min(k, n - x, m - y)
+        b[y: y + k] = a[x: x + k]
+        b[r.random(m) < 0.03] = 7
+        pairs.append((a.astype(np.int32), b.astype(np.int32), np.unique([x - y, *r.integers(-90, 90, r.integers(0, 14))])))
+    lists = [pa.array([p[i] for p in pairs], pa.list_(pa.int32())) for i in range(3)]
+    got = {int(i): found for i, runs in s._many_runs(lists, 10, 80) if (found := s._chained(runs, 14, 80))}
+    assert got == {i: found for i, p in enumerate(pairs) if (found := s.aligned(*p, 14, 80))} and len(got) > 20
+
+
 def test_an_id_that_repeats_counts_once(spark):
     shared = prose(31, 80, 10 ** 6)
     pairs = [(2, f"{prose(32, 60, 10 ** 6)} {shared}"), (5, shared), (5, shared), (5, prose(33, 90, 10 ** 6)), (2, None)]
