@@ -360,6 +360,46 @@ def test_every_long_common_run_is_reported(spark):
         assert len(x & y) >= 0.75 * len(x | y)
 
 
+def near_copies(n):
+    text = prose(81, 300, 10 ** 6)
+    return [(i, f"{prose(600 + i, 20, 10 ** 6)} {edited(text, i, 0.06)}") for i in range(n)]
+
+
+def test_a_turn_in_parts_finds_the_same(spark, monkeypatch):
+    docs = documents(spark, near_copies(40))
+    columns = ["doc_id", "first_word", "past_word", "keep_id", "keep_first", "keep_past"]
+    whole, parts = rows(substring_dedup.repeated_passages(docs), *columns), []
+    monkeypatch.setattr(substring_dedup, "_number_of_parts", lambda total, limit: parts.append((total, limit)) or 3)
+    assert rows(substring_dedup.repeated_passages(docs), *columns) == whole and len({r[0] for r in whole}) > 30
+    assert len(parts) > 8 and any(total > 0 for total, _ in parts) and all(limit > 0 for _, limit in parts)
+    monkeypatch.undo()
+    assert [substring_dedup._number_of_parts(x, 10) for x in (0, 10, 11, 95)] == [1, 1, 2, 10]
+
+
+def test_nothing_stored_on_the_way_stays(spark, monkeypatch):
+    import glob
+    import re
+    import time
+
+    def folders():
+        return set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/marketlake-*"))
+
+    def shuffled():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {x for x in (files.apply(i).getName() for i in range(files.size())) if x.startswith("shuffle")}
+
+    before, files, late, outer = folders(), shuffled(), [], substring_dedup._outer
+    monkeypatch.setattr(substring_dedup, "_outer", lambda found: late.append(folders() - before) or outer(found))
+    got = substring_dedup.repeated_passages(documents(spark, near_copies(12)))
+    purposes = lambda paths: {re.fullmatch(r".*/marketlake-(\w+)-\w+", x)[1] for x in paths}
+    assert purposes(folders() - before) == {"copies", "kept"} and not {"windows", "digests", "pairs"} & purposes(*late)
+    for _ in range(100):
+        if not (left := shuffled() - files):
+            break
+        time.sleep(0.1)
+    assert not left and got.count() >= 11
+
+
 def test_awkward_rows(spark):
     got = rows(substring_dedup.repeated_passages(awkward(spark)), "doc_id", "first_word", "past_word", "keep_id")
     assert got == [(7, 0, 30_000, 6)]
